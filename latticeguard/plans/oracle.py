@@ -42,3 +42,34 @@ oracle("rule_label_noisy", with_base("SELECT asset_id, round(risk_score, 9) AS r
 oracle("priority_buckets", with_base(f"""
 SELECT {bucket_sql('risk_score')} AS priority, count(*) AS n_assets, round(avg(risk_score), 6) AS mean_score
 FROM rule_labelled GROUP BY 1"""))
+
+# --- step 4: strata, splits, folds ----------------------------------------------
+STRATA_CTES = """
+edges_q AS (SELECT quantile_cont(risk_score, [0.0e0, 0.25e0, 0.5e0, 0.75e0, 1.0e0]) AS e FROM labelled),
+strata AS (
+  SELECT l.*, CASE WHEN len(list_distinct(e)) < 2 THEN NULL
+         ELSE CAST(greatest(len(list_filter(list_distinct(e), lambda x: x < risk_score)) - 1, 0) AS INTEGER) END AS stratum
+  FROM labelled l, edges_q),
+st AS (SELECT asset_id, stratum, coalesce(stratum, -1) AS g, md5(concat_ws(':', '42', CAST(asset_id AS VARCHAR))) AS h
+       FROM strata),
+sizes AS (SELECT g, count(*) AS n_s FROM st GROUP BY g),
+alloc0 AS (SELECT g, n_s, CAST(floor(0.2e0 * n_s) AS BIGINT) AS base, 0.2e0 * n_s - floor(0.2e0 * n_s) AS frac,
+                  CAST(ceil(0.2e0 * sum(n_s) OVER ()) AS BIGINT) AS n_test FROM sizes),
+alloc AS (SELECT g, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, g) <= n_test - sum(base) OVER () THEN 1 ELSE 0 END
+                 AS n_alloc FROM alloc0),
+split_s AS (SELECT asset_id, stratum,
+                   CASE WHEN row_number() OVER (PARTITION BY st.g ORDER BY h) <= n_alloc THEN 'test' ELSE 'train' END AS split
+            FROM st JOIN alloc ON st.g = alloc.g),
+hashed AS (SELECT asset_id, md5(concat_ws(':', '42', CAST(asset_id AS VARCHAR))) AS h, count(*) OVER () AS n FROM labelled),
+split_p AS (SELECT asset_id, CASE WHEN row_number() OVER (ORDER BY h) <= ceil(0.2e0 * n) THEN 'test' ELSE 'train' END AS split
+            FROM hashed),
+folds AS (SELECT asset_id, CAST(ntile(5) OVER (ORDER BY h) - 1 AS INTEGER) AS fold FROM hashed)"""
+
+oracle("label_quantile_edges", with_base("""
+SELECT p, round(e[i], 9) AS edge FROM edges_q,
+  (SELECT unnest([0.0e0, 0.25e0, 0.5e0, 0.75e0, 1.0e0]) AS p, unnest([1, 2, 3, 4, 5]) AS i)""", STRATA_CTES))
+oracle("label_strata", with_base("SELECT asset_id, stratum FROM strata", STRATA_CTES))
+oracle("stratified_split", with_base("SELECT asset_id, stratum, split FROM split_s", STRATA_CTES))
+oracle("shuffled_split", with_base("SELECT asset_id, split FROM split_p", STRATA_CTES))
+oracle("kfold_assignment", with_base("SELECT asset_id, fold FROM folds", STRATA_CTES))
+oracle("kfold_sizes", with_base("SELECT fold, count(*) AS n_rows FROM folds GROUP BY fold", STRATA_CTES))

@@ -105,3 +105,41 @@ def priority_buckets(spark, sf_dir):
         .groupBy("priority")
         .agg(F.count(F.lit(1)).alias("n_assets"), r6(F.avg("risk_score")).alias("mean_score"))
     )
+
+
+# --- step 4: strata, splits, folds ----------------------------------------------
+
+from ..operators import splits as spl  # noqa: E402
+
+
+@register("label_quantile_edges")
+def label_quantile_edges(spark, sf_dir):
+    lab = inventory(spark, sf_dir).labelled
+    edges = spl.quantile_edges(lab, "risk_score", 4)
+    rows = [(float(p), float(e)) for p, e in zip(spl.QUARTILES, edges)]
+    return spark.createDataFrame(rows, "p double, edge double").select("p", r9(F.col("edge")).alias("edge"))
+
+
+@register("label_strata")
+def label_strata(spark, sf_dir):
+    return spl.label_strata(inventory(spark, sf_dir).labelled).select("asset_id", "stratum")
+
+
+@register("stratified_split")
+def stratified_split(spark, sf_dir):
+    return spl.stratified_split(inventory(spark, sf_dir).labelled).select("asset_id", "stratum", "split")
+
+
+@register("shuffled_split")
+def shuffled_split(spark, sf_dir):
+    return spl.shuffled_split(inventory(spark, sf_dir).labelled).select("asset_id", "split")
+
+
+@register("kfold_assignment")
+def kfold_assignment(spark, sf_dir):
+    return spl.kfold(inventory(spark, sf_dir).labelled).select("asset_id", "fold")
+
+
+@register("kfold_sizes")
+def kfold_sizes(spark, sf_dir):
+    return spl.kfold(inventory(spark, sf_dir).labelled).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
