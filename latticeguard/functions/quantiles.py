@@ -134,7 +134,8 @@ def qcut_column(v: Column, edges: list[float]) -> Column:
 
 
 def hashed_row_number(df: DataFrame, group_cols: list[str], hash_col: str, prefix_len: int = 3,
-                      out_col: str = "rn", count_col: str | None = None, max_groups: int = 256) -> DataFrame:
+                      out_col: str = "rn", count_col: str | None = None, max_groups: int = 256,
+                      groups_bound: int | None = None) -> DataFrame:
     """Exact row_number() over (partition by group_cols order by hash_col, hex hash).
 
     Assumes `hash_col` is unique within a group (md5 of a unique key), so the
@@ -144,7 +145,12 @@ def hashed_row_number(df: DataFrame, group_cols: list[str], hash_col: str, prefi
     pre = F.substring(F.col(hash_col), 1, prefix_len)
     d = df.withColumn("_pfx", pre)
     counts = d.groupBy(*group_cols, "_pfx").agg(F.count(F.lit(1)).alias("_c"))
-    n_groups = counts.select(*group_cols).distinct().count() if group_cols else 1
+    # The count table is broadcast; its size is groups x 16**prefix_len. Callers that
+    # know the group count (strata, folds) pass it; otherwise it is measured.
+    if groups_bound is not None:
+        n_groups = groups_bound
+    else:
+        n_groups = counts.select(*group_cols).distinct().count() if group_cols else 1
     if n_groups > max_groups:
         raise ValueError(f"{n_groups} groups exceed the broadcast bound {max_groups}")
     w = Window.partitionBy(*group_cols).orderBy("_pfx").rowsBetween(Window.unboundedPreceding, -1)

@@ -50,7 +50,7 @@ def stratified_split(df: DataFrame, key: str = "asset_id", label_col: str = "ris
     st = st.withColumn("_g", F.coalesce(F.col("stratum"), F.lit(-1)))
     sizes = st.groupBy("_g").agg(F.count(F.lit(1)).alias("n_s"))
     alloc = _allocation(sizes, "_g", fraction)  # one row per stratum (<= q + 1 rows)
-    numbered = hashed_row_number(st, ["_g"], "_h")
+    numbered = hashed_row_number(st, ["_g"], "_h", groups_bound=q + 1)
     return (
         numbered.join(F.broadcast(alloc.select("_g", "n_alloc")), "_g", "inner")
         .withColumn("split", F.when(F.col("rn") <= F.col("n_alloc"), F.lit("test")).otherwise(F.lit("train")))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import LabelWeights
@@ -15,9 +16,30 @@ from ..sources import inventory as inv
 from ..sources.tables import Tables
 
 
+_CACHE: dict[tuple[int, str], "Inventory"] = {}
+
+
+def shared_inventory(spark: SparkSession, sf_dir: str) -> "Inventory":
+    """One Inventory per (session, folder), so queries in a session share the persisted tables."""
+    key = (id(spark), sf_dir)
+    inv = _CACHE.get(key)
+    if inv is None or inv.spark is not spark:
+        inv = _CACHE[key] = Inventory(spark, sf_dir)
+    return inv
+
+
+def release_all() -> None:
+    for inv in _CACHE.values():
+        for name in ("features", "split"):
+            if name in inv.__dict__:
+                inv.__dict__[name].unpersist()
+    _CACHE.clear()
+
+
 class Inventory:
     def __init__(self, spark: SparkSession, sf_dir: str, seed: int = 42,
-                 weights: LabelWeights = LabelWeights()):
+                 weights: LabelWeights = LabelWeights(), persist: bool = True):
+        self.persist = persist
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir)
@@ -50,7 +72,10 @@ class Inventory:
 
     @cached_property
     def features(self) -> DataFrame:
-        return feat.asset_features(self.assets, self.rollup, feat.dependency_count(self.edges))
+        """One row per asset; persisted because every model/eval/plan query reads it
+        several times (lineage is kept, so a lost executor only recomputes its part)."""
+        f = feat.asset_features(self.assets, self.rollup, feat.dependency_count(self.edges))
+        return f.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else f
 
     @cached_property
     def rule_labelled(self) -> DataFrame:
@@ -61,3 +86,32 @@ class Inventory:
     def labelled(self) -> DataFrame:
         """Features with the noisy training label (keyed by asset_id)."""
         return lab.label(self.features, self.weights, seed=self.seed)
+
+    # --- split and evaluation inputs ---------------------------------------------
+
+    @cached_property
+    def split(self) -> DataFrame:
+        from ..operators.splits import stratified_split
+
+        s = stratified_split(self.labelled, seed=self.seed)
+        return s.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else s
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return self.split.where("split = 'train'")
+
+    @cached_property
+    def test(self) -> DataFrame:
+        return self.split.where("split = 'test'")
+
+    @cached_property
+    def standin_predictions(self) -> DataFrame:
+        """A SQL-expressible stand-in prediction on the test rows: label plus keyed
+        noise under its own tags, so evaluation operators have an oracle."""
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import clip01, hash_normal
+        from ..operators.evaluation import with_buckets
+
+        p = clip01(F.col("risk_score") + hash_normal(F.col("asset_id"), self.seed, "p", 0.05))
+        return with_buckets(self.test.withColumn("predicted_score", p))

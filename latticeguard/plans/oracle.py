@@ -73,3 +73,100 @@ oracle("stratified_split", with_base("SELECT asset_id, stratum, split FROM split
 oracle("shuffled_split", with_base("SELECT asset_id, split FROM split_p", STRATA_CTES))
 oracle("kfold_assignment", with_base("SELECT asset_id, fold FROM folds", STRATA_CTES))
 oracle("kfold_sizes", with_base("SELECT fold, count(*) AS n_rows FROM folds GROUP BY fold", STRATA_CTES))
+
+# --- step 5: evaluation on the stand-in prediction -----------------------------
+from .oracle_base import bucket_sql as _b, clip_sql as _clip, normal_sql as _normal, rank_sql as _rank  # noqa: E402
+
+EVAL_CTES = STRATA_CTES + f""",
+split_rows AS (SELECT l.*, s.split FROM labelled l JOIN split_s s ON s.asset_id = l.asset_id),
+test_rows AS (SELECT * FROM split_rows WHERE split = 'test'),
+train_rows AS (SELECT * FROM split_rows WHERE split = 'train'),
+pred0 AS (SELECT asset_id, risk_score, {_clip(f"(risk_score + {_normal('asset_id', 42, 'p', 0.05)})")} AS predicted_score
+          FROM test_rows),
+pred1 AS (SELECT *, {_b('risk_score')} AS actual_priority, {_b('predicted_score')} AS predicted_priority FROM pred0),
+pred_b AS (SELECT *, {_rank('actual_priority')} AS actual_rank, {_rank('predicted_priority')} AS predicted_rank FROM pred1),
+pr(priority, rk) AS (VALUES ('CRITICAL', 0), ('HIGH', 1), ('MEDIUM', 2), ('LOW', 3)),
+cm AS (
+  SELECT a.priority AS actual_priority, b.priority AS predicted_priority, a.rk AS actual_rank, b.rk AS predicted_rank,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n
+  FROM pr a CROSS JOIN pr b
+  LEFT JOIN (SELECT actual_priority, predicted_priority, count(*) AS n FROM pred_b GROUP BY ALL) c
+    ON c.actual_priority = a.priority AND c.predicted_priority = b.priority),
+f1s AS (
+  SELECT a.priority, a.support, a.tp, b.predicted,
+         CASE WHEN b.predicted > 0 THEN a.tp / b.predicted ELSE 0.0e0 END AS precision,
+         CASE WHEN a.support > 0 THEN a.tp / a.support ELSE 0.0e0 END AS recall,
+         CASE WHEN a.support + b.predicted > 0 THEN 2.0e0 * a.tp / (a.support + b.predicted) ELSE 0.0e0 END AS f1
+  FROM (SELECT actual_priority AS priority, CAST(sum(n) AS BIGINT) AS support,
+               CAST(sum(CASE WHEN actual_priority = predicted_priority THEN n ELSE 0 END) AS BIGINT) AS tp
+        FROM cm GROUP BY 1) a
+  JOIN (SELECT predicted_priority AS priority, CAST(sum(n) AS BIGINT) AS predicted FROM cm GROUP BY 1) b
+    ON a.priority = b.priority),
+cuts(cutoff) AS (VALUES (0.75e0), (0.5e0), (0.25e0)),
+dec_edges AS (SELECT quantile_cont(predicted_score, [0.0e0, 0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0, 1.0e0]) AS e
+              FROM pred_b)"""
+
+oracle("test_predictions", with_base("""
+SELECT asset_id, round(risk_score, 9) AS risk_score, round(predicted_score, 9) AS predicted_score,
+       actual_priority, predicted_priority FROM pred_b""", EVAL_CTES))
+oracle("regression_metrics", with_base("""
+SELECT count(*) AS n,
+       round(avg(abs(risk_score - predicted_score)), 9) AS mae,
+       round(sqrt(avg((risk_score - predicted_score) * (risk_score - predicted_score))), 9) AS rmse,
+       round(CASE WHEN var_pop(risk_score) * count(*) > 0
+                  THEN 1.0e0 - sum((risk_score - predicted_score) * (risk_score - predicted_score)) / (var_pop(risk_score) * count(*))
+                  WHEN sum((risk_score - predicted_score) * (risk_score - predicted_score)) = 0 THEN 1.0e0 ELSE 0.0e0 END, 9) AS r2,
+       round(CASE WHEN stddev_pop(risk_score) > 0 AND stddev_pop(predicted_score) > 0
+                  THEN corr(risk_score, predicted_score) END, 9) AS pearson_r
+FROM pred_b""", EVAL_CTES))
+oracle("baseline_mae_test", with_base("""
+SELECT round(avg(abs(risk_score - (SELECT avg(risk_score) FROM test_rows))), 9) AS baseline_mae FROM test_rows""", EVAL_CTES))
+oracle("baseline_mae_train", with_base("""
+SELECT round(avg(abs(risk_score - (SELECT avg(risk_score) FROM train_rows))), 9) AS baseline_mae FROM test_rows""", EVAL_CTES))
+oracle("label_stats", with_base("""
+SELECT count(*) AS rows, round_even(avg(risk_score), 4) AS label_mean, round_even(stddev_samp(risk_score), 4) AS label_std,
+       split AS part FROM split_rows GROUP BY split""", EVAL_CTES))
+oracle("confusion_matrix", with_base("SELECT * FROM cm", EVAL_CTES))
+oracle("bucket_macro_f1", with_base("SELECT round(avg(f1), 9) AS bucket_macro_f1 FROM f1s", EVAL_CTES))
+oracle("per_label_f1", with_base("""
+SELECT priority, support, tp, predicted, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(f1, 9) AS f1 FROM f1s""", EVAL_CTES))
+oracle("under_scored", with_base("""
+SELECT asset_id, actual_priority, predicted_priority, round(predicted_score, 9) AS predicted_score
+FROM pred_b WHERE actual_rank < predicted_rank""", EVAL_CTES))
+oracle("over_scored", with_base("""
+SELECT asset_id, actual_priority, predicted_priority, round(predicted_score, 9) AS predicted_score
+FROM pred_b WHERE actual_rank > predicted_rank""", EVAL_CTES))
+oracle("error_counts", with_base("""
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE actual_rank < predicted_rank) AS under_scored_count,
+       count(*) FILTER (WHERE actual_rank > predicted_rank) AS over_scored_count,
+       round_even(count(*) FILTER (WHERE actual_rank < predicted_rank) / count(*) * 100.0e0, 2) AS under_scored_pct
+FROM pred_b""", EVAL_CTES))
+oracle("bucket_match_rate", with_base("""
+SELECT round(avg(CAST(actual_priority = predicted_priority AS DOUBLE)), 9) AS bucket_match_rate FROM pred_b""", EVAL_CTES))
+oracle("calibration_deciles", with_base("""
+SELECT bin, round(avg(predicted_score), 9) AS mean_predicted, round(avg(risk_score), 9) AS mean_actual, count(*) AS n
+FROM (SELECT p.*, CAST(greatest(len(list_filter(list_distinct(e), lambda x: x < predicted_score)) - 1, 0) AS INTEGER) AS bin
+      FROM pred_b p, dec_edges WHERE len(list_distinct(e)) >= 2) GROUP BY bin""", EVAL_CTES))
+oracle("threshold_sweep", with_base("""
+SELECT cutoff, tp, fp, fn,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0e0 END, 9) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0e0 END, 9) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0e0 * tp / (2 * tp + fp + fn) ELSE 0.0e0 END, 9) AS f1,
+       round(brier, 9) AS brier
+FROM (SELECT cutoff,
+             count(*) FILTER (WHERE risk_score >= cutoff AND predicted_score >= cutoff) AS tp,
+             count(*) FILTER (WHERE risk_score < cutoff AND predicted_score >= cutoff) AS fp,
+             count(*) FILTER (WHERE risk_score >= cutoff AND predicted_score < cutoff) AS fn,
+             avg((predicted_score - CAST(risk_score >= cutoff AS DOUBLE)) * (predicted_score - CAST(risk_score >= cutoff AS DOUBLE))) AS brier
+      FROM pred_b, cuts GROUP BY cutoff)""", EVAL_CTES))
+oracle("roc_auc", with_base("""
+SELECT cutoff, round((sum(r) FILTER (WHERE pos = 1) - n_pos * (n_pos + 1) / 2.0e0) / (n_pos * n_neg), 9) AS auc,
+       n_pos, n_neg
+FROM (SELECT cutoff, pos,
+             rank() OVER (PARTITION BY cutoff ORDER BY s) + (count(*) OVER (PARTITION BY cutoff, s) - 1) / 2.0e0 AS r,
+             count(*) FILTER (WHERE pos = 1) OVER (PARTITION BY cutoff) AS n_pos,
+             count(*) FILTER (WHERE pos = 0) OVER (PARTITION BY cutoff) AS n_neg
+      FROM (SELECT cutoff, predicted_score AS s, CAST(risk_score >= cutoff AS INTEGER) AS pos FROM pred_b, cuts))
+GROUP BY cutoff, n_pos, n_neg""", EVAL_CTES))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.exprs import priority_bucket
 from ..operators import features as feat
-from .inventory import Inventory
+from .inventory import Inventory, shared_inventory
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,7 +26,7 @@ def register(name: str):
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> Inventory:
-    return Inventory(spark, sf_dir)
+    return shared_inventory(spark, sf_dir)
 
 
 def r9(c):
@@ -143,3 +143,103 @@ def kfold_assignment(spark, sf_dir):
 @register("kfold_sizes")
 def kfold_sizes(spark, sf_dir):
     return spl.kfold(inventory(spark, sf_dir).labelled).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --- step 5: evaluation on the stand-in prediction -----------------------------
+
+from ..operators import evaluation as ev  # noqa: E402
+
+
+def _pred(spark, sf_dir):
+    return inventory(spark, sf_dir).standin_predictions
+
+
+@register("test_predictions")
+def test_predictions(spark, sf_dir):
+    return _pred(spark, sf_dir).select(
+        "asset_id", r9(F.col("risk_score")).alias("risk_score"), r9(F.col("predicted_score")).alias("predicted_score"),
+        "actual_priority", "predicted_priority")
+
+
+@register("regression_metrics")
+def regression_metrics(spark, sf_dir):
+    m = ev.regression_metrics(_pred(spark, sf_dir))
+    return m.select("n", *[r9(F.col(c)).alias(c) for c in ("mae", "rmse", "r2", "pearson_r")])
+
+
+@register("baseline_mae_test")
+def baseline_mae_test(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    return ev.baseline_mae(inv.test, inv.test).select(r9(F.col("baseline_mae")).alias("baseline_mae"))
+
+
+@register("baseline_mae_train")
+def baseline_mae_train(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    return ev.baseline_mae(inv.test, inv.train).select(r9(F.col("baseline_mae")).alias("baseline_mae"))
+
+
+@register("label_stats")
+def label_stats(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    return ev.label_stats(inv.train).withColumn("part", F.lit("train")).unionByName(
+        ev.label_stats(inv.test).withColumn("part", F.lit("test")))
+
+
+@register("confusion_matrix")
+def confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(_pred(spark, sf_dir))
+
+
+@register("bucket_macro_f1")
+def bucket_macro_f1(spark, sf_dir):
+    return ev.macro_f1(ev.confusion_matrix(_pred(spark, sf_dir))).select(
+        r9(F.col("bucket_macro_f1")).alias("bucket_macro_f1"))
+
+
+@register("per_label_f1")
+def per_label_f1(spark, sf_dir):
+    f = ev.per_label_f1(ev.confusion_matrix(_pred(spark, sf_dir)))
+    return f.select("priority", "support", "tp", "predicted",
+                    *[r9(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("under_scored")
+def under_scored(spark, sf_dir):
+    return ev.under_scored(_pred(spark, sf_dir)).select(
+        "asset_id", "actual_priority", "predicted_priority", r9(F.col("predicted_score")).alias("predicted_score"))
+
+
+@register("over_scored")
+def over_scored(spark, sf_dir):
+    return ev.over_scored(_pred(spark, sf_dir)).select(
+        "asset_id", "actual_priority", "predicted_priority", r9(F.col("predicted_score")).alias("predicted_score"))
+
+
+@register("error_counts")
+def error_counts(spark, sf_dir):
+    return ev.error_counts(_pred(spark, sf_dir))
+
+
+@register("bucket_match_rate")
+def bucket_match_rate(spark, sf_dir):
+    return ev.bucket_match_rate(_pred(spark, sf_dir)).select(r9(F.col("bucket_match_rate")).alias("bucket_match_rate"))
+
+
+@register("calibration_deciles")
+def calibration_deciles(spark, sf_dir):
+    c = ev.calibration_deciles(_pred(spark, sf_dir))
+    return c.select("bin", r9(F.col("mean_predicted")).alias("mean_predicted"),
+                    r9(F.col("mean_actual")).alias("mean_actual"), "n")
+
+
+@register("threshold_sweep")
+def threshold_sweep(spark, sf_dir):
+    s = ev.threshold_sweep(_pred(spark, sf_dir))
+    return s.select("cutoff", "tp", "fp", "fn", *[r9(F.col(c)).alias(c) for c in ("precision", "recall", "f1", "brier")])
+
+
+@register("roc_auc")
+def roc_auc(spark, sf_dir):
+    a = ev.roc_auc(_pred(spark, sf_dir))
+    return a.select("cutoff", r9(F.col("auc")).alias("auc"), "n_pos", "n_neg")
