@@ -86,24 +86,31 @@ def encode_features(df: DataFrame, mode: str = "lenient", keep: tuple[str, ...]
     if mode not in ("lenient", "strict"):
         raise ValueError("mode must be lenient or strict")
     required_columns(df.columns, FEATURE_NAMES, "feature table")
+    types = dict(df.dtypes)
     cols, errors = [], []
     for name, kind, cats in FEATURES:
         c = F.col(name)
+        dtype = types[name]
         if kind == "categorical":
             v = _category_lookup(c, cats)
             err = F.when(c.isNull(), F.lit(f"missing feature {name}")).when(
                 v.isNull(), F.concat(F.lit(f"unknown category for {name}: "), c.cast("string")))
+        elif dtype in ("int", "bigint", "smallint", "tinyint", "double", "float") or dtype.startswith("decimal"):
+            # already numeric: a plain cast, no parsing
+            v = c.cast("double")
+            err = F.when(c.isNull(), F.lit(f"missing feature {name}"))
+        elif dtype == "boolean" and mode == "lenient":
+            v = c.cast("double")
+            err = F.when(c.isNull(), F.lit(f"missing feature {name}"))
+        elif dtype == "boolean":
+            v = F.lit(None).cast("double")
+            err = F.lit(f"feature {name} must be a number")
         else:
-            if mode == "strict":
-                v = F.when(F.col(name).cast("string").rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"),
-                           c.cast("string").try_cast("double"))
-                err = F.when(c.isNull(), F.lit(f"missing feature {name}")).when(
-                    v.isNull(), F.lit(f"feature {name} must be a number"))
-                v = v.cast("float").cast("double")
-            else:
-                v = c.cast("string").try_cast("double")
-                err = F.when(c.isNull(), F.lit(f"missing feature {name}")).when(
-                    v.isNull(), F.lit(f"feature {name} is not numeric"))
+            v = c.cast("string").try_cast("double")
+            err = F.when(c.isNull(), F.lit(f"missing feature {name}")).when(
+                v.isNull(), F.lit(f"feature {name} must be a number"))
+        if mode == "strict":
+            v = v.cast("float").cast("double")  # serving precision (f32)
         cols.append(v.alias(name))
         errors.append(err)
     return df.select(*keep, *cols, F.concat_ws("; ", *errors).alias("_err")).select(

@@ -22,7 +22,7 @@ def _num(df: DataFrame, name: str) -> Column:
 
 
 def rule_score(df: DataFrame, weights: LabelWeights = LabelWeights()) -> Column:
-    """The label before noise, clipped to [0, 1]."""
+    """The label before noise and before the clip (see `label`)."""
     exposure = F.lit(0.6) * _num(df, "internet_accessible") + F.lit(0.4) * _num(df, "has_public_cert")
     qv = F.coalesce(F.col("quantum_vulnerable").cast("boolean"), F.lit(False))
     weakness = F.when(qv, F.lit(1.0)).otherwise(F.lit(0.1))
@@ -38,7 +38,7 @@ def rule_score(df: DataFrame, weights: LabelWeights = LabelWeights()) -> Column:
     if "previous_incident_flag" in df.columns:
         bump = F.coalesce(F.col("previous_incident_flag").cast("boolean"), F.lit(False))
         score = score + F.when(bump, F.lit(weights.incident_bump)).otherwise(F.lit(0.0))
-    return clip01(score)
+    return score
 
 
 def label(df: DataFrame, weights: LabelWeights = LabelWeights(), seed: int | None = 42,
@@ -48,8 +48,10 @@ def label(df: DataFrame, weights: LabelWeights = LabelWeights(), seed: int | Non
     Noise is a pure function of (seed, key), so it does not change with
     partitioning or row order (unlike randn(seed)).
     """
-    base = rule_score(df, weights)
+    # Each step is its own column so the clip's repeated references stay column
+    # references (CollapseProject keeps non-cheap expressions un-inlined).
+    out = df.withColumn("_raw", rule_score(df, weights)).withColumn("_base", clip01(F.col("_raw")))
     if seed is None:
-        return df.withColumn(label_col, base)
-    noisy = clip01(base + hash_normal(F.col(key), seed, "", weights.noise_std))
-    return df.withColumn(label_col, noisy)
+        return out.withColumn(label_col, F.col("_base")).drop("_raw", "_base")
+    out = out.withColumn("_noisy", F.col("_base") + hash_normal(F.col(key), seed, "", weights.noise_std))
+    return out.withColumn(label_col, clip01(F.col("_noisy"))).drop("_raw", "_base", "_noisy")

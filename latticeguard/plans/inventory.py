@@ -30,7 +30,7 @@ def shared_inventory(spark: SparkSession, sf_dir: str) -> "Inventory":
 
 def release_all() -> None:
     for inv in _CACHE.values():
-        for name in ("features", "split"):
+        for name in ("features", "labelled", "split"):
             if name in inv.__dict__:
                 inv.__dict__[name].unpersist()
     _CACHE.clear()
@@ -84,8 +84,10 @@ class Inventory:
 
     @cached_property
     def labelled(self) -> DataFrame:
-        """Features with the noisy training label (keyed by asset_id)."""
-        return lab.label(self.features, self.weights, seed=self.seed)
+        """Features with the noisy training label (keyed by asset_id); persisted because
+        strata, splits, folds and training all read it several times."""
+        d = lab.label(self.features, self.weights, seed=self.seed)
+        return d.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else d
 
     # --- split and evaluation inputs ---------------------------------------------
 
@@ -113,5 +115,56 @@ class Inventory:
         from ..functions.exprs import clip01, hash_normal
         from ..operators.evaluation import with_buckets
 
-        p = clip01(F.col("risk_score") + hash_normal(F.col("asset_id"), self.seed, "p", 0.05))
-        return with_buckets(self.test.withColumn("predicted_score", p))
+        t = self.test.withColumn("_p", F.col("risk_score") + hash_normal(F.col("asset_id"), self.seed, "p", 0.05))
+        return with_buckets(t.withColumn("predicted_score", clip01(F.col("_p"))).drop("_p"))
+
+    # --- model ---------------------------------------------------------------------
+
+    @cached_property
+    def train_encoded(self) -> DataFrame:
+        from ..operators.training import training_frame
+
+        return training_frame(self.train)
+
+    @cached_property
+    def test_encoded(self) -> DataFrame:
+        from ..operators.training import training_frame
+
+        return training_frame(self.test)
+
+    @cached_property
+    def trained(self):
+        """CV over the 4-config grid, then the final fit (M1-M4)."""
+        from ..operators.training import cross_validate
+
+        return cross_validate(self.train_encoded, seed=self.seed)
+
+    @cached_property
+    def model_predictions(self) -> DataFrame:
+        """Model scores on the test split with buckets."""
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import clip01
+        from ..operators.evaluation import with_buckets
+
+        pred = self.trained.model.transform(self.test_encoded)
+        return with_buckets(pred.select("asset_id", "risk_score",
+                                        clip01(F.col("raw_prediction")).alias("predicted_score")))
+
+    @cached_property
+    def demo_model(self):
+        """Single fit with the configuration of the reference's run demo (80 trees, depth 3, rate 0.1)."""
+        from ..operators.training import _sized, fit
+
+        return fit(_sized(self.train_encoded), (80, 3, 0.1), seed=self.seed)
+
+    @cached_property
+    def demo_predictions(self) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        from ..functions.exprs import clip01
+        from ..operators.evaluation import with_buckets
+
+        pred = self.demo_model.transform(self.test_encoded)
+        return with_buckets(pred.select("asset_id", "risk_score",
+                                        clip01(F.col("raw_prediction")).alias("predicted_score")))

@@ -243,3 +243,59 @@ def threshold_sweep(spark, sf_dir):
 def roc_auc(spark, sf_dir):
     a = ev.roc_auc(_pred(spark, sf_dir))
     return a.select("cutoff", r9(F.col("auc")).alias("auc"), "n_pos", "n_neg")
+
+
+# --- step 6: model train / tune / score (rows-only checks: learner output) ------
+
+from ..operators import training as trn  # noqa: E402
+from ..session import checkpoint_dir  # noqa: E402
+
+
+@register("cv_results")
+def cv_results(spark, sf_dir):
+    """M2-M4/K1: 4 configs x 5 keyed folds; ordered by mean MAE then grid order."""
+    r = inventory(spark, sf_dir).trained.cv_results
+    return r.orderBy("cv_mae_mean", "grid_index")
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    imp = trn.feature_importance(inventory(spark, sf_dir).demo_model)
+    return spark.createDataFrame(imp, trn.IMPORTANCE_SCHEMA)
+
+
+@register("batch_scores")
+def batch_scores(spark, sf_dir):
+    """M7: strict (serving) encode of every asset -> model -> clip -> bucket."""
+    inv = inventory(spark, sf_dir)
+    enc = feat.encode_features(inv.features, "strict")
+    good = enc.where(F.col("encode_error").isNull()).drop("encode_error")
+    return trn.score(inv.demo_model, good)
+
+
+@register("model_quality")
+def model_quality(spark, sf_dir):
+    """A1, A6, A12, A14 for the fitted model on the test split."""
+    inv = inventory(spark, sf_dir)
+    p = inv.demo_predictions
+    m = ev.regression_metrics(p).select("n", "mae", "rmse", "r2", "pearson_r")
+    base = ev.baseline_mae(inv.test, inv.train).first()["baseline_mae"]
+    match = ev.bucket_match_rate(p).first()["bucket_match_rate"]
+    return m.select(
+        "n", F.col("mae").alias("test_mae"), "rmse", "r2", "pearson_r",
+        F.lit(base).alias("baseline_mae"),
+        (F.lit(base) / F.col("mae")).alias("improvement"),
+        F.lit(match).alias("bucket_match_rate"),
+        (F.col("mae") >= F.lit(base)).alias("model_worse_than_baseline"),
+    )
+
+
+@register("reload_equivalence")
+def reload_equivalence(spark, sf_dir):
+    """Save model + manifest, reload with the manifest check, compare predictions."""
+    import uuid
+
+    inv = inventory(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    trn.save(inv.demo_model, path, spark)
+    return trn.reload_equivalence(inv.demo_model, path, inv.test_encoded)
