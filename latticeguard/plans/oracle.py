@@ -170,3 +170,23 @@ FROM (SELECT cutoff, pos,
              count(*) FILTER (WHERE pos = 0) OVER (PARTITION BY cutoff) AS n_neg
       FROM (SELECT cutoff, predicted_score AS s, CAST(risk_score >= cutoff AS INTEGER) AS pos FROM pred_b, cuts))
 GROUP BY cutoff, n_pos, n_neg""", EVAL_CTES))
+
+# --- step 7: promotion over the events-derived run ledger -----------------------
+from .oracle_promotion import promotion_ctes  # noqa: E402
+
+
+def _prom(body: str) -> str:
+    return f"WITH {promotion_ctes()}\n{body}"
+
+
+oracle("run_latest_metrics", _prom("SELECT run_id, key, round(value, 9) AS value FROM latest"))
+oracle("metric_comparison", _prom("""
+SELECT model, metric, round(champion, 9) AS champion, round(candidate, 9) AS candidate, round(gap, 9) AS gap FROM pairs"""))
+oracle("comparability", _prom("SELECT model, cand_run, champ_run, cand_dataset, champ_dataset, refusal FROM comp"))
+oracle("gate_ledger", _prom("""
+SELECT environment, model, gate, gate_order, metric, outcome, round(observed, 9) AS observed,
+       round(required, 9) AS required FROM ledger"""))
+oracle("promotion_decisions", _prom("""
+SELECT environment, model, outcome, gate, metric, round(observed, 9) AS observed, round(required, 9) AS required,
+       n_failures, on_pass FROM decisions"""))
+oracle("run_tag_audit", _prom("SELECT run_id, missing_tag FROM tag_audit"))

@@ -299,3 +299,52 @@ def reload_equivalence(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
     trn.save(inv.demo_model, path, spark)
     return trn.reload_equivalence(inv.demo_model, path, inv.test_encoded)
+
+
+# --- step 7: promotion over the events-derived run ledger -----------------------
+
+from .promotion_plan import PromotionPlan  # noqa: E402
+
+
+@register("run_latest_metrics")
+def run_latest_metrics(spark, sf_dir):
+    return PromotionPlan(spark, sf_dir).latest.select("run_id", "key", r9(F.col("value")).alias("value"))
+
+
+@register("metric_comparison")
+def metric_comparison(spark, sf_dir):
+    p = PromotionPlan(spark, sf_dir).pairs
+    return p.select("model", "metric", *[r9(F.col(c)).alias(c) for c in ("champion", "candidate", "gap")])
+
+
+@register("comparability")
+def comparability_q(spark, sf_dir):
+    c = PromotionPlan(spark, sf_dir).comparison
+    return c.select("model", "cand_run", "champ_run", "cand_dataset", "champ_dataset", "refusal")
+
+
+def _numeric_reason(df):
+    """Reason text embeds %.4f numbers whose half-way rounding differs between engines;
+    the oracle-checked forms carry the numbers as columns instead."""
+    return df.drop("reason").withColumn("observed", r9(F.col("observed"))).withColumn("required", r9(F.col("required")))
+
+
+@register("gate_ledger")
+def gate_ledger(spark, sf_dir):
+    return _numeric_reason(PromotionPlan(spark, sf_dir).ledger)
+
+
+@register("promotion_decisions")
+def promotion_decisions(spark, sf_dir):
+    return _numeric_reason(PromotionPlan(spark, sf_dir).decisions)
+
+
+@register("promotion_report")
+def promotion_report(spark, sf_dir):
+    """Decision with its reason text (rows-only check)."""
+    return PromotionPlan(spark, sf_dir).decisions.select("environment", "model", "outcome", "gate", "reason")
+
+
+@register("run_tag_audit")
+def run_tag_audit(spark, sf_dir):
+    return PromotionPlan(spark, sf_dir).tag_audit()
