@@ -168,3 +168,11 @@ class Inventory:
         pred = self.demo_model.transform(self.test_encoded)
         return with_buckets(pred.select("asset_id", "risk_score",
                                         clip01(F.col("raw_prediction")).alias("predicted_score")))
+
+    # --- graph -----------------------------------------------------------------------
+
+    @cached_property
+    def graph(self):
+        from ..operators import graph as gr
+
+        return gr.build(self.assets, self.t.orders, self.t.nation)

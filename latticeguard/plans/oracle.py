@@ -190,3 +190,74 @@ oracle("promotion_decisions", _prom("""
 SELECT environment, model, outcome, gate, metric, round(observed, 9) AS observed, round(required, 9) AS required,
        n_failures, on_pass FROM decisions"""))
 oracle("run_tag_audit", _prom("SELECT run_id, missing_tag FROM tag_audit"))
+
+# --- step 8: property graph and its fixed queries ------------------------------
+from ..operators.graph import DATA_CLASSES  # noqa: E402
+from ..schemas import ECC_FAMILY  # noqa: E402
+from ..sources.inventory import (ALGORITHM_BY_PART_MOD, AS_OF_DATE, ECC_KEY_SIZES,  # noqa: E402
+                                 RSA_KEY_SIZES)
+from .oracle_base import case_pick  # noqa: E402
+
+_ECC = ", ".join(f"'{a}'" for a in ECC_FAMILY)
+GRAPH_CTES = f"""
+g_certs0 AS (SELECT 'cert-' || CAST(o_orderkey AS VARCHAR) AS cert_id, o_custkey AS asset_id,
+                    {case_pick('o_orderkey % 10', ALGORITHM_BY_PART_MOD)} AS algorithm,
+                    CAST(o_orderdate AS DATE) + 730 AS not_after, o_orderkey FROM orders),
+g_certs1 AS (SELECT *, CAST(CASE WHEN algorithm = 'RSA' THEN {case_pick('o_orderkey % 4', RSA_KEY_SIZES)}
+                                 WHEN algorithm IN ({_ECC}) THEN {case_pick('o_orderkey % 3', ECC_KEY_SIZES)} END AS INTEGER)
+                    AS key_size FROM g_certs0),
+g_certs AS (SELECT *, concat_ws('-', algorithm, CAST(key_size AS VARCHAR)) AS alg_id FROM g_certs1),
+g_apps AS (SELECT 'asset-' || CAST(asset_id AS VARCHAR) AS app_id, asset_id, criticality, data_asset FROM assets),
+g_data AS (SELECT n_name AS data_asset, {case_pick('n_regionkey % 3', DATA_CLASSES)} AS classification FROM nation),
+g_algs AS (SELECT DISTINCT c.alg_id, c.algorithm, c.key_size, v.quantum_vulnerable
+           FROM g_certs c LEFT JOIN vuln v ON v.algorithm = c.algorithm),
+nodes AS (
+  SELECT 'Application' AS node_type, app_id AS node_id, app_id AS name, criticality, CAST(NULL AS INTEGER) AS key_size,
+         CAST(NULL AS BOOLEAN) AS quantum_vulnerable, CAST(NULL AS VARCHAR) AS classification, CAST(NULL AS DATE) AS not_after
+  FROM g_apps
+  UNION ALL SELECT 'Certificate', cert_id, cert_id, NULL, NULL, NULL, NULL, not_after FROM g_certs
+  UNION ALL SELECT 'Algorithm', alg_id, algorithm, NULL, key_size, quantum_vulnerable, NULL, NULL FROM g_algs
+  UNION ALL SELECT 'DataAsset', data_asset, data_asset, NULL, NULL, NULL, classification, NULL FROM g_data),
+g_cj AS (SELECT c.*, a.app_id, a.data_asset FROM g_certs c JOIN g_apps a ON a.asset_id = c.asset_id),
+edges_g AS (
+  SELECT 'Application' AS src_type, app_id AS src, 'USES' AS rel, 'Certificate' AS dst_type, cert_id AS dst FROM g_cj
+  UNION ALL SELECT 'Certificate', cert_id, 'SIGNED_WITH', 'Algorithm', alg_id FROM g_certs
+  UNION ALL SELECT DISTINCT 'Algorithm', alg_id, 'PROTECTS', 'DataAsset', data_asset FROM g_cj),
+uses AS (SELECT src AS app, dst AS cert FROM edges_g WHERE rel = 'USES'),
+signed AS (SELECT src AS cert, dst AS alg FROM edges_g WHERE rel = 'SIGNED_WITH'),
+protects AS (SELECT src AS alg, dst AS data FROM edges_g WHERE rel = 'PROTECTS')"""
+
+oracle("graph_nodes", with_base("SELECT * FROM nodes", GRAPH_CTES))
+oracle("graph_edges", with_base("SELECT * FROM edges_g", GRAPH_CTES))
+oracle("graph_node_counts", with_base("SELECT node_type, count(*) AS n_nodes FROM nodes GROUP BY node_type", GRAPH_CTES))
+oracle("graph_upsert_idempotent", with_base(
+    "SELECT node_type, count(*) AS n_nodes FROM (SELECT DISTINCT node_type, node_id FROM nodes) GROUP BY node_type",
+    GRAPH_CTES))
+oracle("critical_apps_on_algorithm", with_base("""
+SELECT u.app, u.cert, n.name AS alg_name, n.key_size
+FROM uses u JOIN signed s ON s.cert = u.cert
+JOIN nodes n ON n.node_type = 'Algorithm' AND n.node_id = s.alg AND n.name = 'RSA'
+JOIN nodes a ON a.node_type = 'Application' AND a.node_id = u.app AND a.criticality = 'CRITICAL'""", GRAPH_CTES))
+oracle("downstream_of_certificate", with_base("""
+SELECT s.cert, s.alg, coalesce(p.n, 0) AS n_data_assets
+FROM signed s LEFT JOIN (SELECT alg, count(*) AS n FROM protects GROUP BY alg) p ON p.alg = s.alg""", GRAPH_CTES))
+oracle("algorithms_protecting_customer_data", with_base("""
+SELECT p.alg, count(*) AS n_data_assets FROM protects p
+JOIN nodes d ON d.node_type = 'DataAsset' AND d.node_id = p.data AND d.classification = 'customer'
+GROUP BY p.alg""", GRAPH_CTES))
+oracle("apps_per_algorithm", with_base("""
+SELECT alg, count(DISTINCT app) AS n_apps FROM uses u JOIN signed s ON s.cert = u.cert GROUP BY alg""", GRAPH_CTES))
+oracle("data_only_behind_vulnerable", with_base("""
+SELECT data, count(*) AS n_algorithms FROM protects p
+LEFT JOIN nodes a ON a.node_type = 'Algorithm' AND a.node_id = p.alg
+GROUP BY data HAVING bool_and(coalesce(a.quantum_vulnerable, false))""", GRAPH_CTES))
+oracle("apps_without_safe_path", with_base("""
+SELECT node_id AS app FROM nodes WHERE node_type = 'Application' AND node_id NOT IN (
+  SELECT u.app FROM uses u JOIN signed s ON s.cert = u.cert
+  JOIN nodes a ON a.node_type = 'Algorithm' AND a.node_id = s.alg AND a.quantum_vulnerable = false)""", GRAPH_CTES))
+oracle("expiring_vulnerable_certs", with_base(f"""
+SELECT c.node_id AS cert, s.alg, c.not_after, CAST(date_diff('day', DATE '{AS_OF_DATE}', c.not_after) AS INTEGER) AS days_to_expiry
+FROM nodes c JOIN signed s ON s.cert = c.node_id
+JOIN nodes a ON a.node_type = 'Algorithm' AND a.node_id = s.alg
+WHERE c.node_type = 'Certificate' AND a.quantum_vulnerable
+  AND date_diff('day', DATE '{AS_OF_DATE}', c.not_after) BETWEEN 0 AND 90""", GRAPH_CTES))

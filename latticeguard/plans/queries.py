@@ -348,3 +348,72 @@ def promotion_report(spark, sf_dir):
 @register("run_tag_audit")
 def run_tag_audit(spark, sf_dir):
     return PromotionPlan(spark, sf_dir).tag_audit()
+
+
+# --- step 8: property graph and its fixed queries ------------------------------
+
+from ..operators import graph as gr  # noqa: E402
+from ..sources.inventory import AS_OF_DATE  # noqa: E402
+
+
+def _graph(spark, sf_dir):
+    return inventory(spark, sf_dir).graph
+
+
+@register("graph_nodes")
+def graph_nodes(spark, sf_dir):
+    return _graph(spark, sf_dir)[0]
+
+
+@register("graph_edges")
+def graph_edges(spark, sf_dir):
+    return _graph(spark, sf_dir)[1]
+
+
+@register("graph_node_counts")
+def graph_node_counts(spark, sf_dir):
+    return gr.node_counts(_graph(spark, sf_dir)[0])
+
+
+@register("graph_upsert_idempotent")
+def graph_upsert_idempotent(spark, sf_dir):
+    """Upserting the derived nodes into themselves twice leaves the node set unchanged."""
+    nodes, edges = _graph(spark, sf_dir)
+    once = gr.upsert(nodes, nodes, ["node_type", "node_id"])
+    twice = gr.upsert(once, nodes, ["node_type", "node_id"])
+    return gr.node_counts(twice)
+
+
+@register("critical_apps_on_algorithm")
+def critical_apps_on_algorithm(spark, sf_dir):
+    return gr.critical_apps_on_algorithm(*_graph(spark, sf_dir), algorithm="RSA", criticality="CRITICAL")
+
+
+@register("downstream_of_certificate")
+def downstream_of_certificate(spark, sf_dir):
+    return gr.downstream_of_certificates(_graph(spark, sf_dir)[1])
+
+
+@register("algorithms_protecting_customer_data")
+def algorithms_protecting_customer_data(spark, sf_dir):
+    return gr.algorithms_protecting(*_graph(spark, sf_dir), classification="customer")
+
+
+@register("apps_per_algorithm")
+def apps_per_algorithm(spark, sf_dir):
+    return gr.apps_per_algorithm(_graph(spark, sf_dir)[1])
+
+
+@register("data_only_behind_vulnerable")
+def data_only_behind_vulnerable(spark, sf_dir):
+    return gr.data_only_behind_vulnerable(*_graph(spark, sf_dir))
+
+
+@register("apps_without_safe_path")
+def apps_without_safe_path(spark, sf_dir):
+    return gr.apps_without_safe_path(*_graph(spark, sf_dir))
+
+
+@register("expiring_vulnerable_certs")
+def expiring_vulnerable_certs(spark, sf_dir):
+    return gr.expiring_vulnerable_certs(*_graph(spark, sf_dir), as_of=AS_OF_DATE, days=90)
