@@ -30,7 +30,7 @@ def shared_inventory(spark: SparkSession, sf_dir: str) -> "Inventory":
 
 def release_all() -> None:
     for inv in _CACHE.values():
-        for name in ("features", "labelled", "split"):
+        for name in ("features", "labelled", "split", "levels", "baseline_plan", "weighted_plan"):
             if name in inv.__dict__:
                 inv.__dict__[name].unpersist()
     _CACHE.clear()
@@ -176,3 +176,36 @@ class Inventory:
         from ..operators import graph as gr
 
         return gr.build(self.assets, self.t.orders, self.t.nation)
+
+    # --- planning --------------------------------------------------------------------
+
+    @cached_property
+    def levels(self) -> DataFrame:
+        from ..operators.planner import dependency_levels
+        from ..session import checkpoint_dir
+
+        checkpoint_dir(self.spark)
+        return dependency_levels(self.assets, self.edges)
+
+    @cached_property
+    def plan_items(self) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        from ..operators.planner import reasoning
+
+        return self.labelled.withColumn("reasoning", reasoning(self.labelled)).select(
+            "asset_id", "risk_score", "criticality", "quantum_vulnerable", "financial_data", "customer_data",
+            "regulated_system", "migration_complexity", "algorithm", "key_size", "internet_accessible", "reasoning",
+            F.lit(0).alias("_unused")).drop("_unused")
+
+    @cached_property
+    def baseline_plan(self) -> DataFrame:
+        from ..operators.planner import baseline_plan
+
+        return baseline_plan(self.plan_items).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def weighted_plan(self) -> DataFrame:
+        from ..operators.planner import global_order, weighted_plan
+
+        return global_order(weighted_plan(self.plan_items, self.levels)).persist(StorageLevel.MEMORY_AND_DISK)

@@ -261,3 +261,64 @@ FROM nodes c JOIN signed s ON s.cert = c.node_id
 JOIN nodes a ON a.node_type = 'Algorithm' AND a.node_id = s.alg
 WHERE c.node_type = 'Certificate' AND a.quantum_vulnerable
   AND date_diff('day', DATE '{AS_OF_DATE}', c.not_after) BETWEEN 0 AND 90""", GRAPH_CTES))
+
+# --- step 9: dependency levels and migration plans ------------------------------
+from ..config import CRITICALITY_DEFAULT as _CD, CRITICALITY_SCORE as _CS  # noqa: E402
+from .oracle_base import case_map as _case_map, dbl  # noqa: E402
+
+_CRIT = _case_map("upper(criticality)", {k: dbl(v) for k, v in _CS.items()}, dbl(_CD))
+PLAN_CTES = f"""
+lv_paths(asset_id, level) AS (
+  SELECT asset_id, 0 FROM assets WHERE asset_id NOT IN (SELECT src FROM edges)
+  UNION ALL
+  SELECT e.src, p.level + 1 FROM edges e JOIN lv_paths p ON e.dst = p.asset_id),
+lv AS (SELECT asset_id, CAST(max(level) AS INTEGER) AS level FROM lv_paths GROUP BY asset_id),
+items AS (
+  SELECT l.*, concat_ws(', ', lower(criticality),
+           CASE WHEN algorithm IS NOT NULL THEN concat_ws('-', algorithm, CASE WHEN key_size > 0 THEN CAST(key_size AS VARCHAR) END) END,
+           CASE WHEN internet_accessible = 1 THEN 'internet-facing' END,
+           lower(migration_complexity) || ' complexity') AS reasoning
+  FROM labelled l),
+bp AS (
+  SELECT asset_id, baseline_key, row_number() OVER (ORDER BY baseline_key DESC, asset_id) AS rank,
+         CAST(ntile(4) OVER (ORDER BY baseline_key DESC, asset_id) AS INTEGER) AS phase
+  FROM (SELECT *, {_CRIT} * coalesce(CAST(quantum_vulnerable AS DOUBLE), 0.0e0) AS baseline_key FROM items)),
+wp0 AS (
+  SELECT i.*, lv.level,
+         0.5e0 * risk_score + 0.3e0 * (0.5e0 * CAST(financial_data AS DOUBLE) + 0.3e0 * CAST(customer_data AS DOUBLE)
+           + 0.2e0 * CAST(regulated_system AS DOUBLE))
+           + 0.2e0 * (1.0e0 / CASE migration_complexity WHEN 'LOW' THEN 1.0e0 WHEN 'MEDIUM' THEN 2.0e0
+                                   WHEN 'HIGH' THEN 3.0e0 ELSE 2.0e0 END) AS score,
+         CAST(migration_complexity = 'HIGH' AS INTEGER) AS is_high
+  FROM items i JOIN lv ON lv.asset_id = i.asset_id),
+wp1 AS (SELECT *, CAST(CASE WHEN is_high = 1 THEN ceil(row_number() OVER (PARTITION BY level, is_high
+                       ORDER BY score DESC, asset_id) / 25.0e0) ELSE 1 END AS INTEGER) AS sub_phase FROM wp0),
+spans AS (SELECT level, max(sub_phase) AS span FROM wp1 GROUP BY level),
+span_offs AS (SELECT level, coalesce(sum(span) OVER (ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS before FROM spans),
+wp2 AS (SELECT wp1.*, CAST(before + sub_phase AS INTEGER) AS phase FROM wp1 JOIN span_offs ON span_offs.level = wp1.level),
+wplan AS (SELECT *, row_number() OVER (PARTITION BY phase ORDER BY score DESC, asset_id) AS rank,
+                 row_number() OVER (ORDER BY phase, score DESC, asset_id) AS grank FROM wp2)"""
+
+
+def _plan(body: str) -> str:
+    return "WITH RECURSIVE" + with_base(body, PLAN_CTES)[len("WITH"):]
+
+
+oracle("dependency_levels", _plan("SELECT asset_id, level FROM lv"))
+oracle("plan_baseline", _plan("SELECT asset_id, round(baseline_key, 9) AS baseline_key, rank, phase FROM bp"))
+oracle("plan_weighted", _plan("""
+SELECT asset_id, level, sub_phase, phase, rank, round(score, 9) AS score, reasoning FROM wplan"""))
+oracle("plan_violations", _plan("""
+SELECT count(*) AS n_edges, count(*) FILTER (WHERE d.phase >= s.phase) AS violations
+FROM edges e JOIN wplan s ON s.asset_id = e.src JOIN wplan d ON d.asset_id = e.dst"""))
+oracle("plan_phase_summary", _plan("""
+SELECT phase, count(*) AS n_items, count(*) FILTER (WHERE migration_complexity = 'HIGH') AS n_high, min(level) AS level
+FROM wplan GROUP BY phase"""))
+oracle("plan_rank_agreement", _plan("""
+SELECT round(corr(rb, rw), 9) AS spearman,
+       round(count(*) FILTER (WHERE rank_b <= 100 AND rw <= 100) / 100.0e0, 9) AS topk_overlap
+FROM (SELECT b.asset_id, b.rank AS rank_b,
+             min(b.rank) OVER (PARTITION BY b.baseline_key) + (count(*) OVER (PARTITION BY b.baseline_key) - 1) / 2.0e0 AS rb,
+             w.grank AS rw
+      FROM bp b JOIN wplan w ON w.asset_id = b.asset_id)"""))

@@ -417,3 +417,44 @@ def apps_without_safe_path(spark, sf_dir):
 @register("expiring_vulnerable_certs")
 def expiring_vulnerable_certs(spark, sf_dir):
     return gr.expiring_vulnerable_certs(*_graph(spark, sf_dir), as_of=AS_OF_DATE, days=90)
+
+
+# --- step 9: dependency levels and migration plans ------------------------------
+
+from ..operators import planner as pl  # noqa: E402
+
+
+@register("dependency_levels")
+def dependency_levels(spark, sf_dir):
+    return inventory(spark, sf_dir).levels.select("asset_id", F.col("level").cast("int").alias("level"))
+
+
+@register("plan_baseline")
+def plan_baseline(spark, sf_dir):
+    b = inventory(spark, sf_dir).baseline_plan
+    return b.select("asset_id", r9(F.col("baseline_key")).alias("baseline_key"), "rank", "phase")
+
+
+@register("plan_weighted")
+def plan_weighted(spark, sf_dir):
+    w = inventory(spark, sf_dir).weighted_plan
+    return w.select("asset_id", F.col("level").cast("int").alias("level"), "sub_phase", "phase", "rank",
+                    r9(F.col("score")).alias("score"), "reasoning")
+
+
+@register("plan_violations")
+def plan_violations(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    return pl.plan_violations(inv.weighted_plan, inv.edges)
+
+
+@register("plan_phase_summary")
+def plan_phase_summary(spark, sf_dir):
+    return pl.phase_summary(inventory(spark, sf_dir).weighted_plan).withColumn("level", F.col("level").cast("int"))
+
+
+@register("plan_rank_agreement")
+def plan_rank_agreement(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    a = pl.rank_agreement(inv.baseline_plan, inv.weighted_plan, k=100)
+    return a.select(r9(F.col("spearman")).alias("spearman"), r9(F.col("topk_overlap")).alias("topk_overlap"))
