@@ -322,3 +322,74 @@ FROM (SELECT b.asset_id, b.rank AS rank_b,
              min(b.rank) OVER (PARTITION BY b.baseline_key) + (count(*) OVER (PARTITION BY b.baseline_key) - 1) / 2.0e0 AS rb,
              w.grank AS rw
       FROM bp b JOIN wplan w ON w.asset_id = b.asset_id)"""))
+
+# --- step 10: ingest extras, retrieval, rule hits, search ------------------------
+from ..operators.retrieval import RULES as _RULES  # noqa: E402
+
+oracle("scan_coverage", with_base(f"""
+SELECT outcome, reason, n_attempts,
+       round(sum(CASE WHEN outcome = 'ok' THEN n_attempts ELSE 0 END) OVER () / sum(n_attempts) OVER (), 9) AS coverage
+FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'ok' END AS outcome,
+             CASE WHEN o_orderstatus = 'P' THEN {case_pick('o_orderkey % 3', ('timeout', 'refused', 'non-TLS'))} END AS reason,
+             count(*) AS n_attempts
+      FROM orders GROUP BY ALL)"""))
+oracle("asset_resolution", with_base("""
+SELECT finding_id, CAST(asset_id AS VARCHAR) AS resolved_asset,
+       CASE WHEN source = 'tls_scan' THEN 'hostname' ELSE 'repo' END AS matched_by FROM findings"""))
+oracle("scan_target_parse", """
+SELECT regexp_extract(line, '^([^:\\s]+)', 1) AS host,
+       CASE WHEN regexp_extract(line, ':(\\d+)$', 1) = '' THEN 443 ELSE CAST(regexp_extract(line, ':(\\d+)$', 1) AS INTEGER) END AS port
+FROM (SELECT trim(CASE WHEN c_custkey % 10 = 0 THEN '# group ' || CAST(c_custkey AS VARCHAR)
+                       WHEN c_custkey % 7 = 0 THEN '   '
+                       ELSE 'asset-' || CAST(c_custkey AS VARCHAR) || '.internal' ||
+                            CASE WHEN c_custkey % 3 = 0 THEN ':8443' ELSE '' END END) AS line FROM customer)
+WHERE line <> '' AND NOT starts_with(line, '#')""")
+oracle("document_chunks", """
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_no, CAST(start_word AS INTEGER) AS start_word,
+       CAST(len(w[start_word + 1: start_word + 500]) AS INTEGER) AS n_words,
+       array_to_string(w[start_word + 1: start_word + 500], ' ') AS chunk_text, source, lang
+FROM (SELECT doc_id, source, lang, w, unnest(generate_series(0, greatest(0, len(w) - 51), 450)) AS start_word,
+             unnest(generate_series(1, len(generate_series(0, greatest(0, len(w) - 51), 450)))) AS i
+      FROM (SELECT doc_id, source, lang, string_split_regex(trim(text), '\\s+') AS w FROM documents))""")
+
+_DIM = 64
+_CENT = ", ".join(f"avg(CAST(embedding[{i + 1}] AS DOUBLE))" for i in range(_DIM))
+_EMB_CTES = f"""
+cent AS (SELECT label AS query_id, [{_CENT}] AS qv FROM embeddings GROUP BY label),
+emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"""
+
+
+def _topk_sql(score: str, direction: str) -> str:
+    return f"""WITH {_EMB_CTES}
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, label, round(score, 9) AS score FROM (
+  SELECT c.query_id, e.vec_id, e.label, {score} AS score,
+         row_number() OVER (PARTITION BY c.query_id ORDER BY {score} {direction}, e.vec_id) AS rank
+  FROM cent c, emb e) WHERE rank <= 5"""
+
+
+oracle("embedding_topk_cosine", _topk_sql(
+    "list_dot_product(e.e, c.qv) / (sqrt(list_dot_product(e.e, e.e)) * sqrt(list_dot_product(c.qv, c.qv)))", "DESC"))
+oracle("embedding_topk_l2", _topk_sql(
+    "sqrt(list_sum(list_transform(list_zip(e.e, c.qv), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))", "ASC"))
+
+_RULE_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, line_no, '{rid}' AS rule_id, regexp_extract(line, '{rx}', 0) AS snippet, "
+    f"{('NULL' if alg is None else repr(alg))}::VARCHAR AS algorithm FROM lines WHERE regexp_matches(line, '{rx}')"
+    for rid, rx, alg in _RULES)
+oracle("rule_hits", f"""
+WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                      CAST(unnest(generate_series(1, len(string_split(text, chr(10))))) AS INTEGER) AS line_no
+               FROM documents)
+{_RULE_SQL}""")
+oracle("keyword_search", with_base("""
+SELECT term, finding_id, asset_id FROM (
+  SELECT finding_id, asset_id,
+         lower(concat_ws(' ', algorithm,
+               CASE WHEN source = 'tls_scan' THEN 'asset-' || CAST(asset_id AS VARCHAR) || '.internal' END,
+               CASE WHEN source <> 'tls_scan' THEN 'repo/asset-' || CAST(asset_id AS VARCHAR) END,
+               CAST(l_partkey AS VARCHAR) || ' ' || CAST(l_suppkey AS VARCHAR))) AS hay
+  FROM findings) f, (VALUES ('rsa'), ('ml-'), ('repo/')) t(term)
+WHERE instr(hay, term) > 0"""))
+oracle("latest_risk_score", with_base("""
+SELECT asset_id, round(risk_score, 9) AS risk_score, 'rule-noisy-v2' AS model_name, DATE '2001-11-05' AS scored_at
+FROM labelled"""))

@@ -100,7 +100,7 @@ f_base AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS finding_id,
          o_custkey AS asset_id, l_orderkey AS order_key, l_linenumber AS line_no,
          CASE WHEN l_returnflag = 'N' THEN 'repo_scan' ELSE 'tls_scan' END AS source,
-         {alg} AS algorithm, l_suppkey, l_shipdate AS discovered_at, o_orderdate
+         {alg} AS algorithm, l_suppkey, l_partkey, l_shipdate AS discovered_at, o_orderdate
   FROM f_dedup JOIN orders ON l_orderkey = o_orderkey
 ),
 findings AS (
@@ -110,7 +110,7 @@ findings AS (
          CASE WHEN source = 'tls_scan' THEN f_base.algorithm END AS signature_algorithm,
          CASE WHEN source = 'tls_scan' THEN 'CA-' || CAST(l_suppkey % 7 AS VARCHAR) END AS issuer,
          CASE WHEN source = 'tls_scan' THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL {CERT_LIFETIME_DAYS} DAY AS TIMESTAMP) END AS not_after,
-         discovered_at, vuln.quantum_vulnerable
+         discovered_at, vuln.quantum_vulnerable, l_partkey, l_suppkey
   FROM f_base LEFT JOIN vuln ON f_base.algorithm = vuln.algorithm
 ),
 incidents AS (SELECT DISTINCT user_id AS asset_id FROM events WHERE event_type = 'error'),

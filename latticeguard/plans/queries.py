@@ -458,3 +458,82 @@ def plan_rank_agreement(spark, sf_dir):
     inv = inventory(spark, sf_dir)
     a = pl.rank_agreement(inv.baseline_plan, inv.weighted_plan, k=100)
     return a.select(r9(F.col("spearman")).alias("spearman"), r9(F.col("topk_overlap")).alias("topk_overlap"))
+
+
+# --- step 10: ingest extras, retrieval, rule hits, search ------------------------
+
+from ..operators import ingest as ing  # noqa: E402
+from ..operators import retrieval as rt  # noqa: E402
+
+SEARCH_TERMS = ("rsa", "ml-", "repo/")
+
+
+@register("scan_coverage")
+def scan_coverage(spark, sf_dir):
+    c = ing.scan_coverage(inventory(spark, sf_dir).scan_attempts)
+    return c.select("outcome", "reason", "n_attempts", r9(F.col("coverage")).alias("coverage"))
+
+
+@register("asset_resolution")
+def asset_resolution(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    return ing.resolve_assets(inv.findings, inv.assets)
+
+
+@register("scan_target_parse")
+def scan_target_parse(spark, sf_dir):
+    """A target list (comments, blanks, optional ports) written as text and read back."""
+    import uuid
+
+    k = F.col("c_custkey")
+    line = (F.when(k % 10 == 0, F.concat(F.lit("# group "), k.cast("string")))
+            .when(k % 7 == 0, F.lit("   "))
+            .otherwise(F.concat(F.lit("asset-"), k.cast("string"), F.lit(".internal"),
+                                F.when(k % 3 == 0, F.lit(":8443")).otherwise(F.lit("")))))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/targets/{uuid.uuid4().hex}"
+    inventory(spark, sf_dir).t.customer.select(line.alias("value")).write.text(path)
+    return ing.parse_targets(spark.read.text(path))
+
+
+@register("document_chunks")
+def document_chunks(spark, sf_dir):
+    return rt.chunks(inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang"))
+
+
+def _topk(spark, sf_dir, metric):
+    emb = inventory(spark, sf_dir).t.embeddings.select("vec_id", "label", "embedding")
+    res = rt.topk(emb, rt.class_centroid_queries(emb), k=5, metric=metric)
+    return res.select("query_id", "rank", "vec_id", "label", r9(F.col("score")).alias("score"))
+
+
+@register("embedding_topk_cosine")
+def embedding_topk_cosine(spark, sf_dir):
+    return _topk(spark, sf_dir, "cosine")
+
+
+@register("embedding_topk_l2")
+def embedding_topk_l2(spark, sf_dir):
+    return _topk(spark, sf_dir, "l2")
+
+
+@register("rule_hits")
+def rule_hits(spark, sf_dir):
+    return rt.rule_hits(inventory(spark, sf_dir).t.documents.select("doc_id", "text"))
+
+
+@register("keyword_search")
+def keyword_search(spark, sf_dir):
+    return rt.keyword_search(inventory(spark, sf_dir).findings, SEARCH_TERMS)
+
+
+@register("latest_risk_score")
+def latest_risk_score(spark, sf_dir):
+    """Newest score per asset from a score history of two scoring runs."""
+    inv = inventory(spark, sf_dir)
+    h1 = inv.rule_labelled.select("asset_id", "risk_score", F.lit("rule-v1").alias("model_name"),
+                                  F.lit("2001-11-04 00:00:00").cast("timestamp").alias("scored_at"))
+    h2 = inv.labelled.select("asset_id", "risk_score", F.lit("rule-noisy-v2").alias("model_name"),
+                             F.lit("2001-11-05 00:00:00").cast("timestamp").alias("scored_at"))
+    latest = rt.latest_per_key(h1.unionByName(h2), "asset_id", "scored_at", ["risk_score", "model_name"])
+    return latest.select("asset_id", r9(F.col("risk_score")).alias("risk_score"), "model_name",
+                         F.col("scored_at").cast("date").alias("scored_at"))
