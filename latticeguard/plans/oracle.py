@@ -393,3 +393,33 @@ WHERE instr(hay, term) > 0"""))
 oracle("latest_risk_score", with_base("""
 SELECT asset_id, round(risk_score, 9) AS risk_score, 'rule-noisy-v2' AS model_name, DATE '2001-11-05' AS scored_at
 FROM labelled"""))
+
+# --- step 11: reports, exports, keyed randomness ---------------------------------
+from .oracle_base import normal_sql as _nz  # noqa: E402
+
+oracle("posture_summary", with_base(f"""
+SELECT count(*) AS n_assets,
+       count(*) FILTER (WHERE p = 'CRITICAL') AS n_critical, count(*) FILTER (WHERE p = 'HIGH') AS n_high,
+       count(*) FILTER (WHERE p = 'MEDIUM') AS n_medium, count(*) FILTER (WHERE p = 'LOW') AS n_low,
+       round(avg(CAST(coalesce(CAST(qv_raw AS INTEGER), 0) AS DOUBLE)), 9) AS vulnerable_share,
+       round(avg(CAST(qv_raw IS NULL AS DOUBLE)), 9) AS unknown_share,
+       (SELECT count(*) FROM nodes c JOIN signed s ON s.cert = c.node_id
+        JOIN nodes a ON a.node_type = 'Algorithm' AND a.node_id = s.alg
+        WHERE c.node_type = 'Certificate' AND a.quantum_vulnerable
+          AND date_diff('day', DATE '{AS_OF_DATE}', c.not_after) BETWEEN 0 AND 90) AS n_expiring_vulnerable_certs
+FROM (SELECT *, {bucket_sql('risk_score')} AS p FROM rule_labelled)""", GRAPH_CTES))
+oracle("findings_table", with_base("""
+SELECT finding_id, asset_id, algorithm, key_size, CAST(discovered_at AS DATE) AS discovered_at
+FROM findings WHERE quantum_vulnerable ORDER BY discovered_at DESC, finding_id LIMIT 50"""))
+oracle("asset_document", with_base(f"""
+SELECT f.asset_id, f.criticality, f.algorithm AS primary_algorithm, f.n_findings,
+       coalesce(c.n_certs, 0) AS n_certs, c.first_cert_expiry, {bucket_sql('r.risk_score')} AS priority
+FROM features f
+LEFT JOIN (SELECT o_custkey AS asset_id, count(*) AS n_certs, min(CAST(o_orderdate AS DATE) + 730) AS first_cert_expiry
+           FROM orders GROUP BY o_custkey) c ON c.asset_id = f.asset_id
+LEFT JOIN rule_labelled r ON r.asset_id = f.asset_id"""))
+oracle("feature_export_roundtrip", with_base("""
+SELECT schema_version, count(*) AS n_rows, CAST(sum(key_size) AS BIGINT) AS sum_key_size FROM features GROUP BY schema_version"""))
+oracle("noise_moments", with_base(f"""
+SELECT count(*) AS n, round(avg(z), 9) AS mean, round(stddev_samp(z), 9) AS std
+FROM (SELECT {_nz('asset_id', 42, '', 0.05)} AS z FROM assets)"""))

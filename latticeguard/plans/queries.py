@@ -537,3 +537,49 @@ def latest_risk_score(spark, sf_dir):
     latest = rt.latest_per_key(h1.unionByName(h2), "asset_id", "scored_at", ["risk_score", "model_name"])
     return latest.select("asset_id", r9(F.col("risk_score")).alias("risk_score"), "model_name",
                          F.col("scored_at").cast("date").alias("scored_at"))
+
+
+# --- step 11: reports, exports, keyed randomness ---------------------------------
+
+from ..functions.exprs import hash_normal  # noqa: E402
+from ..operators import reports as rep  # noqa: E402
+
+
+@register("posture_summary")
+def posture_summary(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    exp = gr.expiring_vulnerable_certs(*inv.graph, as_of=AS_OF_DATE, days=90)
+    s = rep.posture_summary(inv.rule_labelled, exp)
+    return s.select(*[r9(F.col(c)).alias(c) if c.endswith("_share") else F.col(c) for c in s.columns])
+
+
+@register("findings_table")
+def findings_table(spark, sf_dir):
+    return rep.findings_table(inventory(spark, sf_dir).findings, 50)
+
+
+@register("asset_document")
+def asset_document(spark, sf_dir):
+    inv = inventory(spark, sf_dir)
+    return rep.asset_document(inv.features, inv.rule_labelled, inv.certificates)
+
+
+@register("feature_export_roundtrip")
+def feature_export_roundtrip(spark, sf_dir):
+    """Versioned, partitioned export of the feature table, read back."""
+    import time
+    import uuid
+
+    inv = inventory(spark, sf_dir)
+    stamp = time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + "-" + uuid.uuid4().hex[:8]
+    path = rep.export_versioned(inv.features.drop("qv_raw"), f"{checkpoint_dir(spark).rstrip('/')}/exports", stamp)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("schema_version").cast("string").alias("schema_version")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("key_size").alias("sum_key_size"))
+
+
+@register("noise_moments")
+def noise_moments(spark, sf_dir):
+    """Moments of the keyed Gaussian noise over all assets (seed 42, std .05)."""
+    a = inventory(spark, sf_dir).assets.select(hash_normal(F.col("asset_id"), 42, "", 0.05).alias("z"))
+    return a.agg(F.count(F.lit(1)).alias("n"), r9(F.avg("z")).alias("mean"), r9(F.stddev_samp("z")).alias("std"))
