@@ -162,7 +162,7 @@ FROM (SELECT cutoff,
              avg((predicted_score - CAST(risk_score >= cutoff AS DOUBLE)) * (predicted_score - CAST(risk_score >= cutoff AS DOUBLE))) AS brier
       FROM pred_b, cuts GROUP BY cutoff)""", EVAL_CTES))
 oracle("roc_auc", with_base("""
-SELECT cutoff, round((sum(r) FILTER (WHERE pos = 1) - n_pos * (n_pos + 1) / 2.0e0) / (n_pos * n_neg), 9) AS auc,
+SELECT cutoff, CASE WHEN n_pos > 0 AND n_neg > 0 THEN round((sum(r) FILTER (WHERE pos = 1) - n_pos * (n_pos + 1) / 2.0e0) / (n_pos * n_neg), 9) END AS auc,
        n_pos, n_neg
 FROM (SELECT cutoff, pos,
              rank() OVER (PARTITION BY cutoff ORDER BY s) + (count(*) OVER (PARTITION BY cutoff, s) - 1) / 2.0e0 AS r,
