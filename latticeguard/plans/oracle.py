@@ -334,8 +334,15 @@ FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'ok' END AS outcome
              count(*) AS n_attempts
       FROM orders GROUP BY ALL)"""))
 oracle("asset_resolution", with_base("""
-SELECT finding_id, CAST(asset_id AS VARCHAR) AS resolved_asset,
-       CASE WHEN source = 'tls_scan' THEN 'hostname' ELSE 'repo' END AS matched_by FROM findings"""))
+SELECT f.finding_id,
+       coalesce(CAST(h.asset_id AS VARCHAR), CAST(r.asset_id AS VARCHAR), md5(coalesce(f.hint_host, f.hint_repo))) AS resolved_asset,
+       CASE WHEN h.asset_id IS NOT NULL THEN 'hostname' WHEN r.asset_id IS NOT NULL THEN 'repo' ELSE 'created' END AS matched_by
+FROM (SELECT finding_id,
+             CASE WHEN source = 'tls_scan' THEN 'asset-' || CAST(asset_id AS VARCHAR) || '.internal' END AS hint_host,
+             CASE WHEN source <> 'tls_scan' THEN 'repo/asset-' || CAST(asset_id AS VARCHAR) END AS hint_repo
+      FROM findings) f
+LEFT JOIN assets h ON h.hostname = f.hint_host
+LEFT JOIN assets r ON r.repo = f.hint_repo"""))
 oracle("scan_target_parse", """
 SELECT regexp_extract(line, '^([^:\\s]+)', 1) AS host,
        CASE WHEN regexp_extract(line, ':(\\d+)$', 1) = '' THEN 443 ELSE CAST(regexp_extract(line, ':(\\d+)$', 1) AS INTEGER) END AS port

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,18 @@ from ..sources import ledger as lg
 from ..sources.tables import Tables
 
 
+_PLANS: dict[tuple[int, str], "PromotionPlan"] = {}
+
+
+def shared_plan(spark: SparkSession, sf_dir: str) -> "PromotionPlan":
+    """One plan per (session, folder) with the default policy, so queries share its persisted tables."""
+    key = (id(spark), sf_dir)
+    plan = _PLANS.get(key)
+    if plan is None or plan.t.spark is not spark:
+        plan = _PLANS[key] = PromotionPlan(spark, sf_dir)
+    return plan
+
+
 class PromotionPlan:
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = Policy(),
                  as_of: str = lg.LEDGER_AS_OF):
@@ -25,7 +38,8 @@ class PromotionPlan:
 
     @cached_property
     def runs_params(self):
-        return lg.runs_and_params(self.t.events)
+        runs, params = lg.runs_and_params(self.t.events)
+        return runs.persist(StorageLevel.MEMORY_AND_DISK), params.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def registry(self):
@@ -33,22 +47,24 @@ class PromotionPlan:
 
     @cached_property
     def latest(self) -> DataFrame:
-        return pm.latest_metrics(self.run_metrics)
+        """One row per (run, metric key): ledger-sized, reused by every gate branch."""
+        return pm.latest_metrics(self.run_metrics).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def resolved(self) -> DataFrame:
         versions, aliases = self.registry
-        return pm.resolve_aliases(aliases, versions).withColumn("deployment", F.lit(lg.DEPLOYMENT))
+        return pm.resolve_aliases(aliases, versions).withColumn("deployment", F.lit(lg.DEPLOYMENT)) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return pm.metric_pairs(self.resolved, self.latest)
+        return pm.metric_pairs(self.resolved, self.latest).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def comparison(self) -> DataFrame:
         runs, params = self.runs_params
         evals = pm.evaluations(runs, params, self.now)
-        return pm.comparability(self.resolved, evals, self.pairs)
+        return pm.comparability(self.resolved, evals, self.pairs).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def last_promoted(self) -> DataFrame:
@@ -56,11 +72,13 @@ class PromotionPlan:
         envs = F.array(*[F.lit(r.environment) for r in self.policy.all_rules()])
         runs, _ = self.runs_params
         return self.resolved.join(runs.withColumnRenamed("run_id", "champ_run"), "champ_run") \
-            .select("model", F.explode(envs).alias("environment"), F.col("end_time").alias("promoted_at"))
+            .select("model", F.explode(envs).alias("environment"), F.col("end_time").alias("promoted_at")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return pm.gate_ledger(self.comparison, self.pairs, self.policy, self.now, self.last_promoted)
+        return pm.gate_ledger(self.comparison, self.pairs, self.policy, self.now, self.last_promoted) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def decisions(self) -> DataFrame:

@@ -303,7 +303,7 @@ def reload_equivalence(spark, sf_dir):
 
 # --- step 7: promotion over the events-derived run ledger -----------------------
 
-from .promotion_plan import PromotionPlan  # noqa: E402
+from .promotion_plan import shared_plan as PromotionPlan  # noqa: E402
 
 
 @register("run_latest_metrics")
