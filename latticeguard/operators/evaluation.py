@@ -197,3 +197,42 @@ def roc_auc(df: DataFrame, y: str = "risk_score", p: str = "predicted_score",
         T.StructField("n_pos", T.LongType()), T.StructField("n_neg", T.LongType()),
     ])
     return spark.createDataFrame(rows, schema)
+
+
+# --- expert-judged frame (M13, A20, M14) -------------------------------------------
+
+def expert_frame(scored: DataFrame, expert: DataFrame, train: DataFrame, p: str = "predicted_score",
+                 expert_col: str = "risk_score", thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """Scored held-out rows joined to the expert score (evaluation only).
+
+    `in_train` flags rows whose asset is also a training row; the expert set must be
+    disjoint from training, so `expert_evaluation` reports the count (expected 0).
+    """
+    e = scored.select("asset_id", F.col(p).alias("predicted_score")).join(
+        expert.select("asset_id", F.col(expert_col).alias("expert_score")), "asset_id")
+    t = train.select("asset_id", F.lit(1).alias("in_train"))
+    e = e.join(t, "asset_id", "left").withColumn("in_train", F.coalesce(F.col("in_train"), F.lit(0)))
+    return (e.withColumn("expert_priority", priority_bucket(F.col("expert_score"), thresholds))
+            .withColumn("predicted_priority", priority_bucket(F.col("predicted_score"), thresholds)))
+
+
+def expert_evaluation(frame: DataFrame) -> DataFrame:
+    """MAE / RMSE / bucket exact-match of the system against the expert score, one pass."""
+    Y, P = F.col("expert_score").cast("double"), F.col("predicted_score").cast("double")
+    return frame.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("in_train").cast("long").alias("n_in_train"),
+        F.avg(F.abs(Y - P)).alias("mae"),
+        F.sqrt(F.avg((Y - P) * (Y - P))).alias("rmse"),
+        F.avg((F.col("expert_priority") == F.col("predicted_priority")).cast("double")).alias("bucket_match_rate"),
+    )
+
+
+def agreement_rate(frame: DataFrame, category: str = "expert_priority",
+                   system: str = "predicted_priority", expert: str = "expert_priority") -> DataFrame:
+    """Share of judged items whose system answer agrees with the expert's, per category."""
+    return frame.groupBy(F.col(category).alias("category")).agg(
+        F.count(F.lit(1)).alias("n_judged"),
+        F.count_if(F.col(system) == F.col(expert)).alias("n_agree"),
+        F.avg((F.col(system) == F.col(expert)).cast("double")).alias("agreement_rate"),
+    )

@@ -153,12 +153,47 @@ def phase_summary(plan: DataFrame) -> DataFrame:
     )
 
 
-def rank_agreement(baseline: DataFrame, weighted: DataFrame, k: int = 100) -> DataFrame:
-    """Spearman (average ranks for ties) between the two orders, and top-k overlap."""
-    # average rank of the baseline order's ties (equal baseline_key): tie groups are keys
+MAX_BASELINE_KEYS = 4096
+
+
+def _baseline_ranks(baseline: DataFrame) -> DataFrame:
+    """(asset_id, rb, rank_b): average rank of the baseline order's ties (equal baseline_key).
+    The key is criticality score x vulnerable flag, so the tie table has a handful of rows;
+    its size is checked before it is broadcast."""
     ties = baseline.groupBy("baseline_key").agg(F.count(F.lit(1)).alias("_n"), F.min("rank").alias("_first"))
-    b = baseline.join(F.broadcast(ties), "baseline_key").select(
+    n_keys = ties.count()
+    if n_keys > MAX_BASELINE_KEYS:
+        raise ValueError(f"{n_keys} distinct baseline keys exceed the broadcast bound {MAX_BASELINE_KEYS}")
+    return baseline.join(F.broadcast(ties), "baseline_key").select(
         "asset_id", (F.col("_first") + (F.col("_n") - 1) / 2.0).alias("rb"), F.col("rank").alias("rank_b"))
+
+
+def average_rank_desc(df: DataFrame, key: str, score: str, buckets: int = BUCKETS) -> DataFrame:
+    """(key, avg_rank): 1-based rank of `score` descending, ties averaged (Spearman ranks).
+
+    No global window: distinct scores are counted first (a partial aggregation, so a
+    score held by a third of all rows is one row), rows above each distinct score come
+    from per-bucket prefix sums (bucket = coarse score range, at most `buckets` + 1 rows)
+    plus a window inside the bucket over distinct scores only; the rank is then joined
+    back on the score (AQE splits a hot score on the row side). Scores lie in [0, 1].
+    """
+    s = F.col(score).cast("double")
+    d = df.select(key, s.alias("_s")).where(F.col("_s").isNotNull())
+    g = d.groupBy("_s").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_b", F.least(F.greatest(F.floor((F.lit(1.0) - F.col("_s")) * F.lit(buckets)), F.lit(0)),
+                      F.lit(buckets)).cast("int"))
+    per_b = g.groupBy("_b").agg(F.sum("_n").alias("_nb"))
+    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_b.select("_b", F.coalesce(F.sum("_nb").over(wb), F.lit(0)).alias("_before_b"))
+    wi = Window.partitionBy("_b").orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn("_before_in", F.coalesce(F.sum("_n").over(wi), F.lit(0))).join(F.broadcast(offs), "_b")
+    g = g.select("_s", (F.col("_before_b") + F.col("_before_in") + (F.col("_n") + 1) / 2.0).alias("avg_rank"))
+    return d.join(g, "_s").select(key, "avg_rank")
+
+
+def rank_agreement(baseline: DataFrame, weighted: DataFrame, k: int = 100) -> DataFrame:
+    """Spearman (average ranks for ties) between the two orders, and top-k overlap."""
+    b = _baseline_ranks(baseline)
     wr = weighted.select("asset_id", F.col("_grank").alias("rw"))
     j = b.join(wr, "asset_id")
     return j.agg(
@@ -167,6 +202,28 @@ def rank_agreement(baseline: DataFrame, weighted: DataFrame, k: int = 100) -> Da
     )
 
 
+def system_comparison(baseline: DataFrame, weighted: DataFrame, expert: DataFrame, k: int = 100,
+                      expert_col: str = "risk_score") -> DataFrame:
+    """Each system's migration order against the expert order (expert score descending):
+    Spearman on average ranks, and the share of the expert's top-k that the system also puts
+    in its top k. The expert top-k is a distributed take-ordered (k rows per task, then k)."""
+    er = average_rank_desc(expert, "asset_id", expert_col).withColumnRenamed("avg_rank", "re")
+    top = expert.orderBy(F.col(expert_col).desc(), F.col("asset_id").asc()).limit(k) \
+        .select("asset_id", F.lit(1).alias("_top_e"))
+    systems = {
+        "baseline": _baseline_ranks(baseline).select("asset_id", F.col("rb").alias("r"), F.col("rank_b").alias("pos")),
+        "weighted": weighted.select("asset_id", F.col("_grank").alias("r"), F.col("_grank").alias("pos")),
+    }
+    out = None
+    for name, sr in systems.items():
+        j = sr.join(er, "asset_id").join(F.broadcast(top), "asset_id", "left")
+        a = j.agg(F.corr("r", "re").alias("spearman"),
+                  (F.count_if((F.col("pos") <= k) & (F.col("_top_e") == 1)) / F.lit(float(k))).alias("topk_overlap"),
+                  F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("system"), "spearman", "topk_overlap", "n")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
 def global_order(weighted: DataFrame) -> DataFrame:
     """Global position in the weighted plan: (phase, rank) -> 1..n, from per-phase counts."""
     counts = weighted.groupBy("phase").agg(F.count(F.lit(1)).alias("_c"))

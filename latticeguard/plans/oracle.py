@@ -323,6 +323,42 @@ FROM (SELECT b.asset_id, b.rank AS rank_b,
              w.grank AS rw
       FROM bp b JOIN wplan w ON w.asset_id = b.asset_id)"""))
 
+oracle("system_comparison", _plan("""
+SELECT 'baseline' AS system, round(corr(x.rb, er.re), 9) AS spearman,
+       round(count(*) FILTER (WHERE x.rank_b <= 100 AND t.asset_id IS NOT NULL) / 100.0e0, 9) AS topk_overlap, count(*) AS n
+FROM (SELECT b.asset_id, b.rank AS rank_b,
+             min(b.rank) OVER (PARTITION BY b.baseline_key) + (count(*) OVER (PARTITION BY b.baseline_key) - 1) / 2.0e0 AS rb
+      FROM bp b) x
+JOIN er ON er.asset_id = x.asset_id LEFT JOIN top_e t ON t.asset_id = x.asset_id
+UNION ALL
+SELECT 'weighted' AS system, round(corr(w.grank, er.re), 9) AS spearman,
+       round(count(*) FILTER (WHERE w.grank <= 100 AND t.asset_id IS NOT NULL) / 100.0e0, 9) AS topk_overlap, count(*) AS n
+FROM wplan w JOIN er ON er.asset_id = w.asset_id LEFT JOIN top_e t ON t.asset_id = w.asset_id""").replace(
+    "\nbp AS (", """
+er AS (SELECT asset_id, rank() OVER (ORDER BY risk_score DESC) + (count(*) OVER (PARTITION BY risk_score) - 1) / 2.0e0 AS re
+       FROM rule_labelled),
+top_e AS (SELECT asset_id FROM rule_labelled ORDER BY risk_score DESC, asset_id LIMIT 100),
+bp AS (""", 1))
+
+EXPERT_CTES = EVAL_CTES + f""",
+expert_f AS (
+  SELECT p.asset_id, p.predicted_score, r.risk_score AS expert_score,
+         CASE WHEN t.asset_id IS NULL THEN 0 ELSE 1 END AS in_train,
+         {_b('r.risk_score')} AS expert_priority, {_b('p.predicted_score')} AS predicted_priority
+  FROM pred0 p JOIN rule_labelled r ON r.asset_id = p.asset_id
+  LEFT JOIN train_rows t ON t.asset_id = p.asset_id)"""
+oracle("expert_evaluation", with_base("""
+SELECT count(*) AS n, CAST(sum(in_train) AS BIGINT) AS n_in_train,
+       round(avg(abs(expert_score - predicted_score)), 9) AS mae,
+       round(sqrt(avg((expert_score - predicted_score) * (expert_score - predicted_score))), 9) AS rmse,
+       round(avg(CAST(expert_priority = predicted_priority AS DOUBLE)), 9) AS bucket_match_rate
+FROM expert_f""", EXPERT_CTES))
+oracle("agreement_rate", with_base("""
+SELECT expert_priority AS category, count(*) AS n_judged,
+       count(*) FILTER (WHERE expert_priority = predicted_priority) AS n_agree,
+       round(avg(CAST(expert_priority = predicted_priority AS DOUBLE)), 9) AS agreement_rate
+FROM expert_f GROUP BY 1""", EXPERT_CTES))
+
 # --- step 10: ingest extras, retrieval, rule hits, search ------------------------
 from ..operators.retrieval import RULES as _RULES  # noqa: E402
 

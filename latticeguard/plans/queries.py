@@ -460,6 +460,34 @@ def plan_rank_agreement(spark, sf_dir):
     return a.select(r9(F.col("spearman")).alias("spearman"), r9(F.col("topk_overlap")).alias("topk_overlap"))
 
 
+
+@register("system_comparison")
+def system_comparison(spark, sf_dir):
+    """Both migration orders against the expert order (noise-free rule score)."""
+    inv = inventory(spark, sf_dir)
+    a = pl.system_comparison(inv.baseline_plan, inv.weighted_plan, inv.rule_labelled, k=100)
+    return a.select("system", r9(F.col("spearman")).alias("spearman"), r9(F.col("topk_overlap")).alias("topk_overlap"),
+                    "n")
+
+
+def _expert(spark, sf_dir):
+    """Held-out rows scored by the system, judged by the noise-free rule score."""
+    inv = inventory(spark, sf_dir)
+    return ev.expert_frame(inv.standin_predictions, inv.rule_labelled, inv.train)
+
+
+@register("expert_evaluation")
+def expert_evaluation(spark, sf_dir):
+    m = ev.expert_evaluation(_expert(spark, sf_dir))
+    return m.select("n", "n_in_train", *[r9(F.col(c)).alias(c) for c in ("mae", "rmse", "bucket_match_rate")])
+
+
+@register("agreement_rate")
+def agreement_rate(spark, sf_dir):
+    a = ev.agreement_rate(_expert(spark, sf_dir))
+    return a.select("category", "n_judged", "n_agree", r9(F.col("agreement_rate")).alias("agreement_rate"))
+
+
 # --- step 10: ingest extras, retrieval, rule hits, search ------------------------
 
 from ..operators import ingest as ing  # noqa: E402

@@ -16,3 +16,32 @@ def test_cycle_raises(spark):
     edges = spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "src long, dst long")
     with pytest.raises(ValueError, match="cycle"):
         dependency_levels(assets, edges, max_rounds=10)
+
+
+def test_average_rank_matches_pandas_with_hot_ties(spark):
+    import numpy as np
+    import pandas as pd
+
+    from latticeguard.operators.planner import average_rank_desc
+
+    rng = np.random.default_rng(3)
+    n = 3000
+    scores = np.round(rng.random(n), 3)
+    scores[: n // 3] = 0.5  # one score held by a third of all rows
+    scores[5] = 1.0
+    scores[6] = 0.0
+    pdf = pd.DataFrame({"asset_id": np.arange(n), "s": scores})
+    got = average_rank_desc(spark.createDataFrame(pdf), "asset_id", "s", buckets=64).toPandas()
+    got = got.set_index("asset_id")["avg_rank"].sort_index()
+    want = pdf.set_index("asset_id")["s"].rank(method="average", ascending=False).sort_index()
+    assert np.allclose(got.to_numpy(), want.to_numpy())
+
+
+def test_expert_set_is_disjoint_and_agreement_sums(spark):
+    from latticeguard.plans.queries import REGISTRY
+
+    e = REGISTRY["expert_evaluation"](spark, "/root/testdata/sf0.001").first()
+    assert e["n_in_train"] == 0 and e["n"] > 0
+    a = REGISTRY["agreement_rate"](spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["n_judged"] for r in a) == e["n"]
+    assert abs(sum(r["n_agree"] for r in a) / e["n"] - e["bucket_match_rate"]) < 1e-9
