@@ -5,7 +5,13 @@
 * top-k: query vectors (bounded, checked) are attached to each row with an
   explode of a literal array (no join); an exact two-stage top-k keeps at most
   k rows per (query, hash bucket), then k per query, so no task ranks a whole table;
-* rule hits: lines by posexplode, rules as literal regexes, matches exploded.
+* rule hits: lines by posexplode, rules as literal regexes, matches exploded;
+* chunk embeddings (R13): bag-of-words term-count vectors -- tokens by a regex,
+  the vector norm by a run-length pass over the sorted tokens, all in-row;
+* retrieval (R14): cosine of term-count vectors between bounded query texts and
+  every chunk. Scoring is a per-partition hash lookup of each chunk's terms in
+  the (checked, bounded) query-term index, keeping the k best chunks per query
+  per task; only those candidates are shuffled for the final exact top-k.
 """
 from __future__ import annotations
 
@@ -16,6 +22,8 @@ CHUNK_WORDS = 500
 CHUNK_OVERLAP = 50
 TOPK_BUCKETS = 256
 MAX_QUERIES = 1024
+MAX_QUERY_TERMS = 1_000_000
+TOKEN_RX = "[0-9A-Za-z]+"
 
 # Fixed values (ours): weak-crypto rules over text lines -- (rule_id, regex, inferred algorithm).
 RULES = (
@@ -115,3 +123,99 @@ def latest_per_key(history: DataFrame, key: str, ts: str, cols: list[str]) -> Da
     """Newest row per key (max_by over a struct, partial-aggregated)."""
     return history.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_l"), F.max(ts).alias(ts)) \
         .select(key, "_l.*", ts)
+
+
+def tokens(text: Column) -> Column:
+    """Lower-cased ASCII word tokens, in text order."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN_RX), 0), lambda t: F.lower(t))
+
+
+def sum_sq_counts(tok: Column) -> Column:
+    """sum over distinct terms of count^2, by one run-length pass over the sorted tokens."""
+    init = F.struct(F.lit(None).cast("string").alias("p"), F.lit(0).cast("long").alias("r"),
+                    F.lit(0).cast("long").alias("ss"))
+
+    def step(acc, t):
+        return F.when(acc["p"] == t, F.struct(acc["p"].alias("p"), (acc["r"] + 1).alias("r"), acc["ss"].alias("ss"))) \
+            .otherwise(F.struct(t.alias("p"), F.lit(1).cast("long").alias("r"),
+                                (acc["ss"] + acc["r"] * acc["r"]).alias("ss")))
+
+    return F.aggregate(F.array_sort(tok), init, step, lambda acc: acc["ss"] + acc["r"] * acc["r"])
+
+
+def chunk_embeddings(chunk_df: DataFrame) -> DataFrame:
+    """Term-count vector of every chunk: (doc_id, chunk_no, source, tokens, n_tokens, n_terms, norm)."""
+    d = chunk_df.select("doc_id", "chunk_no", "source", tokens(F.col("chunk_text")).alias("tokens"))
+    return d.select("doc_id", "chunk_no", "source", "tokens", F.size("tokens").alias("n_tokens"),
+                    F.size(F.array_distinct("tokens")).alias("n_terms"),
+                    F.sqrt(sum_sq_counts(F.col("tokens")).cast("double")).alias("norm"))
+
+
+def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(query_id, term, c): term counts of each query text."""
+    return queries.select(F.col(id_col).cast("long").alias("query_id"),
+                          F.explode(tokens(F.col(text_col))).alias("term")) \
+        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _query_index(terms: DataFrame):
+    """Collect the bounded query-term table into a term -> (query slots, weights) index."""
+    import numpy as np
+
+    n_terms = terms.count()
+    if n_terms > MAX_QUERY_TERMS:
+        raise ValueError(f"{n_terms} query terms exceed the bound {MAX_QUERY_TERMS}")
+    rows = terms.collect()
+    qids = sorted({int(r["query_id"]) for r in rows})
+    if len(qids) > MAX_QUERIES:
+        raise ValueError(f"more than {MAX_QUERIES} queries")
+    slot = {q: i for i, q in enumerate(qids)}
+    sq = np.zeros(len(qids))
+    post: dict[str, list[tuple[int, float]]] = {}
+    for r in rows:
+        i, c = slot[int(r["query_id"])], float(r["c"])
+        sq[i] += c * c
+        post.setdefault(r["term"], []).append((i, c))
+    index = {t: (np.array([i for i, _ in v], dtype=np.int64), np.array([c for _, c in v])) for t, v in post.items()}
+    return np.array(qids, dtype=np.int64), np.sqrt(sq), index
+
+
+def retrieve(chunk_emb: DataFrame, terms: DataFrame, k: int = 5) -> DataFrame:
+    """Exact top-k chunks per query by cosine of term-count vectors (score > 0 only):
+    (query_id, rank, doc_id, chunk_no, source, score); ties by doc_id, chunk_no."""
+    import heapq
+    from collections import Counter
+
+    import numpy as np
+    import pandas as pd
+
+    qids, qnorm, index = _query_index(terms)
+    nq = len(qids)
+    out_schema = "query_id long, doc_id long, chunk_no int, source string, score double"
+
+    def kernel(batches):
+        heaps: list[list] = [[] for _ in range(nq)]
+        for pdf in batches:
+            for doc, chunk, src, toks, cn in zip(pdf["doc_id"], pdf["chunk_no"], pdf["source"], pdf["tokens"],
+                                                 pdf["norm"]):
+                if toks is None or not cn:
+                    continue
+                acc = np.zeros(nq)
+                for t, c in Counter(toks).items():
+                    hit = index.get(t)
+                    if hit is not None:
+                        acc[hit[0]] += c * hit[1]
+                for i in np.nonzero(acc)[0]:
+                    item = (round(float(acc[i] / (cn * qnorm[i])), 9), -int(doc), -int(chunk), src)
+                    h = heaps[i]
+                    if len(h) < k:
+                        heapq.heappush(h, item)
+                    elif item > h[0]:
+                        heapq.heapreplace(h, item)
+        rows = [(int(qids[i]), -d, -c, src, sc) for i, h in enumerate(heaps) for sc, d, c, src in h]
+        yield pd.DataFrame(rows, columns=["query_id", "doc_id", "chunk_no", "source", "score"])
+
+    cand = chunk_emb.select("doc_id", "chunk_no", "source", "tokens", "norm").mapInPandas(kernel, out_schema)
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc(), F.col("chunk_no").asc())
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "doc_id", "chunk_no", "source", "score")

@@ -395,6 +395,33 @@ FROM (SELECT doc_id, source, lang, w, unnest(generate_series(0, greatest(0, len(
              unnest(generate_series(1, len(generate_series(0, greatest(0, len(w) - 51), 450)))) AS i
       FROM (SELECT doc_id, source, lang, string_split_regex(trim(text), '\\s+') AS w FROM documents))""")
 
+_CHUNKS_SQL = """
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_no, source,
+       array_to_string(w[start_word + 1: start_word + 500], ' ') AS chunk_text
+FROM (SELECT doc_id, source, w, unnest(generate_series(0, greatest(0, len(w) - 51), 450)) AS start_word,
+             unnest(generate_series(1, len(generate_series(0, greatest(0, len(w) - 51), 450)))) AS i
+      FROM (SELECT doc_id, source, string_split_regex(trim(text), '\\s+') AS w FROM documents))"""
+_TERM_CTES = f"""WITH ch AS ({_CHUNKS_SQL}),
+ct AS (SELECT doc_id, chunk_no, lower(t) AS term, count(*) AS c
+       FROM (SELECT doc_id, chunk_no, unnest(regexp_extract_all(chunk_text, '[0-9A-Za-z]+')) AS t FROM ch) GROUP BY ALL),
+cn AS (SELECT doc_id, chunk_no, sqrt(sum(c * c)) AS norm, count(*) AS n_terms, sum(c) AS n_tokens FROM ct GROUP BY ALL)"""
+oracle("chunk_embeddings", _TERM_CTES + """
+SELECT ch.doc_id, ch.chunk_no, CAST(coalesce(cn.n_tokens, 0) AS INTEGER) AS n_tokens,
+       CAST(coalesce(cn.n_terms, 0) AS INTEGER) AS n_terms, round(coalesce(cn.norm, 0.0e0), 9) AS norm
+FROM ch LEFT JOIN cn ON cn.doc_id = ch.doc_id AND cn.chunk_no = ch.chunk_no""")
+oracle("retrieve_passages", _TERM_CTES + """,
+qt AS (SELECT item_id, lower(t) AS term, count(*) AS c
+       FROM (SELECT item_id, unnest(regexp_extract_all(text, '[0-9A-Za-z]+')) AS t FROM benchmark) GROUP BY ALL),
+qn AS (SELECT item_id, sqrt(sum(c * c)) AS qnorm FROM qt GROUP BY 1),
+sc AS (SELECT q.item_id, t.doc_id, t.chunk_no, sum(CAST(q.c AS DOUBLE) * t.c) AS dot
+       FROM qt q JOIN ct t ON t.term = q.term GROUP BY ALL),
+ranked AS (SELECT sc.item_id, sc.doc_id, sc.chunk_no, round(dot / (cn.norm * qn.qnorm), 9) AS score
+           FROM sc JOIN cn ON cn.doc_id = sc.doc_id AND cn.chunk_no = sc.chunk_no JOIN qn ON qn.item_id = sc.item_id)
+SELECT r.item_id, CAST(r.rank AS INTEGER) AS rank, r.doc_id, r.chunk_no, ch.source, r.score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_no) AS rank FROM ranked) r
+JOIN ch ON ch.doc_id = r.doc_id AND ch.chunk_no = r.chunk_no
+WHERE r.rank <= 5""")
+
 _DIM = 64
 _CENT = ", ".join(f"avg(CAST(embedding[{i + 1}] AS DOUBLE))" for i in range(_DIM))
 _EMB_CTES = f"""

@@ -544,6 +544,26 @@ def embedding_topk_l2(spark, sf_dir):
     return _topk(spark, sf_dir, "l2")
 
 
+def _chunk_emb(spark, sf_dir):
+    docs = inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang")
+    return rt.chunk_embeddings(rt.chunks(docs))
+
+
+@register("chunk_embeddings")
+def chunk_embeddings(spark, sf_dir):
+    return _chunk_emb(spark, sf_dir).select("doc_id", "chunk_no", "n_tokens", "n_terms",
+                                            r9(F.col("norm")).alias("norm"))
+
+
+@register("retrieve_passages")
+def retrieve_passages(spark, sf_dir):
+    """For every benchmark passage, the 5 document chunks closest to it (and their source)."""
+    bench = inventory(spark, sf_dir).t.benchmark
+    res = rt.retrieve(_chunk_emb(spark, sf_dir), rt.query_terms(bench, "item_id", "text"), k=5)
+    return res.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "chunk_no", "source",
+                      r9(F.col("score")).alias("score"))
+
+
 @register("rule_hits")
 def rule_hits(spark, sf_dir):
     return rt.rule_hits(inventory(spark, sf_dir).t.documents.select("doc_id", "text"))
