@@ -1,8 +1,8 @@
 """Model train / tune / score with Spark ML.
 
 The learner is Spark's distributed GBTRegressor; the 4-configuration grid is
-cross-validated with CrossValidator over the keyed fold column (W4), so fold
-membership does not depend on partitioning. Scoring is `transform` plus the
+cross-validated over the keyed fold column (W4), so fold membership does not
+depend on partitioning; the 20 (config, fold) fits run as concurrent jobs. Scoring is `transform` plus the
 NaN/NULL-safe clip and the threshold bucket: no Python on the row path.
 """
 from __future__ import annotations
@@ -53,26 +53,42 @@ def _sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
 
 
 def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_GRID,
-                   parallelism: int = 8) -> TrainResult:
-    """M2-M4: CV over the explicit 4-config list; best = min mean MAE (ties by grid order)."""
+                   parallelism: int = 20) -> TrainResult:
+    """M2-M4: CV over the explicit 4-config list; best = min mean MAE (ties by grid order).
+
+    Same result as CrossValidator with a fold column (train on fold != f, MAE on
+    fold == f; mean and population std over folds), but all (config, fold) fits are
+    submitted together from driver threads, so the cluster runs them concurrently
+    instead of one fold after another (a boosted-tree fit is a chain of small jobs).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    import numpy as np
+
     from .splits import kfold
 
     spark = train.sparkSession
     data = kfold(train, k=folds, seed=seed).withColumn("fold", F.col("fold").cast("int"))
     assembler = VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features")
     data = _sized(assembler.transform(data).select("features", "risk_score", "fold")).cache()
-    gbt = _gbt(seed)
-    maps = [{gbt.maxIter: n, gbt.maxDepth: d, gbt.stepSize: lr} for n, d, lr in grid]
-    cv = CrossValidator(
-        estimator=gbt, estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(labelCol="risk_score", predictionCol="raw_prediction", metricName="mae"),
-        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed,
-    )
-    cvm = cv.fit(data)
+    evaluator = RegressionEvaluator(labelCol="risk_score", predictionCol="raw_prediction", metricName="mae")
+
+    def run(job: tuple[int, int]) -> tuple[int, int, float]:
+        gi, f = job
+        n, d, lr = grid[gi]
+        model = _gbt(seed).setMaxIter(n).setMaxDepth(d).setStepSize(lr).fit(data.where(F.col("fold") != f))
+        return gi, f, float(evaluator.evaluate(model.transform(data.where(F.col("fold") == f))))
+
+    jobs = [(gi, f) for f in range(folds) for gi in range(len(grid))]
+    metrics = np.zeros((folds, len(grid)))
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+        for gi, f, m in pool.map(run, jobs):
+            metrics[f, gi] = m
     data.unpersist()
+    means, stds = metrics.mean(axis=0), metrics.std(axis=0)
     rows = [
-        (i, n, d, float(lr), float(m), float(s))
-        for i, ((n, d, lr), m, s) in enumerate(zip(grid, cvm.avgMetrics, cvm.stdMetrics))
+        (i, n, d, float(lr), float(m), float(sd))
+        for i, ((n, d, lr), m, sd) in enumerate(zip(grid, means, stds))
     ]
     schema = "grid_index int, n_estimators int, max_depth int, learning_rate double, cv_mae_mean double, cv_mae_std double"
     res = spark.createDataFrame(rows, schema)
