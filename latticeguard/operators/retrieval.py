@@ -182,8 +182,11 @@ def _query_index(terms: DataFrame):
 
 def retrieve(chunk_emb: DataFrame, terms: DataFrame, k: int = 5) -> DataFrame:
     """Exact top-k chunks per query by cosine of term-count vectors (score > 0 only):
-    (query_id, rank, doc_id, chunk_no, source, score); ties by doc_id, chunk_no."""
+    (query_id, rank, doc_id, chunk_no, source, score); ties by doc_id, chunk_no.
+    `chunk_emb` needs (doc_id, chunk_no, source, tokens); each task counts a chunk's
+    terms once and gets the dot products and the norm from those counts."""
     import heapq
+    import math
     from collections import Counter
 
     import numpy as np
@@ -196,12 +199,13 @@ def retrieve(chunk_emb: DataFrame, terms: DataFrame, k: int = 5) -> DataFrame:
     def kernel(batches):
         heaps: list[list] = [[] for _ in range(nq)]
         for pdf in batches:
-            for doc, chunk, src, toks, cn in zip(pdf["doc_id"], pdf["chunk_no"], pdf["source"], pdf["tokens"],
-                                                 pdf["norm"]):
-                if toks is None or not cn:
+            for doc, chunk, src, toks in zip(pdf["doc_id"], pdf["chunk_no"], pdf["source"], pdf["tokens"]):
+                if toks is None or len(toks) == 0:
                     continue
+                counts = Counter(toks)
+                cn = math.sqrt(sum(c * c for c in counts.values()))
                 acc = np.zeros(nq)
-                for t, c in Counter(toks).items():
+                for t, c in counts.items():
                     hit = index.get(t)
                     if hit is not None:
                         acc[hit[0]] += c * hit[1]
@@ -215,7 +219,7 @@ def retrieve(chunk_emb: DataFrame, terms: DataFrame, k: int = 5) -> DataFrame:
         rows = [(int(qids[i]), -d, -c, src, sc) for i, h in enumerate(heaps) for sc, d, c, src in h]
         yield pd.DataFrame(rows, columns=["query_id", "doc_id", "chunk_no", "source", "score"])
 
-    cand = chunk_emb.select("doc_id", "chunk_no", "source", "tokens", "norm").mapInPandas(kernel, out_schema)
+    cand = chunk_emb.select("doc_id", "chunk_no", "source", "tokens").mapInPandas(kernel, out_schema)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc(), F.col("chunk_no").asc())
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "doc_id", "chunk_no", "source", "score")

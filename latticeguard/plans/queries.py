@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import Thresholds
 from ..functions.exprs import priority_bucket
 from ..operators import features as feat
+from ..sources.tables import spread
 from .inventory import Inventory, shared_inventory
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -525,7 +526,7 @@ def scan_target_parse(spark, sf_dir):
 
 @register("document_chunks")
 def document_chunks(spark, sf_dir):
-    return rt.chunks(inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang"))
+    return rt.chunks(spread(inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang")))
 
 
 def _topk(spark, sf_dir, metric):
@@ -545,7 +546,7 @@ def embedding_topk_l2(spark, sf_dir):
 
 
 def _chunk_emb(spark, sf_dir):
-    docs = inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang")
+    docs = spread(inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang"))
     return rt.chunk_embeddings(rt.chunks(docs))
 
 
@@ -566,7 +567,7 @@ def retrieve_passages(spark, sf_dir):
 
 @register("rule_hits")
 def rule_hits(spark, sf_dir):
-    return rt.rule_hits(inventory(spark, sf_dir).t.documents.select("doc_id", "text"))
+    return rt.rule_hits(spread(inventory(spark, sf_dir).t.documents.select("doc_id", "text")))
 
 
 @register("keyword_search")

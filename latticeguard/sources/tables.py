@@ -30,3 +30,12 @@ class Tables:
         if name in TABLES:
             return read_table(self.spark, self.sf_dir, name)
         raise AttributeError(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread CPU-heavy per-row work (text splitting, regexes, scoring) over all cores
+    when the scan yields fewer partitions than the cluster has task slots (a few large
+    files). A large input already scans as many partitions, and then this is a no-op:
+    the text is never shuffled at scale. Callers select their columns first."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
