@@ -19,6 +19,7 @@ from ..config import CRITICALITY_DEFAULT, CRITICALITY_SCORE
 PLAN_WEIGHTS = (0.5, 0.3, 0.2)
 HIGH_PER_PHASE = 25
 BUCKETS = 4096
+MAX_BUCKET_ROWS = 4_000_000
 
 
 def bucketed_row_number(df: DataFrame, partition_cols: list[str], bucket_col: str, order: list[Column],
@@ -34,6 +35,50 @@ def bucketed_row_number(df: DataFrame, partition_cols: list[str], bucket_col: st
     return j.withColumn(out_col, F.col("_before") + F.row_number().over(wr)).drop("_before")
 
 
+def score_row_number(df: DataFrame, partition_cols: list[str], score_col: str, id_col: str,
+                     out_col: str = "rn", buckets: int = BUCKETS, id_range: int = BUCKETS) -> DataFrame:
+    """Exact row_number() over (partition by P order by score desc, id asc); ids unique in P,
+    scores finite in [0, 1] (NULL sorts last).
+
+    The rank is (rows in higher score buckets) + (rows with a higher score in the same
+    bucket) + (rows with the same score in lower id ranges) + the row number inside
+    (P, score, id range). The offsets come from one partial-aggregated count table; the
+    windows over it see distinct scores or id ranges, and the final window partitions by
+    (P, score, id range), so a score held by a third of all rows is split into id ranges
+    of at most `id_range` rows instead of landing in one task.
+    """
+    k = F.coalesce(F.col(score_col).cast("double"), F.lit(float("-inf")))
+    d = df.withColumn("_k", k).withColumn(
+        "_sb", F.least(F.greatest(F.floor((F.lit(1.0) - F.col("_k")) * F.lit(buckets)), F.lit(0)),
+                       F.lit(buckets)).cast("long")) \
+        .withColumn("_ir", F.floor(F.col(id_col) / F.lit(id_range)).cast("long"))
+    cnt = d.groupBy(*partition_cols, "_sb", "_k", "_ir").agg(F.count(F.lit(1)).alias("_c"))
+    # rows in higher score buckets: a (groups x buckets) table, size checked, then broadcast
+    per_b = cnt.groupBy(*partition_cols, "_sb").agg(F.sum("_c").alias("_nb"))
+    off_b = per_b.select(*partition_cols, "_sb", F.coalesce(
+        F.sum("_nb").over(Window.partitionBy(*partition_cols).orderBy("_sb")
+                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before_b"))
+    # inside a bucket: rows with a higher score (RANGE frame = scores >= this one, minus
+    # this score's own rows) and rows of this score in lower id ranges; both windows
+    # partition by (P, bucket), so they share one exchange of the count table
+    wb = Window.partitionBy(*partition_cols, "_sb")
+    ws = Window.partitionBy(*partition_cols, "_sb", "_k")
+    offs = cnt.select(
+        *partition_cols, "_sb", "_k", "_ir",
+        (F.sum("_c").over(wb.orderBy(F.col("_k").desc()).rangeBetween(Window.unboundedPreceding, 0))
+         - F.sum("_c").over(ws)).alias("_before_s"),
+        F.coalesce(F.sum("_c").over(ws.orderBy("_ir").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_before_r"))
+    n_b = per_b.count()
+    if n_b > MAX_BUCKET_ROWS:
+        raise ValueError(f"{n_b} (group, score bucket) rows exceed the broadcast bound {MAX_BUCKET_ROWS}")
+    offs = offs.join(F.broadcast(off_b), [*partition_cols, "_sb"]).select(
+        *partition_cols, "_k", "_ir", (F.col("_before_b") + F.col("_before_s") + F.col("_before_r")).alias("_before"))
+    j = d.join(offs, [*partition_cols, "_k", "_ir"])
+    w = Window.partitionBy(*partition_cols, "_k", "_ir").orderBy(F.col(id_col).asc())
+    return j.withColumn(out_col, F.col("_before") + F.row_number().over(w)).drop("_k", "_sb", "_ir", "_before")
+
+
 def dependency_levels(assets: DataFrame, edges: DataFrame, checkpoint_every: int = 4, max_rounds: int = 100,
                       checkpoint: bool = True) -> DataFrame:
     """(asset_id, level); edges are (src depends on dst). Raises on a cycle."""
@@ -120,19 +165,19 @@ def weighted_plan(items: DataFrame, levels: DataFrame, cap: int = HIGH_PER_PHASE
     d = items.join(levels, "asset_id").withColumn(
         "score", weighted_score(F.col("risk_score"), F.col("financial_data"), F.col("customer_data"),
                                 F.col("regulated_system"), F.col("migration_complexity")))
-    d = d.withColumn("_b", F.floor((F.lit(1.0) - F.col("score")) * F.lit(BUCKETS)).cast("long")) \
-        .withColumn("is_high", (F.col("migration_complexity") == "HIGH").cast("int"))
-    d = bucketed_row_number(d, ["level", "is_high"], "_b", [F.col("score").desc(), F.col("asset_id").asc()], "rn_c")
+    # each exact row number reads its input twice (counts, then rows), and the two are
+    # nested, so both inputs are persisted (per-asset frames; lineage kept for recovery)
+    d = d.withColumn("is_high", (F.col("migration_complexity") == "HIGH").cast("int")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    d = score_row_number(d, ["level", "is_high"], "score", "asset_id", "rn_c")
     d = d.withColumn("sub_phase", F.when(F.col("is_high") == 1, F.ceil(F.col("rn_c") / F.lit(cap))).otherwise(F.lit(1))
-                     .cast("int"))
+                     .cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
     # per-level phase span is a small table (one row per level)
     span = d.groupBy("level").agg(F.max("sub_phase").alias("span"))
     w = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
     offs = span.select("level", F.coalesce(F.sum("span").over(w), F.lit(0)).alias("_lvl_before"))
     d = d.join(F.broadcast(offs), "level").withColumn("phase", (F.col("_lvl_before") + F.col("sub_phase")).cast("int"))
-    d = bucketed_row_number(d.drop("rn_c", "_lvl_before"), ["phase"], "_b",
-                            [F.col("score").desc(), F.col("asset_id").asc()], "rank")
-    return d.drop("_b")
+    return score_row_number(d.drop("rn_c", "_lvl_before"), ["phase"], "score", "asset_id", "rank")
 
 
 def plan_violations(plan: DataFrame, edges: DataFrame) -> DataFrame:

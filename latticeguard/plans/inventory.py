@@ -202,10 +202,14 @@ class Inventory:
     def baseline_plan(self) -> DataFrame:
         from ..operators.planner import baseline_plan
 
-        return baseline_plan(self.plan_items).persist(StorageLevel.MEMORY_AND_DISK)
+        from ..session import materialize
+
+        return materialize(baseline_plan(self.plan_items), "baseline_plan")
 
     @cached_property
     def weighted_plan(self) -> DataFrame:
         from ..operators.planner import global_order, weighted_plan
 
-        return global_order(weighted_plan(self.plan_items, self.levels)).persist(StorageLevel.MEMORY_AND_DISK)
+        from ..session import materialize
+
+        return materialize(global_order(weighted_plan(self.plan_items, self.levels)), "weighted_plan")

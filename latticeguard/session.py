@@ -44,3 +44,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df, name: str):
+    """Write `df` once as parquet under the shared checkpoint folder and read it back.
+
+    For per-entity results that many queries reuse (migration plans): the read-back
+    plan is a plain scan, so later queries neither recompute nor depend on a cache
+    match, and the files survive executor loss.
+    """
+    import uuid
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

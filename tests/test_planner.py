@@ -45,3 +45,24 @@ def test_expert_set_is_disjoint_and_agreement_sums(spark):
     a = REGISTRY["agreement_rate"](spark, "/root/testdata/sf0.001").collect()
     assert sum(r["n_judged"] for r in a) == e["n"]
     assert abs(sum(r["n_agree"] for r in a) / e["n"] - e["bucket_match_rate"]) < 1e-9
+
+
+def test_score_row_number_matches_sort_with_hot_score(spark):
+    import numpy as np
+    import pandas as pd
+
+    from latticeguard.operators.planner import score_row_number
+
+    rng = np.random.default_rng(11)
+    n = 5000
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, n), "asset_id": rng.permutation(n * 7)[:n],
+                        "score": np.round(rng.random(n), 4)})
+    pdf.loc[: n // 3, "score"] = 0.25  # a third of all rows share one score
+    pdf.loc[5, "score"] = 1.0
+    pdf.loc[6, "score"] = 0.0
+    got = score_row_number(spark.createDataFrame(pdf), ["g"], "score", "asset_id", "rn", buckets=16,
+                           id_range=64).toPandas()
+    want = pdf.sort_values(["g", "score", "asset_id"], ascending=[True, False, True])
+    want["rn"] = want.groupby("g").cumcount() + 1
+    m = got.merge(want, on=["g", "asset_id"], suffixes=("", "_want"))
+    assert len(m) == n and (m["rn"] == m["rn_want"]).all()
