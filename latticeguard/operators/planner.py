@@ -166,12 +166,14 @@ def weighted_plan(items: DataFrame, levels: DataFrame, cap: int = HIGH_PER_PHASE
         "score", weighted_score(F.col("risk_score"), F.col("financial_data"), F.col("customer_data"),
                                 F.col("regulated_system"), F.col("migration_complexity")))
     # each exact row number reads its input twice (counts, then rows), and the two are
-    # nested, so both inputs are persisted (per-asset frames; lineage kept for recovery)
-    d = d.withColumn("is_high", (F.col("migration_complexity") == "HIGH").cast("int")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # nested: both inputs are written once to the checkpoint folder and read back, which
+    # keeps every stage's plan short and its input safe from executor loss
+    from ..session import materialize
+
+    d = materialize(d.withColumn("is_high", (F.col("migration_complexity") == "HIGH").cast("int")), "wplan_items")
     d = score_row_number(d, ["level", "is_high"], "score", "asset_id", "rn_c")
-    d = d.withColumn("sub_phase", F.when(F.col("is_high") == 1, F.ceil(F.col("rn_c") / F.lit(cap))).otherwise(F.lit(1))
-                     .cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    d = materialize(d.withColumn("sub_phase", F.when(F.col("is_high") == 1, F.ceil(F.col("rn_c") / F.lit(cap)))
+                                 .otherwise(F.lit(1)).cast("int")), "wplan_subphases")
     # per-level phase span is a small table (one row per level)
     span = d.groupBy("level").agg(F.max("sub_phase").alias("span"))
     w = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
