@@ -2,9 +2,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -35,10 +37,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when it is unset (local tests) do we pick a scratch folder of our own.
+    Only a single-machine session (tests, bench) may leave it unset; it then gets a scratch folder
+    of its own. On a cluster, a machine-local folder would lose rows, so an unset one is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="lg-ckpt-", dir=os.environ.get("LG_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -46,15 +51,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as parquet under the shared checkpoint folder and read it back.
 
-    For per-entity results that many queries reuse (migration plans): the read-back
-    plan is a plain scan, so later queries neither recompute nor depend on a cache
-    match, and the files survive executor loss.
+    For results that are read more than once: the read-back plan is a plain scan with a known
+    size, so later steps neither recompute nor depend on a cache match, and the files survive
+    executor loss. `release` deletes them.
     """
-    import uuid
-
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._materialized_path = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files behind a `materialize` result that nothing reads any more."""
+    path = getattr(df, "_materialized_path", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        df._materialized_path = None
