@@ -6,8 +6,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.llm import simhash
-from latticeguard.llm.common import documents
+from latticeguard.llm import decontaminate, hostquality, linededup, packing, simhash
+from latticeguard.llm.common import documents, read_table
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostquality.judge(documents(spark, sf_dir))
+
+
+def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +28,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "source", "text", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    cut = linededup.drop_boilerplate(docs, dropped="n_dropped")
+    return cut.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars"),
+                      F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
+    "op5_host_quality": op5_host_quality,
+    "op7_pack": op7_pack,
     "op8_simhash": op8_simhash,
+    "op9_line_dedup": op9_line_dedup,
 }
-
-ORACLE: dict[str, str] = {}
