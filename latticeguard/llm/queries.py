@@ -3,13 +3,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.llm import decontaminate, hostquality, linededup, packing, simhash
+from latticeguard.llm import decontaminate, hostquality, linededup, packing, pii, simhash
 from latticeguard.llm.common import documents, read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+
+    def count(place: int, kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["k"] == place)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(i, kind) for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.spelt(F.col("base")), 256).alias("base_sha256"),
+                        pii.spelt(F.col("spans")).alias("spans"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
@@ -37,6 +48,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op3_decontaminate": op3_decontaminate,
     "op5_host_quality": op5_host_quality,
     "op7_pack": op7_pack,
