@@ -3,6 +3,26 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op4_url_filter"] = r"""
+WITH r AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+rules(verdict, rule) AS (
+  VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'),
+         ('block', 'com/de/')),
+m AS (
+  SELECT page_id, verdict, rule,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, strpos(rule, '/') DESC) AS n
+  FROM p JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+   AND starts_with(path, substr(rule, strpos(rule, '/'))))
+SELECT p.page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN regexp_matches(
+         host, '(^|\.)([^.]*-)?(ads|adult|bets|casino|pills|porn|spam)(-[^.]*)?\.') THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN m ON m.page_id = p.page_id AND n = 1
+"""
+
 ORACLE["op5_host_quality"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text,

@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.llm import decontaminate, hostquality, linededup, packing, pii, simhash
-from latticeguard.llm.common import documents, read_table
+from latticeguard.llm import decontaminate, hostquality, linededup, packing, pii, simhash, urlfilter
+from latticeguard.llm.common import documents, materialize, read_table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = materialize(urlfilter.listed_hosts(pages), "listed-hosts")
+    return urlfilter.verdicts(pages, urlfilter.RULES, listed).drop("url")
+
+
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostquality.judge(documents(spark, sf_dir))
 
@@ -50,6 +56,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_decontaminate": op3_decontaminate,
+    "op4_url_filter": op4_url_filter,
     "op5_host_quality": op5_host_quality,
     "op7_pack": op7_pack,
     "op8_simhash": op8_simhash,
