@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.llm import decontaminate, hostquality, linededup, packing, pii, simhash, urlfilter
+from latticeguard.llm import decontaminate, hostquality, langid, linededup, packing, pii, simhash, urlfilter
 from latticeguard.llm.common import documents, materialize, read_table
 
 
@@ -21,6 +21,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.spelt(F.col("spans")).alias("spans"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = documents(spark, sf_dir).select("doc_id", held_out.alias("held_out"), "text", "lang")
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.predict(docs.drop("lang"), model).drop("text")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +62,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_host_quality": op5_host_quality,
