@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.llm import decontaminate, hostquality, langid, linededup, packing, pii, simhash, urlfilter
+from latticeguard.llm import chatrepair, decontaminate, hostquality, langid, linededup, packing, pii, simhash, tokencount, urlfilter
 from latticeguard.llm.common import documents, materialize, read_table
 
 
@@ -42,6 +42,10 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostquality.judge(documents(spark, sf_dir))
 
 
+def op6_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chatrepair.repair_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
@@ -60,13 +64,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("text_sha256"))
 
 
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
     "op5_host_quality": op5_host_quality,
+    "op6_chat_repair": op6_chat_repair,
     "op7_pack": op7_pack,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
+    "op10_token_count": op10_token_count,
 }
