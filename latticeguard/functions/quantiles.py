@@ -9,6 +9,8 @@
   by h) for a uniform hex hash h: counts per (g, hash prefix) form a bounded
   table; the final window is partitioned by (g, prefix), so no single task sees
   a whole group.
+* `rows_before` turns a count table into offsets with two-level prefix sums, so that
+  even an unpartitioned running sum never has all its rows in one task.
 """
 from __future__ import annotations
 
@@ -19,12 +21,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def rows_before(counts: DataFrame, group_cols: list[str], bucket_col: str, count_col: str, out_col: str,
+                coarse: int = 4096) -> DataFrame:
+    """`counts` (one row per group and bucket, an integer) with the running sum of `count_col` over lower buckets.
+
+    Buckets are summed by range first; the running sum over the ranges sees one row per
+    range, and the sum inside a range at most `coarse` rows.
+    """
+    rng = F.floor(F.col(bucket_col) / F.lit(coarse)).cast("long")
+    c = counts.withColumn("_range", rng)
+    per_range = c.groupBy(*group_cols, "_range").agg(F.sum(count_col).alias("_in_range"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_range.select(*group_cols, "_range", F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_ranges"))
+    inside = Window.partitionBy(*group_cols, "_range").orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_inside", F.coalesce(F.sum(count_col).over(inside), F.lit(0)))
+    return c.join(offs, [*group_cols, "_range"]).withColumn(out_col, F.col("_ranges") + F.col("_inside")) \
+        .drop("_range", "_ranges", "_inside")
+
+
 def _values(df: DataFrame, col: str) -> DataFrame:
     return df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def order_statistics(df: DataFrame, col: str, ranks: list[int], bins: int = 1024,
-                     small: int = 4096, max_passes: int = 64, _prepared: tuple | None = None) -> dict[int, float]:
+                     small: int = 4096, _prepared: tuple | None = None) -> dict[int, float]:
     """Exact 0-based order statistics of the non-null, non-NaN values of `col`."""
     if _prepared is None:
         x = _values(df, col).persist(StorageLevel.MEMORY_AND_DISK)
@@ -32,14 +52,13 @@ def order_statistics(df: DataFrame, col: str, ranks: list[int], bins: int = 1024
     else:
         x, n, lo, hi = _prepared
     try:
-        return _select(x, n, lo, hi, ranks, bins, small, max_passes)
+        return _select(x, n, lo, hi, ranks, bins, small)
     finally:
         if _prepared is None:
             x.unpersist()
 
 
-def _select(x: DataFrame, n: int, lo: float, hi: float, ranks: list[int], bins: int, small: int,
-            max_passes: int) -> dict[int, float]:
+def _select(x: DataFrame, n: int, lo: float, hi: float, ranks: list[int], bins: int, small: int) -> dict[int, float]:
     if not n:
         return {}
     for r in ranks:
@@ -48,9 +67,7 @@ def _select(x: DataFrame, n: int, lo: float, hi: float, ranks: list[int], bins:
     # window -> (base rank, count, target ranks)
     windows: dict[tuple[float, float], tuple[int, int, set[int]]] = {(lo, hi): (0, n, set(ranks))}
     result: dict[int, float] = {}
-    for _ in range(max_passes):
-        if not windows:
-            return result
+    while windows:  # a window's ends fall into different bins, so every pass narrows it
         # windows with a single value resolve without touching the data
         for w in [w for w in windows if w[0] == w[1]]:
             for r in windows.pop(w)[2]:
@@ -74,7 +91,7 @@ def _select(x: DataFrame, n: int, lo: float, hi: float, ranks: list[int], bins:
         wid, binc = None, None
         for i, (a, b) in enumerate(big_w):
             inw = (F.col("v") >= F.lit(a)) & (F.col("v") <= F.lit(b))
-            bi = F.least(F.floor((F.col("v") - F.lit(a)) / F.lit(b - a) * F.lit(float(bins))),
+            bi = F.least(F.floor((F.col("v") / 2 - F.lit(a / 2)) / F.lit(b / 2 - a / 2) * F.lit(float(bins))),
                          F.lit(bins - 1)).cast("int")
             wid = F.when(inw, F.lit(i)) if wid is None else wid.when(inw, F.lit(i))
             binc = F.when(inw, bi) if binc is None else binc.when(inw, bi)
@@ -97,7 +114,7 @@ def _select(x: DataFrame, n: int, lo: float, hi: float, ranks: list[int], bins:
                     new_windows[key] = (cum, row["c"], (prev[2] if prev else set()) | hit)
                 cum += row["c"]
         windows = new_windows
-    raise RuntimeError("order_statistics did not converge")
+    return result
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
@@ -134,29 +151,18 @@ def qcut_column(v: Column, edges: list[float]) -> Column:
 
 
 def hashed_row_number(df: DataFrame, group_cols: list[str], hash_col: str, prefix_len: int = 3,
-                      out_col: str = "rn", count_col: str | None = None, max_groups: int = 256,
-                      groups_bound: int | None = None) -> DataFrame:
+                      out_col: str = "rn", count_col: str | None = None) -> DataFrame:
     """Exact row_number() over (partition by group_cols order by hash_col, hex hash).
 
-    Assumes `hash_col` is unique within a group (md5 of a unique key), so the
-    order is total. The (group, prefix) count table has at most
-    groups x 16**prefix_len rows; its group count is checked before broadcast.
+    Assumes `hash_col` is unique within a group (md5 of a unique key), so the order is
+    total. The (group, prefix) count table has at most 16**prefix_len rows per group; Spark
+    broadcasts it if it is small and joins it by key otherwise.
     """
-    pre = F.substring(F.col(hash_col), 1, prefix_len)
-    d = df.withColumn("_pfx", pre)
+    d = df.withColumn("_pfx", F.substring(F.col(hash_col), 1, prefix_len))
     counts = d.groupBy(*group_cols, "_pfx").agg(F.count(F.lit(1)).alias("_c"))
-    # The count table is broadcast; its size is groups x 16**prefix_len. Callers that
-    # know the group count (strata, folds) pass it; otherwise it is measured.
-    if groups_bound is not None:
-        n_groups = groups_bound
-    else:
-        n_groups = counts.select(*group_cols).distinct().count() if group_cols else 1
-    if n_groups > max_groups:
-        raise ValueError(f"{n_groups} groups exceed the broadcast bound {max_groups}")
     w = Window.partitionBy(*group_cols).orderBy("_pfx").rowsBetween(Window.unboundedPreceding, -1)
     extra = [F.sum("_c").over(Window.partitionBy(*group_cols)).alias(count_col)] if count_col else []
-    # window over the bounded count table only (groups x 16**prefix_len rows)
     offs = counts.select(*group_cols, "_pfx", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"), *extra)
-    j = d.join(F.broadcast(offs), [*group_cols, "_pfx"], "inner")
+    j = d.join(offs, [*group_cols, "_pfx"], "inner")
     wr = Window.partitionBy(*group_cols, "_pfx").orderBy(hash_col)
     return j.withColumn(out_col, F.col("_before") + F.row_number().over(wr)).drop("_pfx", "_before")

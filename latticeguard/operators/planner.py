@@ -1,25 +1,27 @@
 """Dependency-aware migration planning.
 
-* levels (D4): longest-path level by iterated join `level(src) = max(level(dst)) + 1`,
-  with a reliable checkpoint every few rounds (lineage stays short and survives
-  executor loss) and a cycle error when it has not converged;
+* levels (D4): peeling. A node whose dependencies all have a level gets the next one; each
+  round reads only the edges that are still open, so the work shrinks with the rounds.
+  The graph's depth is not bounded, and a cycle shows as open edges without a ready node;
 * phases (D3): inside each level, HIGH-complexity items are capped per phase;
-  every rank is an exact bucketed row number (no unpartitioned window);
+  every rank is an exact bucketed row number (no unpartitioned window over rows);
 * checks (O5): a self-join of the dependency edges against the plan.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CRITICALITY_DEFAULT, CRITICALITY_SCORE
+from ..functions.quantiles import rows_before
+from ..session import checkpoint_dir, materialize, release
 
 # Fixed values (ours, D1/D3): weights of risk, business impact and 1/complexity; HIGH items per phase.
 PLAN_WEIGHTS = (0.5, 0.3, 0.2)
 HIGH_PER_PHASE = 25
 BUCKETS = 4096
-MAX_BUCKET_ROWS = 4_000_000
 
 
 def bucketed_row_number(df: DataFrame, partition_cols: list[str], bucket_col: str, order: list[Column],
@@ -28,8 +30,7 @@ def bucketed_row_number(df: DataFrame, partition_cols: list[str], bucket_col: st
     order-preserving bucket (an integer). Counts per (P, B) give offsets; the final
     window is partitioned by (P, B), so no task holds a whole partition of P."""
     counts = df.groupBy(*partition_cols, bucket_col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*partition_cols).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*partition_cols, bucket_col, F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"))
+    offs = rows_before(counts, partition_cols, bucket_col, "_c", "_before").drop("_c")
     j = df.join(offs, [*partition_cols, bucket_col], "inner")
     wr = Window.partitionBy(*partition_cols, bucket_col).orderBy(*order)
     return j.withColumn(out_col, F.col("_before") + F.row_number().over(wr)).drop("_before")
@@ -45,7 +46,8 @@ def score_row_number(df: DataFrame, partition_cols: list[str], score_col: str, i
     (P, score, id range). The offsets come from one partial-aggregated count table; the
     windows over it see distinct scores or id ranges, and the final window partitions by
     (P, score, id range), so a score held by a third of all rows is split into id ranges
-    of at most `id_range` rows instead of landing in one task.
+    of at most `id_range` rows instead of landing in one task. All joins are by key; Spark
+    broadcasts an offset table only when it is small.
     """
     k = F.coalesce(F.col(score_col).cast("double"), F.lit(float("-inf")))
     d = df.withColumn("_k", k).withColumn(
@@ -53,7 +55,7 @@ def score_row_number(df: DataFrame, partition_cols: list[str], score_col: str, i
                        F.lit(buckets)).cast("long")) \
         .withColumn("_ir", F.floor(F.col(id_col) / F.lit(id_range)).cast("long"))
     cnt = d.groupBy(*partition_cols, "_sb", "_k", "_ir").agg(F.count(F.lit(1)).alias("_c"))
-    # rows in higher score buckets: a (groups x buckets) table, size checked, then broadcast
+    # rows in higher score buckets: at most `buckets` + 1 rows per group
     per_b = cnt.groupBy(*partition_cols, "_sb").agg(F.sum("_c").alias("_nb"))
     off_b = per_b.select(*partition_cols, "_sb", F.coalesce(
         F.sum("_nb").over(Window.partitionBy(*partition_cols).orderBy("_sb")
@@ -69,45 +71,46 @@ def score_row_number(df: DataFrame, partition_cols: list[str], score_col: str, i
          - F.sum("_c").over(ws)).alias("_before_s"),
         F.coalesce(F.sum("_c").over(ws.orderBy("_ir").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_before_r"))
-    n_b = per_b.count()
-    if n_b > MAX_BUCKET_ROWS:
-        raise ValueError(f"{n_b} (group, score bucket) rows exceed the broadcast bound {MAX_BUCKET_ROWS}")
-    offs = offs.join(F.broadcast(off_b), [*partition_cols, "_sb"]).select(
+    offs = offs.join(off_b, [*partition_cols, "_sb"]).select(
         *partition_cols, "_k", "_ir", (F.col("_before_b") + F.col("_before_s") + F.col("_before_r")).alias("_before"))
     j = d.join(offs, [*partition_cols, "_k", "_ir"])
     w = Window.partitionBy(*partition_cols, "_k", "_ir").orderBy(F.col(id_col).asc())
     return j.withColumn(out_col, F.col("_before") + F.row_number().over(w)).drop("_k", "_sb", "_ir", "_before")
 
 
-def dependency_levels(assets: DataFrame, edges: DataFrame, checkpoint_every: int = 4, max_rounds: int = 100,
-                      checkpoint: bool = True) -> DataFrame:
-    """(asset_id, level); edges are (src depends on dst). Raises on a cycle."""
-    nodes = assets.select("asset_id")
-    e = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
-    level = nodes.withColumn("level", F.lit(0))
-    n_nodes = None
-    for i in range(1, max_rounds + 1):
-        cand = e.join(level.select(F.col("asset_id").alias("dst"), "level"), "dst") \
-            .groupBy(F.col("src").alias("asset_id")).agg((F.max("level") + 1).alias("cand"))
-        new = nodes.join(cand, "asset_id", "left").select(
-            "asset_id", F.coalesce(F.col("cand"), F.lit(0)).alias("level"))
-        if checkpoint and i % checkpoint_every == 0:
-            new = new.checkpoint(eager=True)  # reliable: written to spark.checkpoint.dir
-        else:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        changed = new.join(level.withColumnRenamed("level", "old"), "asset_id") \
-            .where(F.col("level") != F.col("old")).limit(1).count()
-        level.unpersist()
-        level = new
-        if changed == 0:
-            e.unpersist()
-            return level
-        if n_nodes is None:
-            n_nodes = nodes.count()
-        if i > n_nodes:
-            break
-    e.unpersist()
-    raise ValueError("dependency graph has a cycle (levels did not converge)")
+def dependency_levels(assets: DataFrame, edges: DataFrame) -> DataFrame:
+    """(asset_id, level) by longest path; edges are (src depends on dst), both among the assets.
+
+    Round i closes the edges into the nodes of level i - 1; a node whose last open edge
+    closes has level i. The rounds equal the graph's depth. Open edges that no round can
+    close lie on or behind a cycle: an error. Each round's open edges and levels are
+    written to the shared checkpoint folder: plans stay flat however deep the graph is, and
+    a lost executor costs a part of one round.
+    """
+    spark = assets.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/levels-{uuid.uuid4().hex}"
+    kind = assets.schema["asset_id"].dataType.simpleString()
+
+    def found(nodes: DataFrame, level: int) -> DataFrame:
+        nodes.select("asset_id").write.parquet(f"{path}/level={level}")
+        return spark.read.schema(f"asset_id {kind}").parquet(f"{path}/level={level}")
+
+    open_edges = materialize(edges.select("src", "dst").distinct(), "level-edges")
+    fresh = found(assets.join(open_edges.select(F.col("src").alias("asset_id")), "asset_id", "left_anti"), 0)
+    level = 0
+    while not fresh.isEmpty():
+        closed = fresh.select(F.col("asset_id").alias("dst"), F.lit(True).alias("closed"))
+        marked = open_edges.join(closed, "dst", "left")
+        level += 1
+        fresh = found(marked.groupBy(F.col("src").alias("asset_id")).agg(F.count_if(F.col("closed").isNull()).alias("n"))
+                      .where("n = 0"), level)
+        still_open = materialize(marked.where("closed IS NULL").select("src", "dst"), "level-edges")
+        release(open_edges)
+        open_edges = still_open
+    left = open_edges.select("src").distinct().count()
+    if left:
+        raise ValueError(f"dependency graph has a cycle: {left} nodes on or behind it have no level")
+    return spark.read.schema(f"asset_id {kind}, level int").option("basePath", path).parquet(path)
 
 
 def criticality_score(c: Column) -> Column:
@@ -162,24 +165,22 @@ def baseline_plan(items: DataFrame, n_phases: int = 4) -> DataFrame:
 def weighted_plan(items: DataFrame, levels: DataFrame, cap: int = HIGH_PER_PHASE) -> DataFrame:
     """Level first; HIGH items get sub-phase ceil(rn / cap) within their level, others 1;
     global phase = sub-phase + sum of max sub-phases of earlier levels; rank within phase (W5)."""
-    d = items.join(levels, "asset_id").withColumn(
-        "score", weighted_score(F.col("risk_score"), F.col("financial_data"), F.col("customer_data"),
-                                F.col("regulated_system"), F.col("migration_complexity")))
-    # each exact row number reads its input twice (counts, then rows), and the two are
-    # nested: both inputs are written once to the checkpoint folder and read back, which
-    # keeps every stage's plan short and its input safe from executor loss
-    from ..session import materialize
-
-    d = materialize(d.withColumn("is_high", (F.col("migration_complexity") == "HIGH").cast("int")), "wplan_items")
+    d = items.join(levels, "asset_id").select(
+        "asset_id", "level", (F.col("migration_complexity") == "HIGH").cast("int").alias("is_high"),
+        weighted_score(F.col("risk_score"), F.col("financial_data"), F.col("customer_data"),
+                       F.col("regulated_system"), F.col("migration_complexity")).alias("score"))
+    # the two exact row numbers are nested and each reads its input twice (counts, then
+    # rows): their inputs are written once, as four narrow columns; the items' other
+    # columns are joined to the result by key
+    d = materialize(d, "wplan_items")
     d = score_row_number(d, ["level", "is_high"], "score", "asset_id", "rn_c")
     d = materialize(d.withColumn("sub_phase", F.when(F.col("is_high") == 1, F.ceil(F.col("rn_c") / F.lit(cap)))
-                                 .otherwise(F.lit(1)).cast("int")), "wplan_subphases")
-    # per-level phase span is a small table (one row per level)
-    span = d.groupBy("level").agg(F.max("sub_phase").alias("span"))
-    w = Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
-    offs = span.select("level", F.coalesce(F.sum("span").over(w), F.lit(0)).alias("_lvl_before"))
-    d = d.join(F.broadcast(offs), "level").withColumn("phase", (F.col("_lvl_before") + F.col("sub_phase")).cast("int"))
-    return score_row_number(d.drop("rn_c", "_lvl_before"), ["phase"], "score", "asset_id", "rank")
+                                 .otherwise(F.lit(1)).cast("int")).drop("rn_c"), "wplan_subphases")
+    span = d.groupBy("level").agg(F.max("sub_phase").cast("long").alias("span"))
+    offs = rows_before(span, [], "level", "span", "_lvl_before").select("level", "_lvl_before")
+    d = d.join(offs, "level").withColumn("phase", (F.col("_lvl_before") + F.col("sub_phase")).cast("int"))
+    d = score_row_number(d.drop("_lvl_before"), ["phase"], "score", "asset_id", "rank")
+    return d.join(items, "asset_id")
 
 
 def plan_violations(plan: DataFrame, edges: DataFrame) -> DataFrame:
@@ -200,18 +201,11 @@ def phase_summary(plan: DataFrame) -> DataFrame:
     )
 
 
-MAX_BASELINE_KEYS = 4096
-
-
 def _baseline_ranks(baseline: DataFrame) -> DataFrame:
     """(asset_id, rb, rank_b): average rank of the baseline order's ties (equal baseline_key).
-    The key is criticality score x vulnerable flag, so the tie table has a handful of rows;
-    its size is checked before it is broadcast."""
+    The tie table has one row per distinct key (criticality score x vulnerable flag)."""
     ties = baseline.groupBy("baseline_key").agg(F.count(F.lit(1)).alias("_n"), F.min("rank").alias("_first"))
-    n_keys = ties.count()
-    if n_keys > MAX_BASELINE_KEYS:
-        raise ValueError(f"{n_keys} distinct baseline keys exceed the broadcast bound {MAX_BASELINE_KEYS}")
-    return baseline.join(F.broadcast(ties), "baseline_key").select(
+    return baseline.join(ties, "baseline_key").select(
         "asset_id", (F.col("_first") + (F.col("_n") - 1) / 2.0).alias("rb"), F.col("rank").alias("rank_b"))
 
 
@@ -274,7 +268,5 @@ def system_comparison(baseline: DataFrame, weighted: DataFrame, expert: DataFram
 def global_order(weighted: DataFrame) -> DataFrame:
     """Global position in the weighted plan: (phase, rank) -> 1..n, from per-phase counts."""
     counts = weighted.groupBy("phase").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("phase", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"))
-    return weighted.join(F.broadcast(offs), "phase").withColumn("_grank", F.col("_before") + F.col("rank")) \
-        .drop("_before")
+    offs = rows_before(counts, [], "phase", "_c", "_before").select("phase", "_before")
+    return weighted.join(offs, "phase").withColumn("_grank", F.col("_before") + F.col("rank")).drop("_before")

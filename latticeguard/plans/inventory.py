@@ -182,21 +182,16 @@ class Inventory:
     @cached_property
     def levels(self) -> DataFrame:
         from ..operators.planner import dependency_levels
-        from ..session import checkpoint_dir
 
-        checkpoint_dir(self.spark)
         return dependency_levels(self.assets, self.edges)
 
     @cached_property
     def plan_items(self) -> DataFrame:
-        from pyspark.sql import functions as F
-
         from ..operators.planner import reasoning
 
         return self.labelled.withColumn("reasoning", reasoning(self.labelled)).select(
             "asset_id", "risk_score", "criticality", "quantum_vulnerable", "financial_data", "customer_data",
-            "regulated_system", "migration_complexity", "algorithm", "key_size", "internet_accessible", "reasoning",
-            F.lit(0).alias("_unused")).drop("_unused")
+            "regulated_system", "migration_complexity", "algorithm", "key_size", "internet_accessible", "reasoning")
 
     @cached_property
     def baseline_plan(self) -> DataFrame:

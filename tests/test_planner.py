@@ -7,7 +7,7 @@ from latticeguard.operators.planner import dependency_levels
 def test_levels_longest_path(spark):
     assets = spark.createDataFrame([(i,) for i in range(5)], "asset_id long")
     edges = spark.createDataFrame([(1, 0), (2, 1), (2, 0), (3, 2), (4, 0)], "src long, dst long")
-    got = {r["asset_id"]: r["level"] for r in dependency_levels(assets, edges, checkpoint_every=2).collect()}
+    got = {r["asset_id"]: r["level"] for r in dependency_levels(assets, edges).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 1}
 
 
@@ -15,7 +15,35 @@ def test_cycle_raises(spark):
     assets = spark.createDataFrame([(i,) for i in range(3)], "asset_id long")
     edges = spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "src long, dst long")
     with pytest.raises(ValueError, match="cycle"):
-        dependency_levels(assets, edges, max_rounds=10)
+        dependency_levels(assets, edges)
+
+
+def test_self_loop_and_nodes_behind_a_cycle_raise(spark):
+    assets = spark.createDataFrame([(i,) for i in range(5)], "asset_id long")
+    edges = spark.createDataFrame([(0, 0), (1, 0), (2, 3)], "src long, dst long")
+    with pytest.raises(ValueError, match="cycle: 2 nodes"):
+        dependency_levels(assets, edges)
+
+
+def test_a_deep_chain_is_no_cycle(spark):
+    n = 105
+    assets = spark.createDataFrame([(i,) for i in range(n + 1)], "asset_id long")
+    edges = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(n, 0)], "src long, dst long")
+    got = {r["asset_id"]: r["level"] for r in dependency_levels(assets, edges).collect()}
+    assert got == {i: i for i in range(n + 1)}
+
+
+def test_offsets_over_more_ranges_than_one(spark):
+    from latticeguard.functions.quantiles import rows_before
+
+    counts = spark.createDataFrame([(g, b, (b * 7 + g) % 5 + 1) for g in range(2) for b in range(0, 300, 3)],
+                                   "g int, b long, c long")
+    got = {(r["g"], r["b"]): r["before"] for r in rows_before(counts, ["g"], "b", "c", "before", coarse=16).collect()}
+    for g in range(2):
+        total = 0
+        for b in range(0, 300, 3):
+            assert got[g, b] == total
+            total += (b * 7 + g) % 5 + 1
 
 
 def test_average_rank_matches_pandas_with_hot_ties(spark):
