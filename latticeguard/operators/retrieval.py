@@ -2,28 +2,33 @@
 
 * chunks: whitespace words, windows of 500 with 50 overlap, built with
   split/sequence/slice/explode -- every word of every text is covered;
-* top-k: query vectors (bounded, checked) are attached to each row with an
-  explode of a literal array (no join); an exact two-stage top-k keeps at most
-  k rows per (query, hash bucket), then k per query, so no task ranks a whole table;
-* rule hits: lines by posexplode, rules as literal regexes, matches exploded;
-* chunk embeddings (R13): bag-of-words term-count vectors -- tokens by a regex,
-  the vector norm by a run-length pass over the sorted tokens, all in-row;
-* retrieval (R14): cosine of term-count vectors between bounded query texts and
-  every chunk. Scoring is a per-partition hash lookup of each chunk's terms in
-  the (checked, bounded) query-term index, keeping the k best chunks per query
-  per task; only those candidates are shuffled for the final exact top-k.
+* top-k: query vectors are attached to each row with an explode of a literal array
+  (no join), a block of queries at a time; each task keeps k rows per query before
+  the shuffle (partial window limit), so no task ranks a whole table;
+* rule hits: lines by posexplode, rules as literal regexes, every match a finding row;
+* chunk embeddings (R13): bag-of-words term-count vectors -- Unicode letters and
+  digits, the norm by a run-length pass over the sorted tokens, all in-row;
+* retrieval (R14): cosine of term-count vectors between query texts and every chunk,
+  a block of queries at a time. Scoring turns an Arrow batch into sparse term counts
+  and adds up postings of the block's terms in arrays; each task keeps the k best
+  chunks per query, and only those are shuffled for the final exact top-k.
 """
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK_WORDS = 500
 CHUNK_OVERLAP = 50
-TOPK_BUCKETS = 256
-MAX_QUERIES = 1024
-MAX_QUERY_TERMS = 1_000_000
-TOKEN_RX = "[0-9A-Za-z]+"
+#: Queries scored in one pass over the data; more queries take more passes.
+QUERY_BLOCK = 1024
+TOKEN_RX = r"[\p{L}\p{N}]+"
 
 # Fixed values (ours): weak-crypto rules over text lines -- (rule_id, regex, inferred algorithm).
 RULES = (
@@ -64,59 +69,67 @@ def l2(a: Column, b: Column) -> Column:
 
 
 def class_centroid_queries(embeddings: DataFrame) -> list[tuple[int, list[float]]]:
-    """Query vectors = mean embedding of each label class (computed by Spark; bounded and checked)."""
+    """Query vectors = mean embedding of each label class (computed by Spark, one row per class)."""
     dim = embeddings.select(F.size("embedding")).first()[0]
-    agg = embeddings.groupBy("label").agg(
-        *[F.avg(F.col("embedding")[i].cast("double")).alias(f"c{i}") for i in range(dim)])
-    rows = agg.limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors")
+    rows = embeddings.groupBy("label").agg(
+        *[F.avg(F.col("embedding")[i].cast("double")).alias(f"c{i}") for i in range(dim)]).collect()
     return sorted((int(r["label"]), [float(r[f"c{i}"]) for i in range(dim)]) for r in rows)
 
 
-def topk(embeddings: DataFrame, queries: list[tuple[int, list[float]]], k: int = 5, metric: str = "cosine") -> DataFrame:
-    """Exact top-k per query: (query_id, rank, vec_id, label, score)."""
-    if len(queries) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors")
-    qarr = F.array(*[F.struct(F.lit(qid).alias("qid"), F.array(*[F.lit(float(v)) for v in vec]).alias("qv"))
-                     for qid, vec in queries])
-    d = embeddings.select("vec_id", "label", "embedding", F.explode(qarr).alias("q"))
-    if metric == "cosine":
-        score = dot(F.col("embedding"), F.col("q.qv")) / (norm(F.col("embedding")) * norm(F.col("q.qv")))
-        order = [F.col("score").desc(), F.col("vec_id").asc()]
-    elif metric == "l2":
-        score = l2(F.col("embedding"), F.col("q.qv"))
-        order = [F.col("score").asc(), F.col("vec_id").asc()]
-    else:
+def topk(embeddings: DataFrame, queries: list[tuple[int, list[float]]], k: int = 5, metric: str = "cosine",
+         block: int = QUERY_BLOCK) -> DataFrame:
+    """Exact top-k per query: (query_id, rank, vec_id, label, score); one pass per block of queries."""
+    if metric not in ("cosine", "l2"):
         raise ValueError("metric must be cosine or l2")
-    d = d.select(F.col("q.qid").alias("query_id"), "vec_id", "label", score.alias("score"),
-                 F.pmod(F.xxhash64("vec_id"), F.lit(TOPK_BUCKETS)).alias("_b"))
-    w1 = Window.partitionBy("query_id", "_b").orderBy(*order)
-    d = d.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    w2 = Window.partitionBy("query_id").orderBy(*order)  # at most TOPK_BUCKETS * k rows per query
-    return d.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "label", "score")
+    cosine = metric == "cosine"
+    rows = embeddings.select("vec_id", "label", "embedding", norm(F.col("embedding")).alias("n"))
+    order = [F.col("score").desc() if cosine else F.col("score").asc(), F.col("vec_id").asc()]
+    best = Window.partitionBy("query_id").orderBy(*order)
+    out = None
+    for at in range(0, max(1, len(queries)), block):
+        qarr = F.array(*[F.struct(F.lit(qid).alias("qid"), F.array(*[F.lit(float(v)) for v in vec]).alias("qv"),
+                                  F.lit(math.sqrt(sum(v * v for v in vec))).alias("qn"))
+                         for qid, vec in queries[at:at + block]])
+        d = rows.select("vec_id", "label", "embedding", "n", F.explode(qarr).alias("q"))
+        score = dot(F.col("embedding"), F.col("q.qv")) / (F.col("n") * F.col("q.qn")) if cosine else l2(
+            F.col("embedding"), F.col("q.qv"))
+        d = d.select(F.col("q.qid").alias("query_id"), "vec_id", "label", score.alias("score"))
+        d = d.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
+            .select("query_id", "rank", "vec_id", "label", "score")
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 def rule_hits(documents: DataFrame, rules=RULES) -> DataFrame:
-    """(doc_id, line_no, rule_id, snippet, algorithm) for every matching line."""
-    lines = documents.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "line"))
-    hits = F.filter(
-        F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.col("line").rlike(rx).alias("m"),
-                           F.regexp_extract(F.col("line"), rx, 0).alias("snippet"),
-                           F.lit(alg).cast("string").alias("algorithm")) for rid, rx, alg in rules]),
-        lambda h: h["m"])
-    return lines.select("doc_id", (F.col("pos") + 1).alias("line_no"), F.explode(hits).alias("h")).select(
-        "doc_id", "line_no", "h.rule_id", "h.snippet", "h.algorithm")
-
-
-def keyword_search(findings: DataFrame, terms: tuple[str, ...]) -> DataFrame:
-    """Findings whose algorithm, hostname, repo or detail values contain a term (case-insensitive)."""
-    hay = F.lower(F.concat_ws(" ", F.col("algorithm"), F.col("asset_hint.hostname"), F.col("asset_hint.repo"),
-                              F.array_join(F.map_values(F.col("detail")), " ")))
-    d = findings.select("finding_id", "asset_id", hay.alias("hay"),
-                        F.explode(F.array(*[F.lit(t.lower()) for t in terms])).alias("term"))
-    return d.where(F.instr(F.col("hay"), F.col("term")) > 0).select("term", "finding_id", "asset_id")
+    """Every match of every rule as a finding row:
+    (doc_id, path, line_no, rule_id, match_no, snippet, algorithm)."""
+    lines = documents.select(
+        "doc_id", F.concat_ws("/", F.col("source"), F.col("doc_id").cast("string")).alias("path"),
+        F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "line"))
+    hits = F.array(*[F.struct(F.lit(rid).alias("rule_id"), F.regexp_extract_all("line", F.lit(rx), F.lit(0)).alias("found"),
+                              F.lit(alg).cast("string").alias("algorithm")) for rid, rx, alg in rules])
+    rows = lines.select("doc_id", "path", (F.col("pos") + 1).alias("line_no"), F.explode(hits).alias("h")) \
+        .where(F.size("h.found") > 0)
+    return rows.select("doc_id", "path", "line_no", "h.rule_id", "h.algorithm",
+                       F.posexplode("h.found").alias("match_pos", "snippet")).select(
+        "doc_id", "path", "line_no", "rule_id", (F.col("match_pos") + 1).alias("match_no"), "snippet", "algorithm")
+
+
+def keyword_search(findings: DataFrame, assets: DataFrame, terms: tuple[str, ...]) -> DataFrame:
+    """Findings (algorithm, hostname, repo, detail) and assets (hostname, repo, data asset, criticality,
+    zone) that contain a term, case-insensitively: (term, kind, id, asset_id)."""
+    def hay(*parts: Column) -> Column:
+        return F.lower(F.concat_ws(" ", *parts)).alias("hay")
+
+    rows = findings.select(
+        F.lit("finding").alias("kind"), F.col("finding_id").alias("id"), "asset_id",
+        hay(F.col("algorithm"), F.col("asset_hint.hostname"), F.col("asset_hint.repo"),
+            F.array_join(F.map_values(F.col("detail")), " "))).unionByName(
+        assets.select(F.lit("asset").alias("kind"), F.col("asset_id").cast("string").alias("id"), "asset_id",
+                      hay(F.col("hostname"), F.col("repo"), F.col("data_asset"), F.col("criticality"),
+                          F.col("network_zone"))))
+    d = rows.select("kind", "id", "asset_id", "hay", F.explode(F.array(*[F.lit(t.lower()) for t in terms])).alias("term"))
+    return d.where(F.instr(F.col("hay"), F.col("term")) > 0).select("term", "kind", "id", "asset_id")
 
 
 def latest_per_key(history: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
@@ -126,7 +139,7 @@ def latest_per_key(history: DataFrame, key: str, ts: str, cols: list[str]) -> Da
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased ASCII word tokens, in text order."""
+    """Lower-cased runs of letters and digits of any script, in text order."""
     return F.transform(F.regexp_extract_all(text, F.lit(TOKEN_RX), 0), lambda t: F.lower(t))
 
 
@@ -158,68 +171,95 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("c"))
 
 
-def _query_index(terms: DataFrame):
-    """Collect the bounded query-term table into a term -> (query slots, weights) index."""
-    import numpy as np
-
-    n_terms = terms.count()
-    if n_terms > MAX_QUERY_TERMS:
-        raise ValueError(f"{n_terms} query terms exceed the bound {MAX_QUERY_TERMS}")
-    rows = terms.collect()
-    qids = sorted({int(r["query_id"]) for r in rows})
-    if len(qids) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries")
+def _postings(rows: list, qids: list[int]):
+    """(terms, offsets, slots, weights, norms): the postings of a block's terms, as flat arrays."""
     slot = {q: i for i, q in enumerate(qids)}
-    sq = np.zeros(len(qids))
-    post: dict[str, list[tuple[int, float]]] = {}
-    for r in rows:
-        i, c = slot[int(r["query_id"])], float(r["c"])
-        sq[i] += c * c
-        post.setdefault(r["term"], []).append((i, c))
-    index = {t: (np.array([i for i, _ in v], dtype=np.int64), np.array([c for _, c in v])) for t, v in post.items()}
-    return np.array(qids, dtype=np.int64), np.sqrt(sq), index
-
-
-def retrieve(chunk_emb: DataFrame, terms: DataFrame, k: int = 5) -> DataFrame:
+    rows = sorted(rows, key=lambda r: r["term"])
+    terms, counts = np.unique(np.array([r["term"] for r in rows], dtype=object), return_counts=True)
+    slots = np.array([slot[int(r["query_id"])] for r in rows], np.int64)
+    weights = np.array([float(r["c"]) for r in rows])
+    norms = np.sqrt(np.bincount(slots, weights * weights, len(qids)))
+    return terms.tolist(), np.concatenate(([0], np.cumsum(counts))), slots, weights, norms
+
+
+def _scores(tokens: pa.ListArray, index, n_queries: int) -> np.ndarray:
+    """Cosine of every chunk of a slice with every query of a block, rounded to 9 digits (0: nothing shared)."""
+    terms, offsets, slots, weights, norms = index
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False), np.int64)
+    words = tokens.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(tokens)), lengths)
+    size = max(1, len(words.dictionary))
+    pairs, counts = np.unique(owner * size + words.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    chunk, word = pairs // size, pairs % size
+    lengths2 = np.sqrt(np.bincount(chunk, counts.astype(float) ** 2, len(tokens)))
+    if not len(words):
+        return np.zeros((len(tokens), n_queries))
+    term = pc.fill_null(pc.index_in(words.dictionary, pa.array(terms, pa.string())), -1).to_numpy(zero_copy_only=False)[word]
+    known = term >= 0
+    chunk, term, counts = chunk[known], term[known], counts[known]
+    fan = offsets[term + 1] - offsets[term]
+    place = np.repeat(offsets[term], fan) + np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
+    cell = np.repeat(chunk, fan) * n_queries + slots[place]
+    dots = np.bincount(cell, np.repeat(counts, fan) * weights[place], len(tokens) * n_queries).reshape(len(tokens), n_queries)
+    return np.round(dots / np.maximum(lengths2[:, None] * norms[None, :], 1e-300), 9)
+
+
+def _retrieve_block(chunk_emb: DataFrame, rows: list, k: int) -> DataFrame:
+    qids = sorted({int(r["query_id"]) for r in rows})
+    index = _postings(rows, qids)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list[tuple]] = [[] for _ in qids]
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNKS_AT_ONCE):
+                part = batch.slice(at, CHUNKS_AT_ONCE)
+                doc, chunk = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "chunk_no"))
+                scores = _scores(part.column("tokens"), index, len(qids))
+                for q in np.flatnonzero(scores.any(axis=0)):
+                    mine = scores[:, q]
+                    hits = np.flatnonzero(mine > (best[q][-1][0] if len(best[q]) == k else 0.0) - 1e-12)
+                    hits = hits[mine[hits] > 0]
+                    if not hits.size:
+                        continue
+                    hits = hits[np.lexsort((chunk[hits], doc[hits], -mine[hits]))][:k]
+                    sources = part.column("source").take(pa.array(hits)).to_pylist()
+                    merged = best[q] + [(float(mine[h]), int(doc[h]), int(chunk[h]), s)
+                                        for h, s in zip(hits, sources, strict=True)]
+                    best[q] = sorted(merged, key=lambda r: (-r[0], r[1], r[2]))[:k]
+        out = [(qid, d, c, s, score) for qid, mine in zip(qids, best, strict=True) for score, d, c, s in mine]
+        if out:
+            cols = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
+                 pa.array(cols[3], pa.string()), pa.array(cols[4], pa.float64())],
+                names=["query_id", "doc_id", "chunk_no", "source", "score"])
+
+    return chunk_emb.select("doc_id", "chunk_no", "source", "tokens").mapInArrow(
+        kernel, "query_id long, doc_id long, chunk_no int, source string, score double")
+
+
+#: Chunks scored together (times the queries of a block: the size of the score matrix).
+CHUNKS_AT_ONCE = 512
+
+
+def retrieve(chunk_emb: DataFrame, terms: DataFrame, k: int = 5, block: int = QUERY_BLOCK) -> DataFrame:
     """Exact top-k chunks per query by cosine of term-count vectors (score > 0 only):
     (query_id, rank, doc_id, chunk_no, source, score); ties by doc_id, chunk_no.
-    `chunk_emb` needs (doc_id, chunk_no, source, tokens); each task counts a chunk's
-    terms once and gets the dot products and the norm from those counts."""
-    import heapq
-    import math
-    from collections import Counter
-
-    import numpy as np
-    import pandas as pd
-
-    qids, qnorm, index = _query_index(terms)
-    nq = len(qids)
-    out_schema = "query_id long, doc_id long, chunk_no int, source string, score double"
-
-    def kernel(batches):
-        heaps: list[list] = [[] for _ in range(nq)]
-        for pdf in batches:
-            for doc, chunk, src, toks in zip(pdf["doc_id"], pdf["chunk_no"], pdf["source"], pdf["tokens"]):
-                if toks is None or len(toks) == 0:
-                    continue
-                counts = Counter(toks)
-                cn = math.sqrt(sum(c * c for c in counts.values()))
-                acc = np.zeros(nq)
-                for t, c in counts.items():
-                    hit = index.get(t)
-                    if hit is not None:
-                        acc[hit[0]] += c * hit[1]
-                for i in np.nonzero(acc)[0]:
-                    item = (round(float(acc[i] / (cn * qnorm[i])), 9), -int(doc), -int(chunk), src)
-                    h = heaps[i]
-                    if len(h) < k:
-                        heapq.heappush(h, item)
-                    elif item > h[0]:
-                        heapq.heapreplace(h, item)
-        rows = [(int(qids[i]), -d, -c, src, sc) for i, h in enumerate(heaps) for sc, d, c, src in h]
-        yield pd.DataFrame(rows, columns=["query_id", "doc_id", "chunk_no", "source", "score"])
-
-    cand = chunk_emb.select("doc_id", "chunk_no", "source", "tokens").mapInPandas(kernel, out_schema)
+
+    `chunk_emb` needs (doc_id, chunk_no, source, tokens). Queries are dealt into blocks by a
+    hash of their id; a block's terms go to every task, and each block is one pass.
+    """
+    blocks = max(1, -(-terms.select("query_id").distinct().count() // block))
+    dealt = terms.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    found = None
+    for b in range(blocks):
+        rows = dealt.where(F.col("block") == b).select("query_id", "term", "c").collect()
+        if rows:
+            part = _retrieve_block(chunk_emb, rows, k)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = chunk_emb.limit(0).select(F.lit(0).cast("long").alias("query_id"), "doc_id", "chunk_no", "source",
+                                          F.lit(0.0).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc(), F.col("chunk_no").asc())
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "doc_id", "chunk_no", "source", "score")

@@ -403,7 +403,7 @@ FROM (SELECT doc_id, source, w, unnest(generate_series(0, greatest(0, len(w) - 5
       FROM (SELECT doc_id, source, string_split_regex(trim(text), '\\s+') AS w FROM documents))"""
 _TERM_CTES = f"""WITH ch AS ({_CHUNKS_SQL}),
 ct AS (SELECT doc_id, chunk_no, lower(t) AS term, count(*) AS c
-       FROM (SELECT doc_id, chunk_no, unnest(regexp_extract_all(chunk_text, '[0-9A-Za-z]+')) AS t FROM ch) GROUP BY ALL),
+       FROM (SELECT doc_id, chunk_no, unnest(regexp_extract_all(chunk_text, '[\\p{{L}}\\p{{N}}]+')) AS t FROM ch) GROUP BY ALL),
 cn AS (SELECT doc_id, chunk_no, sqrt(sum(c * c)) AS norm, count(*) AS n_terms, sum(c) AS n_tokens FROM ct GROUP BY ALL)"""
 oracle("chunk_embeddings", _TERM_CTES + """
 SELECT ch.doc_id, ch.chunk_no, CAST(coalesce(cn.n_tokens, 0) AS INTEGER) AS n_tokens,
@@ -411,7 +411,7 @@ SELECT ch.doc_id, ch.chunk_no, CAST(coalesce(cn.n_tokens, 0) AS INTEGER) AS n_to
 FROM ch LEFT JOIN cn ON cn.doc_id = ch.doc_id AND cn.chunk_no = ch.chunk_no""")
 oracle("retrieve_passages", _TERM_CTES + """,
 qt AS (SELECT item_id, lower(t) AS term, count(*) AS c
-       FROM (SELECT item_id, unnest(regexp_extract_all(text, '[0-9A-Za-z]+')) AS t FROM benchmark) GROUP BY ALL),
+       FROM (SELECT item_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS t FROM benchmark) GROUP BY ALL),
 qn AS (SELECT item_id, sqrt(sum(c * c)) AS qnorm FROM qt GROUP BY 1),
 sc AS (SELECT q.item_id, t.doc_id, t.chunk_no, sum(CAST(q.c AS DOUBLE) * t.c) AS dot
        FROM qt q JOIN ct t ON t.term = q.term GROUP BY ALL),
@@ -443,22 +443,29 @@ oracle("embedding_topk_l2", _topk_sql(
     "sqrt(list_sum(list_transform(list_zip(e.e, c.qv), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))", "ASC"))
 
 _RULE_SQL = " UNION ALL ".join(
-    f"SELECT doc_id, line_no, '{rid}' AS rule_id, regexp_extract(line, '{rx}', 0) AS snippet, "
-    f"{('NULL' if alg is None else repr(alg))}::VARCHAR AS algorithm FROM lines WHERE regexp_matches(line, '{rx}')"
+    f"SELECT doc_id, path, line_no, '{rid}' AS rule_id, regexp_extract_all(line, '{rx}') AS found, "
+    f"{('NULL' if alg is None else repr(alg))}::VARCHAR AS algorithm FROM lines"
     for rid, rx, alg in _RULES)
 oracle("rule_hits", f"""
-WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+WITH lines AS (SELECT doc_id, concat_ws('/', source, CAST(doc_id AS VARCHAR)) AS path,
+                      unnest(string_split(text, chr(10))) AS line,
                       CAST(unnest(generate_series(1, len(string_split(text, chr(10))))) AS INTEGER) AS line_no
-               FROM documents)
-{_RULE_SQL}""")
+               FROM documents),
+hits AS ({_RULE_SQL})
+SELECT doc_id, path, line_no, rule_id, CAST(unnest(generate_series(1, len(found))) AS INTEGER) AS match_no,
+       unnest(found) AS snippet, algorithm FROM hits""")
 oracle("keyword_search", with_base("""
-SELECT term, finding_id, asset_id FROM (
-  SELECT finding_id, asset_id,
+SELECT term, kind, id, asset_id FROM (
+  SELECT 'finding' AS kind, finding_id AS id, asset_id,
          lower(concat_ws(' ', algorithm,
                CASE WHEN source = 'tls_scan' THEN 'asset-' || CAST(asset_id AS VARCHAR) || '.internal' END,
                CASE WHEN source <> 'tls_scan' THEN 'repo/asset-' || CAST(asset_id AS VARCHAR) END,
                CAST(l_partkey AS VARCHAR) || ' ' || CAST(l_suppkey AS VARCHAR))) AS hay
-  FROM findings) f, (VALUES ('rsa'), ('ml-'), ('repo/')) t(term)
+  FROM findings
+  UNION ALL
+  SELECT 'asset', CAST(asset_id AS VARCHAR), asset_id,
+         lower(concat_ws(' ', hostname, repo, data_asset, criticality, network_zone)) FROM assets) f,
+  (VALUES ('rsa'), ('ml-'), ('repo/')) t(term)
 WHERE instr(hay, term) > 0"""))
 oracle("latest_risk_score", with_base("""
 SELECT asset_id, round(risk_score, 9) AS risk_score, 'rule-noisy-v2' AS model_name, DATE '2001-11-05' AS scored_at

@@ -567,12 +567,13 @@ def retrieve_passages(spark, sf_dir):
 
 @register("rule_hits")
 def rule_hits(spark, sf_dir):
-    return rt.rule_hits(spread(inventory(spark, sf_dir).t.documents.select("doc_id", "text")))
+    return rt.rule_hits(spread(inventory(spark, sf_dir).t.documents.select("doc_id", "source", "text")))
 
 
 @register("keyword_search")
 def keyword_search(spark, sf_dir):
-    return rt.keyword_search(inventory(spark, sf_dir).findings, SEARCH_TERMS)
+    inv = inventory(spark, sf_dir)
+    return rt.keyword_search(inv.findings, inv.assets, SEARCH_TERMS)
 
 
 @register("latest_risk_score")
