@@ -9,8 +9,9 @@ space, characters beyond Latin, the special token) goes through `tokenizers` its
 from __future__ import annotations
 
 import base64
+import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -20,23 +21,29 @@ from tokenizers import Tokenizer
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Chunks a worker remembers (about 250 bytes each) before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 _LAST_PLAIN = "ɏ"
 _SPACED = re.compile(r" (?:\s|$)")
 
 
 class Encoder:
     def __init__(self, tokenizer: str, ranks: str):
-        self.exact = Tokenizer.from_file(public_tokenizers.path(tokenizer))
+        self.file = public_tokenizers.path(tokenizer)
         with open(public_tokenizers.path(ranks), "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.widths = np.zeros(max(table.values()) + 1, np.int64)
         for token, rank in table.items():
             self.widths[rank] = len(token)
-        self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        with open(self.file, encoding="utf-8") as text:
+            self.special = [token["content"] for token in json.load(text)["added_tokens"]]
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def exact(self) -> Tokenizer:
+        """Loaded by the first text that needs it; most workers never do."""
+        return Tokenizer.from_file(self.file)
+
     def whole(self, text: str) -> bytes:
         """Packed ids by `tokenizers`."""
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

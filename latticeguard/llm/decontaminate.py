@@ -39,7 +39,7 @@ IDENTITY = 0.8
 BITMAP_POWER = 25
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
-_TOKENS_AT_ONCE = 1 << 20
+_TOKENS_AT_ONCE = 1 << 18
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
