@@ -64,14 +64,3 @@ def epoch_millis_to_ts(x: Column) -> Column:
     """Epoch milliseconds given as number or text; garbage gives NULL."""
     return F.timestamp_millis(x.cast("string").try_cast("bigint"))
 
-
-def safe_div(a: Column, b: Column) -> Column:
-    return F.when(b == 0, F.lit(None).cast("double")).otherwise(a.cast("double") / b.cast("double"))
-
-
-def fmt4(x: Column) -> Column:
-    return F.format_string("%.4f", x)
-
-
-def fmt4_signed(x: Column) -> Column:
-    return F.format_string("%+.4f", x)

@@ -173,30 +173,25 @@ def threshold_sweep(df: DataFrame, y: str = "risk_score", p: str = "predicted_sc
 
 def roc_auc(df: DataFrame, y: str = "risk_score", p: str = "predicted_score",
             thresholds: Thresholds = Thresholds()) -> DataFrame:
-    """ROC-AUC of the score for each binary event 'label >= cut-off' (ties count half).
+    """ROC-AUC of the score for each binary event 'label >= cut-off' (ties count half; NULL with one class).
 
-    Spark ML's evaluator with numBins=0 is exact: it sorts the distinct scores
-    (a distributed sort) and integrates the curve by trapezoids.
+    One ranking of the scores (average ranks, no one-task window) serves every cut-off: with R
+    the sum of the positives' ranks from the top, R - pos (pos + 1) / 2 pairs are the wrong way
+    round. One aggregate holds the sums of all cut-offs.
     """
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from .planner import average_rank_desc
 
-    spark = df.sparkSession
     cuts = [m for _, m in thresholds.buckets if m > 0]
-    base = df.select(F.col(p).cast("double").alias("rawPrediction"), F.col(y).cast("double").alias("_y"))
-    rows = []
-    for c in cuts:
-        d = base.withColumn("label", (F.col("_y") >= F.lit(c)).cast("double"))
-        counts = d.agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
-        if counts["pos"] == 0 or counts["neg"] == 0:
-            rows.append((float(c), None, int(counts["pos"]), int(counts["neg"])))
-            continue
-        ev = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
-        rows.append((float(c), float(ev.evaluate(d)), int(counts["pos"]), int(counts["neg"])))
-    schema = T.StructType([
-        T.StructField("cutoff", T.DoubleType()), T.StructField("auc", T.DoubleType()),
-        T.StructField("n_pos", T.LongType()), T.StructField("n_neg", T.LongType()),
-    ])
-    return spark.createDataFrame(rows, schema)
+    ranked = average_rank_desc(df.where(F.col(p).isNotNull()), y, p)
+    hit = lambda c: F.col(y).cast("double") >= F.lit(float(c))
+    sums = [a for i, c in enumerate(cuts) for a in (
+        F.count_if(hit(c)).alias(f"pos{i}"), F.count_if(~hit(c)).alias(f"neg{i}"),
+        F.sum(F.when(hit(c), F.col("avg_rank"))).alias(f"r{i}"))]
+    stack = ", ".join(f"{float(c)}D, pos{i}, neg{i}, r{i}" for i, c in enumerate(cuts))
+    rows = ranked.agg(*sums).selectExpr(f"stack({len(cuts)}, {stack}) AS (cutoff, n_pos, n_neg, r)")
+    pos, neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
+    auc = F.when((pos > 0) & (neg > 0), F.lit(1.0) - (F.col("r") - pos * (pos + 1) / 2) / F.nullif(pos * neg, F.lit(0.0)))
+    return rows.select("cutoff", auc.alias("auc"), "n_pos", "n_neg")
 
 
 # --- expert-judged frame (M13, A20, M14) -------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..schemas import ECC_FAMILY, FEATURES, FEATURE_NAMES, SCHEMA_VERSION, required_columns
 
 
@@ -61,10 +62,26 @@ def asset_features(assets: DataFrame, rollup: DataFrame, deps: DataFrame) -> Dat
     )
 
 
-def ordered_features(df: DataFrame) -> DataFrame:
-    """The 16 features in schema order (fails naming every missing column)."""
-    required_columns(df.columns, FEATURE_NAMES, "feature table")
-    return df.select(*FEATURE_NAMES)
+def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
+    """P5: an empty batch is an error."""
+    if df.isEmpty():
+        raise ValueError(f"{what} is empty")
+    return df
+
+
+def fit_medians(df: DataFrame) -> dict[str, float]:
+    """Exact median of every numeric feature that has missing values in `df` (the training rows).
+
+    The one documented limitation of training: a missing number is taken to be the median.
+    """
+    numeric = [name for name, kind, _ in FEATURES if kind != "categorical"]
+    missing = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in numeric)).first()
+    medians = {c: exact_quantiles(df, c, [0.5])[0] for c in numeric if missing[c]}
+    return {c: 0.0 if m is None else float(m) for c, m in medians.items()}
+
+
+def impute(df: DataFrame, medians: dict[str, float]) -> DataFrame:
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()}) if medians else df
 
 
 def _category_lookup(c: Column, cats: dict[str, float], case_insensitive: bool = False) -> Column:
@@ -102,9 +119,9 @@ def encode_features(df: DataFrame, mode: str = "lenient", keep: tuple[str, ...]
         elif dtype == "boolean" and mode == "lenient":
             v = c.cast("double")
             err = F.when(c.isNull(), F.lit(f"missing feature {name}"))
-        elif dtype == "boolean":
+        elif mode == "strict":  # text and booleans are no numbers, whatever they spell
             v = F.lit(None).cast("double")
-            err = F.lit(f"feature {name} must be a number")
+            err = F.when(c.isNull(), F.lit(f"missing feature {name}")).otherwise(F.lit(f"feature {name} must be a number"))
         else:
             v = c.cast("string").try_cast("double")
             err = F.when(c.isNull(), F.lit(f"missing feature {name}")).when(
@@ -118,6 +135,35 @@ def encode_features(df: DataFrame, mode: str = "lenient", keep: tuple[str, ...]
     )
 
 
+def encode_instances(df: DataFrame, instance: str, keep: tuple[str, ...] = ("asset_id",)) -> DataFrame:
+    """Strict encode of JSON objects (one instance per row) by the type each value has in the JSON.
+
+    A number must be a JSON number and a category a known JSON string, case-sensitive; a missing
+    or null value is an error; other keys are ignored. Same output as `encode_features`.
+    """
+    d = df.withColumn("_v", F.try_parse_json(F.col(instance)))
+    cols, errors = [], []
+    for name, kind, cats in FEATURES:
+        value = F.try_variant_get(F.col("_v"), f"$.{name}", "variant")
+        typ = F.schema_of_variant(value)
+        absent = value.isNull() | (typ == "VOID")
+        text = F.try_variant_get(F.col("_v"), f"$.{name}", "string")
+        if kind == "categorical":
+            v = F.when(typ == "STRING", _category_lookup(text, cats))
+            bad = F.when(typ != "STRING", F.lit(f"feature {name} must be a known string")).when(
+                v.isNull(), F.concat(F.lit(f"unknown category for {name}: "), text))
+        else:
+            is_number = typ.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+            v = F.when(is_number, F.try_variant_get(F.col("_v"), f"$.{name}", "double"))
+            bad = F.when(~is_number, F.lit(f"feature {name} must be a number"))
+        cols.append(v.cast("float").cast("double").alias(name))
+        errors.append(F.when(absent, F.lit(f"missing feature {name}")).otherwise(bad))
+    whole = F.schema_of_variant(F.col("_v")).startswith("OBJECT")
+    error = F.when(F.coalesce(whole, F.lit(False)), F.nullif(F.concat_ws("; ", *errors), F.lit(""))).otherwise(
+        F.lit("instance is not a JSON object"))
+    return d.select(*keep, *cols, error.alias("encode_error"))
+
+
 def feature_profile(features: DataFrame) -> DataFrame:
     """Null rate of every feature and the row count, in one pass, long format."""
     aggs = [F.count(F.lit(1)).alias("__rows")] + [

@@ -9,7 +9,7 @@ application-certificate side). No graph library and no driver-side traversal.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ECC_FAMILY
@@ -87,17 +87,18 @@ def build(assets: DataFrame, orders: DataFrame, nation: DataFrame) -> tuple[Data
     return nodes, edges
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], recency: str | None = None) -> DataFrame:
     """MERGE by key, incoming wins; applying the same batch twice equals once.
 
-    Partial aggregation per key (max_by over a source rank), not a window, so a
-    hot key is combined map-side."""
+    Of several incoming rows of one key, the one with the highest `recency` (a column of the
+    batch only) wins, ties by the row's own values: the winner is one whole row and doesn't depend
+    on the order of the rows. A partial aggregation per key, so a hot key is combined map-side."""
     cols = [c for c in current.columns if c not in keys]
-    a = current.withColumn("_rank", F.lit(0))
-    b = incoming.select(*current.columns).withColumn("_rank", F.lit(1))
-    u = a.unionByName(b)
-    agg = [F.max_by(F.col(c), F.col("_rank")).alias(c) for c in cols]
-    return u.groupBy(*keys).agg(*agg).select(*current.columns)
+    a = current.withColumn("_rank", F.lit(-1).cast("long"))
+    when = F.col(recency).cast("long") if recency else F.lit(0).cast("long")
+    b = incoming.select(*current.columns, F.greatest(when, F.lit(0).cast("long")).alias("_rank"))
+    rows = a.unionByName(b).groupBy(*keys).agg(F.max(F.struct("_rank", *cols)).alias("_row"))
+    return rows.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in current.columns))
 
 
 def _rel(edges: DataFrame, rel: str, src: str, dst: str) -> DataFrame:
@@ -118,10 +119,14 @@ def critical_apps_on_algorithm(nodes: DataFrame, edges: DataFrame, algorithm: st
 
 
 def downstream_of_certificates(edges: DataFrame) -> DataFrame:
-    """For every certificate, its algorithm and the number of data assets that algorithm protects."""
-    per_alg = _rel(edges, "PROTECTS", "alg", "data").groupBy("alg").agg(F.count(F.lit(1)).alias("n_data_assets"))
-    return _rel(edges, "SIGNED_WITH", "cert", "alg").join(per_alg, "alg", "left").select(
-        "cert", "alg", F.coalesce(F.col("n_data_assets"), F.lit(0)).alias("n_data_assets"))
+    """For every certificate, its algorithm and the data assets that algorithm protects
+    (their number, and their names in order, comma-separated)."""
+    per_alg = _rel(edges, "PROTECTS", "alg", "data").groupBy("alg").agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list("data")), ",").alias("names"))
+    # one row per algorithm node: bounded by the vulnerability table x key sizes
+    return _rel(edges, "SIGNED_WITH", "cert", "alg").join(F.broadcast(per_alg), "alg", "left").select(
+        "cert", "alg", F.coalesce(F.col("n"), F.lit(0)).alias("n_data_assets"),
+        F.coalesce(F.col("names"), F.lit("")).alias("data_assets"))
 
 
 def algorithms_protecting(nodes: DataFrame, edges: DataFrame, classification: str = "customer") -> DataFrame:
@@ -173,5 +178,3 @@ def node_counts(nodes: DataFrame) -> DataFrame:
     """R3."""
     return nodes.groupBy("node_type").agg(F.count(F.lit(1)).alias("n_nodes"))
 
-
-__all__ = ["build", "upsert", "Window"]

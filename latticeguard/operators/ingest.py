@@ -29,15 +29,31 @@ def scan_coverage(attempts: DataFrame) -> DataFrame:
 
 
 def resolve_assets(findings: DataFrame, assets: DataFrame) -> DataFrame:
-    """Match a finding's hint to an asset by hostname, else by repo; unmatched get md5(hint)."""
-    by_host = assets.select(F.col("hostname").alias("_h"), F.col("asset_id").alias("_by_host"))
-    by_repo = assets.select(F.col("repo").alias("_r"), F.col("asset_id").alias("_by_repo"))
+    """Match a finding's hint to an asset by hostname, else by repo; unmatched get md5(hint).
+
+    One equi-join of the hints that exist with one table of asset keys; no null key is ever
+    shuffled, so findings without a hostname don't meet in one task. A finding with both hints
+    has two rows in that join and keeps its best match (hostname first); a finding without any
+    hint needs no join.
+    """
+    keys = assets.select("asset_id", F.explode(F.array(
+        F.struct(F.lit("hostname").alias("kind"), F.col("hostname").alias("key")),
+        F.struct(F.lit("repo").alias("kind"), F.col("repo").alias("key")))).alias("k")) \
+        .select("k.kind", "k.key", "asset_id").where(F.col("key").isNotNull())
     f = findings.select("finding_id", F.col("asset_hint.hostname").alias("_h"), F.col("asset_hint.repo").alias("_r"))
-    j = f.join(by_host, "_h", "left").join(by_repo, "_r", "left")
-    key = F.coalesce(F.col("_h"), F.col("_r"))
-    return j.select(
-        "finding_id",
-        F.coalesce(F.col("_by_host").cast("string"), F.col("_by_repo").cast("string"), F.md5(key)).alias("resolved_asset"),
-        F.when(F.col("_by_host").isNotNull(), F.lit("hostname")).when(F.col("_by_repo").isNotNull(), F.lit("repo"))
-        .otherwise(F.lit("created")).alias("matched_by"),
-    )
+    hints = F.filter(F.array(F.struct(F.lit("hostname").alias("kind"), F.col("_h").alias("key")),
+                             F.struct(F.lit("repo").alias("kind"), F.col("_r").alias("key"))), lambda x: x["key"].isNotNull())
+    f = f.select("finding_id", hints.alias("hints"))
+    j = f.select("finding_id", F.size("hints").alias("n"), F.element_at("hints", 1)["key"].alias("hint"),
+                 F.explode("hints").alias("h")).select("finding_id", "n", "hint", "h.kind", "h.key") \
+        .join(keys, ["kind", "key"], "left")
+    one = j.where("n = 1").select("finding_id", "hint", "asset_id", "kind")
+    both = j.where("n = 2").groupBy("finding_id").agg(
+        F.max("hint").alias("hint"), F.min(F.when(F.col("asset_id").isNotNull(), F.struct("kind", "asset_id"))).alias("b")) \
+        .select("finding_id", "hint", "b.asset_id", "b.kind")
+    none = f.where(F.size("hints") == 0).select("finding_id", F.lit(None).cast("string").alias("hint"),
+                                                F.lit(None).cast("long").alias("asset_id"), F.lit("created").alias("kind"))
+    found = one.unionByName(both).unionByName(none)
+    return found.select(
+        "finding_id", F.coalesce(F.col("asset_id").cast("string"), F.md5(F.col("hint"))).alias("resolved_asset"),
+        F.when(F.col("asset_id").isNotNull(), F.col("kind")).otherwise(F.lit("created")).alias("matched_by"))

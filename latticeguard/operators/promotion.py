@@ -14,10 +14,12 @@ model of every environment is decided in one job:
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Policy, Rules
+from ..config import Policy
 
 # Gate names in evaluation order, and reason message formats.
 GATES = ("comparability", "absolute floor", "relative improvement", "regression", "age", "environment gating")
@@ -162,7 +164,9 @@ def _rules_array(policy: Policy) -> Column:
 
 
 def _fmt(template: str, *cols: Column) -> Column:
-    return F.format_string(template, *cols)
+    """A message; its numbers are those of the ledger's number columns, rounded half away from zero."""
+    spots = re.findall(r"%[+.0-9]*[a-z]", template)
+    return F.format_string(template, *(F.round(F.round(c, 9), 4) if spot.endswith("f") else c for c, spot in zip(cols, spots, strict=True)))
 
 
 def gate_ledger(comp: DataFrame, pairs: DataFrame, policy: Policy, now: Column,
@@ -306,6 +310,3 @@ def alias_flip(model_aliases: DataFrame, resolved: DataFrame, decided: DataFrame
     keep = model_aliases.join(approved.select("model", "alias"), ["model", "alias"], "left_anti")
     return keep.unionByName(approved.select("model", "alias", "version"))
 
-
-def rules_table(policy: Policy) -> list[Rules]:
-    return policy.all_rules()

@@ -6,11 +6,13 @@ list, so one asset with a huge number of findings cannot overload a task.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Thresholds
 from ..functions.exprs import priority_bucket
+from ..functions.quantiles import hashed_row_number
 
 
 def posture_summary(rule_labelled: DataFrame, certs_expiring: DataFrame,
@@ -53,3 +55,32 @@ def export_versioned(features: DataFrame, root: str, stamp: str, fmt: str = "par
     w = features.write.mode("errorifexists").partitionBy("schema_version")
     (w.parquet(path) if fmt == "parquet" else w.json(path))
     return path
+
+
+def write_csv(df: DataFrame, path: str) -> str:
+    """S3: CSV with a header line, nulls as empty fields."""
+    df.write.option("header", True).csv(path)
+    return path
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S3: CSV with a header, under a given schema; a header that differs from it is an error."""
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
+def create_assets(assets: DataFrame, new: DataFrame, key: str = "hostname") -> DataFrame:
+    """`assets` and the assets of `new` (without asset_id) that no key of `assets` names, with new ids.
+
+    Ids go on from the highest, in the order of a hash of the key; the numbers come from per-bucket counts, not
+    from one sorted task."""
+    fresh = new.dropDuplicates([key]).join(assets.select(key), key, "left_anti").withColumn(
+        "_h", F.md5(F.col(key)))
+    start = assets.agg(F.coalesce(F.max("asset_id"), F.lit(-1).cast("long"))).scalar()
+    numbered = hashed_row_number(fresh, [], "_h")
+    return assets.unionByName(numbered.select((start + F.col("rn")).cast("long").alias("asset_id"),
+                                              *(c for c in assets.columns if c != "asset_id")))
+
+
+def lookup_asset(assets: DataFrame, asset_id: int) -> DataFrame:
+    """One asset by id (the filter reaches the scan)."""
+    return assets.where(F.col("asset_id") == asset_id)

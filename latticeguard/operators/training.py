@@ -12,9 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder  # noqa: F401  (ParamGridBuilder for users)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +21,7 @@ from pyspark.sql import types as T
 from ..config import PARAM_GRID, Thresholds
 from ..functions.exprs import clip01, priority_bucket
 from ..schemas import FEATURE_NAMES, SCHEMA_VERSION
-from .features import encode_features
+from .features import encode_features, impute, require_rows
 
 
 @dataclass(frozen=True)
@@ -36,11 +35,15 @@ def _gbt(seed: int) -> GBTRegressor:
     return GBTRegressor(featuresCol="features", labelCol="risk_score", predictionCol="raw_prediction", seed=seed)
 
 
-def training_frame(labelled: DataFrame, key: str = "asset_id") -> DataFrame:
-    """Lenient encode (training mode) + label; rows that fail encoding are excluded
-    here and reported by `encode_errors`."""
-    enc = encode_features(labelled, "lenient", keep=(key, "risk_score"))
-    return enc.where(F.col("encode_error").isNull()).drop("encode_error")
+def training_frame(labelled: DataFrame, key: str = "asset_id", medians: dict[str, float] | None = None) -> DataFrame:
+    """Lenient encode (training mode) + label. Missing numbers take the training median (P16); any other
+    row that can't be encoded is an error: no row ever leaves training silently."""
+    require_rows(labelled, "training data")
+    enc = encode_features(impute(labelled, medians or {}), "lenient", keep=(key, "risk_score"))
+    bad = enc.where(F.col("encode_error").isNotNull()).groupBy("encode_error").count().orderBy(F.desc("count")).take(5)
+    if bad:
+        raise ValueError("training rows can't be encoded: " + "; ".join(f"{r['encode_error']} ({r['count']} rows)" for r in bad))
+    return enc.drop("encode_error")
 
 
 def _sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
@@ -57,9 +60,10 @@ def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_
     """M2-M4: CV over the explicit 4-config list; best = min mean MAE (ties by grid order).
 
     Same result as CrossValidator with a fold column (train on fold != f, MAE on
-    fold == f; mean and population std over folds), but all (config, fold) fits are
-    submitted together from driver threads, so the cluster runs them concurrently
-    instead of one fold after another (a boosted-tree fit is a chain of small jobs).
+    fold == f; mean and population std over folds), but (config, fold) fits are
+    submitted from driver threads, so the cluster runs up to `parallelism` of them at
+    once (a boosted-tree fit is a chain of small jobs). Each fit caches its own copy of
+    the training set: set `parallelism` by what the executors' memory holds.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -98,12 +102,14 @@ def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_
     return TrainResult(model=model, cv_results=res, best=best)
 
 
-def fit(train: DataFrame, params: tuple[int, int, float], seed: int = 42) -> PipelineModel:
-    """M1: final fit on the full training set."""
+def fit(train: DataFrame, params: tuple[int, int, float], seed: int = 42, scaled: bool = False) -> PipelineModel:
+    """M1: final fit on the full training set. P17: `scaled` puts a fitted scaler, saved with the pipeline,
+    before the learner (off by default, as trees don't need it)."""
     n, d, lr = params
     gbt = _gbt(seed).setMaxIter(n).setMaxDepth(d).setStepSize(lr)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features"), gbt])
-    return pipe.fit(train)
+    scale = [StandardScaler(inputCol="raw_features", outputCol="features", withMean=True)] if scaled else []
+    vector = VectorAssembler(inputCols=FEATURE_NAMES, outputCol="raw_features" if scaled else "features")
+    return Pipeline(stages=[vector, *scale, gbt]).fit(train)
 
 
 def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
@@ -120,6 +126,16 @@ def score(model: PipelineModel, encoded: DataFrame, key: str = "asset_id",
     return pred.select(key, s.alias("risk_score")).withColumn("priority", priority_bucket(F.col("risk_score"), thresholds))
 
 
+def score_all(model: PipelineModel, encoded: DataFrame, key: str = "asset_id",
+              thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """M7: every row of a strictly encoded batch: (key, risk_score, priority, encode_error); a row that
+    can't be encoded keeps its error and has no score."""
+    good = score(model, encoded.where(F.col("encode_error").isNull()).drop("encode_error"), key, thresholds)
+    bad = encoded.where(F.col("encode_error").isNotNull()).select(
+        key, F.lit(None).cast("double").alias("risk_score"), F.lit(None).cast("string").alias("priority"), "encode_error")
+    return good.withColumn("encode_error", F.lit(None).cast("string")).unionByName(bad)
+
+
 def with_provenance(scores: DataFrame, model_name: str, model_version: str, run_id: str,
                     scored_at: str) -> DataFrame:
     """M8: score write-back rows."""

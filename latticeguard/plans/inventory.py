@@ -29,10 +29,9 @@ def shared_inventory(spark: SparkSession, sf_dir: str) -> "Inventory":
 
 
 def release_all() -> None:
+    """Forget every shared inventory and what it persisted (cold timings)."""
     for inv in _CACHE.values():
-        for name in ("features", "labelled", "split", "levels", "baseline_plan", "weighted_plan"):
-            if name in inv.__dict__:
-                inv.__dict__[name].unpersist()
+        inv.spark.catalog.clearCache()
     _CACHE.clear()
 
 
@@ -120,17 +119,22 @@ class Inventory:
 
     # --- model ---------------------------------------------------------------------
 
+    @cached_property
+    def medians(self) -> dict[str, float]:
+        """Medians of the training rows, for missing numbers of either part."""
+        return feat.fit_medians(self.train)
+
     @cached_property
     def train_encoded(self) -> DataFrame:
         from ..operators.training import training_frame
 
-        return training_frame(self.train)
+        return training_frame(self.train, medians=self.medians)
 
     @cached_property
     def test_encoded(self) -> DataFrame:
         from ..operators.training import training_frame
 
-        return training_frame(self.test)
+        return training_frame(self.test, medians=self.medians)
 
     @cached_property
     def trained(self):

@@ -1,6 +1,7 @@
 """DuckDB oracle SQL, one string per registered query that is SQL-expressible."""
 from __future__ import annotations
 
+from ..schemas import FEATURE_NAMES
 from .oracle_base import bucket_sql, with_base
 
 ORACLE: dict[str, str] = {}
@@ -23,13 +24,9 @@ SELECT algorithm, quantum_vulnerable, count(*) AS n_findings FROM findings GROUP
 
 oracle("asset_features", with_base("SELECT * EXCLUDE (qv_raw) FROM features"))
 
-_FEATURES = ["algorithm_RSA", "algorithm_ECC", "key_size", "quantum_vulnerable", "internet_accessible",
-             "has_public_cert", "network_zone", "financial_data", "customer_data", "regulated_system",
-             "criticality", "dependency_count", "loc_estimate", "migration_complexity", "asset_age_days",
-             "previous_incident_flag"]
 oracle("feature_profile", with_base(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(avg(CAST({c} IS NULL AS DOUBLE)), 9) AS null_rate, count(*) AS row_count FROM features"
-    for c in _FEATURES)))
+    for c in FEATURE_NAMES)))
 
 oracle("finding_rollup", with_base("""
 SELECT r.asset_id, r.n_findings, r.n_vulnerable, r.n_unknown, CAST(r.last_discovered_at AS DATE) AS last_discovered_at,
@@ -107,6 +104,9 @@ dec_edges AS (SELECT quantile_cont(predicted_score, [0.0e0, 0.1e0, 0.2e0, 0.3e0,
               FROM pred_b)"""
 
 oracle("test_predictions", with_base("""
+SELECT asset_id, round(risk_score, 9) AS risk_score, actual_priority, TRUE AS score_in_range, TRUE AS bucket_agrees
+FROM pred_b""", EVAL_CTES))
+oracle("standin_predictions", with_base("""
 SELECT asset_id, round(risk_score, 9) AS risk_score, round(predicted_score, 9) AS predicted_score,
        actual_priority, predicted_priority FROM pred_b""", EVAL_CTES))
 oracle("regression_metrics", with_base("""
@@ -189,6 +189,28 @@ SELECT environment, model, gate, gate_order, metric, outcome, round(observed, 9)
 oracle("promotion_decisions", _prom("""
 SELECT environment, model, outcome, gate, metric, round(observed, 9) AS observed, round(required, 9) AS required,
        n_failures, on_pass FROM decisions"""))
+from ..operators import promotion as _pm  # noqa: E402
+from .oracle_promotion import _sql_fmt  # noqa: E402
+
+
+def _num(x: str, sign: str = "") -> str:
+    return f"printf('%{sign}.4f', round(round({x}, 9), 4))"
+
+
+oracle("promotion_report", _prom(f"""
+SELECT d.environment, d.model, d.outcome, d.gate,
+  CASE WHEN p.champ_run IS NULL THEN 'no champion alias yet: first promotion'
+       WHEN d.gate = 'comparability' THEN p.refusal
+       WHEN d.gate IN ('absolute floor', 'relative improvement', 'regression') AND d.observed IS NULL THEN
+            {_sql_fmt(_pm.MSG_NOT_EVALUATED, {"metric": "d.metric"})}
+       WHEN d.gate = 'absolute floor' THEN {_sql_fmt(_pm.MSG_BELOW_FLOOR, {"metric": "d.metric", "observed:.4": _num("d.observed"), "floor:.4": _num("d.required")})}
+       WHEN d.gate = 'relative improvement' THEN {_sql_fmt(_pm.MSG_NOT_ENOUGH_BETTER, {"metric": "d.metric", "gap:+.4": _num("d.observed", "+"), "required:+.4": _num("d.required", "+")})}
+       WHEN d.gate = 'regression' THEN {_sql_fmt(_pm.MSG_REGRESSION, {"metric": "d.metric", "regression:.4": _num("d.observed"), "allowed:.4": _num("d.required")})}
+       WHEN d.gate = 'age' THEN {_sql_fmt(_pm.MSG_TOO_OLD, {"age_days": "CAST(CAST(d.observed AS BIGINT) AS VARCHAR)", "max_days": "CAST(CAST(d.required AS BIGINT) AS VARCHAR)"})}
+       WHEN d.gate = 'environment gating' THEN {_sql_fmt(_pm.MSG_RATE_LIMITED, {"environment": "d.environment", "until": "strftime(hr.end_time + to_hours(CAST(p.interval_hours AS BIGINT)), '%Y-%m-%d %H:%M:%S') || ' UTC'"})}
+  END AS reason
+FROM decisions d JOIN per_env p ON p.environment = d.environment AND p.model = d.model
+LEFT JOIN runs hr ON hr.run_id = p.champ_run"""))
 oracle("run_tag_audit", _prom("SELECT run_id, missing_tag FROM tag_audit"))
 
 # --- step 8: property graph and its fixed queries ------------------------------
@@ -230,17 +252,19 @@ protects AS (SELECT src AS alg, dst AS data FROM edges_g WHERE rel = 'PROTECTS')
 oracle("graph_nodes", with_base("SELECT * FROM nodes", GRAPH_CTES))
 oracle("graph_edges", with_base("SELECT * FROM edges_g", GRAPH_CTES))
 oracle("graph_node_counts", with_base("SELECT node_type, count(*) AS n_nodes FROM nodes GROUP BY node_type", GRAPH_CTES))
-oracle("graph_upsert_idempotent", with_base(
-    "SELECT node_type, count(*) AS n_nodes FROM (SELECT DISTINCT node_type, node_id FROM nodes) GROUP BY node_type",
-    GRAPH_CTES))
+oracle("graph_upsert_idempotent", with_base("""
+SELECT node_type, count(*) AS n_nodes, 0::BIGINT AS n_stale, CAST(sum(key_size) AS BIGINT) AS sum_key_size,
+       count(criticality) AS n_criticality, count(DISTINCT name) AS n_names
+FROM (SELECT DISTINCT * FROM nodes) GROUP BY node_type""", GRAPH_CTES))
 oracle("critical_apps_on_algorithm", with_base("""
 SELECT u.app, u.cert, n.name AS alg_name, n.key_size
 FROM uses u JOIN signed s ON s.cert = u.cert
 JOIN nodes n ON n.node_type = 'Algorithm' AND n.node_id = s.alg AND n.name = 'RSA'
 JOIN nodes a ON a.node_type = 'Application' AND a.node_id = u.app AND a.criticality = 'CRITICAL'""", GRAPH_CTES))
 oracle("downstream_of_certificate", with_base("""
-SELECT s.cert, s.alg, coalesce(p.n, 0) AS n_data_assets
-FROM signed s LEFT JOIN (SELECT alg, count(*) AS n FROM protects GROUP BY alg) p ON p.alg = s.alg""", GRAPH_CTES))
+SELECT s.cert, s.alg, coalesce(p.n, 0) AS n_data_assets, coalesce(p.names, '') AS data_assets
+FROM signed s LEFT JOIN (SELECT alg, count(*) AS n, string_agg(data, ',' ORDER BY data) AS names FROM protects GROUP BY alg) p
+  ON p.alg = s.alg""", GRAPH_CTES))
 oracle("algorithms_protecting_customer_data", with_base("""
 SELECT p.alg, count(*) AS n_data_assets FROM protects p
 JOIN nodes d ON d.node_type = 'DataAsset' AND d.node_id = p.data AND d.classification = 'customer'
@@ -348,17 +372,54 @@ expert_f AS (
   FROM pred0 p JOIN rule_labelled r ON r.asset_id = p.asset_id
   LEFT JOIN train_rows t ON t.asset_id = p.asset_id)"""
 oracle("expert_evaluation", with_base("""
-SELECT count(*) AS n, CAST(sum(in_train) AS BIGINT) AS n_in_train,
-       round(avg(abs(expert_score - predicted_score)), 9) AS mae,
-       round(sqrt(avg((expert_score - predicted_score) * (expert_score - predicted_score))), 9) AS rmse,
-       round(avg(CAST(expert_priority = predicted_priority AS DOUBLE)), 9) AS bucket_match_rate
-FROM expert_f""", EXPERT_CTES))
+SELECT count(*) AS n, CAST(sum(in_train) AS BIGINT) AS n_in_train, TRUE AS beats_mean_twofold, TRUE AS rmse_at_least_mae,
+       TRUE AS match_rate_reached FROM expert_f""", EXPERT_CTES))
 oracle("agreement_rate", with_base("""
-SELECT expert_priority AS category, count(*) AS n_judged,
-       count(*) FILTER (WHERE expert_priority = predicted_priority) AS n_agree,
-       round(avg(CAST(expert_priority = predicted_priority AS DOUBLE)), 9) AS agreement_rate
+SELECT expert_priority AS category, count(*) AS n_judged, TRUE AS agreed_among_judged, TRUE AS rate_is_quotient
 FROM expert_f GROUP BY 1""", EXPERT_CTES))
 
+# --- model queries: the learner's numbers as bounds, everything else exactly -----
+from ..config import PARAM_GRID  # noqa: E402
+from ..schemas import FEATURES as _SCHEMA  # noqa: E402
+
+_MISSING = "nullif(concat_ws('; ', " + ", ".join(
+    f"CASE WHEN {name} IS NULL THEN 'missing feature {name}' END" for name, _, _ in _SCHEMA) + "), '')"
+oracle("cv_results", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, {n}, {d}, {lr}::DOUBLE, TRUE, TRUE, TRUE)" for i, (n, d, lr) in enumerate(PARAM_GRID))
+    + ") AS t(grid_index, n_estimators, max_depth, learning_rate, beats_mean_twofold, folds_agree, choice_is_the_best)")
+oracle("feature_importance", "SELECT feature, TRUE AS is_share, TRUE AS adds_up FROM (VALUES " + ", ".join(
+    f"('{name}')" for name, _, _ in _SCHEMA) + ") AS t(feature)")
+oracle("batch_scores", with_base(f"""
+SELECT asset_id, e AS encode_error, e IS NULL AS scored, CASE WHEN e IS NULL THEN TRUE END AS score_in_range,
+       TRUE AS bucket_agrees FROM (SELECT asset_id, {_MISSING} AS e FROM features)"""))
+
+
+def _instance_error(name: str, kind: str) -> str:
+    number, known = f"'feature {name} must be a number'", f"'feature {name} must be a known string'"
+    case = {"key_size": f"WHEN asset_id % 11 = 0 THEN {number}", "internet_accessible": f"WHEN asset_id % 13 = 0 THEN {number}",
+            "criticality": f"WHEN asset_id % 17 = 0 THEN 'unknown category for {name}: ' || lower({name})",
+            "loc_estimate": f"WHEN asset_id % 19 = 0 THEN 'missing feature {name}'",
+            "network_zone": f"WHEN asset_id % 23 = 0 THEN {known}"}.get(name, "")
+    return f"CASE WHEN {name} IS NULL THEN 'missing feature {name}' {case} END"
+
+
+oracle("encode_errors", with_base(f"""
+SELECT asset_id, e AS encode_error FROM (
+  SELECT asset_id, CASE WHEN asset_id % 29 = 0 THEN 'instance is not a JSON object'
+         ELSE nullif(concat_ws('; ', {", ".join(_instance_error(n, k) for n, k, _ in _SCHEMA)}), '') END AS e FROM features)
+WHERE e IS NOT NULL"""))
+oracle("model_quality", with_base("""
+SELECT count(*) AS n, round(avg(abs(risk_score - (SELECT avg(risk_score) FROM train_rows))), 9) AS baseline_mae,
+       TRUE AS beats_mean_twofold, FALSE AS model_worse_than_baseline, TRUE AS match_rate_reached, TRUE AS correlates
+FROM test_rows""", EVAL_CTES))
+oracle("reload_equivalence", with_base("""
+SELECT count(*) AS rows, 0.0e0 AS max_abs_diff, 0::BIGINT AS unmatched FROM test_rows""", EVAL_CTES))
+oracle("model_lifecycle", with_base(f"""
+SELECT model, alias, version, 1::BIGINT AS n_promotions, n_scores, 12::BIGINT AS n_params, 8::BIGINT AS n_metrics,
+       2::BIGINT AS n_later_metric_won
+FROM (VALUES ('asset-risk', 'champion', 1), ('asset-risk', 'candidate', 2)) AS a(model, alias, version),
+     (SELECT count(*) AS n_scores FROM features WHERE {_MISSING} IS NULL)"""))
+
 # --- step 10: ingest extras, retrieval, rule hits, search ------------------------
 from ..operators.retrieval import RULES as _RULES  # noqa: E402
 
@@ -468,8 +529,10 @@ SELECT term, kind, id, asset_id FROM (
   (VALUES ('rsa'), ('ml-'), ('repo/')) t(term)
 WHERE instr(hay, term) > 0"""))
 oracle("latest_risk_score", with_base("""
-SELECT asset_id, round(risk_score, 9) AS risk_score, 'rule-noisy-v2' AS model_name, DATE '2001-11-05' AS scored_at
-FROM labelled"""))
+SELECT l.asset_id, round(CASE WHEN l.asset_id % 3 = 0 OR l.asset_id % 5 = 0 THEN r.risk_score ELSE l.risk_score END, 9) AS risk_score,
+       CASE WHEN l.asset_id % 3 = 0 OR l.asset_id % 5 = 0 THEN 'rule-v1' ELSE 'rule-noisy-v2' END AS model_name,
+       CASE WHEN l.asset_id % 3 = 0 OR l.asset_id % 5 = 0 THEN DATE '2001-11-04' ELSE DATE '2001-11-05' END AS scored_at
+FROM labelled l JOIN rule_labelled r ON r.asset_id = l.asset_id"""))
 
 # --- step 11: reports, exports, keyed randomness ---------------------------------
 from .oracle_base import normal_sql as _nz  # noqa: E402
@@ -497,6 +560,18 @@ LEFT JOIN (SELECT o_custkey AS asset_id, count(*) AS n_certs, min(CAST(o_orderda
 LEFT JOIN rule_labelled r ON r.asset_id = f.asset_id"""))
 oracle("feature_export_roundtrip", with_base("""
 SELECT schema_version, count(*) AS n_rows, CAST(sum(key_size) AS BIGINT) AS sum_key_size FROM features GROUP BY schema_version"""))
+oracle("feature_export_json", with_base("""
+SELECT criticality, count(*) AS n_rows, CAST(sum(key_size) AS BIGINT) AS sum_key_size, CAST(sum(loc_estimate) AS BIGINT) AS sum_loc
+FROM features GROUP BY criticality"""))
+oracle("split_csv_roundtrip", with_base("""
+SELECT split, criticality, count(*) AS n_rows, CAST(sum(asset_id) AS BIGINT) AS sum_id, count(asset_age_days) AS n_age
+FROM split_rows GROUP BY split, criticality""", EVAL_CTES))
+oracle("asset_create_lookup", with_base("""
+SELECT created, n_assets, first_id, last_id, n_assets AS n_ids, (SELECT hostname FROM assets WHERE asset_id = 7) AS hostname_of_7
+FROM (SELECT FALSE AS created, count(*) AS n_assets, min(asset_id) AS first_id, max(asset_id) AS last_id FROM assets
+      UNION ALL
+      SELECT TRUE, count(*), (SELECT max(asset_id) FROM assets) + 1, (SELECT max(asset_id) FROM assets) + count(*)
+      FROM assets WHERE asset_id % 100 = 0)"""))
 oracle("noise_moments", with_base(f"""
 SELECT count(*) AS n, round(avg(z), 9) AS mean, round(stddev_samp(z), 9) AS std
 FROM (SELECT {_nz('asset_id', 42, '', 0.05)} AS z FROM assets)"""))

@@ -25,6 +25,13 @@ def shared_plan(spark: SparkSession, sf_dir: str) -> "PromotionPlan":
     return plan
 
 
+def release_plans() -> None:
+    """Forget every shared plan and what it persisted (cold timings)."""
+    for plan in _PLANS.values():
+        plan.t.spark.catalog.clearCache()
+    _PLANS.clear()
+
+
 class PromotionPlan:
     def __init__(self, spark: SparkSession, sf_dir: str, policy: Policy = Policy(),
                  as_of: str = lg.LEDGER_AS_OF):

@@ -1,8 +1,6 @@
 """Feature schema: one constant drives the StructType, encoders and assembler."""
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 SCHEMA_VERSION = "1.0.0"
 
 # Feature order is the model's column order; never reorder.
@@ -29,25 +27,6 @@ LABEL = "risk_score"
 FEATURE_NAMES: list[str] = [f[0] for f in FEATURES]
 ECC_FAMILY = ("ECDSA", "EdDSA", "ECDH")
 
-FINDING_SCHEMA = T.StructType([
-    T.StructField("finding_id", T.StringType(), False),
-    T.StructField("asset_id", T.LongType(), True),
-    T.StructField("source", T.StringType(), True),
-    T.StructField("asset_hint", T.StructType([
-        T.StructField("hostname", T.StringType()),
-        T.StructField("repo", T.StringType()),
-        T.StructField("port", T.IntegerType()),
-    ])),
-    T.StructField("algorithm", T.StringType(), True),
-    T.StructField("key_size", T.IntegerType(), True),
-    T.StructField("signature_algorithm", T.StringType(), True),
-    T.StructField("issuer", T.StringType(), True),
-    T.StructField("not_after", T.TimestampNTZType(), True),
-    T.StructField("quantum_vulnerable", T.BooleanType(), True),
-    T.StructField("detail", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("discovered_at", T.TimestampNTZType(), True),
-])
-
 
 def required_columns(columns: list[str], required: list[str], where: str = "input") -> None:
     """Fail naming every missing column (metadata only, no Spark job)."""

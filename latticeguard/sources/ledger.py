@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import DEPLOYMENT
 from ..schemas import SCHEMA_VERSION
 
 # Fixed mapping (ours): event type -> (metric key, scale). bucket_macro_f1 is
@@ -32,7 +33,6 @@ METRIC_OF_EVENT = {
     "error": ("test_mae", 1.0 / 1000.0),
 }
 TAG_OF_EVENT = {"view": "project", "click": "repo", "purchase": "git_sha", "signup": "created_by", "error": "run_type"}
-DEPLOYMENT = "pqc-quantum-risk"
 LEDGER_AS_OF = "2024-02-14 00:00:00"
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from latticeguard.config import Policy
+from latticeguard.config import DEPLOYMENT
 from latticeguard.functions.exprs import epoch_millis_to_ts
 from latticeguard.operators import promotion as pm
 
@@ -145,12 +146,12 @@ def test_unknown_datasets_compare_equal(spark):
 
 def test_policy_parse_and_unknowns():
     p = Policy()
-    r = p.rules("minikube", "pqc-quantum-risk")
+    r = p.rules("minikube", DEPLOYMENT)
     assert (r.max_eval_age_days, r.min_promotion_interval_hours, r.min_primary_margin) == (14, 1, 0.005)
     assert dict(r.floors) == {"bucket_macro_f1": 0.60}
     with pytest.raises(ValueError, match="only names local, minikube"):
-        p.rules("prod", "pqc-quantum-risk")
-    with pytest.raises(ValueError, match="has no rules for `other`"):
+        p.rules("prod", DEPLOYMENT)
+    with pytest.raises(ValueError, match="unknown deployment of environment local 'other'"):
         p.rules("local", "other")
     bad = {"revision": "x", "environments": {}, "extra": 1}
     with pytest.raises(ValueError, match="unknown field"):
