@@ -99,7 +99,7 @@ def test_chunks_cover_whole_text(spark):
 
 
 def test_rule_hits(spark):
-    docs = spark.createDataFrame([(1, 'a\nkey token = "' + "ab" * 20 + '" here\nuse DES and md5\n')],
-                                 "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "src", 'a\nkey token = "' + "ab" * 20 + '" here\nuse DES and md5\n')],
+                                 "doc_id long, source string, text string")
     hits = sorted((r["line_no"], r["rule_id"]) for r in rt.rule_hits(docs).collect())
     assert hits == [(2, "hardcoded-key"), (3, "des-cipher"), (3, "md5-digest")]

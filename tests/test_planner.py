@@ -66,11 +66,14 @@ def test_average_rank_matches_pandas_with_hot_ties(spark):
 
 
 def test_expert_set_is_disjoint_and_agreement_sums(spark):
-    from latticeguard.plans.queries import REGISTRY
+    from latticeguard.operators import evaluation as ev
+    from latticeguard.plans.inventory import shared_inventory
 
-    e = REGISTRY["expert_evaluation"](spark, "/root/testdata/sf0.001").first()
+    inv = shared_inventory(spark, "/root/testdata/sf0.001")
+    frame = ev.expert_frame(inv.standin_predictions, inv.rule_labelled, inv.train)
+    e = ev.expert_evaluation(frame).first()
     assert e["n_in_train"] == 0 and e["n"] > 0
-    a = REGISTRY["agreement_rate"](spark, "/root/testdata/sf0.001").collect()
+    a = ev.agreement_rate(frame).collect()
     assert sum(r["n_judged"] for r in a) == e["n"]
     assert abs(sum(r["n_agree"] for r in a) / e["n"] - e["bucket_match_rate"]) < 1e-9
 

@@ -149,7 +149,7 @@ def test_policy_parse_and_unknowns():
     r = p.rules("minikube", DEPLOYMENT)
     assert (r.max_eval_age_days, r.min_promotion_interval_hours, r.min_primary_margin) == (14, 1, 0.005)
     assert dict(r.floors) == {"bucket_macro_f1": 0.60}
-    with pytest.raises(ValueError, match="only names local, minikube"):
+    with pytest.raises(ValueError, match="unknown environment 'prod'"):
         p.rules("prod", DEPLOYMENT)
     with pytest.raises(ValueError, match="unknown deployment of environment local 'other'"):
         p.rules("local", "other")
