@@ -142,19 +142,21 @@ def encode_instances(df: DataFrame, instance: str, keep: tuple[str, ...] = ("ass
     or null value is an error; other keys are ignored. Same output as `encode_features`.
     """
     d = df.withColumn("_v", F.try_parse_json(F.col(instance)))
+    # one projection per step: types and texts first, then what is made of them (short generated code)
+    d = d.withColumns({f"_t_{name}": F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{name}", "variant"))
+                       for name in FEATURE_NAMES})
+    d = d.withColumns({f"_s_{name}": F.try_variant_get(F.col("_v"), f"$.{name}", "string") for name in FEATURE_NAMES})
     cols, errors = [], []
     for name, kind, cats in FEATURES:
-        value = F.try_variant_get(F.col("_v"), f"$.{name}", "variant")
-        typ = F.schema_of_variant(value)
-        absent = value.isNull() | (typ == "VOID")
-        text = F.try_variant_get(F.col("_v"), f"$.{name}", "string")
+        typ, text = F.col(f"_t_{name}"), F.col(f"_s_{name}")
+        absent = typ.isNull() | (typ == "VOID")
         if kind == "categorical":
             v = F.when(typ == "STRING", _category_lookup(text, cats))
             bad = F.when(typ != "STRING", F.lit(f"feature {name} must be a known string")).when(
                 v.isNull(), F.concat(F.lit(f"unknown category for {name}: "), text))
         else:
             is_number = typ.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-            v = F.when(is_number, F.try_variant_get(F.col("_v"), f"$.{name}", "double"))
+            v = F.when(is_number, text.try_cast("double"))
             bad = F.when(~is_number, F.lit(f"feature {name} must be a number"))
         cols.append(v.cast("float").cast("double").alias(name))
         errors.append(F.when(absent, F.lit(f"missing feature {name}")).otherwise(bad))

@@ -39,18 +39,37 @@ RULES = (
 )
 
 
-def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """(doc_id, chunk_no, start_word, n_words, chunk_text, source, lang)."""
+def chunk_words(rows: DataFrame, keep: tuple[str, ...], text: str, size: int = CHUNK_WORDS,
+                overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """Windows over the words of `text`: (keep..., chunk_no, start_word, n_words, chunk_text)."""
     step = size - overlap
-    words = F.split(F.trim(F.col("text")), r"\s+")
-    d = documents.select("doc_id", "source", "lang", words.alias("w"))
-    d = d.withColumn("n", F.size("w"))
-    last = F.greatest(F.lit(0), F.col("n") - F.lit(overlap + 1))
-    d = d.select("doc_id", "source", "lang", "w",
-                 F.posexplode(F.sequence(F.lit(0), last, F.lit(step))).alias("chunk_no", "start_word"))
+    words = F.split(F.trim(F.col(text)), r"\s+")
+    d = rows.select(*keep, words.alias("w"))
+    last = F.greatest(F.lit(0), F.size("w") - F.lit(overlap + 1))
+    d = d.select(*keep, "w", F.posexplode(F.sequence(F.lit(0), last, F.lit(step))).alias("chunk_no", "start_word"))
     piece = F.slice(F.col("w"), F.col("start_word") + 1, F.lit(size))
-    return d.select("doc_id", "chunk_no", "start_word", F.size(piece).alias("n_words"),
-                    F.array_join(piece, " ").alias("chunk_text"), "source", "lang")
+    return d.select(*keep, "chunk_no", "start_word", F.size(piece).alias("n_words"),
+                    F.array_join(piece, " ").alias("chunk_text"))
+
+
+def chunks(documents: DataFrame, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> DataFrame:
+    """(doc_id, chunk_no, start_word, n_words, chunk_text, source, lang)."""
+    d = chunk_words(documents, ("doc_id", "source", "lang"), "text", size, overlap)
+    return d.select("doc_id", "chunk_no", "start_word", "n_words", "chunk_text", "source", "lang")
+
+
+def page_sections(pages: DataFrame) -> DataFrame:
+    """(page_id, url, title, section_no, section, text): an HTML page's article, cut at its bold headings.
+    Section 0 runs from the h1; tags become blanks; a section without text is left out."""
+    html = F.col("html")
+    article = F.regexp_extract(html, r"(?s)<article>(.*?)</article>", 1)
+    d = pages.select("page_id", "url", F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1).alias("title"),
+                     F.posexplode(F.split(article, "<p><b>")).alias("section_no", "raw"))
+    heading = F.when(F.col("section_no") == 0, F.regexp_extract("raw", "<h1>([^<]*)</h1>", 1)).otherwise(
+        F.regexp_extract("raw", "^([^<]*)", 1))
+    text = F.trim(F.regexp_replace(F.regexp_replace("raw", "<[^>]*>", " "), "[ \\t\\n\\r]+", " "))
+    return d.select("page_id", "url", "title", "section_no", F.trim(heading).alias("section"), text.alias("text")) \
+        .where(F.col("text") != "")
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -455,6 +455,19 @@ SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_no, CAST(start_word AS INTEGER) A
 FROM (SELECT doc_id, source, lang, w, unnest(generate_series(0, greatest(0, len(w) - 51), 450)) AS start_word,
              unnest(generate_series(1, len(generate_series(0, greatest(0, len(w) - 51), 450)))) AS i
       FROM (SELECT doc_id, source, lang, string_split_regex(trim(text), '\\s+') AS w FROM documents))""")
+oracle("page_chunks", """
+WITH p AS (SELECT page_id, url, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
+                  string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p><b>') AS parts FROM pages),
+s AS (SELECT page_id, url, title, unnest(parts) AS raw, CAST(unnest(generate_series(0, len(parts) - 1)) AS INTEGER) AS section_no FROM p),
+t AS (SELECT page_id, url, title, section_no,
+             trim(CASE WHEN section_no = 0 THEN regexp_extract(raw, '<h1>([^<]*)</h1>', 1) ELSE regexp_extract(raw, '^([^<]*)', 1) END) AS section,
+             trim(regexp_replace(regexp_replace(raw, '<[^>]*>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) AS text FROM s),
+w AS (SELECT *, string_split_regex(text, '\\s+') AS w FROM t WHERE text <> ''),
+c AS (SELECT *, unnest(generate_series(0, greatest(0, len(w) - 51), 450)) AS start_word,
+             unnest(generate_series(1, len(generate_series(0, greatest(0, len(w) - 51), 450)))) AS i FROM w)
+SELECT page_id, url, title, section_no, section, CAST(i - 1 AS INTEGER) AS chunk_no, CAST(start_word AS INTEGER) AS start_word,
+       CAST(len(w[start_word + 1: start_word + 500]) AS INTEGER) AS n_words,
+       array_to_string(w[start_word + 1: start_word + 500], ' ') AS chunk_text FROM c""")
 
 _CHUNKS_SQL = """
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_no, source,

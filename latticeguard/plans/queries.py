@@ -635,6 +635,13 @@ def document_chunks(spark, sf_dir):
     return rt.chunks(spread(inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang")))
 
 
+@register("page_chunks")
+def page_chunks(spark, sf_dir):
+    """Chunks of the pages' articles with url, title and section."""
+    sections = rt.page_sections(spread(inventory(spark, sf_dir).t.pages.select("page_id", "url", "html")))
+    return rt.chunk_words(sections, ("page_id", "url", "title", "section_no", "section"), "text")
+
+
 def _topk(spark, sf_dir, metric):
     emb = inventory(spark, sf_dir).t.embeddings.select("vec_id", "label", "embedding")
     res = rt.topk(emb, rt.class_centroid_queries(emb), k=5, metric=metric)
