@@ -141,29 +141,35 @@ def encode_instances(df: DataFrame, instance: str, keep: tuple[str, ...] = ("ass
     A number must be a JSON number and a category a known JSON string, case-sensitive; a missing
     or null value is an error; other keys are ignored. Same output as `encode_features`.
     """
-    d = df.withColumn("_v", F.try_parse_json(F.col(instance)))
-    # one projection per step: types and texts first, then what is made of them (short generated code)
-    d = d.withColumns({f"_t_{name}": F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{name}", "variant"))
-                       for name in FEATURE_NAMES})
-    d = d.withColumns({f"_s_{name}": F.try_variant_get(F.col("_v"), f"$.{name}", "string") for name in FEATURE_NAMES})
-    cols, errors = [], []
-    for name, kind, cats in FEATURES:
-        typ, text = F.col(f"_t_{name}"), F.col(f"_s_{name}")
-        absent = typ.isNull() | (typ == "VOID")
-        if kind == "categorical":
-            v = F.when(typ == "STRING", _category_lookup(text, cats))
-            bad = F.when(typ != "STRING", F.lit(f"feature {name} must be a known string")).when(
-                v.isNull(), F.concat(F.lit(f"unknown category for {name}: "), text))
-        else:
-            is_number = typ.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-            v = F.when(is_number, text.try_cast("double"))
-            bad = F.when(~is_number, F.lit(f"feature {name} must be a number"))
-        cols.append(v.cast("float").cast("double").alias(name))
-        errors.append(F.when(absent, F.lit(f"missing feature {name}")).otherwise(bad))
-    whole = F.schema_of_variant(F.col("_v")).startswith("OBJECT")
-    error = F.when(F.coalesce(whole, F.lit(False)), F.nullif(F.concat_ws("; ", *errors), F.lit(""))).otherwise(
-        F.lit("instance is not a JSON object"))
-    return d.select(*keep, *cols, error.alias("encode_error"))
+    no_codes = F.create_map().cast("map<string,double>")
+    wanted = F.array(*(F.struct(
+        F.lit(name).alias("name"), F.lit(kind == "categorical").alias("categorical"),
+        (F.create_map(*(F.lit(x) for pair in cats.items() for x in pair)) if cats else no_codes).alias("codes"))
+        for name, kind, cats in FEATURES))
+
+    def typed(f: Column) -> Column:
+        value = F.try_element_at(F.col("_m"), f["name"])
+        return F.struct(f.alias("f"), F.schema_of_variant(value).alias("type"),
+                        F.try_variant_get(value, "$", "string").alias("text"))
+
+    def encoded(x: Column) -> Column:
+        name, code = x["f"]["name"], F.try_element_at(x["f"]["codes"], x["text"])
+        number = x["type"].rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        error = (F.when(x["type"].isNull() | (x["type"] == "VOID"), F.concat(F.lit("missing feature "), name))
+                 .when(~x["f"]["categorical"] & ~number, F.concat(F.lit("feature "), name, F.lit(" must be a number")))
+                 .when(x["f"]["categorical"] & (x["type"] != "STRING"),
+                       F.concat(F.lit("feature "), name, F.lit(" must be a known string")))
+                 .when(x["f"]["categorical"] & code.isNull(),
+                       F.concat(F.lit("unknown category for "), name, F.lit(": "), x["text"])))
+        value = F.when(x["f"]["categorical"], code).when(number, x["text"].try_cast("double"))
+        return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))
+
+    # one lambda for all features: the generated code stays short
+    d = df.withColumn("_m", F.try_variant_get(F.try_parse_json(F.col(instance)), "$", "map<string,variant>"))
+    d = d.withColumn("_x", F.transform(F.transform(wanted, typed), encoded))
+    errors = F.nullif(F.array_join(F.transform("_x", lambda x: x["error"]), "; "), F.lit(""))
+    return d.select(*keep, *(F.get("_x", F.lit(i))["value"].cast("float").cast("double").alias(n) for i, n in enumerate(FEATURE_NAMES)),
+                    F.when(F.col("_m").isNull(), F.lit("instance is not a JSON object")).otherwise(errors).alias("encode_error"))
 
 
 def feature_profile(features: DataFrame) -> DataFrame:
