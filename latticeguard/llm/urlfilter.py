@@ -172,10 +172,11 @@ def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str]], listed: DataFra
 
     best = F.array_max(F.concat(ranked("allow_keys", "allow"), ranked("block_keys", "block")))
     otherwise = F.when(F.size(names["listed_keys"]) > 0, "block").otherwise("allow")
-    return judged.withColumn("best", best).select(
+    winner = free_name(judged, "best")
+    return judged.withColumn(winner, best).select(
         *(F.col(f"`{c}`") for c in pages.columns), names["host"], names["path"],
-        F.col("best.rule").alias(free_name(pages, "rule")),
-        F.coalesce(F.col("best.verdict"), otherwise).alias(free_name(pages, "verdict")))
+        F.col(f"{winner}.rule").alias(free_name(pages, "rule")),
+        F.coalesce(F.col(f"{winner}.verdict"), otherwise).alias(free_name(pages, "verdict")))
 
 
 def listed_hosts(pages: DataFrame, url: str = "url", words: Sequence[str] = LISTED_WORDS) -> DataFrame:

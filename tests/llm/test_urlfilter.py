@@ -40,11 +40,11 @@ def brute(url):
 
 @pytest.mark.parametrize("max_bits", [uf.MAX_BITS, 8])  # 8: every list is too large for a cascade
 def test_verdicts_equal_brute_force(spark, max_bits):
-    df = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(URLS * 2)], "page_id long, url string, host string, verdict string")
+    df = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(URLS * 2)], "page_id long, url string, host string, best string")
     listed = uf.listed_hosts(df)
     out = uf.verdicts(df, uf.RULES, listed, max_bits=max_bits)
-    assert out.columns == ["page_id", "url", "host", "verdict", "_host", "path", "rule", "_verdict"]
-    got = {r["page_id"]: (r["_host"], r["path"], r["rule"], r["_verdict"]) for r in out.collect()}
+    assert out.columns == ["page_id", "url", "host", "best", "_host", "path", "rule", "verdict"]
+    got = {r["page_id"]: (r["_host"], r["path"], r["rule"], r["verdict"]) for r in out.collect()}
     assert got == {i: brute(u) for i, u in enumerate(URLS * 2)}
 
 
