@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import Thresholds
 from ..functions.exprs import priority_bucket, priority_rank

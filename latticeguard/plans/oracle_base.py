@@ -12,7 +12,7 @@ from ..config import (COMPLEXITY_DEFAULT, COMPLEXITY_SCORE, CRITICALITY_DEFAULT,
 from ..schemas import ECC_FAMILY
 from ..sources.inventory import (AS_OF_DATE, ALGORITHM_BY_PART_MOD, CERT_LIFETIME_DAYS, COMPLEXITY_BY_MOD5,
                                  CRITICALITY_BY_SEGMENT, ECC_KEY_SIZES, NETWORK_ZONES, REGULATED_REGIONS,
-                                 RSA_KEY_SIZES, SCAN_ERROR_REASONS)
+                                 RSA_KEY_SIZES)
 
 
 def q(s: str) -> str:

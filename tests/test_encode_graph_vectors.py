@@ -2,7 +2,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from latticeguard.operators import graph as gr
 from latticeguard.operators import retrieval as rt
