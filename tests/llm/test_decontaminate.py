@@ -1,5 +1,6 @@
 """Spaced-seed decontamination: sensitivity of the masks, and results against all diagonals."""
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -26,7 +27,8 @@ def brute(docs, bench):
         a = dc.token_hashes(text).view(np.int64)
         for raw, ids in items.items():
             b = np.frombuffer(raw, np.uint64).view(np.int64)
-            for g in range(-len(b) + 1, len(a)):
+            equal = Counter(p - j for j, t in enumerate(b.tolist()) for p in np.flatnonzero(a == t).tolist())
+            for g in (g for g, n in equal.items() if n >= min(dc.MIN_MATCH, len(b))):  # others can't be accepted
                 v = dc.best_overlap(a, b, g)
                 if v:
                     old = found.get((d, min(ids)))
