@@ -2,9 +2,10 @@
 
 Texts become sequences of token hashes (lower-cased runs of letters, digits and other non-ASCII
 characters). A spaced seed is a fixed mask over a window of tokens: positions under a 0 are
-ignored, so a substituted word there does not change the window's hash. The three masks below hit
+ignored, so a substituted word there does not change the window's hash. The four masks below hit
 every aligned overlap that the check accepts: `MIN_MATCH` equal tokens in a stretch of which at
-least `IDENTITY` is equal (tested by listing all error patterns).
+least `IDENTITY` is equal (tested over all error patterns of every length up to 120; a stretch of 34
+or more tokens has a half of 17 or more that is accepted too, so shorter ones decide).
 
 1. The benchmark's windows are hashed; a Bloom bitmap of fixed size says which hashes can occur.
 2. One pass over the documents hashes all windows, and emits only those that pass the bitmap, with
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from latticeguard.llm.common import free_name, materialize
 
 #: 1: the token must agree; 0: it is ignored.
-MASKS = ("1010011101", "1111000101", "100111011")
+MASKS = ("1010011101", "1111000101", "100111011", "11110111")
 #: Equal tokens an overlap needs (all of them, for an item with fewer), and their least share of it.
 MIN_MATCH = 13
 IDENTITY = 0.8

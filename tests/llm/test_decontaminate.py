@@ -16,6 +16,39 @@ def test_masks_hit_every_accepted_overlap():
                        for mask in dc.MASKS for at in range(size - len(mask) + 1))
 
 
+def fewest_errors_without_hit(masks, upto):
+    """length -> fewest wrong tokens that leave no window of any mask intact (over the last error bits)."""
+    width = max(map(len, masks))
+    shapes = [(len(m), int(m, 2)) for m in masks]
+    states, fewest = {0: 0}, {}
+    for n in range(1, upto + 1):
+        after = {}
+        for last, errors in states.items():
+            for wrong in (0, 1):
+                bits = (last << 1 | wrong) & ((1 << width) - 1)
+                if not any(n >= size and not bits & shape for size, shape in shapes):
+                    after[bits] = min(after.get(bits, n), errors + wrong)
+        states = after
+        fewest[n] = min(states.values())
+    return fewest
+
+
+def test_masks_hit_every_accepted_overlap_of_any_length():
+    for size, errors in fewest_errors_without_hit(dc.MASKS, 120).items():
+        assert size - errors < dc.MIN_MATCH or (size - errors) / size < dc.IDENTITY, (size, errors)
+
+
+def test_four_middle_words_replaced(spark):
+    item = [f"t{i}" for i in range(20)]
+    docs = []
+    for wrong in ((8, 9, 10, 11), (5, 9, 10, 11), (7, 9, 10, 11), (5, 9, 10, 15), (7, 9, 10, 15)):
+        docs.append((len(docs), " ".join("x" if i in wrong else t for i, t in enumerate(item))))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = sorted((r["doc_id"], r["n_tokens"], r["n_matched"]) for r in dc.overlaps(d, bench).collect())
+    assert got == [(i, 20, 16) for i in range(5)]
+
+
 def brute(docs, bench):
     items = {}
     for i, text in bench:
