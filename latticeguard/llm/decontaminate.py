@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Texts become sequences of token hashes (lower-cased runs of letters, digits and other non-ASCII
-characters). A spaced seed is a fixed mask over a window of tokens: positions under a 0 are
+Texts become sequences of token hashes: lower-cased runs of Unicode letters, digits and the marks on
+them; of scripts written without spaces (Han, Kana, Thai and the like), each character is a token. A spaced seed is a fixed mask over a window of tokens: positions under a 0 are
 ignored, so a substituted word there does not change the window's hash. The four masks below hit
 every aligned overlap that the check accepts: `MIN_MATCH` equal tokens in a stretch of which at
 least `IDENTITY` is equal (tested over all error patterns of every length up to 120; a stretch of 34
@@ -14,11 +14,14 @@ or more tokens has a half of 17 or more that is accepted too, so shorter ones de
 3. Spark joins the emitted hashes with the benchmark's hashes; equal diagonals of one context and
    item are one candidate, and each candidate is compared token by token along its diagonal.
 
-Items with equal tokens are joined as one. Items shorter than the shortest mask are no evidence
-for anything and never match.
+Items with equal tokens are joined as one. Items shorter than the shortest mask are found whole: the
+same pass hashes the windows of their few lengths, and what passes the bitmap is joined with the
+items by its tokens, once per document and window.
 """
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +36,7 @@ from latticeguard.llm.common import free_name, materialize
 
 #: 1: the token must agree; 0: it is ignored.
 MASKS = ("1010011101", "1111000101", "100111011", "11110111")
+SHORTEST = min(map(len, MASKS))
 #: Equal tokens an overlap needs (all of them, for an item with fewer), and their least share of it.
 MIN_MATCH = 13
 IDENTITY = 0.8
@@ -42,11 +46,22 @@ _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _TOKENS_AT_ONCE = 1 << 18
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+#: Marks belong to the letter before them (variation selectors do not change it, and separate).
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M" and not "\ufe00" <= c <= "\ufe0f")
+#: Non-ASCII characters that are in no token.
+_BREAK = re.compile(rf"[^\x00-\x7f\w{_MARKS}]+")
+#: Thai and Lao, Myanmar, Khmer, Tai, Han, Kana, Bopomofo, Yi: no spaces between words.
+_ALONE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u3005-\u3007\u3021-\u3029\u3031-\u312f"
+                    "\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+                    "\U0001aff0-\U0001b16f\U00020000-\U0003ffff]")
 
 
 def token_hashes(text: str | None) -> np.ndarray:
     """Hashes of the text's tokens; none for null."""
-    words = text.lower().encode().translate(_KEEP).split() if text else []
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _ALONE.sub(r" \g<0> ", _BREAK.sub(" ", text))
+    words = text.encode().translate(_KEEP).split()
     return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
 
 
@@ -103,21 +118,20 @@ def _items(bench: DataFrame, key: str, text: str) -> DataFrame:
     def tokens(column: pa.Array) -> pa.Array:
         return pa.array([token_hashes(t).view(np.int64) for t in column.to_pylist()], pa.list_(pa.int64()))
 
-    shortest = min(map(len, MASKS))
     return (bench.select(F.col(key).alias("item"), tokens(F.col(text)).alias("tokens"))
-            .where(F.size("tokens") >= shortest)
+            .where(F.size("tokens") > 0)
             .groupBy("tokens").agg(F.min("item").alias("item"), F.count("*").alias("copies"))
             .withColumn("content", F.xxhash64("tokens")))
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
-    """(hash, content, at): every window of every item under every mask that fits."""
+    """(hash, content, at): every window of every item under every mask that fits; a shorter item as a whole."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content, values in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 item = values.values.to_numpy().view(np.uint64)
-                for mask in MASKS:
+                for mask in MASKS if len(item) >= SHORTEST else ("1" * len(item),):
                     found = seed_hashes(item, mask)
                     yield pa.record_batch({"hash": found.view(np.int64), "content": np.full(len(found), content),
                                            "at": np.arange(len(found))})
@@ -141,23 +155,28 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     return bitmap.view(np.uint8)
 
 
-def _contexts(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, reach: int) -> DataFrame:
-    """(context, key, first, tokens, seeds): runs of windows that pass the bitmap, with `reach` tokens around."""
+def _contexts(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, reach: int, short: list[int]) -> DataFrame:
+    """(context, key, first, tokens, seeds): runs of windows that pass the bitmap, with `reach` tokens around.
+
+    Without seeds: the first window of its kind in a document that passes as a whole item of one of the `short` lengths.
+    """
     kind = docs.schema[key].dataType.simpleString()
-    shortest = min(map(len, MASKS))
+    fewest = min([SHORTEST, *short])
     context_type = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int64())]))
 
     def found(keys: list, lengths: list[int], tokens: np.ndarray, serial: int) -> list[dict]:
         ends = np.cumsum(lengths)
         owner = np.repeat(np.arange(len(lengths)), lengths)
-        hits = []
-        for mask in MASKS:
+
+        def passing(mask: str) -> tuple[np.ndarray, np.ndarray]:
             hashes = seed_hashes(tokens, mask)
             one, _ = _bits(hashes)
             at = np.flatnonzero(_passes(bitmap, one))
             at = at[owner[at] == owner[at + len(mask) - 1]]
             at = at[_passes(bitmap, _bits(hashes[at])[1])]
-            hits.append((at, hashes[at]))
+            return at, hashes[at]
+
+        hits = [passing(mask) for mask in MASKS]
         at = np.concatenate([a for a, _ in hits])
         hashes = np.concatenate([h for _, h in hits]).view(np.int64)
         order = np.argsort(at, kind="stable")
@@ -168,10 +187,20 @@ def _contexts(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, reach: i
             for where, own in zip(np.split(at, cuts), np.split(hashes, cuts), strict=True):
                 doc = owner[where[0]]
                 begin = ends[doc] - lengths[doc]
-                first, last = max(begin, where[0] - reach), min(ends[doc], where[-1] + reach + shortest)
+                first, last = max(begin, where[0] - reach), min(ends[doc], where[-1] + reach + SHORTEST)
                 rows.append({"context": serial + len(rows), "key": keys[doc], "first": int(first - begin),
                              "tokens": tokens[first:last].view(np.int64),
                              "seeds": [{"hash": int(h), "at": int(w - first)} for h, w in zip(own, where, strict=True)]})
+        for n in short:
+            at, hashes = passing("1" * n)
+            order = np.lexsort((at, hashes, owner[at]))
+            at, hashes = at[order], hashes[order]
+            repeats = np.zeros(len(at), bool)
+            repeats[1:] = (np.diff(owner[at]) == 0) & (hashes[1:] == hashes[:-1])
+            for w in at[~repeats].tolist():
+                doc = owner[w]
+                rows.append({"context": serial + len(rows), "key": keys[doc], "first": int(w - ends[doc] + lengths[doc]),
+                             "tokens": tokens[w:w + n].view(np.int64), "seeds": None})
         return rows
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +211,7 @@ def _contexts(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, reach: i
             keys, parts, size = [], [], 0
             for i in range(batch.num_rows):
                 tokens = token_hashes(batch.column(1)[i].as_py())
-                if len(tokens) >= shortest:
+                if len(tokens) >= fewest:
                     keys.append(batch.column(0)[i].as_py())
                     parts.append(tokens)
                     size += len(tokens)
@@ -218,9 +247,10 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     side gives no rows; other columns are ignored.
     """
     items = materialize(_items(bench, item_key, item_text), "decon-items")
-    reach = items.agg(F.max(F.size("tokens"))).first()[0] or 0
+    n = F.size("tokens")
+    reach, short = items.agg(F.max(n), F.collect_set(F.when(n < SHORTEST, n))).first()
     seeds = materialize(_item_seeds(items), "decon-seeds")
-    contexts = materialize(_contexts(docs, key, text, _bitmap(seeds), reach), "decon-contexts")
+    contexts = materialize(_contexts(docs, key, text, _bitmap(seeds), reach or 0, sorted(short)), "decon-contexts")
     hits = contexts.select("context", F.explode("seeds").alias("s")).select("context", "s.hash", F.col("s.at").alias("doc_at"))
     diagonals = (hits.join(seeds, "hash").select("context", "content", (F.col("doc_at") - F.col("at")).alias("diagonal"))
                  .distinct())
@@ -229,6 +259,11 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     checked = pairs.withColumn("v", _verify("doc_tokens", "tokens", "diagonal")).where("v IS NOT NULL").select(
         "key", "item", "copies", (F.col("v.doc_start") + F.col("first")).alias("doc_start"), "v.item_start",
         "v.n_tokens", "v.n_matched")
+    if short:
+        whole = contexts.where("seeds IS NULL").join(items, "tokens").select(
+            "key", "item", "copies", F.col("first").alias("doc_start"), F.lit(0).cast("long").alias("item_start"),
+            n.cast("long").alias("n_tokens"), n.cast("long").alias("n_matched"))
+        checked = checked.unionByName(whole)
     best = F.max_by(F.struct("doc_start", "item_start", "n_tokens", "n_matched"),
                     F.struct("n_matched", -F.col("doc_start"), -F.col("item_start")))
     return (checked.groupBy("key", "item").agg(F.max("copies").alias("copies"), best.alias("b"))

@@ -124,3 +124,37 @@ def test_long_text_crosses_scan_blocks(spark):
     bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     (row,) = dc.overlaps(docs, bench).collect()
     assert (row["doc_start"], row["n_matched"]) == (300_000, 40)
+
+
+def n_tokens(text):
+    return len(dc.token_hashes(text))
+
+
+def test_tokens_are_unicode_words_and_single_characters_of_unspaced_scripts():
+    def same(a, b):
+        return dc.token_hashes(a).tolist() == dc.token_hashes(b).tolist()
+
+    assert n_tokens("以下哪一项，是正确的？") == 9 and n_tokens("ひらがなカタカナー") == 9 and n_tokens("สวัสดี") == 6
+    assert n_tokens("《红楼梦》、GPT4模型") == 6 and n_tokens("𠮷野家") == 3
+    assert same("«\u00a0mot\u00a0» — l’eau…", '"Mot" - l\'eau...') and n_tokens("«\u00a0mot\u00a0»") == 1
+    assert n_tokens("हिन्दी भाषा") == 2 and n_tokens("e\u0301te\u0301 STRASSE straße") == 3
+    assert n_tokens("snake_case x\u200by 東\ufe00京") == 6 and n_tokens("“” — …") == 0
+
+
+def test_unspaced_and_short_items_are_found(spark):
+    chinese = "下列关于光合作用的说法中，哪一项是正确的？请从四个选项里选出最合适的一个，并说明你的理由。"
+    french = "Le chat\u00a0: «\u00a0je dors\u00a0» — dit-il à l’ami qui passe, « demain » nous verrons bien le reste"
+    short = ["eins", "zwei drei", "a b c", "vier fünf sechs sieben acht", "t1 t2 t3 t4 t5 t6 t7"]
+    items = [chinese, french, *short, "Eins!"]
+    plain = 'le chat: "je dors" - dit-il à l\'ami qui passe, "demain" nous verrons bien le reste'
+    filler = " ".join(f"f{i}" for i in range(30))
+    docs = [f"前言{chinese}后记", f"{filler} {plain}", "Zwei  DREI", f"eins {filler} eins", "zwei x drei einser", "a b", "a b a b c a b c",
+            f"{filler} vier fünf sechs sieben acht t1 t2 t3 t4 t5 t6 t7", "t1 t2 t3 t4 t5 t6", "", None]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["doc_start"], r["n_tokens"], r["n_matched"], r["copies"]) for r in dc.overlaps(d, bench).collect()}
+    assert got == {(0, 0): (2, n_tokens(chinese), n_tokens(chinese), 1), (1, 1): (30, n_tokens(french), n_tokens(french), 1),
+                   (2, 3): (0, 2, 2, 1), (3, 2): (0, 1, 1, 2), (6, 4): (2, 3, 3, 1), (7, 5): (30, 5, 5, 1), (7, 6): (35, 7, 7, 1)}
+    assert {r["doc_id"] for r in dc.drop_contaminated(d, bench).collect()} == {4, 5, 8, 9, 10}
+    only = bench.where("item_id = 3")
+    assert [tuple(r) for r in dc.overlaps(d, only).collect()] == [(2, 3, 1, 0, 0, 2, 2)]
