@@ -169,6 +169,13 @@ def test_predictions(spark, sf_dir):
         F.col("predicted_priority").eqNullSafe(priority_bucket(score, Thresholds())).alias("bucket_agrees"))
 
 
+@register("test_predictions_values")
+def test_predictions_values(spark, sf_dir):
+    """The model's test table itself (no oracle: the learner differs between engines)."""
+    return inventory(spark, sf_dir).demo_predictions.select(
+        "asset_id", "risk_score", "predicted_score", "actual_priority", "predicted_priority")
+
+
 @register("standin_predictions")
 def standin_predictions(spark, sf_dir):
     """The fixture the metric queries read: the test label plus keyed noise, not a model."""
@@ -282,6 +289,15 @@ def cv_results(spark, sf_dir):
                     (chosen == (F.col("grid_index") == best)).alias("choice_is_the_best"))
 
 
+@register("cv_results_values")
+def cv_results_values(spark, sf_dir):
+    """One row per config with mean and population std of its folds' MAE, best first (ties in grid order)."""
+    trained = inventory(spark, sf_dir).trained
+    chosen = (F.col("n_estimators") == trained.best[0]) & (F.col("max_depth") == trained.best[1]) & (
+        F.col("learning_rate") == trained.best[2])
+    return trained.cv_results.withColumn("chosen", chosen).orderBy("cv_mae_mean", "grid_index")
+
+
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """M5/K2: 16 importances, each a share; all add up to one."""
@@ -291,12 +307,29 @@ def feature_importance(spark, sf_dir):
                       (F.abs(total - 1.0) < 1e-9).alias("adds_up"))
 
 
+@register("feature_importance_values")
+def feature_importance_values(spark, sf_dir):
+    """M5/K2: the 16 importances, highest first (ties by name)."""
+    imp = spark.createDataFrame(trn.feature_importance(inventory(spark, sf_dir).demo_model), trn.IMPORTANCE_SCHEMA)
+    return imp.orderBy(F.desc("importance"), "feature")
+
+
+def _batch_scores(inv: Inventory) -> DataFrame:
+    return trn.score_all(inv.demo_model, feat.encode_features(inv.features, "strict"))
+
+
+@register("batch_scores_values")
+def batch_scores_values(spark, sf_dir):
+    """M7: (asset_id, risk_score, priority, encode_error) of every asset."""
+    return _batch_scores(inventory(spark, sf_dir))
+
+
 @register("batch_scores")
 def batch_scores(spark, sf_dir):
     """M7: strict (serving) encode of every asset -> model -> clip -> bucket; an asset that can't be
     encoded keeps its error instead of a score."""
     inv = inventory(spark, sf_dir)
-    b = trn.score_all(inv.demo_model, feat.encode_features(inv.features, "strict"))
+    b = _batch_scores(inv)
     score = F.col("risk_score")
     return b.select("asset_id", "encode_error", score.isNotNull().alias("scored"),
                     score.between(0.0, 1.0).alias("score_in_range"),
@@ -345,6 +378,15 @@ def model_quality(spark, sf_dir):
                     (F.col("match") >= 0.75).alias("match_rate_reached"), (F.col("r") > 0.9).alias("correlates"))
 
 
+@register("model_quality_values")
+def model_quality_values(spark, sf_dir):
+    """The fitted model's metrics on the test split beside the mean's."""
+    inv = inventory(spark, sf_dir)
+    base = ev.baseline_mae(inv.test, inv.train).select("baseline_mae").scalar()
+    m = ev.regression_metrics(inv.demo_predictions).crossJoin(ev.bucket_match_rate(inv.demo_predictions))
+    return m.withColumn("baseline_mae", base).withColumn("model_worse_than_baseline", F.col("mae") >= base)
+
+
 @register("reload_equivalence")
 def reload_equivalence(spark, sf_dir):
     """Save model + manifest, reload with the manifest check, compare predictions."""
@@ -587,6 +629,18 @@ def expert_evaluation(spark, sf_dir):
                     (F.col("bucket_match_rate") >= 0.75).alias("match_rate_reached"))
 
 
+@register("expert_evaluation_values")
+def expert_evaluation_values(spark, sf_dir):
+    """MAE, RMSE and bucket match rate against the expert."""
+    return ev.expert_evaluation(_expert(spark, sf_dir))
+
+
+@register("agreement_rate_values")
+def agreement_rate_values(spark, sf_dir):
+    """(category, n_judged, n_agree, agreement_rate) per expert priority."""
+    return ev.agreement_rate(_expert(spark, sf_dir))
+
+
 @register("agreement_rate")
 def agreement_rate(spark, sf_dir):
     """The model's priorities against the expert's, per expert priority; each rate is its own quotient."""
