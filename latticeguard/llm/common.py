@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from latticeguard.session import checkpoint_dir, materialize
 from latticeguard.sources.tables import read_table
 
-__all__ = ["binary_values", "checkpoint_dir", "documents", "free_name", "materialize", "read_table", "text_or_empty"]
+__all__ = ["binary_values", "checkpoint_dir", "documents", "free_name", "materialize", "read_table", "text_key",
+           "text_or_empty"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def text_key(text: Column) -> Column:
+    """96 bits that stand for a text (or for null) where rows are named by it."""
+    return F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that `df` does not have yet (names compare without case, as Spark does)."""
     taken = {c.lower() for c in df.columns}

@@ -21,6 +21,7 @@ The joins and shuffles are Spark's; Python sees Arrow batches of (bucket, finger
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeguard.llm.common import binary_values, free_name, materialize
+from latticeguard.llm.common import binary_values, free_name, materialize, text_key
 from latticeguard.llm.components import connected_components
 
 SHINGLE = 4
@@ -195,15 +196,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     are only a component's id when it has no other. An empty table gives no rows; other columns of
     `docs` are ignored.
     """
-    ids = materialize(with_fingerprint(docs.select(F.col(key).alias("key"), F.col(text).alias("text")),
-                                       shingle=shingle).select("key", "fp"), "simhash-fp")
+    named = _named(docs, key, text, shingle, max_bits, segments, block)
+    return named.select(F.col("key").alias(key), "fp", "component")
+
+
+def _named(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int, segments: int, block: int) -> DataFrame:
+    """(key, mark, fp, component, root) of each row: `mark` stands for its text, `root` for its component where two
+    have the same smallest key."""
+    ids = materialize(with_fingerprint(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle=shingle)
+                      .select("key", text_key(F.col("text")).alias("mark"), "fp"), "simhash-fp")
     fps = materialize(ids.groupBy("fp").agg(F.min("key").alias("least")), "simhash-distinct")
     comps = connected_components(links(fps, max_bits, segments, block))
     rooted = fps.join(comps.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(least, "root").select("fp", "component")
-    return ids.join(named, "fp").select(F.col("key").alias(key), "fp", "component")
+    named = rooted.join(least, "root").select("fp", "component", "root")
+    return ids.join(named, "fp").select("key", "mark", "fp", "component", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -211,21 +219,38 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     """`docs` with one row left of each component: that of its smallest key.
 
     The dropped keys are written first, so that Spark knows their size when it plans the anti
-    join: texts are shuffled only when the keys don't fit a broadcast. Rows that repeat a kept key
-    (copies of one row) are reduced to one in a second step that touches only those keys. A row
-    with a null key can't be named by a decision and stays.
+    join: texts are shuffled only when the keys don't fit a broadcast. Rows that repeat a kept row
+    are reduced to one in a second step that touches only those. Where a key has rows with unequal
+    texts, or is null, a row is named by its key and text; of unequal texts with the smallest key of
+    one component one stays. Rows with a null key are no component's smallest: one of each text stays.
     """
-    found = materialize(near_duplicates(docs, key, text, shingle, max_bits).where(F.col(key).isNotNull())
-                        .select(key, "component"), "simhash-components")
-    gone = free_name(docs, "gone")
-    drop = materialize(found.where(f"`{key}` <> component").select(F.col(key).alias(gone)).distinct(), "simhash-drop")
-    kept = docs.join(drop, docs[key] == drop[gone], "left_anti")
-    again = materialize(found.where(f"`{key}` = component").groupBy(F.col(key).alias(gone))
-                        .count().where("count > 1").select(gone), "simhash-repeated")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, kept[key] == again[gone], "left_semi").dropDuplicates([key])
-    return kept.join(again, kept[key] == again[gone], "left_anti").unionByName(once)
+    found = materialize(_named(docs, key, text, shingle, max_bits, SEGMENTS, BLOCK).select("key", "mark", "component", "root"),
+                        "simhash-components")
+    mark = free_name(docs, "mark")
+    unclear = found.groupBy("key").agg(F.min("mark").alias("least"), F.max("mark").alias("most"))
+    if unclear.where("key IS NULL OR least <> most").isEmpty():
+        names, rows = ["key"], docs
+        lost, stays = F.expr("key <> component"), F.expr("key = component")
+    else:
+        names, rows = ["key", "mark"], docs.withColumn(mark, text_key(F.col(text)))
+        least = found.where("key = component").groupBy("key", "root").agg(F.min("mark").alias("least"))
+        found = found.join(least, ["key", "root"], "left")
+        lost = F.expr("key <> component OR mark <> least")
+        stays = F.expr("key IS NULL OR (key = component AND mark = least)")
+    columns = [key, mark][:len(names)]
+    others = [free_name(rows, f"gone_{name}") for name in names]
+
+    def named(table: DataFrame, kind: str) -> tuple[DataFrame, Column]:
+        table = materialize(table.select(*[F.col(n).alias(o) for n, o in zip(names, others, strict=True)]), kind)
+        same = [rows[c].eqNullSafe(table[o]) for c, o in zip(columns, others, strict=True)]
+        return table, reduce(Column.__and__, same)
+
+    kept = rows.join(*named(found.where(lost).select(*names).distinct(), "simhash-drop"), "left_anti")
+    again, same = named(found.where(stays).groupBy(*names).count().where("count > 1"), "simhash-repeated")
+    if not again.isEmpty():
+        once = kept.join(again, same, "left_semi").dropDuplicates(columns)
+        kept = kept.join(again, same, "left_anti").unionByName(once)
+    return kept.drop(mark)
 
 
 __all__ = ["BLOCK", "MAX_BITS", "SHINGLE", "bucket_links", "drop_near_duplicates", "fingerprint", "links",

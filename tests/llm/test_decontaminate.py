@@ -158,3 +158,12 @@ def test_unspaced_and_short_items_are_found(spark):
     assert {r["doc_id"] for r in dc.drop_contaminated(d, bench).collect()} == {4, 5, 8, 9, 10}
     only = bench.where("item_id = 3")
     assert [tuple(r) for r in dc.overlaps(d, only).collect()] == [(2, 3, 1, 0, 0, 2, 2)]
+
+
+def test_clean_namesake_of_a_contaminated_row_stays(spark):
+    item = " ".join(f"t{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, item), (1, "clean"), (1, None), (2, f"x {item}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(4, item)], "item_id long, text string")
+    kept = dc.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (r["text"] for r in kept.collect()))) == ["None", "clean"]

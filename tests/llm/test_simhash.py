@@ -104,6 +104,18 @@ def test_drop_keeps_one_of_each_group(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_are_named_by_key_and_text(spark):
+    a, b, c, d = "a b c d e f g", "z y x w v u", "one two three four five", "six seven eight nine"
+    rows = [(1, a), (2, a.upper()), (2, b), (2, b), (3, c), (3, d), (3, d), (4, d), (5, c), (5, c.upper()), (5, "k l m n o p"),
+            (6, "u v w q"), (6, "U v w q"), (None, a), (None, a), (None, "h i j k"), (None, "h i j k"), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = [(r["doc_id"], (r["text"] or "").lower()) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (3, c), (3, d), (5, "k l m n o p"), (6, "u v w q"), (None, a),
+                                           (None, "h i j k"), (None, "")], key=str)
+
+
 def test_components_of_chain_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
