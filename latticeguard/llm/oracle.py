@@ -86,3 +86,78 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dr
        length(c.text)::BIGINT AS n_chars, sha256(c.text) AS text_sha256
 FROM documents d LEFT JOIN c ON c.doc_id = d.doc_id
 """
+
+ORACLE["op12_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+         (len(w) < 100)::INTEGER + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INTEGER
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INTEGER
+         + 8 * regexp_matches(t, '[#$%&*|]')::INTEGER + 16 * (d.doc_id > min(d.doc_id) OVER (PARTITION BY t))::INTEGER AS mask
+  FROM d LEFT JOIN labels ON labels.doc_id = d.doc_id),
+g AS (SELECT part, mask, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+i AS (SELECT unnest(range(5))::INTEGER AS f),
+o AS (
+  SELECT chr(65 + a.f) || chr(65 + b.f) || chr(65 + c.f) || chr(65 + d.f) || chr(65 + e.f) AS filter_order,
+         [1 << a.f, 1 << b.f, 1 << c.f, 1 << d.f, 1 << e.f] AS bits
+  FROM i a JOIN i b ON b.f <> a.f JOIN i c ON c.f NOT IN (a.f, b.f) JOIN i d ON d.f NOT IN (a.f, b.f, c.f)
+  JOIN i e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+s AS (
+  SELECT filter_order, step::INTEGER AS step, bits[step] AS own, list_sum(bits[1:step])::INTEGER - bits[step] AS before
+  FROM o, range(1, 6) AS r(step)),
+c AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (mask & (own | before) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & own > 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before > 0 AND mask & own > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & own > 0 AND good), 0)::BIGINT AS good_lost,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & own > 0 AND toxic), 0)::BIGINT AS toxic_lost
+  FROM g, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM c
+"""
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    """Every round is one pair of tables: nearest entries, then the new codebook."""
+    nearest = """
+a{k} AS MATERIALIZED (
+  SELECT vec_id, p, e, dist FROM (
+    SELECT c.vec_id, c.p, b.e, sum((c.x - b.x) * (c.x - b.x)) AS dist
+    FROM c JOIN b{k} b ON b.p = c.p AND b.d = c.d GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY dist, e) = 1),"""
+    book = """
+b{next} AS MATERIALIZED (
+  SELECT b.p, b.e, b.d, coalesce(m.x, b.x) AS x
+  FROM b{k} b LEFT JOIN (
+    SELECT p, e, d, ((total - ((total % n) + n) % n) // n)::BIGINT AS x FROM (
+      SELECT c.p, a.e, c.d, sum(c.x)::BIGINT AS total, count(*) AS n
+      FROM c JOIN a{k} a ON a.vec_id = c.vec_id AND a.p = c.p GROUP BY ALL)) m
+  ON m.p = b.p AND m.e = b.e AND m.d = b.d),"""
+    return """
+WITH u AS (
+  SELECT vec_id, len(embedding) AS n, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i
+  FROM embeddings WHERE embedding IS NOT NULL),
+bad AS (SELECT DISTINCT vec_id FROM u WHERE x IS NULL OR isnan(x) OR isinf(x)),
+c AS MATERIALIZED (
+  SELECT vec_id, i // (n // 8) AS p, i % (n // 8) AS d, floor(4096 * x)::BIGINT AS x
+  FROM u WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+b0 AS MATERIALIZED (
+  SELECT p, e, d, x FROM c JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM (SELECT DISTINCT vec_id FROM c)
+    QUALIFY e < 16) USING (vec_id)),""" + "".join(
+        nearest.format(k=k) + book.format(k=k, next=k + 1) for k in range(rounds)) + nearest.format(k=rounds) + """
+v AS (
+  SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(dist)::BIGINT AS error
+  FROM a6 GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, d)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM v JOIN embeddings USING (vec_id), digest
+"""
+
+
+ORACLE["op11_vector_codes"] = _vector_codes()

@@ -6,7 +6,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.llm import chatrepair, decontaminate, hostquality, langid, linededup, packing, pii, simhash, tokencount, urlfilter
+from latticeguard.llm import (
+    bpecodec,
+    chatrepair,
+    decontaminate,
+    filteraudit,
+    hostquality,
+    langid,
+    linededup,
+    packing,
+    pii,
+    simhash,
+    tokencount,
+    urlfilter,
+    vectorcode,
+)
 from latticeguard.llm.common import documents, materialize, read_table
 
 
@@ -68,6 +82,25 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books, coded = vectorcode.compress(vectors)
+    with_errors = vectorcode.label_errors(coded)
+    digest = F.sha2(F.lit(vectorcode.spelt(books)), 256)
+    return with_errors.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpecodec.encode(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    n_tokens = F.floor(F.length("ids") / 4).alias("n_tokens")
+    return bpecodec.decode(coded).select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"),
+                                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -79,4 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_count": op10_token_count,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_bpe": op13_bpe,
 }
