@@ -54,8 +54,8 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One narrow row a document: part, doc_id, `failed` (bits, A first), good, toxic.
 
     A null text is empty; a null language's part is the empty string. A document fails E if a row with a
-    smaller doc_id has an equal text (by its SHA-256); one without a doc_id has no smaller one and is
-    not smaller than any. A doc_id's labels are the union of its rows in `labels`. Neither step shuffles
+    smaller doc_id has an equal text (by its SHA-256); one without a doc_id has no smaller one, is not
+    smaller than any, and has no labels. A doc_id's labels are the union of its rows in `labels`. Neither step shuffles
     rows by text: the first doc_id of each text is found by partial aggregation, and joined by doc_id.
     """
 
