@@ -35,13 +35,15 @@ from tokenizers import pre_tokenizers
 from latticeguard.llm.common import free_name
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words or pieces (about 200 bytes each) and token pairs a worker keeps in one place before it starts anew,
+#: Words, pieces (about 200 bytes each) and token pairs a worker keeps in one place before it starts anew,
 #: and the longest word that it keeps.
-REMEMBERED = 400_000
+WORDS = 350_000
+PIECES = 150_000
 SEAMS = 1_000_000
 LONGEST = 48
 _BYTES = 256
 _NEVER = 1 << 62
+_WORD = re.compile(r"([^\W\d_]+)([^\w\s]*)")
 _RUN = re.compile(r" (?:\s|$)")
 #: Characters of which all Unicode versions in use agree whether they are letters, digits or blanks.
 _OTHERS = re.compile("[^\x00-ԯ‐-‧€]")
@@ -88,10 +90,13 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
-        self.texts = dict(enumerate(self.bytes)) | {i: s.encode() for s, i in self.special.items()}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.cutter = pre_tokenizers.ByteLevel(add_prefix_space=False)
-        self.seams: dict[int, bool] = {}
+        self.texts = [self.bytes[i] if i < self.size else b"" for i in range(max([self.size - 1, *self.special.values()]) + 1)]
+        for content, token in self.special.items():
+            self.texts[token] = content.encode()
+        self.seams: list[dict[int, bool]] = [{} for _ in range(self.size + 1)]
+        self.n_seams = 0
         self.known = _Remembered(lambda piece: packed(self.piece(piece.encode())))
         self.words = _Remembered(self._word)
 
@@ -110,11 +115,9 @@ class Codec:
 
     def _fits(self, before: int, token: int) -> bool:
         """Whether `token` can follow `before`, the last token so far (`size` at a piece's start)."""
-        found = self.seams.get(before * self.size + token)
+        found = self.seams[before].get(token)
         if found is not None:
             return found
-        if len(self.seams) > SEAMS:
-            self.seams.clear()
         if before < self.size:
             found = self._fits(self.size, token) and self.compatible(before, token)
         else:  # a token whose bytes are encoded in another way is never made
@@ -122,7 +125,8 @@ class Codec:
             last = self._last_tokens(raw[:-1])
             ways = ((last[at], self.tokens.get(raw[at:])) for at in range(1, len(raw)))
             found = not any(tail is not None and self._fits(head, tail) for head, tail in ways)
-        self.seams[before * self.size + token] = found
+        self.seams[before][token] = found
+        self.n_seams += 1
         return found
 
     def _last_tokens(self, piece: bytes) -> list[int]:
@@ -130,14 +134,14 @@ class Codec:
 
         Every prefix has exactly one, so it is the prefix's last byte if no longer token fits.
         """
-        seams, size, done = self.seams, self.size, 0
-        last = [size, *piece.translate(self.byte_ids)]
+        seams, done = self.seams, 0
+        last = [self.size, *piece.translate(self.byte_ids)]
         for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
             if end == done:
                 continue
             before = last[end + 1 - length]
             try:
-                fits = seams[before * size + token]
+                fits = seams[before][token]
             except KeyError:
                 fits = self._fits(before, token)
             if fits:
@@ -156,9 +160,12 @@ class Codec:
         return ids
 
     def _word(self, word: str) -> bytes:
-        if word.isalpha() and word.isascii():
-            return packed(self.piece(b" " + word.encode()))
-        return b"".join(map(self.known.__getitem__, self.pieces(" " + word)))
+        """Ids of a space and the word: of its letters and of what follows them, if there is nothing else."""
+        plain = _WORD.fullmatch(word) if word.isascii() or not _OTHERS.search(word) else None
+        if plain is None:
+            return b"".join(map(self.known.__getitem__, self.pieces(" " + word)))
+        letters, rest = plain.groups()
+        return self.known[" " + letters] + self.known[rest] if rest else self.known[" " + letters]
 
     def pieces(self, text: str) -> list[str]:
         """The pieces that are encoded by themselves."""
@@ -170,8 +177,12 @@ class Codec:
         """Packed ids (little-endian, 32 bits each) of a text; none for null."""
         if not text:
             return b""
-        self.known.trim()
-        self.words.trim()
+        self.known.trim(PIECES)
+        self.words.trim(WORDS)
+        if self.n_seams > SEAMS:
+            self.n_seams = 0
+            for after in self.seams:
+                after.clear()
         if not any(map(text.__contains__, self.special)):
             return self._ordinary(text)
         return b"".join(packed([self.special[part]]) if i % 2 else self._ordinary(part)
@@ -191,8 +202,8 @@ class Codec:
         each = np.frombuffer(ids, "<u4").tolist()
         try:
             raw = b"".join(map(texts.__getitem__, each))
-        except KeyError:
-            raw = b"".join(texts.get(i, b"") for i in each)
+        except IndexError:
+            raw = b"".join(texts[i] for i in each if i < len(texts))
         return raw.decode("utf-8", "replace")
 
 
@@ -213,8 +224,8 @@ class _Remembered(dict):
             self[key] = value
         return value
 
-    def trim(self) -> None:
-        if len(self) > REMEMBERED:
+    def trim(self, most: int) -> None:
+        if len(self) > most:
             self.older = dict(self)
             self.clear()
 

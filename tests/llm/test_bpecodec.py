@@ -75,8 +75,8 @@ def test_characters_that_all_versions_agree_on(exact):
 
 
 def test_forgetting_changes_nothing(exact, monkeypatch):
-    monkeypatch.setattr(bc, "REMEMBERED", 5)
-    monkeypatch.setattr(bc, "SEAMS", 5)
+    for limit in ("WORDS", "PIECES", "SEAMS"):
+        monkeypatch.setattr(bc, limit, 5)
     codec = bc.Codec()
     for text in ("the cat sat on the mat again and again, the cat", "unbelievable words: unbelievable"):
         for _ in range(3):
