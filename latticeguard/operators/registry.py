@@ -1,18 +1,17 @@
 """Writes of the run ledger and the model registry.
 
-The ledger is a folder of parquet tables. Runs, metrics, parameters, versions, promotions and
-scores are append-only. Aliases are a small keyed table that is replaced as a whole: each change
-writes a new numbered snapshot and readers take the highest complete one, so a job that dies half
-way leaves the last state in force.
+The ledger's tables share one commit log (`sources/tablelog.py`). Every action is one commit: a run with
+its parameters and metrics, a version with its alias, a promotion with the alias it moves. Two jobs
+that act at once are put in an order; the later one decides again from what the earlier one left, so
+no version number is given twice and no alias move is lost. A job that dies leaves the last state.
 """
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Policy
+from ..sources.tablelog import State, TableLog
 from . import promotion as pm
 from .graph import upsert
 
@@ -24,8 +23,8 @@ SCHEMAS = {
     "promotions": "environment string, model string, version int, run_id string, promoted_at timestamp",
     "risk_scores": "asset_id long, risk_score double, priority string, model_name string, model_version string, "
                    "run_id string, scored_at timestamp",
+    "model_aliases": "model string, alias string, version int",
 }
-ALIASES = "model string, alias string, version int"
 
 
 class Ledger:
@@ -33,23 +32,14 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        return self._fs.exists(self._path(path))
+        self.log = TableLog(spark, root, SCHEMAS)
 
-    def read(self, table: str) -> DataFrame:
-        path = f"{self.root}/{table}"
-        if not self._exists(path):
-            return self.spark.createDataFrame([], SCHEMAS[table])
-        return self.spark.read.schema(SCHEMAS[table]).parquet(path)
+    def read(self, table: str, state: State | None = None) -> DataFrame:
+        return self.log.read(table, state)
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Append rows of a table's columns."""
-        columns = [c.split()[0] for c in SCHEMAS[table].split(", ")]
-        rows.select(*columns).write.mode("append").parquet(f"{self.root}/{table}")
+        self.log.append(**{table: rows})
 
     # --- runs -----------------------------------------------------------------------
 
@@ -58,11 +48,12 @@ class Ledger:
         `metrics` have run_id, key, value). Missing values are not logged."""
         end = F.lit(ended).cast("timestamp")
         one = self.spark.range(1)
-        self.append("runs", one.select(F.lit(run_id).alias("run_id"), end.alias("end_time")))
         pairs = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(str(v)).alias("value")) for k, v in sorted(params.items())))
-        self.append("run_params", one.select(F.lit(run_id).alias("run_id"), F.inline(pairs)))
         merged = pm.merge_metric_sets(*metrics).where(F.col("value").isNotNull())
-        self.append("run_metrics", merged.withColumn("ts", end).withColumn("step", F.lit(0).cast("long")))
+        self.log.append(
+            runs=one.select(F.lit(run_id).alias("run_id"), end.alias("end_time")),
+            run_params=one.select(F.lit(run_id).alias("run_id"), F.inline(pairs)),
+            run_metrics=merged.withColumn("ts", end).withColumn("step", F.lit(0).cast("long")))
 
     def append_scores(self, scores: DataFrame, model: str, version: int, run_id: str, scored_at: str) -> None:
         """M8: scored rows with their provenance; rows without a score stay in the batch's error output."""
@@ -73,55 +64,63 @@ class Ledger:
 
     # --- registry -------------------------------------------------------------------
 
-    def aliases(self) -> DataFrame:
-        root = f"{self.root}/model_aliases"
-        if not self._exists(root):
-            return self.spark.createDataFrame([], ALIASES)
-        done = [s.getPath().toString() for s in self._fs.listStatus(self._path(root))
-                if self._exists(s.getPath().toString() + "/_SUCCESS")]
-        return self.spark.read.schema(ALIASES).parquet(max(done))
-
-    def _write_aliases(self, rows: DataFrame) -> None:
-        root = f"{self.root}/model_aliases"
-        n = len(self._fs.listStatus(self._path(root))) if self._exists(root) else 0
-        rows.write.parquet(f"{root}/{n:010d}-{uuid.uuid4().hex}")
+    def aliases(self, state: State | None = None) -> DataFrame:
+        return self.read("model_aliases", state)
 
     def register(self, model: str, run_id: str, path: str) -> int:
         """A new version of a model, under the alias `candidate`; `champion` never moves here."""
-        last = self.read("model_versions").where(F.col("model") == model).agg(F.max("version")).first()[0]
-        version = (last or 0) + 1
-        one = self.spark.range(1)
-        self.append("model_versions", one.select(F.lit(model).alias("model"), F.lit(version).alias("version"),
-                                                 F.lit(run_id).alias("run_id"), F.lit(path).alias("path")))
-        alias = one.select(F.lit(model).alias("model"), F.lit(pm.CANDIDATE).alias("alias"), F.lit(version).alias("version"))
-        self._write_aliases(upsert(self.aliases(), alias, ["model", "alias"]))
-        return version
-
-    def decide(self, policy: Policy, deployment: str, now: str) -> tuple[DataFrame, DataFrame]:
-        """(resolved aliases, decisions) of every model that has a candidate, from the ledger alone."""
+        one, given = self.spark.range(1), []
+
+        def change(state: State) -> dict:
+            last = self.read("model_versions", state).where(F.col("model") == model).agg(F.max("version")).first()[0]
+            given[:] = [(last or 0) + 1]
+            version = F.lit(given[0])
+            row = one.select(F.lit(model).alias("model"), version.alias("version"), F.lit(run_id).alias("run_id"),
+                             F.lit(path).alias("path"))
+            alias = one.select(F.lit(model).alias("model"), F.lit(pm.CANDIDATE).alias("alias"), version.alias("version"))
+            aliases = upsert(self.aliases(state), alias, ["model", "alias"])
+            return {"model_versions": state.entries("model_versions") + self.log.write("model_versions", row),
+                    "model_aliases": self.log.write("model_aliases", aliases)}
+
+        self.log.commit(change)
+        return given[0]
+
+    def decide(self, policy: Policy, deployment: str, now: str, state: State | None = None) -> tuple[DataFrame, DataFrame]:
+        """(resolved aliases, decisions) of every model that has a candidate, from one state of the ledger alone."""
+        state = state or self.log.state()
         at = F.lit(now).cast("timestamp")
-        resolved = pm.resolve_aliases(self.aliases(), self.read("model_versions")).withColumn(
+        resolved = pm.resolve_aliases(self.aliases(state), self.read("model_versions", state)).withColumn(
             "deployment", F.lit(deployment))
-        latest = pm.latest_metrics(self.read("run_metrics"))
+        latest = pm.latest_metrics(self.read("run_metrics", state))
         pairs = pm.metric_pairs(resolved, latest)
-        comparison = pm.comparability(resolved, pm.evaluations(self.read("runs"), self.read("run_params"), at), pairs)
-        ledger = pm.gate_ledger(comparison, pairs, policy, at, self.read("promotions"))
+        comparison = pm.comparability(
+            resolved, pm.evaluations(self.read("runs", state), self.read("run_params", state), at), pairs)
+        ledger = pm.gate_ledger(comparison, pairs, policy, at, self.read("promotions", state))
         return resolved, pm.decisions(comparison, ledger, policy)
 
     def promote(self, policy: Policy, deployment: str, environment: str, now: str) -> DataFrame:
-        """Flip `champion` of every model that an environment approves, and append `promotions`;
-        returns the decisions. A model whose candidate is its champion already is not promoted again."""
-        resolved, decided = self.decide(policy, deployment, now)
-        decided = decided.persist()
-        moving = resolved.where(~F.col("cand_version").eqNullSafe(F.col("champ_version")))
-        approved = decided.where((F.col("environment") == environment) & (F.col("outcome") == "approve")).join(
-            moving.select("model", "cand_version", "cand_run"), "model").persist()
-        if not approved.isEmpty():
-            self.append("promotions", approved.select(
+        """Flip `champion` of every model that an environment approves and append `promotions`, in one
+        commit; returns the decisions it rests on. A model whose candidate is its champion already is not
+        promoted again. If the ledger moves meanwhile, the decisions are made again from its new state."""
+        made: list[DataFrame] = []
+
+        def change(state: State) -> dict | None:
+            resolved, decided = self.decide(policy, deployment, now, state)
+            made[:] = [decided.persist()]
+            moving = resolved.where(~F.col("cand_version").eqNullSafe(F.col("champ_version")))
+            approved = made[0].where((F.col("environment") == environment) & (F.col("outcome") == "approve")).join(
+                moving.select("model", "cand_version", "cand_run"), "model").persist()
+            if approved.isEmpty():
+                return None
+            promoted = self.log.write("promotions", approved.select(
                 "environment", "model", F.col("cand_version").alias("version"), F.col("cand_run").alias("run_id"),
                 F.lit(now).cast("timestamp").alias("promoted_at")))
-            self._write_aliases(pm.alias_flip(self.aliases(), resolved, approved.select("environment", "model", "outcome"), environment))
-        return decided
+            moved = pm.alias_flip(self.aliases(state), resolved, approved.select("environment", "model", "outcome"), environment)
+            return {"promotions": state.entries("promotions") + promoted,
+                    "model_aliases": self.log.write("model_aliases", moved)}
+
+        self.log.commit(change)
+        return made[0]
 
     def load(self, model: str, alias: str = pm.CHAMPION, path: str | None = None):
         """M9: (fitted model, thresholds) at an explicit path, else at that of the alias's version."""
