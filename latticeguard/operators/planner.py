@@ -265,6 +265,12 @@ def system_comparison(baseline: DataFrame, weighted: DataFrame, expert: DataFram
     return out
 
 
+def system_ranks(baseline: DataFrame, weighted: DataFrame) -> dict[str, DataFrame]:
+    """(asset_id, rank) of each migration order, ties averaged."""
+    return {"baseline": _baseline_ranks(baseline).select("asset_id", F.col("rb").alias("rank")),
+            "weighted": weighted.select("asset_id", F.col("_grank").cast("double").alias("rank"))}
+
+
 def global_order(weighted: DataFrame) -> DataFrame:
     """Global position in the weighted plan: (phase, rank) -> 1..n, from per-phase counts."""
     counts = weighted.groupBy("phase").agg(F.count(F.lit(1)).alias("_c"))

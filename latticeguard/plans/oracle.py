@@ -265,6 +265,17 @@ oracle("downstream_of_certificate", with_base("""
 SELECT s.cert, s.alg, coalesce(p.n, 0) AS n_data_assets, coalesce(p.names, '') AS data_assets
 FROM signed s LEFT JOIN (SELECT alg, count(*) AS n, string_agg(data, ',' ORDER BY data) AS names FROM protects GROUP BY alg) p
   ON p.alg = s.alg""", GRAPH_CTES))
+oracle("reachable_from_certificate", "WITH RECURSIVE" + with_base("""
+SELECT src AS cert, count(*) FILTER (dst_type = 'Algorithm') AS n_algorithms, count(*) FILTER (dst_type = 'DataAsset') AS n_data_assets,
+       max(hops)::INTEGER AS max_hops
+FROM (SELECT src, dst_type, dst, min(hops) AS hops FROM rc GROUP BY ALL) GROUP BY src""", GRAPH_CTES + """,
+rc AS (
+  SELECT src, dst_type, dst, 1 AS hops FROM edges_g WHERE src_type = 'Certificate'
+  UNION SELECT r.src, e.dst_type, e.dst, r.hops + 1 FROM rc r JOIN edges_g e ON e.src = r.dst AND e.src_type = r.dst_type)""")[len("WITH"):])
+oracle("graph_merge_sink", with_base("""
+SELECT node_type, count(*) AS n_nodes, count(*) FILTER (node_type = 'Certificate' AND node_id LIKE 'cert-77%') AS n_renewed, 0::BIGINT AS n_stale,
+       count(DISTINCT node_id) AS n_ids, 0::BIGINT AS n_renewed_before, TRUE AS few_files_rewritten, TRUE AS second_merge_wrote_nothing
+FROM nodes GROUP BY node_type""", GRAPH_CTES))
 oracle("algorithms_protecting_customer_data", with_base("""
 SELECT p.alg, count(*) AS n_data_assets FROM protects p
 JOIN nodes d ON d.node_type = 'DataAsset' AND d.node_id = p.data AND d.classification = 'customer'
@@ -330,6 +341,23 @@ def _plan(body: str) -> str:
 
 
 oracle("dependency_levels", _plan("SELECT asset_id, level FROM lv"))
+oracle("dependency_closure", "WITH RECURSIVE" + with_base("""
+SELECT src AS asset_id, count(*) AS n_dependencies, max(hops)::INTEGER AS max_hops, sum(dst)::BIGINT AS sum_dependencies
+FROM (SELECT src, dst, min(hops) AS hops FROM rc GROUP BY src, dst) GROUP BY src""", """
+rc AS (SELECT src, dst, 1 AS hops FROM edges UNION SELECT r.src, e.dst, r.hops + 1 FROM rc r JOIN edges e ON e.src = r.dst)""")[len("WITH"):])
+oracle("cyclic_dependency_levels", "WITH RECURSIVE" + with_base("""
+SELECT asset_id, component, count(*) OVER (PARTITION BY component) AS n_members, level
+FROM comp JOIN (SELECT node, max(level)::INTEGER AS level FROM cl GROUP BY node) l ON l.node = comp.component""", """
+cyc AS (
+  SELECT src, dst FROM edges
+  UNION SELECT asset_id // 9, asset_id FROM assets WHERE asset_id % 50 = 7 AND asset_id // 9 IN (SELECT asset_id FROM assets)),
+rc AS (SELECT src, dst FROM cyc UNION SELECT r.src, c.dst FROM rc r JOIN cyc c ON c.src = r.dst),
+mutual AS (SELECT a.src, min(a.dst) AS least FROM rc a JOIN rc b ON b.src = a.dst AND b.dst = a.src GROUP BY a.src),
+comp AS (SELECT asset_id, coalesce(least, asset_id) AS component FROM assets LEFT JOIN mutual ON mutual.src = asset_id),
+ce AS (
+  SELECT DISTINCT s.component AS src, d.component AS dst FROM cyc JOIN comp s ON s.asset_id = cyc.src
+  JOIN comp d ON d.asset_id = cyc.dst WHERE s.component <> d.component),
+cl AS (SELECT DISTINCT component AS node, 0 AS level FROM comp UNION SELECT ce.src, cl.level + 1 FROM cl JOIN ce ON ce.dst = cl.node)""")[len("WITH"):])
 oracle("plan_baseline", _plan("SELECT asset_id, round(baseline_key, 9) AS baseline_key, rank, phase FROM bp"))
 oracle("plan_weighted", _plan("""
 SELECT asset_id, level, sub_phase, phase, rank, round(score, 9) AS score, reasoning FROM wplan"""))
@@ -364,6 +392,20 @@ er AS (SELECT asset_id, rank() OVER (ORDER BY risk_score DESC) + (count(*) OVER
 top_e AS (SELECT asset_id FROM rule_labelled ORDER BY risk_score DESC, asset_id LIMIT 100),
 bp AS (""", 1))
 
+oracle("pairwise_agreement", _plan("""
+SELECT system, (SELECT count(*) FROM bp) AS n, count(*)::VARCHAR AS comparable, count(*) FILTER (way > 0)::VARCHAR AS concordant,
+       count(*) FILTER (way < 0)::VARCHAR AS discordant, count(*) FILTER (way = 0)::VARCHAR AS tied,
+       round((count(*) FILTER (way > 0) + count(*) FILTER (way = 0) / 2.0e0) / count(*), 9) AS agreement
+FROM (
+  SELECT a.system, sign(b.r - a.r) * sign(b.e - a.e) AS way FROM ranks a JOIN ranks b
+  ON b.system = a.system AND b.asset_id > a.asset_id AND b.e <> a.e)
+GROUP BY system""").replace("\nSELECT system, (SELECT", """,
+ranks AS (
+  SELECT 'baseline' AS system, b.asset_id, -b.baseline_key AS r, -l.risk_score AS e FROM bp b JOIN rule_labelled l ON l.asset_id = b.asset_id
+  UNION ALL
+  SELECT 'weighted', w.asset_id, w.grank, -l.risk_score FROM wplan w JOIN rule_labelled l ON l.asset_id = w.asset_id)
+SELECT system, (SELECT""", 1))
+
 EXPERT_CTES = EVAL_CTES + f""",
 expert_f AS (
   SELECT p.asset_id, p.predicted_score, r.risk_score AS expert_score,

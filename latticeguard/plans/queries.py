@@ -526,6 +526,34 @@ def graph_upsert_idempotent(spark, sf_dir):
         F.countDistinct("name").alias("n_names"))
 
 
+@register("graph_merge_sink")
+def graph_merge_sink(spark, sf_dir):
+    """The nodes in a key-ranged table under a commit log. A batch that renames the certificates of one
+    key range, each with an older, wrong row too, is merged twice. Only the files of that range may be
+    rewritten (under a quarter of all), the second merge must write nothing, and the first state stays readable."""
+    import uuid
+
+    from ..sources.tablelog import KeyedTable, TableLog
+
+    nodes, _ = _graph(spark, sf_dir)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
+    log = TableLog(spark, f"{checkpoint_dir(spark).rstrip('/')}/sink/{uuid.uuid4().hex}", {"nodes": schema})
+    keys = ["node_type", "node_id"]
+    table = KeyedTable(log, "nodes", keys, file_rows=max(1, nodes.count() // 64))
+    loaded, _ = table.merge(nodes)
+    renewed = nodes.where("node_type = 'Certificate' AND node_id LIKE 'cert-77%'").withColumn("name", F.lit("renewed"))
+    batch = renewed.withColumn("name", F.lit("stale")).withColumn("seen", F.lit(1)).unionByName(renewed.withColumn("seen", F.lit(2)))
+    once, rewritten = table.merge(batch, recency="seen")
+    twice, again = table.merge(batch, recency="seen")
+    few = rewritten * 4 < len(loaded.entries("nodes"))
+    before = table.read(loaded).groupBy("node_type").agg(F.count_if(F.col("name") == "renewed").alias("n_renewed_before"))
+    after = table.read(twice).groupBy("node_type").agg(
+        F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("name") == "renewed").alias("n_renewed"),
+        F.count_if(F.col("name") == "stale").alias("n_stale"), F.countDistinct("node_id").alias("n_ids"))
+    return after.join(before, "node_type").withColumn("few_files_rewritten", F.lit(few)).withColumn(
+        "second_merge_wrote_nothing", F.lit(again == 0 and once.version == twice.version))
+
+
 @register("critical_apps_on_algorithm")
 def critical_apps_on_algorithm(spark, sf_dir):
     return gr.critical_apps_on_algorithm(*_graph(spark, sf_dir), algorithm="RSA", criticality="CRITICAL")
@@ -536,6 +564,17 @@ def downstream_of_certificate(spark, sf_dir):
     return gr.downstream_of_certificates(_graph(spark, sf_dir)[1])
 
 
+@register("reachable_from_certificate")
+def reachable_from_certificate(spark, sf_dir):
+    """R5 as a closure over the whole edge table: what lies behind each certificate, and how far."""
+    _, edges = _graph(spark, sf_dir)
+    typed = edges.select(F.concat_ws(":", "src_type", "src").alias("src"), F.concat_ws(":", "dst_type", "dst").alias("dst"))
+    certs = edges.where("src_type = 'Certificate'").select(F.concat_ws(":", "src_type", "src")).distinct()
+    return rch.reachable(typed, certs).groupBy(F.substring_index("source", ":", -1).alias("cert")).agg(
+        F.count_if(F.col("node").startswith("Algorithm:")).alias("n_algorithms"),
+        F.count_if(F.col("node").startswith("DataAsset:")).alias("n_data_assets"), F.max("hops").alias("max_hops"))
+
+
 @register("algorithms_protecting_customer_data")
 def algorithms_protecting_customer_data(spark, sf_dir):
     return gr.algorithms_protecting(*_graph(spark, sf_dir), classification="customer")
@@ -563,7 +602,9 @@ def expiring_vulnerable_certs(spark, sf_dir):
 
 # --- step 9: dependency levels and migration plans ------------------------------
 
+from ..operators import agreement as agr  # noqa: E402
 from ..operators import planner as pl  # noqa: E402
+from ..operators import reach as rch  # noqa: E402
 
 
 @register("dependency_levels")
@@ -571,6 +612,24 @@ def dependency_levels(spark, sf_dir):
     return inventory(spark, sf_dir).levels.select("asset_id", F.col("level").cast("int").alias("level"))
 
 
+@register("dependency_closure")
+def dependency_closure(spark, sf_dir):
+    """Everything that each asset depends on, through however many others."""
+    inv = inventory(spark, sf_dir)
+    return rch.reachable(inv.edges, inv.assets.select("asset_id")).groupBy(F.col("source").alias("asset_id")).agg(
+        F.count(F.lit(1)).alias("n_dependencies"), F.max("hops").alias("max_hops"), F.sum("node").alias("sum_dependencies"))
+
+
+@register("cyclic_dependency_levels")
+def cyclic_dependency_levels(spark, sf_dir):
+    """O3 with cycles: some assets' dependencies also depend on them (asset k div 9 on k, for k mod 50 = 7)."""
+    inv = inventory(spark, sf_dir)
+    ids = inv.assets.select("asset_id")
+    back = ids.where("asset_id % 50 = 7").select(F.expr("asset_id div 9").alias("src"), F.col("asset_id").alias("dst"))
+    edges = inv.edges.select("src", "dst").union(back.join(ids.withColumnRenamed("asset_id", "src"), "src", "left_semi").select("src", "dst"))
+    return rch.component_levels(ids, edges).select("asset_id", "component", "n_members", F.col("level").cast("int").alias("level"))
+
+
 @register("plan_baseline")
 def plan_baseline(spark, sf_dir):
     b = inventory(spark, sf_dir).baseline_plan
@@ -612,6 +671,17 @@ def system_comparison(spark, sf_dir):
                     "n")
 
 
+@register("pairwise_agreement")
+def pairwise_agreement(spark, sf_dir):
+    """How many of all pairs of assets each migration order puts as the expert order does. Pair counts are
+    shown as text, as they may exceed 64 bits."""
+    inv = inventory(spark, sf_dir)
+    expert = pl.average_rank_desc(inv.rule_labelled, "asset_id", "risk_score").withColumnRenamed("avg_rank", "rank")
+    a = agr.pairwise_agreement(pl.system_ranks(inv.baseline_plan, inv.weighted_plan), expert, "asset_id")
+    return a.select("system", "n", *(F.col(c).cast("string").alias(c) for c in ("comparable", "concordant", "discordant", "tied")),
+                    r9(F.col("agreement")).alias("agreement"))
+
+
 def _expert(spark, sf_dir):
     """Held-out rows scored by the model, judged by the noise-free rule score."""
     inv = inventory(spark, sf_dir)
