@@ -134,27 +134,31 @@ def rule_hits(documents: DataFrame, rules=RULES) -> DataFrame:
         "doc_id", "path", "line_no", "rule_id", (F.col("match_pos") + 1).alias("match_no"), "snippet", "algorithm")
 
 
-def keyword_search(findings: DataFrame, assets: DataFrame, terms: tuple[str, ...]) -> DataFrame:
-    """Findings (algorithm, hostname, repo, detail) and assets (hostname, repo, data asset, criticality,
-    zone) that contain a term, case-insensitively: (term, kind, id, asset_id)."""
+def searchable(findings: DataFrame, assets: DataFrame) -> DataFrame:
+    """(kind, id, asset_id, hay): the text of findings (algorithm, hostname, repo, detail) and assets (hostname,
+    repo, data asset, criticality, zone), in lower case."""
     def hay(*parts: Column) -> Column:
         return F.lower(F.concat_ws(" ", *parts)).alias("hay")
 
-    rows = findings.select(
+    return findings.select(
         F.lit("finding").alias("kind"), F.col("finding_id").alias("id"), "asset_id",
         hay(F.col("algorithm"), F.col("asset_hint.hostname"), F.col("asset_hint.repo"),
             F.array_join(F.map_values(F.col("detail")), " "))).unionByName(
         assets.select(F.lit("asset").alias("kind"), F.col("asset_id").cast("string").alias("id"), "asset_id",
                       hay(F.col("hostname"), F.col("repo"), F.col("data_asset"), F.col("criticality"),
                           F.col("network_zone"))))
-    d = rows.select("kind", "id", "asset_id", "hay", F.explode(F.array(*[F.lit(t.lower()) for t in terms])).alias("term"))
+
+
+def keyword_search(findings: DataFrame, assets: DataFrame, terms: tuple[str, ...]) -> DataFrame:
+    """Findings and assets that contain a term, case-insensitively, by a scan: (term, kind, id, asset_id)."""
+    d = searchable(findings, assets).select(
+        "kind", "id", "asset_id", "hay", F.explode(F.array(*[F.lit(t.lower()) for t in terms])).alias("term"))
     return d.where(F.instr(F.col("hay"), F.col("term")) > 0).select("term", "kind", "id", "asset_id")
 
 
 def latest_per_key(history: DataFrame, key: str, ts: str, cols: list[str]) -> DataFrame:
-    """Newest row per key (max_by over a struct, partial-aggregated)."""
-    return history.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_l"), F.max(ts).alias(ts)) \
-        .select(key, "_l.*", ts)
+    """Newest row per key, of rows of one time the largest (a partial aggregation)."""
+    return history.groupBy(key).agg(F.max(F.struct(ts, *cols)).alias("_l")).select(key, *(f"_l.{c}" for c in cols), f"_l.{ts}")
 
 
 def tokens(text: Column) -> Column:

@@ -630,3 +630,7 @@ FROM (SELECT FALSE AS created, count(*) AS n_assets, min(asset_id) AS first_id,
 oracle("noise_moments", with_base(f"""
 SELECT count(*) AS n, round(avg(z), 9) AS mean, round(stddev_samp(z), 9) AS std
 FROM (SELECT {_nz('asset_id', 42, '', 0.05)} AS z FROM assets)"""))
+
+# the indexes return what the scans return
+oracle("retrieve_passages_indexed", ORACLE["retrieve_passages"])
+oracle("keyword_search_indexed", ORACLE["keyword_search"])

@@ -723,6 +723,8 @@ def agreement_rate(spark, sf_dir):
 
 from ..operators import ingest as ing  # noqa: E402
 from ..operators import retrieval as rt  # noqa: E402
+from ..operators.passage_index import PassageIndex  # noqa: E402
+from ..operators.text_search import TrigramIndex  # noqa: E402
 
 SEARCH_TERMS = ("rsa", "ml-", "repo/")
 
@@ -802,6 +804,29 @@ def retrieve_passages(spark, sf_dir):
                       r9(F.col("score")).alias("score"))
 
 
+def _index_root(spark, name):
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/index/{name}-{uuid.uuid4().hex}"
+
+
+@register("retrieve_passages_indexed")
+def retrieve_passages_indexed(spark, sf_dir):
+    """R14 by the inverted index: the same rows as `retrieve_passages`."""
+    index = PassageIndex.build(_chunk_emb(spark, sf_dir), _index_root(spark, "passages"))
+    bench = inventory(spark, sf_dir).t.benchmark
+    return index.search(rt.query_terms(bench, "item_id", "text"), k=5).select(
+        F.col("query_id").alias("item_id"), "rank", "doc_id", "chunk_no", "source", r9(F.col("score")).alias("score"))
+
+
+@register("keyword_search_indexed")
+def keyword_search_indexed(spark, sf_dir):
+    """R15 by the trigram index: the same rows as `keyword_search`."""
+    inv = inventory(spark, sf_dir)
+    index = TrigramIndex.build(rt.searchable(inv.findings, inv.assets), "hay", _index_root(spark, "trigrams"))
+    return index.search(SEARCH_TERMS).select("term", "kind", "id", "asset_id")
+
+
 @register("rule_hits")
 def rule_hits(spark, sf_dir):
     return rt.rule_hits(spread(inventory(spark, sf_dir).t.documents.select("doc_id", "source", "text")))
