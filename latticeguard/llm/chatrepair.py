@@ -170,7 +170,7 @@ _GAP = 8
 
 
 def _ordered(turns: DataFrame, key: str, turn: str, role: str, text: str) -> DataFrame:
-    """The turns, written in conversation order: part, at, run, and the border runs' matrices on their last row."""
+    """The turns, written in conversation order: part, at, run, and the border runs' matrices and sizes on their last row."""
     kinds = {c: turns.schema[c].dataType.simpleString() for c in (key, turn)}
     rows = turns.select(F.col(key).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"),
                         F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
@@ -178,7 +178,7 @@ def _ordered(turns: DataFrame, key: str, turn: str, role: str, text: str) -> Dat
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, run, conv, matrix, first, schema = TaskContext.get().partitionId(), 0, -1, None, None, True, None
+        part, at, run, conv, matrix, size, schema = TaskContext.get().partitionId(), 0, -1, None, None, 0, None
         held: pa.RecordBatch | None = None
 
         def closed(batch: pa.RecordBatch, matrices: list) -> pa.RecordBatch:
@@ -190,12 +190,13 @@ def _ordered(turns: DataFrame, key: str, turn: str, role: str, text: str) -> Dat
             runs = []
             for i, (c, r) in enumerate(zip(convs, roles, strict=True)):
                 if run < 0 or c != conv:
-                    if run == 0:  # the first run has ended: its matrix goes on the row before
+                    if run == 0:  # the first run has ended: its matrix and size go on the row before
                         if i:
-                            matrices[i - 1] = sum(matrix, [])
+                            matrices[i - 1] = [*sum(matrix, []), size]
                         else:
-                            pending[-1] = sum(matrix, [])
-                    run, conv, matrix = run + 1, c, IDENTITY
+                            pending[-1] = [*sum(matrix, []), size]
+                    run, conv, matrix, size = run + 1, c, IDENTITY, 0
+                size += 1
                 matrix = compose(matrix, [[w for w, _, _ in row] for row in _TABLES[known_role(r)]])
                 runs.append(run)
             if held is not None:
@@ -206,7 +207,7 @@ def _ordered(turns: DataFrame, key: str, turn: str, role: str, text: str) -> Dat
             schema = held.schema.append(pa.field("matrix", pa.list_(pa.int64())))
             pending, at = matrices, at + len(convs)
         if held is not None:
-            pending[-1] = sum(matrix, [])
+            pending[-1] = [*sum(matrix, []), size]
             yield closed(held, pending)
 
     out = (f"part int, at long, run long, conv {kinds[key]}, turn {kinds[turn]}, role string, text string, "
@@ -214,15 +215,17 @@ def _ordered(turns: DataFrame, key: str, turn: str, role: str, text: str) -> Dat
     return materialize(rows.mapInArrow(number, out), "chat-ordered")
 
 
-def _borders(ordered: DataFrame) -> dict[tuple[int, int], tuple[int, int, int, bool]]:
-    """(part, run) -> (state before, state after, turns before, whether the conversation ends there)."""
+def _borders(ordered: DataFrame) -> dict[tuple[int, int], tuple[int, int, int, bool, int]]:
+    """(part, run) -> (state before, state after, turns before, whether the conversation ends there, source turns before)."""
     rows = (ordered.where("matrix IS NOT NULL").select("part", "run", "conv", "matrix").orderBy("part", "run")).collect()
     found = {}
     for _, chain in groupby(rows, key=lambda r: (r["conv"] is None, r["conv"])):
         chain = list(chain)
         solved = solve_chain([[r["matrix"][i:i + 4] for i in range(0, 16, 4)] for r in chain])
+        places = 0
         for i, (r, (begin, end, turns)) in enumerate(zip(chain, solved, strict=True)):
-            found[r["part"], r["run"]] = (begin, end, turns, i == len(chain) - 1)
+            found[r["part"], r["run"]] = (begin, end, turns, i == len(chain) - 1, places)
+            places += r["matrix"][16]
     return found
 
 
@@ -230,7 +233,8 @@ def repair_conversations(turns: DataFrame, key: str = "conv_id", turn: str = "tu
                          text: str = "text") -> DataFrame:
     """(key, seq, out_turn, turn, role, action, piece): the repaired turns and their rendering.
 
-    Turns are taken in the order of `turn` (nulls first; ties by role, then by a hash of the text).
+    Turns are taken in the order of `turn` (nulls first; ties by role, then by a hash of the text). `seq` counts
+    a conversation's source turns in steps of 8, with inserted turns between: no partitioning changes it.
     Null, unknown and oddly cased roles: case and outer blanks don't matter; any other role can
     become each role as a relabel. Null text is empty. Rows with a null key form one conversation.
     Repeated rows are turns of their own. A merged source turn has the `out_turn` of the turn it
@@ -247,22 +251,23 @@ def repair_conversations(turns: DataFrame, key: str = "conv_id", turn: str = "tu
         def done() -> pa.RecordBatch:
             part, run, conv = now
             if (part, run) in borders:
-                begin, end, before, last = borders[part, run]
+                begin, end, before, last, places = borders[part, run]
             else:
-                ((begin, end, before),) = solve_chain([run_matrix([known_role(r[2]) for r in rows])])
-                last = True
-            return pa.RecordBatch.from_pylist(list(_rendered(conv, rows, begin, end, before, last)), schema)
+                ((begin, end, before),) = solve_chain([run_matrix([known_role(r[1]) for r in rows])])
+                last, places = True, 0
+            numbered = [(_GAP * (places + i + 1), *r) for i, r in enumerate(rows)]
+            return pa.RecordBatch.from_pylist(list(_rendered(conv, numbered, begin, end, before, last)), schema)
 
         for batch in batches:
             types = [f.type for f in batch.schema]
             schema = pa.schema([("conv", types[3]), ("seq", pa.int64()), ("out_turn", pa.int64()), ("turn", types[4]),
                                 ("role", pa.string()), ("action", pa.string()), ("piece", pa.string())])
-            for part, at, run, conv, number, own, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, _, run, conv, number, own, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if now is not None and (part, run) != now[:2]:
                     yield done()
                     rows = []
                 now = (part, run, conv)
-                rows.append(((part << 40) + _GAP * (at + 1), number, own, body))
+                rows.append((number, own, body))
         if now is not None:
             yield done()
 

@@ -102,6 +102,21 @@ def test_ties_repeated_rows_null_turns_and_empty_table(spark):
     assert cr.repair_conversations(df.limit(0)).collect() == []
 
 
+def test_result_does_not_depend_on_partitioning(spark):
+    rnd = random.Random(8)
+    rows = [(conv, turn, rnd.choice(["system", "user", "assistant", "bot"]), f"t{conv}-{turn}", "x")
+            for conv in range(12) for turn in range(400 if conv == 5 else rnd.randint(1, 9))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    before, results = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (2, 5, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append(sorted(map(tuple, cr.repair_conversations(df).collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] == results[2]
+
+
 def test_query_covers_every_turn(spark):
     from latticeguard.llm.queries import op6_chat_repair
 
