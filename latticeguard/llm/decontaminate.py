@@ -271,13 +271,13 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without the documents that overlap a benchmark item; rows with a null key can't be named and stay.
+    """`docs` without the documents that overlap a benchmark item, those with a null key too.
 
-    A row is named by its key and text, so a clean one with the same key stays. The names of the
+    A row is named by its key (null is one) and text, so a clean one with the same key stays. The names of the
     contaminated rows are written first, so their known size decides how the anti join runs.
     """
     gone, mark, name = free_name(docs, "gone"), free_name(docs, "gone_mark"), free_name(docs, "name")
     named = docs.select(F.struct(F.col(key).alias("key"), text_key(F.col(text)).alias("mark")).alias(name), text)
     found = materialize(overlaps(named, bench, name, text).select(f"{name}.key", f"{name}.mark").distinct()
                         .select(F.col("key").alias(gone), F.col("mark").alias(mark)), "decon-keys")
-    return docs.join(found, (F.col(key) == F.col(gone)) & (text_key(F.col(text)) == F.col(mark)), "left_anti")
+    return docs.join(found, F.col(key).eqNullSafe(F.col(gone)) & (text_key(F.col(text)) == F.col(mark)), "left_anti")

@@ -112,7 +112,12 @@ def test_repeated_rows_null_keys_and_empty_tables(spark):
     bench = spark.createDataFrame([(5, item), (4, item)], bench_schema)
     got = dc.overlaps(docs, bench).collect()
     assert sorted((r["doc_id"] or 0, r["item_id"], r["copies"]) for r in got) == [(0, 4, 2), (1, 4, 2)]
-    assert sorted((r["doc_id"] or 0) for r in dc.drop_contaminated(docs, bench).collect()) == [0, 2]
+    assert [r["doc_id"] for r in dc.drop_contaminated(docs, bench).collect()] == [2]
+    clean = spark.createDataFrame([(None, "clean"), (None, None), (None, item), (7, item)], schema)
+    assert sorted((r["text"] or "") for r in dc.drop_contaminated(clean, bench).collect()) == ["", "clean"]
+    clash = clean.selectExpr("doc_id", "text", "1 AS gone", "2 AS gone_mark", "3 AS name", "4 AS key")
+    left = dc.drop_contaminated(clash, bench)
+    assert left.columns == clash.columns and left.count() == 2
     assert dc.overlaps(docs.limit(0), bench).collect() == [] and dc.overlaps(docs, bench.limit(0)).collect() == []
     assert dc.drop_contaminated(docs, bench.limit(0)).count() == 4
 
