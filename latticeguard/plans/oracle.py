@@ -634,3 +634,17 @@ FROM (SELECT {_nz('asset_id', 42, '', 0.05)} AS z FROM assets)"""))
 # the indexes return what the scans return
 oracle("retrieve_passages_indexed", ORACLE["retrieve_passages"])
 oracle("keyword_search_indexed", ORACLE["keyword_search"])
+oracle("embedding_topk_cosine_indexed", ORACLE["embedding_topk_cosine"])
+oracle("embedding_topk_l2_indexed", ORACLE["embedding_topk_l2"])
+oracle("asset_document_nested", with_base(f"""
+SELECT f.asset_id, {bucket_sql('r.risk_score')} AS priority, CAST(coalesce((g.place - 1) // 50, 0) + 1 AS INTEGER) AS page,
+       CAST(coalesce((g.n - 1) // 50, 0) + 1 AS INTEGER) AS n_pages,
+       CAST(coalesce(least(g.n - (g.place - 1) // 50 * 50, 50), 0) AS INTEGER) AS n_on_page, g.place, g.finding_id, g.algorithm, g.key_size,
+       g.quantum_vulnerable
+FROM features f LEFT JOIN rule_labelled r ON r.asset_id = f.asset_id
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY order_key, line_no) AS place, count(*) OVER (PARTITION BY asset_id) AS n
+           FROM findings) g ON g.asset_id = f.asset_id"""))
+oracle("plan_document", _plan("""
+SELECT phase, CAST((rank - 1) // 50 + 1 AS INTEGER) AS page, n AS n_items, CAST(least(n - (rank - 1) // 50 * 50, 50) AS INTEGER) AS n_on_page,
+       rank, asset_id, level, round(score, 9) AS score, reasoning
+FROM (SELECT *, count(*) OVER (PARTITION BY phase) AS n FROM wplan)"""))

@@ -725,6 +725,7 @@ from ..operators import ingest as ing  # noqa: E402
 from ..operators import retrieval as rt  # noqa: E402
 from ..operators.passage_index import PassageIndex  # noqa: E402
 from ..operators.text_search import TrigramIndex  # noqa: E402
+from ..operators.vector_index import CellIndex, centroid_queries  # noqa: E402
 
 SEARCH_TERMS = ("rsa", "ml-", "repo/")
 
@@ -784,6 +785,25 @@ def embedding_topk_l2(spark, sf_dir):
     return _topk(spark, sf_dir, "l2")
 
 
+def _topk_indexed(spark, sf_dir, metric):
+    emb = inventory(spark, sf_dir).t.embeddings.select("vec_id", "label", "embedding")
+    index = CellIndex.build(emb, _index_root(spark, f"cells-{metric}"), metric)
+    res = index.search(centroid_queries(spark, rt.class_centroid_queries(emb)), k=5)
+    return res.select("query_id", "rank", "vec_id", "label", r9(F.col("score")).alias("score"))
+
+
+@register("embedding_topk_cosine_indexed")
+def embedding_topk_cosine_indexed(spark, sf_dir):
+    """K3 by the cell index: the same rows as `embedding_topk_cosine`."""
+    return _topk_indexed(spark, sf_dir, "cosine")
+
+
+@register("embedding_topk_l2_indexed")
+def embedding_topk_l2_indexed(spark, sf_dir):
+    """K3 by the cell index: the same rows as `embedding_topk_l2`."""
+    return _topk_indexed(spark, sf_dir, "l2")
+
+
 def _chunk_emb(spark, sf_dir):
     docs = spread(inventory(spark, sf_dir).t.documents.select("doc_id", "text", "source", "lang"))
     return rt.chunk_embeddings(rt.chunks(docs))
@@ -857,6 +877,7 @@ def latest_risk_score(spark, sf_dir):
 # --- step 11: reports, exports, keyed randomness ---------------------------------
 
 from ..functions.exprs import hash_normal  # noqa: E402
+from ..operators import documents as dcs  # noqa: E402
 from ..operators import reports as rep  # noqa: E402
 
 
@@ -879,6 +900,22 @@ def asset_document(spark, sf_dir):
     return rep.asset_document(inv.features, inv.rule_labelled, inv.certificates)
 
 
+@register("asset_document_nested")
+def asset_document_nested(spark, sf_dir):
+    """Each asset's document with its findings nested, 50 to a page; shown with its findings spread again."""
+    inv = inventory(spark, sf_dir)
+    pages = dcs.asset_pages(rep.asset_document(inv.features, inv.rule_labelled, inv.certificates), inv.findings)
+    return pages.select("asset_id", "priority", "page", "n_pages", F.size("findings").alias("n_on_page"), F.explode_outer("findings").alias("f")).select(
+        "asset_id", "priority", "page", "n_pages", "n_on_page", "f.place", "f.finding_id", "f.algorithm", "f.key_size", "f.quantum_vulnerable")
+
+
+@register("plan_document")
+def plan_document(spark, sf_dir):
+    """The weighted plan with its items nested, 50 to a page; shown with its items spread again."""
+    pages = dcs.plan_pages(inventory(spark, sf_dir).weighted_plan)
+    return pages.select("phase", "page", "n_items", F.size("items").alias("n_on_page"), F.inline("items")).withColumn("score", r9(F.col("score")))
+
+
 @register("feature_export_roundtrip")
 def feature_export_roundtrip(spark, sf_dir):
     """Versioned, partitioned export of the feature table, read back."""

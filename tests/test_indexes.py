@@ -85,3 +85,70 @@ def test_latest_row_of_equal_times_is_one_whole_row(spark):
     for order in (rows, rows[::-1]):
         got = rt.latest_per_key(spark.createDataFrame(order, "k int, ts int, v string, w int"), "k", "ts", ["v", "w"])
         assert sorted(map(tuple, got.collect())) == [(1, "b", 2, 5), (2, None, None, 1)]
+
+
+# --- cells --------------------------------------------------------------------------
+
+
+def clustered(n, dim, seed):
+    import numpy as np
+
+    rnd = np.random.default_rng(seed)
+    centres = rnd.normal(size=(20, dim)) * 4
+    return [(i, i % 3, (centres[i % 20] + rnd.normal(size=dim) * 0.4).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_cells_return_the_scans_rows_and_score_few(spark, metric):
+    from latticeguard.operators.vector_index import CellIndex, centroid_queries
+
+    rows = clustered(900, 8, 1) + [(2000 + i, 1, [0.5] * 8) for i in range(30)]  # ties by vec_id
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    queries = [(i, [float(x) for x in v]) for i, _, v in rows[::50]] + [(9999, [0.5] * 8)]
+    index = CellIndex.build(table, root(spark), metric)
+    ours = centroid_queries(spark, queries)
+    want = {(r["query_id"], r["rank"]): (r["vec_id"], r["label"], round(r["score"], 9)) for r in rt.topk(table, queries, 5, metric).collect()}
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["label"], round(r["score"], 9)) for r in index.search(ours, 5).collect()}
+    assert got == want
+    assert index.candidates(ours, 5).count() < len(rows) * len(queries) / 4  # rows scored, of rows times queries
+
+
+def test_cells_of_odd_tables(spark):
+    from latticeguard.operators.vector_index import CellIndex, centroid_queries
+
+    schema = "vec_id long, label int, embedding array<float>"
+    one = spark.createDataFrame([(1, None, [1.0, 0.0]), (1, None, [1.0, 0.0]), (2, 5, [0.0, 0.0])], schema)
+    queries = centroid_queries(spark, [(0, [1.0, 0.0])])
+    cosine = CellIndex.build(one, root(spark), "cosine").search(queries, 5).collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in cosine] == [(1, 1, 1.0), (2, 1, 1.0)]  # no direction, no cosine
+    assert [r["vec_id"] for r in CellIndex.build(one, root(spark), "l2").search(queries, 5).collect()] == [1, 1, 2]
+    assert CellIndex.build(one.limit(0), root(spark), "l2").search(queries, 5).collect() == []
+    with pytest.raises(ValueError, match="metric"):
+        CellIndex.build(one, root(spark), "dot")
+
+
+# --- pages --------------------------------------------------------------------------
+
+
+def test_pages_hold_every_item_once(spark):
+    from latticeguard.operators import documents as dc
+
+    rnd = random.Random(9)
+    keys = rnd.sample(range(100_000), 240)
+    found = [(1 if i % 3 else i % 7 + 2, k, i % 4, f"f{k}", "RSA", None, True) for i, k in enumerate(keys)]
+    findings = spark.createDataFrame(found, "asset_id long, order_key long, line_no int, finding_id string, algorithm string, "
+                                            "key_size int, quantum_vulnerable boolean")
+    head = spark.createDataFrame([(a, "x") for a in (*range(1, 9), 99)], "asset_id long, name string")
+    pages = dc.asset_pages(head, findings, page=7).collect()
+    for a in (*range(1, 9), 99):
+        mine = sorted((p for p in pages if p["asset_id"] == a), key=lambda p: p["page"])
+        ids = [f["finding_id"] for p in mine for f in p["findings"]]
+        assert ids == [f[3] for f in sorted((f for f in found if f[0] == a), key=lambda f: (f[1], f[2]))]
+        assert [p["page"] for p in mine] == list(range(1, mine[0]["n_pages"] + 1))
+        assert all(len(p["findings"]) == 7 for p in mine[:-1]) and all(p["name"] == "x" for p in mine)
+    plan = spark.createDataFrame([(p, r, r * 10 + p, 0, 0.5, None) for p in (1, 2) for r in range(1, 16 * p)],
+                                 "phase int, rank long, asset_id long, level int, score double, reasoning string")
+    got = sorted(dc.plan_pages(plan, page=10).collect(), key=lambda r: (r["phase"], r["page"]))
+    assert [(r["phase"], r["page"], r["n_items"], len(r["items"])) for r in got] == [
+        (1, 1, 15, 10), (1, 2, 15, 5), (2, 1, 31, 10), (2, 2, 31, 10), (2, 3, 31, 10), (2, 4, 31, 1)]
+    assert all([i["rank"] for i in r["items"]] == sorted(i["rank"] for i in r["items"]) for r in got)
