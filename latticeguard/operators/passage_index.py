@@ -14,10 +14,13 @@ if its sum and what the terms set aside could add reach the floor. Candidates ar
 """
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize, release
 
@@ -32,6 +35,13 @@ ASIDE = 0.25
 _ROOM = 1e-8
 
 
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("c", T.LongType())])))
+def _term_counts(tokens: pa.Array) -> pa.Array:
+    """Each row's distinct tokens with their counts; a chunk is counted where it is read, nothing is shuffled."""
+    return pa.array([[{"term": t, "c": c} for t, c in Counter(row).items()] for row in tokens.to_pylist()],
+                    pa.list_(pa.struct([("term", pa.string()), ("c", pa.int64())])))
+
+
 @dataclass
 class PassageIndex:
     """chunks: uid, doc_id, chunk_no, source, norm, terms; postings: term, layer, uid, impact; cells: term, layer,
@@ -46,13 +56,11 @@ class PassageIndex:
         """Write an index of chunks (doc_id, chunk_no, source, tokens) under a shared folder. A row is a chunk of its
         own, also if it is repeated; one without tokens has no posting."""
         spark = chunk_emb.sparkSession
-        rows = materialize(chunk_emb.select("doc_id", "chunk_no", "source", "tokens").withColumn(
-            "uid", F.monotonically_increasing_id()), "index-rows")  # written, so the ids stay
-        counts = rows.select("uid", F.explode("tokens").alias("term")).groupBy("uid", "term").agg(F.count(F.lit(1)).alias("c"))
-        terms = counts.groupBy("uid").agg(  # a chunk has a bounded number of words
-            F.collect_list(F.struct("term", "c")).alias("terms"), F.sqrt(F.sum(F.col("c") * F.col("c")).cast("double")).alias("norm"))
-        rows.drop("tokens").join(terms, "uid").write.parquet(f"{root}/chunks")
-        release(rows)
+        rows = chunk_emb.select("doc_id", "chunk_no", "source", "tokens").withColumn("uid", F.monotonically_increasing_id())
+        held = rows.where(F.size("tokens") > 0).withColumn("terms", _term_counts("tokens")).drop("tokens")
+        squares = F.aggregate("terms", F.lit(0).cast("long"), lambda total, t: total + t["c"] * t["c"])
+        held.withColumn("norm", F.sqrt(squares.cast("double"))).write.parquet(f"{root}/chunks")
+        # the ids hold from here on, as they are written
         each = spark.read.parquet(f"{root}/chunks").select("uid", "norm", F.explode("terms").alias("t")).select(
             "t.term", "uid", (F.col("t.c") / F.col("norm")).alias("impact"))
         layer = F.floor(-LAYERS * F.log2("impact") + 1e-9).cast("int")
