@@ -6,15 +6,18 @@ other separators, other digit counts), overlapping as they fall. Boosted trees j
 its format and its surroundings, and a threshold per kind, calibrated for precision on held-out
 rows, selects what is added.
 
-The trees are fitted on a bounded sample of the corpus's own spans (`FIT_SPANS`, drawn by hash):
-base spans are positive; proposals and digit-shifted copies of base spans that fail their kind's
-check are negative; proposals that pass it but are no base span are what the model is for, and are
-left out of the fit. The fitted trees become one CASE expression, so that the pass over the corpus
-is a single narrow projection: nothing is shuffled and rows don't depend on each other.
+The trees are fitted on a bounded sample of the corpus's own base spans (`FIT_SPANS`, drawn by hash)
+and of a few fixed ones, so that no kind is ever without. Positive are the spans and copies of them in
+loose forms; negative are the same strings where the surroundings speak against them (after a word
+such as "order no.", grown together with other letters, or bare digits without a cue). Both share the
+format, so the context decides, and every loose form is learnt whatever the corpus holds. Thresholds
+are calibrated on all held-out spans of the corpus. The fitted trees become one CASE expression, so
+that the pass over the corpus is a single narrow projection: nothing is shuffled and rows don't
+depend on each other.
 
 All patterns run in linear time and without recursion on long runs (possessive groups; a match may
-start only where a run starts or the last match ended), and offsets are prefix sums over blocks, so
-texts of any length are searched whole.
+start only where a run starts or the last match ended), offsets are prefix sums over blocks, and
+overlaps are counted by merging sorted bounds, so texts of any length are searched whole.
 """
 from __future__ import annotations
 
@@ -24,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latticeguard.llm.common import free_name, materialize
+from latticeguard.session import release
 
 KINDS = ("email", "ip", "card", "phone")
-#: Spans drawn for the fit, of each kind at most.
+#: Spans of the corpus drawn for the fit, of each kind at most.
 FIT_SPANS = 5_000
 TREES = 20
 DEPTH = 3
@@ -52,12 +56,22 @@ WIDE = {
     "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)*+",
     "ip": rf"(?:(?<![0-9])|\G)[0-9]++(?:{_DOT}[0-9]++){{3}}+",
     "card": r"(?:(?<![0-9])|\G)[0-9](?:[\x20._/-]{0,2}+[0-9]){11,22}+",
-    "phone": r"(?:(?<![0-9+])|\G)(?:\+|00|\()[0-9][\x20()./0-9-]{5,20}[0-9]",
+    "phone": r"(?:(?<![0-9+])|\G)[+(]?[0-9][\x20()./0-9-]{5,20}[0-9]",
 }
 _CUES = {"email": r"(?i)mail|contact|write", "ip": r"(?i)\bip|host|server|addr", "card": r"(?i)card|visa|credit|pay",
           "phone": r"(?i)tel|phone|call|fax|mobil"}
+#: Words right before a number that is a reference, not personal data.
+_REFERENCE = ("no", "nr", "id", "order", "ref", "isbn", "invoice", "version", "section", "page")
+_REFERENCES = rf"(?i)\b(?:{'|'.join(_REFERENCE)})\b[\x20.:#-]*$"
+#: Spans every fit knows, reserved for documentation and tests.
+SEEDS = {
+    "email": ("ann@example.org", "j.doe+news@mail.example.com", "info@example.net", "first.last@dept.example.edu"),
+    "ip": ("192.0.2.17", "198.51.100.3", "203.0.113.250", "10.0.0.1"),
+    "card": ("4111 1111 1111 1111", "5555-5555-5555-4444", "4012888888881881", "6011 1111 1111 1117"),
+    "phone": ("+1 202 555 0123", "+44 20 7946 0958", "+49 (30) 901820", "+1 (578) 555-6437"),
+}
 FEATURES = ("k_email", "k_ip", "k_card", "k_phone", "length", "digits", "letters", "marks", "blanks", "parts",
-            "longest_part", "luhn", "octets", "tail", "prefix", "word_before", "word_after", "cue")
+            "longest_part", "luhn", "octets", "tail", "prefix", "word_before", "word_after", "cue", "reference")
 
 
 def _digits(text: Column) -> Column:
@@ -144,8 +158,12 @@ def _running(df: DataFrame, steps: str, into: str, kinds: dict[str, str]) -> Dat
     return df.drop(*(f"{into}_{x}_{k}" for x in ("blocks", "before") for k in kinds))
 
 
-def _matches(df: DataFrame, text: str, patterns: dict[str, str], into: str) -> DataFrame:
-    """A column `into`_kind per pattern: array of (s, e, t), code points, end exclusive, in order of start."""
+def _matches(df: DataFrame, text: str, patterns: dict[str, str], into: str, around: bool = False) -> DataFrame:
+    """A column `into`_kind per pattern: array of (s, e, t), code points, end exclusive, in order of start.
+
+    With `around`, also before (at most NEAR characters) and after (at most 4), which reach no further
+    than over the neighbouring match.
+    """
     may = {"email": r"@|[\[({]\x20?(?:at|AT)", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
     none = F.array().cast("array<string>")
     raw = {}
@@ -158,15 +176,23 @@ def _matches(df: DataFrame, text: str, patterns: dict[str, str], into: str) -> D
         F.slice(f"{into}_g_{kind}", F.lit(1), F.size(f"{into}_m_{kind}")), f"{into}_m_{kind}",
         lambda gap, match: (F.length(gap) + F.length(match)).cast("long")) for kind in patterns}
     df = _running(_barrier(df, **steps), f"{into}_s", f"{into}_e", patterns)
-    spans = {f"{into}_{kind}": F.zip_with(
-        f"{into}_e_{kind}", f"{into}_m_{kind}",
-        lambda e, t: F.struct((e - F.length(t)).alias("s"), e.alias("e"), t.alias("t"))) for kind in patterns}
-    df = _barrier(df, **spans)
-    return df.drop(*raw, *steps, *(f"{into}_e_{kind}" for kind in patterns))
 
+    def span(kind: str) -> Column:
+        match, gap = F.col(f"{into}_m_{kind}"), F.col(f"{into}_g_{kind}")
 
-def _code(span: Column) -> Column:
-    return span["s"] * F.lit(_CODE) + span["e"]
+        def one(t: Column, i: Column) -> Column:
+            end = F.get(f"{into}_e_{kind}", i)
+            parts = [(end - F.length(t)).alias("s"), end.alias("e"), t.alias("t")]
+            if around:
+                before = F.concat(F.coalesce(F.get(match, i - 1), F.lit("")), F.get(gap, i))
+                after = F.concat(F.get(gap, i + 1), F.coalesce(F.get(match, i + 1), F.lit("")))
+                parts += [F.right(before, F.lit(NEAR)).alias("before"), F.left(after, F.lit(4)).alias("after")]
+            return F.struct(*parts)
+
+        return F.transform(match, one)
+
+    df = _barrier(df, **{f"{into}_{kind}": span(kind) for kind in patterns})
+    return df.drop(*raw, *steps, *(f"{into}_e_{kind}" for kind in patterns))
 
 
 def _check_all(spans: Column, kind: str, check) -> Column:
@@ -185,57 +211,70 @@ def _features(kind: str, t: Column, before: Column, after: Column) -> list[Colum
               flag(plain.rlike(_OCTETS)) if kind == "ip" else F.lit(0),
               F.when(plain.rlike("@"), F.length(F.regexp_extract(plain, r"\.([A-Za-z]++)$", 1))).otherwise(0),
               flag(t.rlike(r"^(?:\+|00|\()")), flag(before.rlike(r"[\p{L}0-9]$")), flag(after.rlike(r"^[\p{L}0-9]")),
-              flag(before.rlike(_CUES[kind]))]
+              flag(before.rlike(_CUES[kind])), flag(before.rlike(_REFERENCES))]
     return [v.cast("double").alias(n) for n, v in zip(FEATURES, values, strict=True)]
 
 
-def _around(text: Column, s: Column, e: Column) -> tuple[Column, Column]:
-    start = F.greatest(s - NEAR, F.lit(0).cast("long"))
-    return (F.substr(text, (start + 1).cast("int"), (s - start).cast("int")),
-            F.substr(text, (e + 1).cast("int"), F.lit(4)))
+def _spans(docs: DataFrame, text: str) -> DataFrame:
+    """(kind, t, before, after, h): the distinct base spans of the corpus with their surroundings, and the seeds."""
+    df = _matches(docs.select(F.col(text).alias("text")).where("text IS NOT NULL"), "text", BASE, "base", around=True)
 
+    def rows(kind: str) -> Column:
+        return F.transform(_check_all(F.col(f"base_{kind}"), kind, base_check), lambda x: F.struct(
+            F.lit(kind).alias("kind"), x["t"].alias("t"), x["before"].alias("before"), x["after"].alias("after")))
 
-def _fit_rows(docs: DataFrame, text: str) -> DataFrame:
-    """(kind, t, before, after, label, h): a sample of spans, at most FIT_SPANS of each kind and label, by hash.
+    found = df.select(F.inline(F.concat(*map(rows, KINDS)))).distinct()
+    found = found.withColumn("h", F.xxhash64("t", "before", "after"))
+    seeds = [(kind, t, before, after, i) for kind in KINDS for i, t in enumerate(SEEDS[kind])
+             for before, after in (("", ""), ("We had it from ", " and more"), ("End. ", ", then"))]
+    return materialize(found.unionByName(docs.sparkSession.createDataFrame(seeds, found.schema)), "pii-spans")
 
-    One pass over the texts writes the distinct spans with their surroundings (a small table); the
-    samples are top-n by hash over that, whatever the order of its rows.
-    """
-    df = _matches(docs.select(F.col(text).alias("text")).where("text IS NOT NULL"), "text", WIDE, "wide")
-    df = _matches(df, "text", BASE, "base")
-
-    def labelled(kind: str) -> Column:
-        def row(label: int):
-            def one(x: Column) -> Column:
-                before, after = _around(F.col("text"), x["s"], x["e"])
-                return F.struct(F.lit(kind).alias("kind"), x["t"].alias("t"), before.alias("before"), after.alias("after"),
-                                F.lit(label).alias("label"))
-            return one
-
-        return F.concat(F.transform(_check_all(F.col(f"base_{kind}"), kind, base_check), row(1)),
-                        F.transform(_check_all(F.col(f"wide_{kind}"), kind, lambda k, t: ~wide_check(k, t)), row(0)))
-
-    rows = df.select(F.inline(F.concat(*map(labelled, KINDS))))
-    rows = materialize(rows.distinct().withColumn("h", F.xxhash64("t", "before", "after")), "pii-spans")
-    some = None
-    for kind in KINDS:
-        for label in (0, 1):
-            part = rows.where((F.col("kind") == kind) & (F.col("label") == label)).orderBy("h", "t", "before", "after")
-            some = part.limit(FIT_SPANS) if some is None else some.unionByName(part.limit(FIT_SPANS))
-    return materialize(some, "pii-fit")
 
+def _loose(kind: str, t: Column) -> list[Column]:
+    """A span of `kind`, written in looser forms."""
+    digits = _digits(t)
+    if kind == "email":
+        bracketed = F.regexp_replace(t, "@", " [at] ")
+        return [F.regexp_replace(bracketed, r"\.(?=[^@\]]*$)", " [dot] "), F.regexp_replace(t, "@", " (at) "),
+                F.regexp_replace(t, "@", "[at]")]
+    if kind == "ip":
+        return [F.regexp_replace(t, r"\.", "[.]"), F.regexp_replace(t, r"\.", " [dot] ")]
+    if kind == "card":
+        def shorter(n: int) -> Column:
+            start = F.left(digits, F.lit(n - 1))
+            last = F.filter(F.array(*(F.lit(str(d)) for d in range(10))), lambda d: _luhn(F.concat(start, d)))
+            return F.concat(start, F.get(last, F.lit(0)))
 
-def _with_mutants(rows: DataFrame) -> DataFrame:
-    """Positives and negatives, and each positive once more with its digits shifted, if that breaks its format."""
-    shifted = F.translate("t", "0123456789", "9081726354")
-    broken = None
+        return [F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1."), F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1/"),
+                shorter(15), shorter(13)]
+    return [F.regexp_replace(t, r"^\+", "00"), F.regexp_replace(digits, "^[0-9]{2}([0-9]{2})([0-9]{3})", "(0$1) $2-")]
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """(kind, label, held, the features): every span and its loose forms where they stand, and where they don't count."""
+    t, before, after, h = (F.col(c) for c in ("t", "before", "after", "h"))
+    reference = F.concat(before, F.lit(" "), F.get(F.array(*map(F.lit, _REFERENCE)), F.pmod(
+        h, F.lit(len(_REFERENCE))).cast("int")), F.lit(" "))
+    made = None
     for kind in KINDS:
-        mutant = F.regexp_replace("t", r"(@[^.]*).*$", "$1") if kind == "email" else (
-            F.concat("t", F.lit("0000000")) if kind == "phone" else shifted)
-        some = rows.where((F.col("label") == 1) & (F.col("kind") == kind)).withColumn("t", mutant)
-        some = some.where(~wide_check(kind, F.col("t"))).withColumn("label", F.lit(0))
-        broken = some if broken is None else broken.unionByName(some)
-    return rows.unionByName(broken)
+        cases = []
+        for form in [t, *_loose(kind, t)]:
+            cases += [(form, before, after, 1), (form, reference, after, 0), (form, before, F.concat(F.lit("k"), after), 0),
+                      (form, F.concat(before, F.lit("k")), after, 0)]
+        if kind == "phone":
+            digits, cued = _digits(t), F.concat(before, F.lit(" tel "))
+            split = F.regexp_replace(digits, "^[0-9]([0-9]{3})([0-9]{3})", "$1-$2-")
+            bare = [split, F.regexp_replace(split, "-", " "), digits, F.regexp_replace(digits, "^([0-9]{4})([0-9]{2})([0-9]{2})", "$1 $2 $3 ")]
+            cases += [(form, b, after, label) for form in bare for b, label in (
+                (cued, 1), (F.concat(cued, F.lit("order ")), 0), (F.lit("part of "), 0), (F.lit(""), 0), (F.lit("was in "), 0))]
+        each = F.array(*(F.struct(f.alias("t"), F.right(b, F.lit(NEAR)).alias("before"), F.left(a, F.lit(4)).alias("after"),
+                                  F.lit(label).alias("label")) for f, b, a, label in cases))
+        one = rows.where(F.col("kind") == kind).select("kind", "h", F.inline(each)).where(
+            wide_check(kind, F.col("t")) & ~((F.col("label") == 1) & F.col("before").rlike(_REFERENCES)))
+        one = one.select("kind", "label", (F.pmod("h", F.lit(4)) == 0).alias("held"),
+                         *_features(kind, F.col("t"), F.col("before"), F.col("after")))
+        made = one if made is None else made.unionByName(one)
+    return made
 
 
 def _tree_case(node, column) -> Column:
@@ -261,56 +300,92 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
-    """The model for a corpus. A quarter of the sample, by hash, is held out to calibrate thresholds."""
-    rows = _with_mutants(_fit_rows(docs, text))
-    made = None
+    """The model for a corpus. A quarter of the spans, by hash, is held out: the trees are fitted on at most
+    FIT_SPANS of the others of each kind, the thresholds come from all that are held out."""
+    spans = _spans(docs, text)
+    some = None
     for kind in KINDS:
-        one = rows.where(F.col("kind") == kind).select(
-            "kind", "label", (F.pmod("h", F.lit(4)) == 0).alias("held"),
-            *_features(kind, F.col("t"), F.col("before"), F.col("after")))
-        made = one if made is None else made.unionByName(one)
-    made = materialize(made, "pii-features")
-    train = made.where("NOT held").coalesce(1).sortWithinPartitions("label", *FEATURES)
-    if train.select("label").distinct().count() < 2:
-        return Model([], [], dict.fromkeys(KINDS, DEFAULT_THRESHOLD))
+        part = spans.where((F.col("kind") == kind) & (F.pmod("h", F.lit(4)) != 0)).orderBy("h", "t", "before", "after")
+        some = part.limit(FIT_SPANS) if some is None else some.unionByName(part.limit(FIT_SPANS))
+    drawn = materialize(some, "pii-fit")
+    made = materialize(_judged(drawn), "pii-features")
+    train = made.coalesce(1).sortWithinPartitions("label", *FEATURES)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="v").transform(train).select("v", "label")
     gbt = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(vectors)
     model = Model(list(gbt._java_obj.trees()), list(gbt.treeWeights), dict.fromkeys(KINDS, DEFAULT_THRESHOLD))
-    held = made.where("held").select("kind", "label", model.score(F.struct(*FEATURES)).alias("p"))
+    held = _judged(spans.where(F.pmod("h", F.lit(4)) == 0))
+    held = held.select("kind", "label", F.struct(*FEATURES).alias("f")).select("kind", "label", model.score(F.col("f")).alias("p"))
     at = F.explode(F.array(*map(F.lit, GRID)))
     table = (held.select("kind", "label", "p", at.alias("at")).where("p >= at").groupBy("kind", "at")
              .agg(F.avg("label").alias("precision")).where(F.col("precision") >= PRECISION)
              .groupBy("kind").agg(F.min("at").alias("at")).collect())
     model.thresholds.update({r["kind"]: r["at"] for r in table})
+    for written in (spans, drawn, made):
+        release(written)
     return model
 
 
-def _overlap(x: Column, y: Column) -> Column:
-    return (x["s"] < y["e"]) & (y["s"] < x["e"])
+def _bounds(spans: Column, end: str) -> Column:
+    return F.transform(spans, lambda x: x[end])
 
 
-def _added(df: DataFrame, text: str, model: Model) -> DataFrame:
-    """`df` with `added`: the selected proposals, as an array of (k, s, e)."""
-    df = _matches(df, text, WIDE, "w")
-    df = _barrier(df, **{f"new_{k}": F.array_except(F.transform(f"w_{k}", _code), F.transform(f"base_{k}", _code))
-                         for k in KINDS})
+def _before(values: Column, points: Column, equal: bool) -> Column:
+    """For each of the ascending `points`, how many `values` are smaller (or `equal`), by one merge of both.
 
-    def proposals(place: int, kind: str) -> Column:
-        def one(x: Column) -> Column:
-            around = _around(F.col(text), x["s"], x["e"])
-            return F.struct(F.lit(place).alias("k"), x["s"].alias("s"), x["e"].alias("e"),
-                            F.struct(*_features(kind, x["t"], *around)).alias("f"))
+    A point's place in the merged order, less the number of points before it, is that count.
+    """
+    first, second = (0, 1) if equal else (1, 0)
+    merged = F.sort_array(F.concat(F.transform(values, lambda v: v * 2 + first), F.transform(points, lambda q: q * 2 + second)))
+    places = F.transform(merged, lambda v, j: F.when(v % 2 == second, j))
+    return F.transform(F.filter(places, lambda j: j.isNotNull()), lambda j, i: j - i)
 
-        return F.transform(F.filter(f"w_{kind}", lambda x: F.array_contains(f"new_{kind}", _code(x))), one)
 
-    df = _barrier(df, proposed=F.concat(*(proposals(i, k) for i, k in enumerate(KINDS))))
-    df = _barrier(df, scored=F.transform("proposed", lambda x: F.struct(
+def _added(df: DataFrame, text: str, model: Model) -> DataFrame:
+    """`df` with `added`: the selected proposals, as an array of (k, s, e)."""
+    df = _matches(df, text, WIDE, "w", around=True)
+
+    def unless_empty(kind: str, column: Column, empty: Column) -> Column:
+        return F.when(F.size(f"w_{kind}") > 0, column).otherwise(empty)
+
+    counts = F.array().cast("array<int>")
+    df = _barrier(df, **{f"from_{k}": unless_empty(k, _before(_bounds(F.col("base"), "e"), _bounds(F.col(f"w_{k}"), "s"), True), counts)
+                         for k in KINDS},
+                  **{f"upto_{k}": unless_empty(k, _before(_bounds(F.col("base"), "s"), _bounds(F.col(f"w_{k}"), "e"), False), counts)
+                     for k in KINDS})
+    # As many base spans start before a free proposal's end as end before its start.
+    df = _barrier(df, **{f"free_{k}": F.filter(F.filter(f"w_{k}", lambda x, i: F.get(f"from_{k}", i) == F.get(f"upto_{k}", i)),
+                                               lambda x: wide_check(k, x["t"])) for k in KINDS})
+
+    def featured(place: int, kind: str) -> Column:
+        return F.transform(f"free_{kind}", lambda x: F.struct(
+            F.lit(place).alias("k"), x["s"].alias("s"), x["e"].alias("e"),
+            F.struct(*_features(kind, x["t"], x["before"], x["after"])).alias("f")))
+
+    df = _barrier(df, featured=F.concat(*(featured(i, k) for i, k in enumerate(KINDS))))
+    df = _barrier(df, scored=F.transform("featured", lambda x: F.struct(
         model.score(x["f"]).alias("p"), (x["e"] - x["s"]).alias("n"), (-x["s"]).alias("after"), x["k"].alias("k"),
         x["s"].alias("s"), x["e"].alias("e"))))
-    limits = F.array(*(F.lit(model.thresholds[k]) for k in KINDS))
-    df = _barrier(df, likely=F.filter("scored", lambda x: (x["p"] >= F.get(limits, x["k"])) & ~F.exists(
-        "base", lambda y: _overlap(x, y))))
-    best = F.filter("likely", lambda x: ~F.exists("likely", lambda y: _overlap(x, y) & (y > x)))
+    df = _barrier(df, **{f"likely_{k}": F.filter("scored", lambda x: (x["k"] == i) & (x["p"] >= model.thresholds[k]))
+                         for i, k in enumerate(KINDS)})
+    pairs = [(a, b) for a in KINDS for b in KINDS if a != b]
+    ranges = {}
+    for a, b in pairs:
+        mine, other = F.col(f"likely_{a}"), F.col(f"likely_{b}")
+        both = (F.size(mine) > 0) & (F.size(other) > 0)
+        ranges[f"lo_{a}_{b}"] = F.when(both, _before(_bounds(other, "e"), _bounds(mine, "s"), True))
+        ranges[f"hi_{a}_{b}"] = F.when(both, _before(_bounds(other, "s"), _bounds(mine, "e"), False))
+    df = _barrier(df, **ranges)
+
+    def beaten(kind: str, x: Column, i: Column) -> Column:
+        """Whether a better span of another kind overlaps x: those that do are neighbours in that kind's order."""
+        found = F.lit(False)
+        for a, b in pairs:
+            if a == kind:
+                lo, hi = F.get(f"lo_{a}_{b}", i), F.get(f"hi_{a}_{b}", i)
+                found = found | F.coalesce(F.exists(F.slice(f"likely_{b}", lo + 1, hi - lo), lambda y: y > x), F.lit(False))
+        return found
+
+    best = F.concat(*(F.filter(f"likely_{k}", lambda x, i: ~beaten(k, x, i)) for k in KINDS))
     return df.withColumn("added", F.transform(best, lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"))))
 
 
@@ -318,8 +393,8 @@ def find(docs: DataFrame, text: str = "text", model: Model | None = None) -> Dat
     """`docs` with `base` and `spans`: arrays of (k, s, e) by kind as listed, then start.
 
     `k` is the kind's place in KINDS; offsets are code points, ends exclusive. A null or empty text
-    has no spans. Added spans overlap no base span; of added spans that overlap, the one with the
-    higher score (then the longer, then the earlier) stays. Repeated rows are treated alike; an
+    has no spans. Added spans overlap no base span; an added span goes if a better one overlaps it (a
+    higher score, then the longer, then the earlier). Repeated rows are treated alike; an
     empty table gives no rows. All columns of `docs` stay, under their names; if one of them is
     called base or spans, the new column's name gets an underscore in front.
     """
@@ -336,7 +411,7 @@ def find(docs: DataFrame, text: str = "text", model: Model | None = None) -> Dat
     spans = F.col("base")
     if model.trees:
         df = _added(df, "body", model)
-        spans = F.array_sort(F.concat("base", "added"))
+        spans = F.sort_array(F.concat("base", "added"))
     return df.select("row", F.col("base").alias("b"), spans.alias("s")).select(
         "row.*", F.col("b").alias(free_name(docs, "base")), F.col("s").alias(free_name(docs, "spans")))
 

@@ -1,6 +1,7 @@
 """Personal data: base spans against plain regular expressions, what the trees may add, edge cases."""
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,48 @@ def test_the_trees_add_loose_forms_and_leave_clean_text(found, spark):
     assert [tuple(s) for s in got[1]] == [(0, 9, 51)] and got[2] == [] and got[3] == []
 
 
+LOOSE = {"write to bob [at] example [dot] com now": (0, 9, 35), "mail anna (at) site.org please": (0, 5, 23),
+         "call (030) 123-4567 today": (3, 5, 19), "tel 0049 30 1234567": (3, 4, 19), "call 555-123-4567": (3, 5, 17),
+         "paid with 378282246310005 then": (2, 10, 25), "addr 10[.]0[.]0[.]1 up": (1, 5, 19)}
+CLEAN = ["version 1.2.3 of 10 items", "order 378282246310005 came", "in 2024 10 11 2012 we had", "a 555-123-4567 part",
+         "isbn 978-3-16-148410-0", "only words (and signs) at this. dot"]
+
+
+@pytest.mark.parametrize("corpus", ["sf0.001", "sf0.01", "none"])
+def test_loose_forms_are_found_under_any_fit(spark, corpus):
+    docs = spark.createDataFrame([(1, "words only")], "doc_id long, text string") if corpus == "none" else (
+        spark.read.parquet(f"/root/testdata/{corpus}/documents.parquet"))
+    rows = [(i, t) for i, t in enumerate([*LOOSE, *CLEAN])]
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string"), model=pii.fit(docs)).collect()
+    assert {r["text"]: [tuple(s) for s in r["spans"]] for r in got} == {
+        **{t: [s] for t, s in LOOSE.items()}, **{t: [] for t in CLEAN}}
+
+
+def test_many_proposals_in_one_text(found, spark):
+    """80,000 proposals in one text: the time grows with their number, not with its square."""
+    _, model, _ = found
+    text = " ".join(f"call (030) 123-{1000 + i % 9000} and" for i in range(80_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.monotonic()
+    (row,) = pii.find(df, model=model).select(F.size("spans").alias("n"), F.element_at("spans", -1).alias("last")).collect()
+    assert row["n"] == 80_000 and tuple(row["last"]) == (3, len(text) - 18, len(text) - 4)
+    assert time.monotonic() - start < 90
+
+
+def test_proposals_that_overlap(spark):
+    """Counts of smaller bounds, as the selection takes them, against plain Python; repeated rows alike."""
+    rnd = random.Random(3)
+    rows = [(sorted(rnd.randrange(30) for _ in range(rnd.randrange(9))), sorted(rnd.randrange(30) for _ in range(rnd.randrange(9))))
+            for _ in range(200)]
+    df = spark.createDataFrame(rows + rows, "v array<long>, q array<long>")
+    got = df.select("v", "q", pii._before(F.col("v"), F.col("q"), False).alias("less"),
+                    pii._before(F.col("v"), F.col("q"), True).alias("upto")).collect()
+    assert len(got) == 2 * len(rows)
+    for r in got:
+        assert r["less"] == [sum(v < q for v in r["v"]) for q in r["q"]]
+        assert r["upto"] == [sum(v <= q for v in r["v"]) for q in r["q"]]
+
+
 def test_redact_and_spelling(found, spark):
     _, model, _ = found
     df = spark.createDataFrame([(1, "é a@b.cd, 1.2.3.4!"), (2, None), (3, "")], "doc_id long, text string")
