@@ -7,11 +7,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeguard.session import checkpoint_dir, materialize
+from latticeguard.session import checkpoint_dir, materialize, release
 from latticeguard.sources.tables import read_table
 
-__all__ = ["binary_values", "checkpoint_dir", "documents", "free_name", "materialize", "read_table", "text_key",
-           "text_or_empty"]
+__all__ = ["binary_values", "checkpoint_dir", "documents", "free_name", "materialize", "read_table",
+           "release_scratch", "text_key", "text_or_empty", "with_scratch"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def with_scratch(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """`df`, which reads the written `tables`: `release_scratch` deletes them when `df` is no longer needed."""
+    df._scratch_tables = tables
+    return df
+
+
+def release_scratch(df: DataFrame) -> None:
+    for table in getattr(df, "_scratch_tables", ()):
+        release(table)
+
+
 def text_key(text: Column) -> Column:
     """96 bits that stand for a text (or for null) where rows are named by it."""
     return F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"))

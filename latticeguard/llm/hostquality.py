@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from latticeguard.llm.common import binary_values, free_name, materialize
+from latticeguard.llm.common import binary_values, free_name, materialize, with_scratch
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -99,6 +99,7 @@ def host_rates(measured: DataFrame, host: str, stats: str = "stats") -> DataFram
 
 
 def rejected_hosts(measured: DataFrame, host: str, stats: str = "stats", limit: float = HOST_RATE) -> DataFrame:
+    """(host): those whose shrunk rate is over `limit`, as a written table."""
     found = host_rates(measured, host, stats).where(F.col("rate") > limit).select("host")
     return materialize(found, "rejected-hosts")
 
@@ -119,13 +120,15 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
 
 
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """The rows of `docs` that `judge` keeps, with their columns as they were.
+    """The rows of `docs` that `judge` keeps, with their columns as they were, whatever those are called.
 
-    The measures are taken again in the pass that filters: cheaper than shuffling texts to join them.
+    Every text is measured once: the rows are written with their measures, and both the hosts' rates and
+    the filter read that table (`release_scratch` deletes it once the result is written). Rows with a null or
+    empty host are judged by the base rules alone; null and empty texts go; of repeated rows, all stay or go.
     """
-    narrow = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
-    bad = rejected_hosts(document_stats(narrow).drop("text"), "host")
-    site, stats = free_name(docs, "rejected_host"), free_name(docs, "stats")
-    good = document_stats(docs, text, stats).where(~base_failed(f"{stats}.")).drop(stats)
-    bad = bad.select(F.col("host").alias(site))
-    return good.join(bad, F.col(host) == F.col(site), "left_anti")
+    bad_host, stats = free_name(docs, "rejected_host"), free_name(docs, "stats")
+    measured = materialize(document_stats(docs, text, stats), "quality-rows")
+    bad = rejected_hosts(measured, host, stats)
+    good = measured.where(~base_failed(f"{stats}.")).join(
+        bad.select(F.col("host").alias(bad_host)), F.col(host) == F.col(bad_host), "left_anti").drop(stats)
+    return with_scratch(good, measured, bad)
