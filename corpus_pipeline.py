@@ -3,6 +3,11 @@
 Every stage reads `docs` (the columns of `documents`) and returns a DataFrame; `run` writes it as
 Parquet to the shared checkpoint folder and reads it again as the next stage's input. All but the
 last return the columns of `documents`; the last returns the packed pieces.
+
+Null and empty texts go in the first stage; a row with a null or empty source is judged by itself alone.
+A stage decides by row: of repeated rows, one stays after near-dedup. Where a doc_id is null or shared
+by unequal texts, a row is named by doc_id and text. Extra columns of `documents` are carried on,
+whatever they are called, and an empty table gives no pieces.
 """
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latticeguard.llm import decontaminate, hostquality, linededup, packing, simhash
-from latticeguard.llm.common import documents, materialize, read_table
+from latticeguard.llm.common import documents, materialize, read_table, release_scratch
 from latticeguard.session import release
 
 #: SQL has neither the tokenizer nor the fingerprints' hash; tests/llm compares run() with brute force.
@@ -56,7 +61,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; what a stage has read is deleted once its successor is written."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        kept = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        made = stage(spark, docs, sf_dir)
+        kept = materialize(made, f"pipeline-{name}")
+        release_scratch(made)
         release(docs)
         docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
