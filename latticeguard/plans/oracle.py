@@ -615,6 +615,11 @@ LEFT JOIN (SELECT o_custkey AS asset_id, count(*) AS n_certs, min(CAST(o_orderda
 LEFT JOIN rule_labelled r ON r.asset_id = f.asset_id"""))
 oracle("feature_export_roundtrip", with_base("""
 SELECT schema_version, count(*) AS n_rows, CAST(sum(key_size) AS BIGINT) AS sum_key_size FROM features GROUP BY schema_version"""))
+oracle("feature_snapshot_read", with_base("""
+SELECT CASE WHEN asset_id % 2 = 0 THEN '9.1' ELSE '9.10' END AS schema_version, count(*) AS n_rows,
+       CAST(sum(key_size) AS BIGINT) AS sum_key_size,
+       CAST(sum(CASE WHEN asset_id % 2 = 1 THEN loc_estimate END) AS BIGINT) AS sum_loc
+FROM features GROUP BY 1"""))
 oracle("feature_export_json", with_base("""
 SELECT criticality, count(*) AS n_rows, CAST(sum(key_size) AS BIGINT) AS sum_key_size, CAST(sum(loc_estimate) AS BIGINT) AS sum_loc
 FROM features GROUP BY criticality"""))

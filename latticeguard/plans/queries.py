@@ -930,6 +930,23 @@ def feature_export_roundtrip(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.sum("key_size").alias("sum_key_size"))
 
 
+@register("feature_snapshot_read")
+def feature_snapshot_read(spark, sf_dir):
+    """The newest of two exports, in two versions of which the older has no loc_estimate."""
+    import uuid
+
+    from latticeguard.sources.snapshots import read_snapshot
+
+    features = inventory(spark, sf_dir).features.drop("qv_raw")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/exports/{uuid.uuid4().hex}"
+    even = F.col("asset_id") % 2 == 0
+    rep.export_versioned(features.where(even), root, "20260101T000000")
+    rep.export_versioned(features.where(even).drop("loc_estimate").withColumn("schema_version", F.lit("9.1")), root, "20260201T000000")
+    rep.export_versioned(features.where(~even).withColumn("schema_version", F.lit("9.10")), root, "20260201T000000")
+    return read_snapshot(spark, root).groupBy("schema_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("key_size").alias("sum_key_size"), F.sum("loc_estimate").alias("sum_loc"))
+
+
 @register("feature_export_json")
 def feature_export_json(spark, sf_dir):
     """Newline-JSON export of the feature table, read back under its schema."""
