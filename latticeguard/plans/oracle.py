@@ -1,8 +1,9 @@
 """DuckDB oracle SQL, one string per registered query that is SQL-expressible."""
 from __future__ import annotations
 
+from ..config import DEFAULT_THRESHOLDS
 from ..schemas import FEATURE_NAMES
-from .oracle_base import bucket_sql, with_base
+from .oracle_base import bucket_sql, dbl, q, with_base
 
 ORACLE: dict[str, str] = {}
 
@@ -40,6 +41,16 @@ oracle("priority_buckets", with_base(f"""
 SELECT {bucket_sql('risk_score')} AS priority, count(*) AS n_assets, round(avg(risk_score), 6) AS mean_score
 FROM rule_labelled GROUP BY 1"""))
 
+_BARS = " UNION ALL ".join(f"SELECT {q(p)} AS priority, {dbl(m)} AS bar" for p, m in DEFAULT_THRESHOLDS)
+oracle("deployment_priorities", with_base(f"""
+SELECT deployment, priority, count(*) AS n_assets
+FROM (SELECT s.asset_id, s.asset_id % 25 AS deployment,
+             coalesce(arg_max(b.priority, b.min_score) FILTER (WHERE s.risk_score >= b.min_score), arg_min(b.priority, b.min_score)) AS priority
+      FROM rule_labelled s JOIN (SELECT CAST(n_nationkey AS BIGINT) AS d, priority, bar - CAST(n_nationkey % 5 AS DOUBLE) / 40 AS min_score
+                                 FROM nation, ({_BARS})) b ON b.d = s.asset_id % 25
+      GROUP BY s.asset_id)
+GROUP BY deployment, priority"""))
+
 # --- step 4: strata, splits, folds ----------------------------------------------
 STRATA_CTES = """
 edges_q AS (SELECT quantile_cont(risk_score, [0.0e0, 0.25e0, 0.5e0, 0.75e0, 1.0e0]) AS e FROM labelled),

@@ -110,6 +110,19 @@ def priority_buckets(spark, sf_dir):
     )
 
 
+@register("deployment_priorities")
+def deployment_priorities(spark, sf_dir):
+    """J3 with thresholds as a table: each nation is a deployment, whose bars are shifted by its key."""
+    from latticeguard.operators.deployments import priority_by_deployment
+    from latticeguard.sources.tables import read_table
+
+    scored = inventory(spark, sf_dir).rule_labelled.select((F.col("asset_id") % 25).alias("deployment"), "risk_score")
+    sets = F.array(*(F.struct(F.lit(p).alias("priority"), F.lit(float(m)).alias("bar")) for p, m in Thresholds().buckets))
+    bars = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("deployment"), F.inline(sets))
+    bars = bars.select("deployment", "priority", (F.col("bar") - (F.col("deployment") % 5).cast("double") / 40).alias("min_score"))
+    return priority_by_deployment(scored, bars).groupBy("deployment", "priority").agg(F.count(F.lit(1)).alias("n_assets"))
+
+
 # --- step 4: strata, splits, folds ----------------------------------------------
 
 from ..operators import splits as spl  # noqa: E402
