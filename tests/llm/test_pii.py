@@ -101,7 +101,7 @@ def test_many_proposals_in_one_text(found, spark):
     start = time.monotonic()
     (row,) = pii.find(df, model=model).select(F.size("spans").alias("n"), F.element_at("spans", -1).alias("last")).collect()
     assert row["n"] == 80_000 and tuple(row["last"]) == (3, len(text) - 18, len(text) - 4)
-    assert time.monotonic() - start < 90
+    assert time.monotonic() - start < 200  # a square law takes a quarter of an hour
 
 
 def test_proposals_that_overlap(spark):
