@@ -2,6 +2,8 @@
 import random
 
 import numpy as np
+import pytest
+import xxhash
 
 from latticeguard.llm import langid
 
@@ -37,6 +39,36 @@ def test_learns_and_predicts(spark):
     assert all(0 <= r["_score"] <= 1 for r in got)
 
 
+def brute_grams(text):
+    """Strings of one to three characters of the words in lower case, one blank between and around them."""
+    padded = f" {' '.join(text.lower().split())} "
+    return {padded[i:i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)}
+
+
+def brute_kernel(some, others):
+    return np.array([[len(a & b) / (len(a) * len(b)) ** 0.5 for b in others] for a in some])
+
+
+@pytest.mark.parametrize("landmarks", [128, 9])
+def test_scores_equal_plain_kernel_ridge_regression(spark, monkeypatch, landmarks):
+    """Regression over plain sets of strings, in its dual form: no bits, no packed codes, no root of the kernel."""
+    monkeypatch.setattr(langid, "LANDMARKS", landmarks)
+    train = sorted(rows(20, 4), key=lambda r: (r[2], xxhash.xxh64_intdigest(r[1], 42) + 2**63 & 2**64 - 1))
+    sets, langs = [brute_grams(t) for _, t, _ in train], [lang for *_, lang in train]
+    chosen = [g for lang in LETTERS for g in [s for s, own in zip(sets, langs, strict=True) if own == lang][:landmarks // 3]]
+    k_all, k_own = brute_kernel(sets, chosen), brute_kernel(chosen, chosen)
+    wanted = np.array([[float(own == lang) for lang in LETTERS] for own in langs])
+    weights = np.linalg.solve(k_all.T @ k_all + langid.RIDGE * len(sets) * k_own, k_all.T @ wanted)
+
+    model = langid.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    test = rows(10, 11)
+    got = {r["doc_id"]: r for r in langid.predict(spark.createDataFrame(test, "doc_id long, text string, lang string"), model).collect()}
+    for i, text, _ in test:
+        values = (brute_kernel([brute_grams(text)], chosen) @ weights)[0]
+        assert got[i]["lang_pred"] == list(LETTERS)[values.argmax()]
+        assert got[i]["score"] == pytest.approx(min(1.0, max(0.0, values.max())), abs=1e-5)
+
+
 def test_edges(spark):
     df = spark.createDataFrame(rows(), "doc_id long, text string, lang string")
     model = langid.fit(df)
