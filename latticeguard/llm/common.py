@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from latticeguard.session import checkpoint_dir, materialize, release
 from latticeguard.sources.tables import read_table
 
-__all__ = ["binary_values", "checkpoint_dir", "documents", "free_name", "materialize", "read_table",
+#: Tasks over which the rows of one key are dealt.
+DEALT = 256
+
+__all__ = ["binary_values", "checkpoint_dir", "dealt_join", "documents", "free_name", "materialize", "read_table",
            "release_scratch", "text_key", "text_or_empty", "with_scratch"]
 
 
@@ -38,6 +41,17 @@ def text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"))
 
 
+def dealt_join(many: DataFrame, one: DataFrame, on: str, *by: str) -> DataFrame:
+    """Inner join of `many` with `one`, which has at most one row per `on`; a hot key's rows are dealt out by `by`.
+
+    `one` is repeated only for the shares that a key really has: at most `DEALT` rows a key, and never
+    more than `many` has. Rows with a null key join nothing.
+    """
+    many = many.withColumn("_share", F.pmod(F.xxhash64(*by), F.lit(DEALT)).cast("int"))
+    shares = many.select(on, "_share").distinct().join(one, on)
+    return many.join(shares, [on, "_share"]).drop("_share")
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that `df` does not have yet (names compare without case, as Spark does)."""
     taken = {c.lower() for c in df.columns}

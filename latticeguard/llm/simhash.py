@@ -16,13 +16,18 @@ neighbour leaves the set still to be compared, so the output is a spanning fores
 the bucket has) of verified links. Buckets over `BLOCK` rows are cut into blocks, and each pair of
 blocks is a bucket of its own, so no task ever holds an unbounded group and no link is lost.
 
-The joins and shuffles are Spark's; Python sees Arrow batches of (bucket, fingerprint) integers.
+How many segments there are follows from the number of distinct fingerprints: few wide segments need
+more probes, many narrow ones more comparisons (`segments_for`). The links are the same.
+
+The joins and shuffles are Spark's; Python sees Arrow batches of (bucket, fingerprint) integers, sorted
+by bucket, and holds one batch and the bucket that it ends in.
 """
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +35,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeguard.llm.common import binary_values, free_name, materialize, text_key
+from latticeguard.llm.common import binary_values, dealt_join, free_name, materialize, text_key
 from latticeguard.llm.components import connected_components
 
 SHINGLE = 4
 MAX_BITS = 4
-SEGMENTS = 3
+#: Numbers of segments to choose from.
+SEGMENTS = (3, 2)
+#: Comparisons of two fingerprints that cost as much as one row of the index.
+COMPARED_PER_ROW = 500
 SEED = 42
 #: Rows of a bucket that one task compares; larger buckets are cut into pairs of blocks.
 BLOCK = 32_768
 #: Buckets up to this size are compared by shifted vectors over the whole partition.
 SMALL = 8
 _SHINGLES_AT_ONCE = 1 << 16
+_ROWS_AT_ONCE = 1 << 20
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -95,6 +104,23 @@ def segment_plan(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
     return plan
 
 
+def segments_for(distinct: int, max_bits: int, choices: tuple[int, ...] = SEGMENTS) -> int:
+    """The cheapest number of segments for so many distinct fingerprints, spread evenly.
+
+    A fingerprint has one row per segment and one per probe (half the ball), and meets in a segment the
+    others whose value lies in its ball.
+    """
+    def cost(segments: int) -> float:
+        rows = met = 0.0
+        for _, width, radius in segment_plan(max_bits, segments):
+            ball = sum(comb(width, r) for r in range(radius + 1))
+            rows += (ball + 1) / 2
+            met += distinct * ball / 2 ** (width + 1)
+        return rows + met / COMPARED_PER_ROW
+
+    return min(choices, key=cost)
+
+
 def _entries(fps: DataFrame, max_bits: int, segments: int) -> DataFrame:
     """(bucket, fp): each fingerprint under its own value of each segment and its probes."""
     def keys(i: int, low: int, width: int, radius: int) -> Column:
@@ -170,25 +196,46 @@ def bucket_links(bucket: np.ndarray, pair: np.ndarray, fp: np.ndarray, max_bits:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) whose components are those of all links among the distinct fingerprints `fps.fp`."""
+def whole_buckets(batches: Iterator[pa.RecordBatch], at_least: int) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first two, `at_least` rows at a time and cut only where those change."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+    for batch in batches:
+        held.append([batch.column(i).to_numpy() for i in range(batch.num_columns)])
+        size += batch.num_rows
+        if size >= at_least:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            inside = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1])
+            end = size - int(inside.sum())
+            if end:
+                yield [c[:end] for c in columns]
+            held, size = [[c[end:] for c in columns]], size - end
+    if size:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) whose components are those of all links among the distinct fingerprints `fps.fp`.
+
+    Without `segments`, their number is chosen by the number of fingerprints.
+    """
+    if segments is None:
+        segments = segments_for(fps.count(), max_bits)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [[batch.column(i).to_numpy() for i in range(3)] for batch in batches]
-        if not rows:
-            return
-        bucket, pair, fp = (np.concatenate(column) for column in zip(*rows, strict=True))
-        a, b = bucket_links(bucket, pair, fp.view(np.uint64), max_bits)
-        for at in range(0, len(a), 1 << 16):
-            yield pa.record_batch({"a": a[at:at + (1 << 16)].view(np.int64), "b": b[at:at + (1 << 16)].view(np.int64)})
+        for bucket, pair, fp in whole_buckets(batches, _ROWS_AT_ONCE):
+            a, b = bucket_links(bucket, pair, fp.view(np.uint64), max_bits)
+            for at in range(0, len(a), 1 << 16):
+                yield pa.record_batch({"a": a[at:at + (1 << 16)].view(np.int64),
+                                       "b": b[at:at + (1 << 16)].view(np.int64)})
 
     entries = _blocked(_entries(fps, max_bits, segments), block)
     rows = entries.select("bucket", "pair", "fp").repartition(F.col("bucket"), F.col("pair"))
-    return rows.mapInArrow(verify, "a long, b long")
+    return rows.sortWithinPartitions("bucket", "pair").mapInArrow(verify, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
+                    max_bits: int = MAX_BITS, segments: int | None = None, block: int = BLOCK) -> DataFrame:
     """(key, fp, component): one row per row of `docs`; component is the smallest key reachable by links.
 
     Null or empty text (or text without words) has fingerprint 0 and is linked like any other.
@@ -200,9 +247,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return named.select(F.col("key").alias(key), "fp", "component")
 
 
-def _named(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int, segments: int, block: int) -> DataFrame:
+def _named(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int, segments: int | None, block: int) -> DataFrame:
     """(key, mark, fp, component, root) of each row: `mark` stands for its text, `root` for its component where two
-    have the same smallest key."""
+    have the same smallest key. A large component, or a fingerprint of many rows, is joined in many tasks."""
     ids = materialize(with_fingerprint(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle=shingle)
                       .select("key", text_key(F.col("text")).alias("mark"), "fp"), "simhash-fp")
     fps = materialize(ids.groupBy("fp").agg(F.min("key").alias("least")), "simhash-distinct")
@@ -210,8 +257,8 @@ def _named(docs: DataFrame, key: str, text: str, shingle: int, max_bits: int, se
     rooted = fps.join(comps.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.join(least, "root").select("fp", "component", "root")
-    return ids.join(named, "fp").select("key", "mark", "fp", "component", "root")
+    named = dealt_join(rooted, least, "root", "fp").select("fp", "component", "root")
+    return dealt_join(ids, named, "fp", "key", "mark").select("key", "mark", "fp", "component", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -224,7 +271,7 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     texts, or is null, a row is named by its key and text; of unequal texts with the smallest key of
     one component one stays. Rows with a null key are no component's smallest: one of each text stays.
     """
-    found = materialize(_named(docs, key, text, shingle, max_bits, SEGMENTS, BLOCK).select("key", "mark", "component", "root"),
+    found = materialize(_named(docs, key, text, shingle, max_bits, None, BLOCK).select("key", "mark", "component", "root"),
                         "simhash-components")
     mark = free_name(docs, "mark")
     unclear = found.groupBy("key").agg(F.min("mark").alias("least"), F.max("mark").alias("most"))
@@ -233,10 +280,14 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
         lost, stays = F.expr("key <> component"), F.expr("key = component")
     else:
         names, rows = ["key", "mark"], docs.withColumn(mark, text_key(F.col(text)))
-        least = found.where("key = component").groupBy("key", "root").agg(F.min("mark").alias("least"))
-        found = found.join(least, ["key", "root"], "left")
-        lost = F.expr("key <> component OR mark <> least")
-        stays = F.expr("key IS NULL OR (key = component AND mark = least)")
+        found = found.groupBy("key", "mark", "component", "root").agg(F.count("*").alias("copies"))
+        first = found.where("key = component")
+        least = first.groupBy("key", "root").agg(F.min("mark").alias("mark")).withColumn("least", F.lit(True))
+        first = first.join(least, ["key", "root", "mark"], "left")
+        found = found.where("key IS NULL OR key <> component").withColumn("least", F.lit(None).cast("boolean")).unionByName(
+            first)
+        lost = F.expr("key IS NOT NULL AND least IS NULL")
+        stays = F.expr("key IS NULL OR least")
     columns = [key, mark][:len(names)]
     others = [free_name(rows, f"gone_{name}") for name in names]
 
@@ -246,7 +297,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
         return table, reduce(Column.__and__, same)
 
     kept = rows.join(*named(found.where(lost).select(*names).distinct(), "simhash-drop"), "left_anti")
-    again, same = named(found.where(stays).groupBy(*names).count().where("count > 1"), "simhash-repeated")
+    times = F.sum("copies") if "copies" in found.columns else F.count("*")
+    again, same = named(found.where(stays).groupBy(*names).agg(times.alias("times")).where("times > 1"), "simhash-repeated")
     if not again.isEmpty():
         once = kept.join(again, same, "left_semi").dropDuplicates(columns)
         kept = kept.join(again, same, "left_anti").unionByName(once)
@@ -254,4 +306,4 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
 
 __all__ = ["BLOCK", "MAX_BITS", "SHINGLE", "bucket_links", "drop_near_duplicates", "fingerprint", "links",
-           "near_duplicates", "segment_plan", "spanning_links", "with_fingerprint"]
+           "near_duplicates", "segment_plan", "segments_for", "spanning_links", "whole_buckets", "with_fingerprint"]

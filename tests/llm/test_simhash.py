@@ -3,11 +3,13 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from latticeguard.llm import simhash
+from latticeguard.llm.common import dealt_join
 from latticeguard.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, fp string, component string"
@@ -134,3 +136,33 @@ def test_segment_plan_covers_by_pigeonhole():
 def test_pieces_run_on_spark(spark):
     assert simhash.with_fingerprint(spark.range(1).select(F.lit("a b").alias("text"))).first()["fp"] == int(
         np.uint64(xxhash.xxh64_intdigest(b"a b", 42)).view(np.int64))
+
+
+def test_long_text_crosses_hash_blocks():
+    rnd = random.Random(8)
+    text = " ".join(f"w{rnd.randrange(300)}" for _ in range(simhash._SHINGLES_AT_ONCE + 9000))
+    assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def test_segments_follow_the_number_of_fingerprints():
+    assert simhash.segments_for(0, 4) == simhash.segments_for(10**9, 4) == 3
+    assert simhash.segments_for(10**11, 4) == 2
+    assert simhash.segments_for(10**6, 4, (5, 4, 3, 2)) in (5, 4)
+
+
+@pytest.mark.parametrize("at_least", [1, 7, 1000])
+def test_buckets_are_cut_only_at_their_ends(at_least):
+    rnd = random.Random(at_least)
+    rows = sorted((rnd.randrange(9), rnd.randrange(3), i) for i in range(200))
+    batches = [pa.RecordBatch.from_pylist([{"b": b, "p": p, "f": f} for b, p, f in rows[i:i + 11]]) for i in range(0, 200, 11)]
+    parts = [list(zip(*(c.tolist() for c in part), strict=True)) for part in simhash.whole_buckets(iter(batches), at_least)]
+    assert [r for part in parts for r in part] == rows
+    assert all(a[-1][:2] != b[0][:2] for a, b in zip(parts, parts[1:], strict=False))
+    assert list(simhash.whole_buckets(iter([]), at_least)) == []
+
+
+def test_dealt_join_equals_the_plain_one(spark):
+    many = spark.createDataFrame([(1, i) for i in range(900)] + [(2, 1), (3, None), (None, 5)], "k int, x int")
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d"), (None, "n")], "k int, v string")
+    assert sorted(map(tuple, dealt_join(many, one, "k", "x").select("k", "x", "v").collect())) == sorted(
+        map(tuple, many.join(one, "k").select("k", "x", "v").collect()))
