@@ -7,12 +7,15 @@ every aligned overlap that the check accepts: `MIN_MATCH` equal tokens in a stre
 least `IDENTITY` is equal (tested over all error patterns of every length up to 120; a stretch of 34
 or more tokens has a half of 17 or more that is accepted too, so shorter ones decide).
 
-1. The benchmark's windows are hashed; a Bloom bitmap of fixed size says which hashes can occur.
+1. The benchmark's windows are hashed; a Bloom bitmap says which hashes can occur. It has 16 bits a
+   window, so about one foreign window in 70 passes, and lies between 4 MB and 128 MB: beyond 64
+   million windows more pass, and the join below still decides.
 2. One pass over the documents hashes all windows, and emits only those that pass the bitmap, with
    the token hashes around them (runs of near hits share one context). The bitmap is all that is
-   broadcast and its size doesn't depend on the benchmark.
+   broadcast.
 3. Spark joins the emitted hashes with the benchmark's hashes; equal diagonals of one context and
-   item are one candidate, and each candidate is compared token by token along its diagonal.
+   item are one candidate. A candidate takes from its context the tokens that its own item can cover,
+   and is compared token by token along its diagonal.
 
 Items with equal tokens are joined as one. Items shorter than the shortest mask are found whole: the
 same pass hashes the windows of their few lengths, and what passes the bitmap is joined with the
@@ -40,8 +43,9 @@ SHORTEST = min(map(len, MASKS))
 #: Equal tokens an overlap needs (all of them, for an item with fewer), and their least share of it.
 MIN_MATCH = 13
 IDENTITY = 0.8
-#: Bits of the Bloom bitmap, as a power of two (4 MB), with two bits set for each hash.
-BITMAP_POWER = 25
+#: Least and most bits of the Bloom bitmap, as powers of two (4 MB, 128 MB), and its bits for each hash, of which two are set.
+BITMAP_POWERS = (25, 30)
+BITS_PER_SEED = 16
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _TOKENS_AT_ONCE = 1 << 18
@@ -78,8 +82,14 @@ def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
     return value
 
 
-def _bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    shift = np.uint64(64 - BITMAP_POWER)
+def bitmap_power(seeds: int) -> int:
+    """Size of the bitmap for so many hashes, as a power of two of its bits."""
+    least, most = BITMAP_POWERS
+    return min(most, max(least, (seeds * BITS_PER_SEED - 1).bit_length()))
+
+
+def _bits(hashes: np.ndarray, power: int) -> tuple[np.ndarray, np.ndarray]:
+    shift = np.uint64(64 - power)
     return hashes >> shift, (hashes * _SECOND) >> shift
 
 
@@ -125,7 +135,8 @@ def _items(bench: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
-    """(hash, content, at): every window of every item under every mask that fits; a shorter item as a whole."""
+    """(hash, content, at, size): every window of every item under every mask that fits, and the item's size; a shorter
+    item as a whole."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,14 +145,15 @@ def _item_seeds(items: DataFrame) -> DataFrame:
                 for mask in MASKS if len(item) >= SHORTEST else ("1" * len(item),):
                     found = seed_hashes(item, mask)
                     yield pa.record_batch({"hash": found.view(np.int64), "content": np.full(len(found), content),
-                                           "at": np.arange(len(found))})
+                                           "at": np.arange(len(found)), "size": np.full(len(found), len(item))})
 
-    return items.select("content", "tokens").mapInArrow(seeds, "hash long, content long, at long")
+    return items.select("content", "tokens").mapInArrow(seeds, "hash long, content long, at long, size long")
 
 
 def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """The Bloom bitmap of the seeds, gathered as at most 2**BITMAP_POWER / 64 words."""
-    shift = 64 - BITMAP_POWER
+    """The Bloom bitmap of the seeds, gathered as at most 2**power / 64 words."""
+    power = bitmap_power(seeds.count())
+    shift = 64 - power
 
     @F.arrow_udf("long")
     def second(column: pa.Array) -> pa.Array:
@@ -150,7 +162,7 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     bit = F.explode(F.array(F.shiftrightunsigned("hash", shift), F.shiftrightunsigned(second("hash"), shift)))
     words = (seeds.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("bits"))).toArrow()
-    bitmap = np.zeros(1 << (BITMAP_POWER - 6), np.int64)
+    bitmap = np.zeros(1 << (power - 6), np.int64)
     bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return bitmap.view(np.uint8)
 
@@ -162,6 +174,7 @@ def _contexts(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, reach: i
     """
     kind = docs.schema[key].dataType.simpleString()
     fewest = min([SHORTEST, *short])
+    power = len(bitmap).bit_length() + 2
     context_type = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int64())]))
 
     def found(keys: list, lengths: list[int], tokens: np.ndarray, serial: int) -> list[dict]:
@@ -170,10 +183,10 @@ def _contexts(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, reach: i
 
         def passing(mask: str) -> tuple[np.ndarray, np.ndarray]:
             hashes = seed_hashes(tokens, mask)
-            one, _ = _bits(hashes)
+            one, _ = _bits(hashes, power)
             at = np.flatnonzero(_passes(bitmap, one))
             at = at[owner[at] == owner[at + len(mask) - 1]]
-            at = at[_passes(bitmap, _bits(hashes[at])[1])]
+            at = at[_passes(bitmap, _bits(hashes[at], power)[1])]
             return at, hashes[at]
 
         hits = [passing(mask) for mask in MASKS]
@@ -252,9 +265,13 @@ def overlaps(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str =
     seeds = materialize(_item_seeds(items), "decon-seeds")
     contexts = materialize(_contexts(docs, key, text, _bitmap(seeds), reach or 0, sorted(short)), "decon-contexts")
     hits = contexts.select("context", F.explode("seeds").alias("s")).select("context", "s.hash", F.col("s.at").alias("doc_at"))
-    diagonals = (hits.join(seeds, "hash").select("context", "content", (F.col("doc_at") - F.col("at")).alias("diagonal"))
-                 .distinct())
-    pairs = (diagonals.join(contexts.select("context", "key", "first", F.col("tokens").alias("doc_tokens")), "context")
+    diagonals = (hits.join(seeds, "hash")
+                 .select("context", "content", "size", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct())
+    low = F.greatest("diagonal", F.lit(0).cast("long"))
+    covered = F.slice("tokens", (low + 1).cast("int"), (F.col("diagonal") + F.col("size") - low).cast("int"))
+    pairs = (diagonals.join(contexts, "context")
+             .select("key", "content", covered.alias("doc_tokens"), (F.col("first") + low).alias("first"),
+                     (F.col("diagonal") - low).alias("diagonal"))
              .join(items, "content"))
     checked = pairs.withColumn("v", _verify("doc_tokens", "tokens", "diagonal")).where("v IS NOT NULL").select(
         "key", "item", "copies", (F.col("v.doc_start") + F.col("first")).alias("doc_start"), "v.item_start",

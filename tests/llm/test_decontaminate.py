@@ -172,3 +172,28 @@ def test_clean_namesake_of_a_contaminated_row_stays(spark):
     kept = dc.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(map(str, (r["text"] for r in kept.collect()))) == ["None", "clean"]
+
+
+def test_bitmap_grows_with_the_benchmark(spark, monkeypatch):
+    assert dc.bitmap_power(0) == dc.bitmap_power(2_000_000) == 25
+    assert dc.bitmap_power(2_100_000) == 26 and dc.bitmap_power(10**10) == 30
+    docs, bench = fixture()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    want = sorted(map(tuple, dc.overlaps(d, b).collect()))
+    for powers in ((6, 9), (6, 14)):  # nearly every window passes; most don't
+        monkeypatch.setattr(dc, "BITMAP_POWERS", powers)
+        assert sorted(map(tuple, dc.overlaps(d, b).collect())) == want
+
+
+def test_short_item_beside_a_very_long_one(spark):
+    long = [f"u{i}" for i in range(5000)]
+    short = [f"v{i}" for i in range(20)]
+    docs = [["x"] * 900 + short + ["y"] * 700 + long[100:400] + ["z"] * 30, long[4000:] + short, short[3:] + ["x"] * 10 + long]
+    d = [(i, " ".join(t)) for i, t in enumerate(docs)]
+    b = [(1, " ".join(long)), (2, " ".join(short))]
+    got = {(r["doc_id"], r["item_id"]): (r["doc_start"], r["item_start"], r["n_tokens"], r["n_matched"], r["copies"])
+           for r in dc.overlaps(spark.createDataFrame(d, "doc_id long, text string"),
+                                spark.createDataFrame(b, "item_id long, text string")).collect()}
+    assert got == {(0, 1): (1620, 100, 300, 300, 1), (0, 2): (900, 0, 20, 20, 1), (1, 1): (0, 4000, 1000, 1000, 1),
+                   (1, 2): (1000, 0, 20, 20, 1), (2, 1): (27, 0, 5000, 5000, 1), (2, 2): (0, 3, 17, 17, 1)}
