@@ -69,13 +69,14 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
-def fit_medians(df: DataFrame) -> dict[str, float]:
-    """Exact median of every numeric feature that has missing values in `df` (the training rows).
+def fit_medians(df: DataFrame, rows: DataFrame | None = None) -> dict[str, float]:
+    """Exact median, over `df` (the training rows), of every numeric feature that has missing values in `rows`
+    (all rows to be encoded; `df` if not given).
 
     The one documented limitation of training: a missing number is taken to be the median.
     """
     numeric = [name for name, kind, _ in FEATURES if kind != "categorical"]
-    missing = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in numeric)).first()
+    missing = (df if rows is None else rows).agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in numeric)).first()
     medians = {c: exact_quantiles(df, c, [0.5])[0] for c in numeric if missing[c]}
     return {c: 0.0 if m is None else float(m) for c, m in medians.items()}
 

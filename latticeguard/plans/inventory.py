@@ -121,8 +121,9 @@ class Inventory:
 
     @cached_property
     def medians(self) -> dict[str, float]:
-        """Medians of the training rows, for missing numbers of either part."""
-        return feat.fit_medians(self.train)
+        """Medians of the training rows, for missing numbers of either part, also of one that only the test
+        part has."""
+        return feat.fit_medians(self.train, self.split)
 
     @cached_property
     def train_encoded(self) -> DataFrame:

@@ -51,6 +51,20 @@ def test_empty_input_and_bad_training_rows_are_errors(spark):
         trn.training_frame(bad, medians=medians)
 
 
+def test_a_number_missing_only_in_the_test_part_takes_the_training_median(spark):
+    from latticeguard.plans.inventory import Inventory
+
+    schema = "asset_id long, risk_score double, split string, " + ", ".join(
+        f"{c} {'string' if isinstance(GOOD[c], str) else 'int'}" for c in FEATURE_NAMES)
+    row = lambda i, part, **odd: (i, 0.5, part, *({**GOOD, **odd}[c] for c in FEATURE_NAMES))
+    inv = Inventory(spark, "/nowhere", persist=False)
+    inv.split = spark.createDataFrame([row(1, "train"), row(2, "train", asset_age_days=100), row(3, "train", asset_age_days=200),
+                                       row(4, "test", asset_age_days=None), row(5, "test")], schema)
+    assert inv.medians == {"asset_age_days": 200.0}
+    assert {r["asset_id"]: r["asset_age_days"] for r in inv.test_encoded.collect()} == {4: 200.0, 5: 400.0}
+    assert {r["asset_id"]: r["asset_age_days"] for r in inv.train_encoded.collect()} == {1: 400.0, 2: 100.0, 3: 200.0}
+
+
 def test_asset_resolution_by_either_hint(spark):
     assets = spark.createDataFrame([(1, "h1", "r1"), (2, "h2", "r2")], "asset_id long, hostname string, repo string")
     hints = [("a", "h1", None), ("b", None, "r2"), ("c", "h2", "r1"), ("d", "hx", "r1"), ("e", "hx", "rx"), ("f", "hx", None), ("g", None, None)]
