@@ -29,3 +29,32 @@ def test_cv_matches_crossvalidator(spark):
                         foldCol="fold", numFolds=3, seed=42).fit(data)
     assert np.allclose([r["cv_mae_mean"] for r in got], cv.avgMetrics, atol=1e-12)
     assert np.allclose([r["cv_mae_std"] for r in got], cv.stdMetrics, atol=1e-12)
+
+
+def test_configs_that_differ_in_trees_only_share_a_fit(spark, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.sql import functions as F
+
+    from latticeguard.operators import training as trn
+    from latticeguard.operators.splits import kfold
+    from latticeguard.schemas import FEATURE_NAMES
+
+    rows = [(i, *((i * (2 * j + 3)) % (5 + j) * 1.0 for j in range(len(FEATURE_NAMES))), (i * 37 % 101) / 101 + 0.1 * (i % 5))
+            for i in range(400)]
+    train = spark.createDataFrame(rows, ["asset_id", *FEATURE_NAMES, "risk_score"])
+    grid = ((5, 2, 0.1), (3, 2, 0.1), (4, 3, 0.05))
+    fits, plain = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df: (fits.append(self.getMaxIter()), plain(self, df))[1])
+    got = trn.cross_validate(train, grid=grid, folds=3)
+    # two fits a fold; the last fit is the chosen configuration's, inside a Pipeline
+    assert sorted(fits[:6]) == [4, 4, 4, 5, 5, 5] and len(fits) == 7
+
+    data = trn._sized(VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features").transform(kfold(train, k=3, seed=42))
+                      .select("features", "risk_score", "fold")).cache()
+    mae = RegressionEvaluator(labelCol="risk_score", predictionCol="raw_prediction", metricName="mae")
+    for r, (n, d, lr) in zip(got.cv_results.orderBy("grid_index").collect(), grid, strict=True):
+        each = [mae.evaluate(trn._gbt(42).setMaxIter(n).setMaxDepth(d).setStepSize(lr).fit(data.where(F.col("fold") != f))
+                             .transform(data.where(F.col("fold") == f))) for f in range(3)]
+        assert np.allclose([r["cv_mae_mean"], r["cv_mae_std"]], [np.mean(each), np.std(each)], atol=1e-12)
