@@ -75,6 +75,25 @@ def test_trigram_search_equals_a_scan(spark):
     assert index.search(("abc",)).collect() == [] and index.search(()).collect() == []
 
 
+def test_postings_are_lists_of_blocks_built_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.DataFrame.repartitionByRange", lambda *_: pytest.fail("postings are shuffled"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = spark.range(0, 100, 1, 3).selectExpr("id", "IF(id % 10 = 3, NULL, concat('x', id, '-asset')) AS body")
+        index = TrigramIndex.build(rows, "body", root(spark))
+        lists = index.postings.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(r["places"] == sorted(set(r["places"])) and 0 < len(r["places"]) <= 7 for r in lists)
+    assert len({(r["gram"], r["block"]) for r in lists}) == len(lists) and len({r["block"] for r in lists}) >= 90 // 7
+    held = {r["uid"]: r["hay"] for r in index.texts.collect()}
+    got = sorted((r["block"] + p, r["gram"]) for r in lists for p in r["places"])
+    assert got == sorted((u, g) for u, t in held.items() if t for g in {t[i:i + 3] for i in range(len(t) - 2)})
+    plan = index.candidates(["asset"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert sorted(r["id"] for r in index.search(("7-ASS",)).collect()) == [i for i in range(100) if i % 10 == 7]
+
+
 def test_grams_are_distinct(spark):
     got = spark.createDataFrame([("aaaa",), ("ab",), ("",), ("aéb",)], "t string").select(grams(F.col("t")).alias("g")).collect()
     assert [r["g"] for r in got] == [["aaa"], [], [], ["aéb"]]
