@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.quantiles import exact_quantiles
 from ..schemas import ECC_FAMILY, FEATURES, FEATURE_NAMES, SCHEMA_VERSION, required_columns
+from ..sources.inventory import finding_id
 
 
 def finding_rollup(findings: DataFrame) -> DataFrame:
@@ -13,9 +14,10 @@ def finding_rollup(findings: DataFrame) -> DataFrame:
 
     The primary finding (D6/B1: latest discovered_at, then order and line desc)
     is the max of a struct, so the whole roll-up is one partial-aggregated
-    group-by; no window and no per-asset collection.
+    group-by; no window and no per-asset collection. The rows it sorts hold no
+    finding_id: it follows from the order and line of the one finding kept.
     """
-    return findings.groupBy("asset_id").agg(
+    rolled = findings.groupBy("asset_id").agg(
         F.count(F.lit(1)).alias("n_findings"),
         F.count_if(F.col("quantum_vulnerable")).alias("n_vulnerable"),
         F.count_if(F.col("quantum_vulnerable").isNull()).alias("n_unknown"),
@@ -23,9 +25,10 @@ def finding_rollup(findings: DataFrame) -> DataFrame:
         F.max(F.struct(
             F.col("discovered_at"), F.col("order_key"), F.col("line_no"),
             F.col("algorithm"), F.col("key_size"), F.col("source"), F.col("quantum_vulnerable"),
-            F.col("finding_id"),
         )).alias("primary"),
     )
+    return rolled.withColumn("primary", F.col("primary").withField(
+        "finding_id", finding_id(F.col("primary.order_key"), F.col("primary.line_no"))))
 
 
 def dependency_count(edges: DataFrame) -> DataFrame:

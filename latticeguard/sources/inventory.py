@@ -77,6 +77,10 @@ def raw_findings(t: Tables) -> DataFrame:
     return latest.select("l_orderkey", "l_linenumber", "w.*")
 
 
+def finding_id(order_key: Column, line_no: Column) -> Column:
+    return F.concat_ws("-", order_key.cast("string"), line_no.cast("string"))
+
+
 def findings(t: Tables) -> DataFrame:
     """Findings table (README finding contract) for every deduplicated line."""
     spark = t.spark
@@ -86,7 +90,7 @@ def findings(t: Tables) -> DataFrame:
     alg = _pick(F.col("l_partkey") % 10, ALGORITHM_BY_PART_MOD)
     src = F.when(F.col("l_returnflag") == "N", F.lit("repo_scan")).otherwise(F.lit("tls_scan"))
     out = j.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("finding_id"),
+        finding_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("finding_id"),
         F.col("o_custkey").alias("asset_id"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_no"),

@@ -65,6 +65,19 @@ def test_a_number_missing_only_in_the_test_part_takes_the_training_median(spark)
     assert {r["asset_id"]: r["asset_age_days"] for r in inv.train_encoded.collect()} == {1: 400.0, 2: 100.0, 3: 200.0}
 
 
+def test_rollup_sorts_rows_without_finding_ids_and_still_names_the_primary_one(spark):
+    rows = [(1, 10, 1, 5), (1, 10, 2, 5), (1, 9, 3, 5), (1, 11, 1, 4), (2, 7, None, 1), (2, 7, 1, 0)]
+    findings = spark.createDataFrame(rows, "asset_id long, order_key long, line_no int, day int").select(
+        "asset_id", "order_key", "line_no", F.concat_ws("-", "order_key", "line_no").alias("finding_id"),
+        F.timestamp_seconds(F.col("day")).alias("discovered_at"), F.lit("RSA").alias("algorithm"), F.lit(2048).alias("key_size"),
+        F.lit("tls_scan").alias("source"), F.lit(True).alias("quantum_vulnerable"))
+    rolled = ft.finding_rollup(findings)
+    got = {r["asset_id"]: r for r in rolled.collect()}
+    assert {k: (r["primary"]["finding_id"], r["n_findings"]) for k, r in got.items()} == {1: ("10-2", 4), 2: ("7", 2)}
+    plan = rolled._jdf.queryExecution().optimizedPlan().toString()
+    assert "finding_id" not in plan[plan.index("Aggregate"):]
+
+
 def test_asset_resolution_by_either_hint(spark):
     assets = spark.createDataFrame([(1, "h1", "r1"), (2, "h2", "r2")], "asset_id long, hostname string, repo string")
     hints = [("a", "h1", None), ("b", None, "r2"), ("c", "h2", "r1"), ("d", "hx", "r1"), ("e", "hx", "rx"), ("f", "hx", None), ("g", None, None)]
