@@ -58,6 +58,21 @@ def test_an_empty_corpus_or_query_set(spark):
     assert pi.PassageIndex.build(chunks, root(spark)).search(terms.limit(0)).collect() == []
 
 
+def test_floor_scores_few_chunks_of_a_large_cell_and_postings_stay(spark, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.DataFrame.repartitionByRange", lambda *_: pytest.fail("postings are shuffled"))
+    rows = [(i, 0, "s", ["a", "b"] if i % 2 else ["a", "b", f"w{i}"]) for i in range(1200)] + [(5000, 0, "s", None), (5001, 0, "s", [])]
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk_no int, source string, tokens array<string>")
+    terms = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "query_id long, term string, c long")
+    index = pi.PassageIndex.build(chunks, root(spark))
+    assert index.postings.count() == 600 * 5 and {r["uid"] for r in index.postings.collect()} <= {r["uid"] for r in index.chunks.collect()}
+    sizes, scored = [], index._scored
+    monkeypatch.setattr(index, "_scored", lambda pairs, queries: sizes.append(pairs.count()) or scored(pairs, queries))
+    got = index.search(terms, 3)
+    assert sizes[0] <= 3 * pi.SEEDS
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rt.retrieve(chunks, terms, 3).collect()))
+    assert got.count() == 3
+
+
 # --- trigrams -----------------------------------------------------------------------
 
 
