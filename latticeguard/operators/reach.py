@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
@@ -19,11 +19,30 @@ def reachable(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, node, hops): every node that a path of one or more edges (src, dst) leads to, with the length
     of the shortest one. A source on a cycle reaches itself. `sources` has one column; nulls reach nothing.
 
-    Pairs found once are never followed again, so cycles end and a node behind many paths is joined once.
+    The rounds run from the distinct successors of the sources, so what lies behind a node is searched once, however
+    many sources lead to it. A source then takes what its successors reach: as it is if it has one, and the
+    shortest path to each node if it has more.
     """
     links = materialize(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct(), "reach-edges")
     start = sources.toDF("source").where("source IS NOT NULL").distinct()
-    frontier = materialize(start.select("source", F.col("source").alias("node")), "reach-frontier")
+    steps = start.join(links, start["source"] == links["src"]).select("source", F.col("dst").alias("mid"))
+    first = materialize(steps.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("source"))), "reach-first")
+    mids = materialize(first.select("mid").distinct(), "reach-mids")
+    behind = _closure(links, mids).where("source <> node").unionByName(
+        mids.select(F.col("mid").alias("source"), F.col("mid").alias("node"), F.lit(0).alias("hops")))
+    behind = materialize(behind.select(F.col("source").alias("mid"), "node", (F.col("hops") + 1).alias("hops")), "reach-behind")
+    for used in (links, mids):
+        release(used)
+    one = first.where("n = 1").join(behind, "mid").select("source", "node", "hops")
+    more = first.where("n > 1").join(behind, "mid").groupBy("source", "node").agg(F.min("hops").alias("hops"))
+    return one.unionByName(more)
+
+
+def _closure(links: DataFrame, start: DataFrame) -> DataFrame:
+    """(source, node, hops) of distinct sources. Pairs found once are never followed again, so cycles end and a node
+    behind many paths is joined once."""
+    start = start.toDF("source")
+    frontier = start.select("source", F.col("source").alias("node"))
     rounds: list[DataFrame] = []
     hops = 0
     while not frontier.isEmpty():
@@ -33,11 +52,8 @@ def reachable(edges: DataFrame, sources: DataFrame) -> DataFrame:
             known = reduce(DataFrame.unionByName, (r.select("source", "node") for r in rounds))
             found = found.join(known, ["source", "node"], "left_anti")
         fresh = materialize(found.withColumn("hops", F.lit(hops)), f"reach-{hops}")
-        if hops == 1:
-            release(frontier)
         rounds.append(fresh)
         frontier = fresh.select("source", "node")
-    release(links)
     return reduce(DataFrame.unionByName, rounds) if rounds else start.limit(0).select(
         "source", F.col("source").alias("node"), F.lit(0).alias("hops"))
 

@@ -63,3 +63,19 @@ def test_nothing_to_follow(spark):
     assert reach.reachable(none, spark.createDataFrame([(1,)], "x long")).collect() == []
     assert reach.reachable(frame(spark, [(1, 2)]), spark.createDataFrame([], "x long")).collect() == []
     assert reach.cyclic_components(none).collect() == []
+
+
+def written(spark, monkeypatch):
+    """Rows of what is written from here on, by name."""
+    rows, write = [], reach.materialize
+    monkeypatch.setattr(reach, "materialize", lambda df, name: rows.append((name, (out := write(df, name)).count())) or out)
+    return rows
+
+
+def test_what_lies_behind_many_sources_is_searched_once(spark, monkeypatch):
+    edges = [(100 + i, 1) for i in range(50)] + [(1, 2), (1, 3), (2, 4), (3, 4), (4, 1), (150, 4), (150, 2), (150, 1), (160, 160)]
+    rows = written(spark, monkeypatch)
+    sources = [(100 + i,) for i in range(51)] + [(1,), (160,), (4,), (999,)]
+    got = {(r["source"], r["node"]): r["hops"] for r in reach.reachable(frame(spark, edges), spark.createDataFrame(sources, "x long")).collect()}
+    assert got == {(s, n): h for (s,) in sources for n, h in search(edges, s).items()}
+    assert max(n for name, n in rows if name.removeprefix("reach-").isdigit()) <= 10  # before: 50 sources in each
