@@ -74,48 +74,45 @@ def _trimmed(edges: DataFrame) -> DataFrame:
     return left
 
 
-def _spread_up(values: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, color): the largest color that a path over `links` (from, to) carries to each node of `values`.
-    Only nodes whose color rose in the last round pass it on."""
-    colors = materialize(values, "scc-colors")
-    risen = colors
+def _spread(values: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, color): the smallest color that a path over `links` (from, to) carries to each node of `values`.
+    Only nodes whose color fell in the last round pass it on; a round is one table, written once."""
+    colors = materialize(values.select("node", "color", F.lit(True).alias("fell")), "scc-colors")
     while True:
-        offered = risen.join(links, risen["node"] == links["from"]).groupBy(F.col("to").alias("node")).agg(F.max("color").alias("offer"))
-        better = colors.join(offered, "node").where("offer > color").select("node", F.col("offer").alias("color"))
-        up = materialize(better, "scc-risen")
-        if up.isEmpty():
-            release(up)
-            return colors
-        following = materialize(colors.join(up.withColumnRenamed("color", "new"), "node", "left").select(
-            "node", F.coalesce("new", "color").alias("color")), "scc-colors")
+        fallen = colors.where("fell")
+        offered = fallen.join(links, fallen["node"] == links["from"]).groupBy(F.col("to").alias("node")).agg(F.min("color").alias("offer"))
+        following = materialize(colors.join(offered, "node", "left").select(
+            "node", F.least("color", "offer").alias("color"), F.coalesce(F.col("offer") < F.col("color"), F.lit(False)).alias("fell")),
+            "scc-colors")
         release(colors)
-        if risen is not colors:
-            release(risen)
-        colors, risen = following, up
+        colors = following
+        if colors.where("fell").isEmpty():
+            return colors
 
 
 def cyclic_components(edges: DataFrame) -> DataFrame:
     """(node, component): the nodes that lie on a cycle, with the smallest node of their strongly connected
     component. A node with an edge to itself lies on a cycle.
 
-    Forward: every node learns the largest node that reaches it. A node that learns itself is a root; backward,
-    the nodes of its color that reach it are its component. These are taken off and the rest goes on. Every
-    round takes off at least the component of the largest node of each color.
+    Forward: every node learns the smallest node that reaches it, its color. Backward, the nodes of a color that reach
+    the node it is named after are that node's component, and it is their smallest. These are taken off and the
+    rest goes on. Every round takes off the component of each color's node: all components at once, unless a smaller
+    node outside leads to one.
     """
     links = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
     left, done = _trimmed(links.where("src <> dst")), []
     while not left.isEmpty():
         nodes = left.select(F.col("src").alias("node")).union(left.select("dst")).distinct()
-        colors = _spread_up(nodes.withColumn("color", F.col("node")), left.select(F.col("src").alias("from"), F.col("dst").alias("to")))
-        of = colors.withColumnRenamed("node", "src").withColumnRenamed("color", "c1")
-        to = colors.withColumnRenamed("node", "dst").withColumnRenamed("color", "c2")
+        colors = _spread(nodes.withColumn("color", F.col("node")), left.select(F.col("src").alias("from"), F.col("dst").alias("to")))
+        of = colors.select(F.col("node").alias("src"), F.col("color").alias("c1"))
+        to = colors.select(F.col("node").alias("dst"), F.col("color").alias("c2"))
         inside = materialize(left.join(of, "src").join(to, "dst").where("c1 = c2").select("src", "dst"), "scc-inside")
-        # backward within a color: 1 spreads from the roots against the edges
-        marks = _spread_up(colors.select("node", (F.col("node") == F.col("color")).cast("int").alias("color")),
-                           inside.select(F.col("dst").alias("from"), F.col("src").alias("to")))
-        members = marks.where("color = 1").select("node").join(colors, "node")
-        sizes = members.groupBy("color").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("n"))
-        taken = materialize(members.join(sizes, "color").select("node", "component", "n"), "scc-taken")
+        # backward within a color: 0 spreads from the roots against the edges
+        marks = _spread(colors.select("node", (F.col("node") != F.col("color")).cast("int").alias("color")),
+                        inside.select(F.col("dst").alias("from"), F.col("src").alias("to")))
+        members = marks.where("color = 0").select("node").join(colors.select("node", F.col("color").alias("component")), "node")
+        sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+        taken = materialize(members.join(sizes, "component").select("node", "component", "n"), "scc-taken")
         done.append(taken.where("n > 1").select("node", "component"))
         gone = taken.select("node")
         rest = left.join(gone.withColumnRenamed("node", "src"), "src", "left_anti").join(

@@ -79,3 +79,13 @@ def test_what_lies_behind_many_sources_is_searched_once(spark, monkeypatch):
     got = {(r["source"], r["node"]): r["hops"] for r in reach.reachable(frame(spark, edges), spark.createDataFrame(sources, "x long")).collect()}
     assert got == {(s, n): h for (s,) in sources for n, h in search(edges, s).items()}
     assert max(n for name, n in rows if name.removeprefix("reach-").isdigit()) <= 10  # before: 50 sources in each
+
+
+def test_a_chain_of_circles_is_found_at_once(spark, monkeypatch):
+    pairs = [(10 * i, 10 * i + 1) for i in range(1, 6)]
+    edges = [e for a, b in pairs for e in ((a, b), (b, a))] + [(10 * i + 11, 10 * i) for i in range(1, 5)]
+    rows = written(spark, monkeypatch)
+    assert {r["node"]: r["component"] for r in reach.cyclic_components(frame(spark, edges)).collect()} == components(edges)
+    assert len([1 for name, _ in rows if name == "scc-taken"]) == 1  # before: a round for each
+    back = [(d, s) for s, d in edges]  # the other way round it takes more rounds, and is as right
+    assert {r["node"]: r["component"] for r in reach.cyclic_components(frame(spark, back)).collect()} == components(back)
