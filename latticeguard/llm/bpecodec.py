@@ -37,13 +37,13 @@ from latticeguard.llm.common import free_name
 TOKENIZER = "byte_bpe_50k.json"
 #: Words, pieces (about 200 bytes each) and token pairs a worker keeps in one place before it starts anew,
 #: and the longest word that it keeps.
-WORDS = 350_000
-PIECES = 150_000
+WORDS = 450_000
+PIECES = 50_000
 SEAMS = 1_000_000
 LONGEST = 48
 _BYTES = 256
 _NEVER = 1 << 62
-_WORD = re.compile(r"([^\W\d_]+)([^\w\s]*)")
+_WORD = re.compile(r"([^\W\d_]+)([^\w\s]+)")
 _RUN = re.compile(r" (?:\s|$)")
 #: Characters of which all Unicode versions in use agree whether they are letters, digits or blanks.
 _OTHERS = re.compile("[^\x00-ԯ‐-‧€]")
@@ -97,7 +97,8 @@ class Codec:
             self.texts[token] = content.encode()
         self.seams: list[dict[int, bool]] = [{} for _ in range(self.size + 1)]
         self.n_seams = 0
-        self.known = _Remembered(lambda piece: packed(self.piece(piece.encode())))
+        self.wire = [struct.pack("<I", token) for token in range(self.size)]
+        self.known = _Remembered(lambda piece: self._packed_piece(piece.encode()))
         self.words = _Remembered(self._word)
 
     def compatible(self, left: int, right: int) -> bool:
@@ -159,13 +160,26 @@ class Codec:
         ids.reverse()
         return ids
 
+    def _packed_piece(self, piece: bytes) -> bytes:
+        """Packed ids of one non-empty piece."""
+        last, out, at, texts, wire = self._last_tokens(piece), [], len(piece), self.bytes, self.wire
+        while at:
+            token = last[at]
+            out.append(wire[token])
+            at -= len(texts[token])
+        out.reverse()
+        return b"".join(out)
+
     def _word(self, word: str) -> bytes:
-        """Ids of a space and the word: of its letters and of what follows them, if there is nothing else."""
-        plain = _WORD.fullmatch(word) if word.isascii() or not _OTHERS.search(word) else None
-        if plain is None:
-            return b"".join(map(self.known.__getitem__, self.pieces(" " + word)))
-        letters, rest = plain.groups()
-        return self.known[" " + letters] + self.known[rest] if rest else self.known[" " + letters]
+        """Ids of a space and the word: of its letters, which are looked up as a word of their own, and of what
+        follows them, if there is nothing else."""
+        if word.isascii() or not _OTHERS.search(word):
+            if word.isalpha():
+                return self._packed_piece(b" " + word.encode())
+            plain = _WORD.fullmatch(word)
+            if plain is not None and plain[1].isalpha():
+                return self.words[plain[1]] + self.known[plain[2]]
+        return b"".join(map(self.known.__getitem__, self.pieces(" " + word)))
 
     def pieces(self, text: str) -> list[str]:
         """The pieces that are encoded by themselves."""

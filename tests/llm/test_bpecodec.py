@@ -108,3 +108,11 @@ def test_query_and_edges(spark, exact):
     assert len(rows) == 5 and [bytes(r["_ids"]) for r in rows[:2]] == [b"", b""]
     assert all(r["_decoded"] == "a b" and bytes(r["_ids"]) == bc.packed(ids_of(exact, "a b")) for r in rows[2:])
     assert bc.decode(bc.encode(odd.limit(0)), "_ids").collect() == []
+
+
+def test_a_words_letters_are_kept_once(exact):
+    codec = bc.Codec()
+    text = "a blorpth blorpth, blorpth. x² x_y éléph, éléph 12, x"
+    for _ in range(2):
+        assert codec.encode(text) == bc.packed(ids_of(exact, text))
+    assert " blorpth" not in codec.known and "blorpth" in codec.words and "éléph" in codec.words
