@@ -172,8 +172,10 @@ def encode_instances(df: DataFrame, instance: str, keep: tuple[str, ...] = ("ass
     d = df.withColumn("_m", F.try_variant_get(F.try_parse_json(F.col(instance)), "$", "map<string,variant>"))
     d = d.withColumn("_x", F.transform(F.transform(wanted, typed), encoded))
     errors = F.nullif(F.array_join(F.transform("_x", lambda x: x["error"]), "; "), F.lit(""))
-    return d.select(*keep, *(F.get("_x", F.lit(i))["value"].cast("float").cast("double").alias(n) for i, n in enumerate(FEATURE_NAMES)),
-                    F.when(F.col("_m").isNull(), F.lit("instance is not a JSON object")).otherwise(errors).alias("encode_error"))
+    fields = [*(F.get("_x", F.lit(i))["value"].cast("float").cast("double").alias(n) for i, n in enumerate(FEATURE_NAMES)),
+              F.when(F.col("_m").isNull(), F.lit("instance is not a JSON object")).otherwise(errors).alias("encode_error")]
+    # a generator: a filter on the result isn't pushed below it, where each instance would be parsed a second time
+    return d.select(*keep, F.inline(F.array(F.struct(*fields))))
 
 
 def feature_profile(features: DataFrame) -> DataFrame:

@@ -46,11 +46,13 @@ def training_frame(labelled: DataFrame, key: str = "asset_id", medians: dict[str
     return enc.drop("encode_error")
 
 
-def _sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+def _sized(df: DataFrame, rows_per_partition: int = 200_000, least: int = 25_000) -> DataFrame:
     """Partition count proportional to the data: tree learners run one job per level,
-    so tiny inputs spread over many partitions only add task overhead."""
+    so tiny inputs spread over many partitions only add task overhead. Larger ones get
+    a partition for every core, as long as that leaves `least` rows to each."""
     n = df.count()
-    target = max(1, -(-n // rows_per_partition))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(1, -(-n // rows_per_partition), min(cores, n // least))
     current = df.rdd.getNumPartitions()
     return df.coalesce(target) if target < current else df.repartition(target)
 
