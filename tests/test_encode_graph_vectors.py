@@ -102,3 +102,16 @@ def test_rule_hits(spark):
                                  "doc_id long, source string, text string")
     hits = sorted((r["line_no"], r["rule_id"]) for r in rt.rule_hits(docs).collect())
     assert hits == [(2, "hardcoded-key"), (3, "des-cipher"), (3, "md5-digest")]
+
+
+def test_a_filter_on_the_error_stays_above_the_instance_encoder(spark):
+    from pyspark.sql import functions as F
+
+    from latticeguard.operators.features import encode_instances
+
+    rows = spark.range(0, 20, 1, 2).select(F.col("id").alias("asset_id"), F.when(F.col("id") % 2 == 0, '{"key_size":1}').otherwise("x").alias("instance"))
+    bad = encode_instances(rows, "instance").where(F.col("encode_error").isNotNull()).select("asset_id", "encode_error")
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate")  # below it, each instance would be parsed a second time
+    got = {r["asset_id"]: r["encode_error"] for r in bad.collect()}
+    assert len(got) == 20 and got[1] == "instance is not a JSON object" and "missing feature" in got[0]

@@ -58,3 +58,12 @@ def test_configs_that_differ_in_trees_only_share_a_fit(spark, monkeypatch):
         each = [mae.evaluate(trn._gbt(42).setMaxIter(n).setMaxDepth(d).setStepSize(lr).fit(data.where(F.col("fold") != f))
                              .transform(data.where(F.col("fold") == f))) for f in range(3)]
         assert np.allclose([r["cv_mae_mean"], r["cv_mae_std"]], [np.mean(each), np.std(each)], atol=1e-12)
+
+
+def test_a_fit_has_a_partition_for_every_core_if_it_has_the_rows(spark):
+    from latticeguard.operators.training import _sized
+
+    cores = spark.sparkContext.defaultParallelism
+    assert _sized(spark.range(0, 24_999, 1, 6)).rdd.getNumPartitions() == 1
+    assert _sized(spark.range(0, 100_000, 1, 1)).rdd.getNumPartitions() == min(cores, 4)  # before: 1
+    assert _sized(spark.range(0, 100_000, 1, 1), rows_per_partition=10_000).rdd.getNumPartitions() == 10
