@@ -24,6 +24,11 @@ HIGH_PER_PHASE = 25
 BUCKETS = 4096
 
 
+def _by_key(rows: DataFrame) -> DataFrame:
+    """A side with a row per asset, edge or score: joined by key, never gathered on the driver to be broadcast."""
+    return rows.hint("merge")
+
+
 def bucketed_row_number(df: DataFrame, partition_cols: list[str], bucket_col: str, order: list[Column],
                         out_col: str = "rn") -> DataFrame:
     """Exact row_number() over (partition by P order by B, O...) where B is a coarse,
@@ -73,7 +78,7 @@ def score_row_number(df: DataFrame, partition_cols: list[str], score_col: str, i
         .alias("_before_r"))
     offs = offs.join(off_b, [*partition_cols, "_sb"]).select(
         *partition_cols, "_k", "_ir", (F.col("_before_b") + F.col("_before_s") + F.col("_before_r")).alias("_before"))
-    j = d.join(offs, [*partition_cols, "_k", "_ir"])
+    j = d.join(_by_key(offs), [*partition_cols, "_k", "_ir"])
     w = Window.partitionBy(*partition_cols, "_k", "_ir").orderBy(F.col(id_col).asc())
     return j.withColumn(out_col, F.col("_before") + F.row_number().over(w)).drop("_k", "_sb", "_ir", "_before")
 
@@ -96,11 +101,11 @@ def dependency_levels(assets: DataFrame, edges: DataFrame) -> DataFrame:
         return spark.read.schema(f"asset_id {kind}").parquet(f"{path}/level={level}")
 
     open_edges = materialize(edges.select("src", "dst").distinct(), "level-edges")
-    fresh = found(assets.join(open_edges.select(F.col("src").alias("asset_id")), "asset_id", "left_anti"), 0)
+    fresh = found(assets.join(_by_key(open_edges.select(F.col("src").alias("asset_id"))), "asset_id", "left_anti"), 0)
     level = 0
     while not fresh.isEmpty():
         closed = fresh.select(F.col("asset_id").alias("dst"), F.lit(True).alias("closed"))
-        marked = open_edges.join(closed, "dst", "left")
+        marked = open_edges.join(_by_key(closed), "dst", "left")
         level += 1
         fresh = found(marked.groupBy(F.col("src").alias("asset_id")).agg(F.count_if(F.col("closed").isNull()).alias("n"))
                       .where("n = 0"), level)
@@ -165,7 +170,7 @@ def baseline_plan(items: DataFrame, n_phases: int = 4) -> DataFrame:
 def weighted_plan(items: DataFrame, levels: DataFrame, cap: int = HIGH_PER_PHASE) -> DataFrame:
     """Level first; HIGH items get sub-phase ceil(rn / cap) within their level, others 1;
     global phase = sub-phase + sum of max sub-phases of earlier levels; rank within phase (W5)."""
-    d = items.join(levels, "asset_id").select(
+    d = items.join(_by_key(levels), "asset_id").select(
         "asset_id", "level", (F.col("migration_complexity") == "HIGH").cast("int").alias("is_high"),
         weighted_score(F.col("risk_score"), F.col("financial_data"), F.col("customer_data"),
                        F.col("regulated_system"), F.col("migration_complexity")).alias("score"))
@@ -180,7 +185,7 @@ def weighted_plan(items: DataFrame, levels: DataFrame, cap: int = HIGH_PER_PHASE
     offs = rows_before(span, [], "level", "span", "_lvl_before").select("level", "_lvl_before")
     d = d.join(offs, "level").withColumn("phase", (F.col("_lvl_before") + F.col("sub_phase")).cast("int"))
     d = score_row_number(d.drop("_lvl_before"), ["phase"], "score", "asset_id", "rank")
-    return d.join(items, "asset_id")
+    return d.join(_by_key(items), "asset_id")
 
 
 def plan_violations(plan: DataFrame, edges: DataFrame) -> DataFrame:

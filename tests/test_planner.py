@@ -97,3 +97,20 @@ def test_score_row_number_matches_sort_with_hot_score(spark):
     want["rn"] = want.groupby("g").cumcount() + 1
     m = got.merge(want, on=["g", "asset_id"], suffixes=("", "_want"))
     assert len(m) == n and (m["rn"] == m["rn_want"]).all()
+
+
+def test_sides_with_a_row_per_item_are_joined_by_key(spark):
+    from latticeguard.operators.planner import score_row_number, weighted_plan
+
+    rows = [(i, 0.5 if i % 3 else i / 100, "HIGH" if i % 2 else "LOW", 0, 1, 0) for i in range(90)]
+    items = spark.createDataFrame(rows, "asset_id long, risk_score double, migration_complexity string, financial_data int, customer_data int, regulated_system int")
+    levels = spark.createDataFrame([(i, i % 2) for i in range(90)], "asset_id long, level int")
+    ranked = score_row_number(items, ["migration_complexity"], "risk_score", "asset_id")
+    assert "strategy=merge" in ranked._jdf.queryExecution().optimizedPlan().toString()
+    want = {}
+    for kind in ("HIGH", "LOW"):
+        mine = sorted((r for r in rows if r[2] == kind), key=lambda r: (-r[1], r[0]))
+        want |= {r[0]: i + 1 for i, r in enumerate(mine)}
+    assert {r["asset_id"]: r["rn"] for r in ranked.collect()} == want
+    plan = weighted_plan(items, levels, cap=5)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") == 2 and plan.count() == 90
