@@ -1,4 +1,5 @@
 """Input checks, imputation, JSON instances, asset resolution, upsert, exports."""
+import datetime
 import json
 import uuid
 
@@ -133,3 +134,26 @@ def test_created_assets_get_new_ids_once(spark):
     assert sorted((r["hostname"], r["asset_id"] > 9) for r in got.collect()) == [("a", False), ("b", False), ("c", True), ("d", True)]
     assert sorted(r["asset_id"] for r in got.collect()) == [7, 9, 10, 11]
     assert [r["hostname"] for r in reports.lookup_asset(got, 7).collect()] == ["a"]
+
+
+def test_lines_are_shuffled_once_for_dedupe_and_orders(spark):
+    import re
+    from types import SimpleNamespace
+
+    from latticeguard.sources import inventory as src
+
+    line = "l_orderkey long, l_linenumber int, l_shipdate date, l_partkey long, l_suppkey long, l_extendedprice double, l_returnflag string"
+    day = [datetime.date(2000, 1, d) for d in range(1, 4)]
+    lines = [(1, 1, day[0], 9, 9, 9.0, "R"), (1, 1, day[1], 3, 1, 1.0, "N"), (1, 1, day[1], 3, 1, 1.0, None), (1, 2, None, 4, 1, 1.0, "A"),
+             (1, None, day[0], 6, 2, 1.0, "A"), (2, 1, day[2], None, 2, 1.0, "A"), (2, 1, day[2], 5, None, 1.0, "R"),
+             (None, 1, day[0], 1, 1, 1.0, "A"), (7, 1, day[0], 1, 1, 1.0, "A")]
+    orders = [(1, 10, day[0]), (1, 11, day[0]), (2, 20, None), (None, 30, day[0]), (3, 40, day[0])]
+    t = SimpleNamespace(spark=spark, lineitem=spark.createDataFrame(lines * 3, line),
+                        orders=spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date"))
+    found = src.findings(t)
+    got = sorted((r["finding_id"], r["asset_id"], r["algorithm"], r["source"], str(r["discovered_at"])) for r in found.collect())
+    first = [("1-1", "ECDSA", "repo_scan", "2000-01-02"), ("1-2", "EdDSA", "tls_scan", "None"), ("1", "ML-KEM", "tls_scan", "2000-01-01")]
+    assert got == sorted([(f[0], a, *f[1:]) for f in first for a in (10, 11)] + [("2-1", 20, "ECDH", "tls_scan", "2000-01-03")])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    shuffles = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert {re.sub(r"#\d+L?", "", s) for s in shuffles} == {"l_orderkey", "o_orderkey"}
