@@ -1,7 +1,7 @@
 """Dependency-aware migration planning.
 
-* levels (D4): peeling. A node whose dependencies all have a level gets the next one; each
-  round reads only the edges that are still open, so the work shrinks with the rounds.
+* levels (D4): peeling. A node whose dependencies all have a level gets the next one; a round
+  shuffles the edge table once, which is halved as its edges close, and else what the round closes.
   The graph's depth is not bounded, and a cycle shows as open edges without a ready node;
 * phases (D3): inside each level, HIGH-complexity items are capped per phase;
   every rank is an exact bucketed row number (no unpartitioned window over rows);
@@ -87,10 +87,12 @@ def dependency_levels(assets: DataFrame, edges: DataFrame) -> DataFrame:
     """(asset_id, level) by longest path; edges are (src depends on dst), both among the assets.
 
     Round i closes the edges into the nodes of level i - 1; a node whose last open edge
-    closes has level i. The rounds equal the graph's depth. Open edges that no round can
-    close lie on or behind a cycle: an error. Each round's open edges and levels are
-    written to the shared checkpoint folder: plans stay flat however deep the graph is, and
-    a lost executor costs a part of one round.
+    closes has level i. The rounds equal the graph's depth. An edge knows how many its source
+    has, so a round passes on only the edges that it closes and the counts of nodes that have
+    some closed edges but not all; the edge table is written anew, without the edges of nodes
+    that have a level, only when these are half of it. Open edges that no round can close lie
+    on or behind a cycle: an error. Counts and levels are written to the shared checkpoint
+    folder: plans stay flat however deep the graph is, and a lost executor costs a part of one round.
     """
     spark = assets.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/levels-{uuid.uuid4().hex}"
@@ -100,22 +102,42 @@ def dependency_levels(assets: DataFrame, edges: DataFrame) -> DataFrame:
         nodes.select("asset_id").write.parquet(f"{path}/level={level}")
         return spark.read.schema(f"asset_id {kind}").parquet(f"{path}/level={level}")
 
-    open_edges = materialize(edges.select("src", "dst").distinct(), "level-edges")
+    def all_found() -> DataFrame:
+        return spark.read.schema(f"asset_id {kind}, level int").option("basePath", path).parquet(path)
+
+    def unfinished() -> DataFrame:
+        done = all_found().where("level > 0").select(F.col("asset_id").alias("_done"))
+        return open_edges.join(_by_key(done), F.col("src").eqNullSafe(F.col("_done")), "left_anti")
+
+    pairs = edges.select("src", "dst").distinct()
+    sizes = pairs.groupBy(F.col("src").alias("_src")).agg(F.count(F.lit(1)).alias("n"))
+    open_edges = materialize(pairs.join(_by_key(sizes), F.col("src").eqNullSafe(F.col("_src"))).select("src", "dst", "n"),
+                             "level-edges")
+    n_open, n_closed = open_edges.count(), 0
     fresh = found(assets.join(_by_key(open_edges.select(F.col("src").alias("asset_id"))), "asset_id", "left_anti"), 0)
-    level = 0
-    while not fresh.isEmpty():
-        closed = fresh.select(F.col("asset_id").alias("dst"), F.lit(True).alias("closed"))
-        marked = open_edges.join(_by_key(closed), "dst", "left")
+    level, touched = 0, None
+    any_fresh = not fresh.isEmpty()
+    while any_fresh:
+        closed = open_edges.join(_by_key(fresh.select(F.col("asset_id").alias("dst"))), "dst", "left_semi")
+        counts = closed.groupBy("src", "n").agg(F.count(F.lit(1)).alias("c"))
+        if touched is not None:
+            counts = counts.unionByName(touched.where("c < n")).groupBy("src", "n").agg(F.sum("c").alias("c"))
+        counts = materialize(counts, "level-counts")
+        if touched is not None:
+            release(touched)
+        touched = counts
         level += 1
-        fresh = found(marked.groupBy(F.col("src").alias("asset_id")).agg(F.count_if(F.col("closed").isNull()).alias("n"))
-                      .where("n = 0"), level)
-        still_open = materialize(marked.where("closed IS NULL").select("src", "dst"), "level-edges")
-        release(open_edges)
-        open_edges = still_open
-    left = open_edges.select("src").distinct().count()
-    if left:
+        fresh = found(touched.where("c = n").select(F.col("src").alias("asset_id")), level)
+        n_fresh, n_done = touched.where("c = n").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        any_fresh, n_closed = n_fresh > 0, n_closed + n_done
+        if n_open > n_closed >= n_open / 2:
+            still_open = materialize(unfinished(), "level-edges")
+            release(open_edges)
+            open_edges, n_open, n_closed = still_open, n_open - n_closed, 0
+    if n_open > n_closed:
+        left = unfinished().select("src").distinct().count()
         raise ValueError(f"dependency graph has a cycle: {left} nodes on or behind it have no level")
-    return spark.read.schema(f"asset_id {kind}, level int").option("basePath", path).parquet(path)
+    return all_found()
 
 
 def criticality_score(c: Column) -> Column:

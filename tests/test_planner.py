@@ -33,6 +33,19 @@ def test_a_deep_chain_is_no_cycle(spark):
     assert got == {i: i for i in range(n + 1)}
 
 
+def test_the_edge_table_is_written_again_only_when_half_of_it_is_closed(spark, monkeypatch):
+    from latticeguard.operators import planner
+
+    written = []
+    monkeypatch.setattr(planner, "materialize", lambda df, name, real=planner.materialize: written.append(name) or real(df, name))
+    n = 24
+    assets = spark.createDataFrame([(i,) for i in range(n + 1)] + [(0,), (5,), (None,)], "asset_id long")
+    edges = spark.createDataFrame([(i + 1, i) for i in range(n)] * 2 + [(n, 0), (n, 7), (9, 1)], "src long, dst long")
+    got = sorted((r["level"], r["asset_id"]) for r in dependency_levels(assets, edges).collect() if r["asset_id"] is not None)
+    assert got == sorted([(i, i) for i in range(n + 1)] + [(0, 0)])
+    assert written.count("level-edges") <= 6  # a chain of n closes one edge a round
+
+
 def test_offsets_over_more_ranges_than_one(spark):
     from latticeguard.functions.quantiles import rows_before
 
