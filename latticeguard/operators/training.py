@@ -46,17 +46,41 @@ def training_frame(labelled: DataFrame, key: str = "asset_id", medians: dict[str
     return enc.drop("encode_error")
 
 
-def _sized(df: DataFrame, rows_per_partition: int = 200_000, least: int = 25_000) -> DataFrame:
+def _sized(df: DataFrame, rows_per_partition: int = 200_000, least: int = 25_000, rows: int | None = None,
+           spread: int | None = None) -> DataFrame:
     """Partition count proportional to the data: tree learners run one job per level,
     so tiny inputs spread over many partitions only add task overhead. Larger ones get
-    a partition for every core, as long as that leaves `least` rows to each."""
-    n = df.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    a partition for every core (or `spread` of them), as long as that leaves `least` rows to each."""
+    n = df.count() if rows is None else rows
+    cores = spread or df.sparkSession.sparkContext.defaultParallelism
     target = max(1, -(-n // rows_per_partition), min(cores, n // least))
     current = df.rdd.getNumPartitions()
     return df.coalesce(target) if target < current else df.repartition(target)
 
 
+#: Bytes of a row in a fit's caches (its binned point, two or three predictions with errors, a residual) and in the shared table.
+FIT_ROW, SHARED_ROW = 300, 200
+
+
+def _storage_bytes(spark: SparkSession) -> int:
+    """Memory that the executors have for cached blocks; the driver's counts only if there is no other."""
+    sc = spark.sparkContext._jsc.sc()
+    own = sc.env().blockManager().blockManagerId()
+    held, each = {}, sc.getExecutorMemoryStatus().iterator()
+    while each.hasNext():
+        entry = each.next()
+        held[entry._1()] = entry._2()._1()
+    others = [b for name, b in held.items() if name != f"{own.host()}:{own.port()}"]
+    return sum(others or held.values())
+
+
+def _fits_at_once(spark: SparkSession, rows: int, folds: int, most: int) -> int:
+    """As many concurrent fits as the executors hold in memory, at least one: a fit reads its caches once per level
+    of each tree, so blocks that don't fit would be written, dropped and read again thousands of times."""
+    free = 0.8 * _storage_bytes(spark) - SHARED_ROW * rows
+    return int(max(1, min(most, free // max(1, FIT_ROW * rows * (folds - 1) // folds))))
+
+
 def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_GRID,
                    parallelism: int = 20) -> TrainResult:
     """M2-M4: CV over the explicit 4-config list; best = min mean MAE (ties by grid order).
@@ -66,7 +90,8 @@ def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_
     threads, so the cluster runs up to `parallelism` of them at once (a boosted-tree fit
     is a chain of small jobs), and a fold's configurations of one depth and rate are read
     off one fit with the most trees, in one pass over the fold. Each fit caches its own
-    copy of the training set: set `parallelism` by what the executors' memory holds.
+    copy of the training set, so only as many run at once as the executors' memory holds;
+    a fit has its share of the cores in partitions, since tasks of the others fill the rest.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -75,12 +100,15 @@ def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_
     from .splits import kfold
 
     spark = train.sparkSession
-    data = kfold(train, k=folds, seed=seed).withColumn("fold", F.col("fold").cast("int"))
-    assembler = VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features")
-    data = _sized(assembler.transform(data).select("features", "risk_score", "fold")).cache()
     chains: dict[tuple[int, float], list[int]] = {}
     for gi, (_, d, lr) in enumerate(grid):
         chains.setdefault((d, lr), []).append(gi)
+    n = train.count()
+    at_once = _fits_at_once(spark, n, folds, min(parallelism, folds * len(chains)))
+    data = kfold(train, k=folds, seed=seed).withColumn("fold", F.col("fold").cast("int"))
+    assembler = VectorAssembler(inputCols=FEATURE_NAMES, outputCol="features")
+    data = _sized(assembler.transform(data).select("features", "risk_score", "fold"), rows_per_partition=500_000, rows=n,
+                  spread=-(-2 * spark.sparkContext.defaultParallelism // at_once)).cache()
 
     def run(job: tuple[int, tuple[int, float]]) -> tuple[int, dict[int, float]]:
         f, (d, lr) = job
@@ -94,7 +122,7 @@ def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_
     jobs = sorted(((f, c) for f in range(folds) for c in chains),
                   key=lambda job: -max(grid[gi][0] for gi in chains[job[1]]) * job[1][0])
     metrics = np.zeros((folds, len(grid)))
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as pool:
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
         for f, found in pool.map(run, jobs):
             for gi, m in found.items():
                 metrics[f, gi] = m
@@ -108,7 +136,7 @@ def cross_validate(train: DataFrame, seed: int = 42, folds: int = 5, grid=PARAM_
     res = spark.createDataFrame(rows, schema)
     best_row = min(rows, key=lambda r: (r[4], r[0]))
     best = (best_row[1], best_row[2], best_row[3])
-    model = fit(_sized(train), best, seed)
+    model = fit(_sized(train, rows=n), best, seed)
     return TrainResult(model=model, cv_results=res, best=best)
 
 

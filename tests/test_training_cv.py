@@ -67,3 +67,44 @@ def test_a_fit_has_a_partition_for_every_core_if_it_has_the_rows(spark):
     assert _sized(spark.range(0, 24_999, 1, 6)).rdd.getNumPartitions() == 1
     assert _sized(spark.range(0, 100_000, 1, 1)).rdd.getNumPartitions() == min(cores, 4)  # before: 1
     assert _sized(spark.range(0, 100_000, 1, 1), rows_per_partition=10_000).rdd.getNumPartitions() == 10
+
+
+def test_only_as_many_fits_run_at_once_as_memory_holds(spark, monkeypatch):
+    import threading
+
+    from pyspark.ml.regression import GBTRegressor
+
+    from latticeguard.operators import training as trn
+    from latticeguard.schemas import FEATURE_NAMES
+
+    rows = [(i, *((i * (2 * j + 3)) % (5 + j) * 1.0 for j in range(len(FEATURE_NAMES))), (i * 37 % 101) / 101) for i in range(200)]
+    train = spark.createDataFrame(rows, ["asset_id", *FEATURE_NAMES, "risk_score"])
+    lock, plain, now, most = threading.Lock(), GBTRegressor.fit, [0], [0]
+
+    def counted(self, df):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        try:
+            return plain(self, df)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(GBTRegressor, "fit", counted)
+    grid = ((2, 2, 0.1), (2, 2, 0.2))
+    free = trn.cross_validate(train, grid=grid, folds=3)
+    assert most[0] > 1
+    most[0] = 0
+    monkeypatch.setattr(trn, "_storage_bytes", lambda _: 1, raising=False)
+    bounded = trn.cross_validate(train, grid=grid, folds=3)
+    assert most[0] == 1  # before: all six
+    assert bounded.cv_results.collect() == free.cv_results.collect() and bounded.best == free.best
+
+
+def test_fits_share_the_cores_and_the_memory(spark):
+    from latticeguard.operators import training as trn
+
+    assert trn._storage_bytes(spark) > 1e8
+    assert trn._fits_at_once(spark, 1_000, 5, 20) == 20 and trn._fits_at_once(spark, 10**12, 5, 20) == 1
+    assert trn._sized(spark.range(0, 100_000, 1, 6), spread=2).rdd.getNumPartitions() == 2
