@@ -3,17 +3,19 @@
 The corpus is tokenized once, when the index is written; any number of queries is answered from it.
 A posting's impact is its term count over its chunk's norm, so the cosine of a query and a chunk is
 the sum, over shared terms, of the query's weight times the impact. Postings are kept by term and
-layer, a quarter octave of impact; the table of cells (term, layer) holds how many postings a cell
-has and its largest impact.
+layer, a quarter octave of impact: a block of chunks writes one list per cell (term, layer), with the
+number of its postings and its largest impact. A search meets lists, not postings.
 
 A search takes two steps, all joins on terms or chunks. First the cells of the largest possible
 contribution give some chunks per query; the k-th best of their exact scores is a floor. Then terms
 whose largest contributions together stay under a share of the floor are set aside: a chunk with no
-other term can't be among the k best. The other terms' postings are added up, and a chunk stays a candidate
-if its sum and what the terms set aside could add reach the floor. Candidates are scored exactly.
+other term can't be among the k best. The other terms' postings are added up, block by block, and a chunk stays
+a candidate if its sum and what the terms set aside could add reach the floor. Candidates are scored exactly, from
+the counts in the lists of all terms of their query.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +35,10 @@ SEED_CELL = 65_536
 #: Share of the floor that the terms set aside may reach together: more reads fewer postings, but scores more chunks
 #: (sf0.1, 200 queries: 675,254 pairs to score at a quarter, 25,178 at 0.02, with as long a sum before).
 ASIDE = 0.02
+#: Chunks whose postings make one block: a search sums up a block in memory.
+BLOCK = 4096
+#: Rows (query, term) up to which the queries go to every task; more of them meet postings and chunks' terms by joins.
+TERMS_TO_TASKS = 1_000_000
 #: Scores are rounded to 9 digits before they are ranked; bounds leave more room than that.
 _ROOM = 1e-8
 
@@ -50,14 +56,125 @@ def _term_counts(tokens: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts), held)
 
 
+_POSTING = pa.struct([("uid", pa.int64()), ("impact", pa.float64()), ("c", pa.int32())])
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (uid, norm, terms), a block at a time, as one list per cell: in the order of term and layer, a list in that of uid."""
+    for batch in (whole.slice(at, BLOCK) for whole in batches for at in range(0, whole.num_rows, BLOCK)):
+        terms = batch.column("terms")
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False), np.int64)
+        found = terms.flatten()
+        if not len(found):
+            continue
+        words = found.field("term").dictionary_encode(null_encoding="encode")
+        ranks = np.empty(len(words.dictionary), np.int64)
+        ranks[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(len(ranks))
+        owner = np.repeat(np.arange(len(terms)), lengths)
+        counts = found.field("c").to_numpy()
+        impact = counts / batch.column("norm").to_numpy(zero_copy_only=False)[owner]
+        layer = np.floor(-LAYERS * np.log2(impact) + 1e-9).astype(np.int64)
+        word = words.indices.to_numpy(zero_copy_only=False)
+        uid = batch.column("uid").to_numpy()[owner]
+        order = np.lexsort((uid, layer, ranks[word]))
+        word, layer, impact = word[order], layer[order], impact[order]
+        starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (layer[1:] != layer[:-1]))))
+        held = pa.StructArray.from_arrays([pa.array(uid[order]), pa.array(impact), pa.array(counts[order], pa.int32())],
+                                          fields=list(_POSTING))
+        ends = np.append(starts, len(word)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(starts), uid.min())), words.dictionary.take(pa.array(word[starts])), pa.array(layer[starts], pa.int32()),
+             pa.array(np.diff(ends).astype(np.int64)), pa.array(np.maximum.reduceat(impact, starts)),
+             pa.ListArray.from_arrays(pa.array(ends), held)],
+            names=["block", "term", "layer", "n", "top", "held"])
+
+
+def _met(rows: list, limits: list):
+    """A function from a block's lists (term, held) to its candidates (query_id, uid, dot), for queries given as rows
+    (query_id, term, w, qc, aside) and their limits (query_id, floor, rest)."""
+    words = sorted({r["term"] for r in rows})
+    place = {w: i for i, w in enumerate(words)}
+    of = {r["query_id"]: ([], r["floor"] - r["rest"] - _ROOM) for r in limits}
+    for r in rows:
+        of[r["query_id"]][0].append((place[r["term"]], r["w"], r["qc"], r["aside"]))
+
+    def candidates(table: pa.Table) -> pa.Table:
+        term = pc.index_in(table.column("term").combine_chunks(), pa.array(words, pa.string())).to_numpy(zero_copy_only=False)
+        held = table.column("held").combine_chunks()
+        lengths = np.asarray(pc.list_value_length(held).to_numpy(zero_copy_only=False), np.int64)
+        found = held.flatten()
+        each = np.repeat(term, lengths)
+        order = np.argsort(each, kind="stable")
+        uids, local = np.unique(found.field("uid").to_numpy()[order], return_inverse=True)
+        impact, counts = found.field("impact").to_numpy()[order], found.field("c").to_numpy()[order].astype(np.int64)
+        bounds = np.searchsorted(each[order], np.arange(len(words) + 1)).tolist()
+        out = []
+        for query, (mine, least) in of.items():
+            part = np.zeros(len(uids))  # a term has one posting of a chunk
+            for t, w, _, aside in mine:
+                if not aside and bounds[t] < bounds[t + 1]:
+                    at = slice(bounds[t], bounds[t + 1])
+                    part[local[at]] += w * impact[at]
+            hits = np.flatnonzero((part > 0) & (part >= least))
+            if hits.size:
+                dot = np.zeros(len(uids), np.int64)
+                for t, _, qc, _ in mine:
+                    at = slice(bounds[t], bounds[t + 1])
+                    dot[local[at]] += qc * counts[at]
+                out.append((np.full(hits.size, query, np.int64), uids[hits], dot[hits]))
+        columns = zip(*out, strict=True) if out else ([], [], [])
+        return pa.table([pa.array(np.concatenate([np.empty(0, np.int64), *c])) for c in columns], names=["query_id", "uid", "dot"])
+
+    return candidates
+
+
+def _dots(rows: list):
+    """A column function (query_id, terms) -> dot of the query's and the chunk's counts, for queries given as rows
+    (query_id, term, qc): a pair costs its chunk's terms, however long the query is."""
+    words = sorted({r["term"] for r in rows})
+    place = {w: i for i, w in enumerate(words)}
+    qids = np.unique(np.array([r["query_id"] for r in rows], np.int64))
+    cells = np.searchsorted(qids, np.array([r["query_id"] for r in rows], np.int64)) * len(words) + np.array(
+        [place[r["term"]] for r in rows], np.int64)
+    order = np.argsort(cells)
+    cells, counts = cells[order], np.array([r["qc"] for r in rows], np.int64)[order]
+
+    @F.arrow_udf(T.LongType())
+    def dots(query_id: pa.Array, terms: pa.Array) -> pa.Array:
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False), np.int64)
+        found = terms.flatten()
+        if not len(found):
+            return pa.array(np.zeros(len(terms), np.int64))
+        word = pc.fill_null(pc.index_in(found.field("term"), pa.array(words, pa.string())), -1).to_numpy(zero_copy_only=False)
+        known = np.flatnonzero(word >= 0)
+        pair = np.repeat(np.arange(len(terms)), lengths)[known]
+        wanted = np.searchsorted(qids, query_id.to_numpy())[pair] * len(words) + word[known]
+        at = np.minimum(np.searchsorted(cells, wanted), len(cells) - 1)
+        hit = cells[at] == wanted
+        out = np.zeros(len(terms), np.int64)
+        np.add.at(out, pair[hit], counts[at[hit]] * found.field("c").to_numpy()[known[hit]])
+        return pa.array(out)
+
+    return dots
+
+
+def _few(rows: DataFrame) -> list:
+    """The rows, if there are at most TERMS_TO_TASKS; none otherwise."""
+    found = rows.limit(TERMS_TO_TASKS + 1).collect()
+    return found if len(found) <= TERMS_TO_TASKS else []
+
+
 @dataclass
 class PassageIndex:
-    """chunks: uid, doc_id, chunk_no, source, norm, terms; postings: term, layer, uid, impact; cells: term, layer,
-    n, top."""
+    """chunks: uid, doc_id, chunk_no, source, norm, terms; lists: block, term, layer, n, top, held (uid, impact, c)."""
 
     chunks: DataFrame
-    postings: DataFrame
-    cells: DataFrame
+    lists: DataFrame
+
+    @property
+    def postings(self) -> DataFrame:
+        """(term, layer, uid, impact, c), one row per posting."""
+        return self.lists.select("term", "layer", F.inline("held"))
 
     @classmethod
     def build(cls, chunk_emb: DataFrame, root: str) -> PassageIndex:
@@ -69,58 +186,69 @@ class PassageIndex:
         held = rows.withColumn("terms", _term_counts("tokens")).drop("tokens")
         squares = F.aggregate("terms", F.lit(0).cast("long"), lambda total, t: total + t["c"] * t["c"])
         held.withColumn("norm", F.sqrt(squares.cast("double"))).write.parquet(f"{root}/chunks")
-        # the ids hold from here on, as they are written
-        each = spark.read.parquet(f"{root}/chunks").select("uid", "norm", F.explode("terms").alias("t")).select(
-            "t.term", "uid", (F.col("t.c") / F.col("norm")).alias("impact"))
-        layer = F.floor(-LAYERS * F.log2("impact") + 1e-9).cast("int")
-        # a chunk's postings stay where the chunk is read, sorted there: a search's sums for it come from one task
-        each.withColumn("layer", layer).sortWithinPartitions("term", "layer", "uid").write.parquet(f"{root}/postings")
-        spark.read.parquet(f"{root}/postings").groupBy("term", "layer").agg(
-            F.count(F.lit(1)).alias("n"), F.max("impact").alias("top")).write.parquet(f"{root}/cells")
+        # the ids hold from here on, as they are written; a chunk's postings stay where the chunk is read
+        spark.read.parquet(f"{root}/chunks").select("uid", "norm", "terms").mapInArrow(
+            _lists, "block long, term string, layer int, n long, top double, held array<struct<uid: long, impact: double, c: int>>"
+        ).write.parquet(f"{root}/lists")
         return cls.open(spark, root)
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> PassageIndex:
-        return cls(*(spark.read.parquet(f"{root}/{t}") for t in ("chunks", "postings", "cells")))
+        return cls(*(spark.read.parquet(f"{root}/{t}") for t in ("chunks", "lists")))
 
     # --- searching ------------------------------------------------------------------
 
     def _scored(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
-        """(query_id, uid, doc_id, chunk_no, source, score) of pairs (query_id, uid), from whole chunks: their terms
-        meet the query's by a hash join, so a pair costs its chunk's terms, however long the query is."""
+        """(query_id, uid, doc_id, chunk_no, source, score) of pairs (query_id, uid), by their dot if they have one, or
+        from whole chunks: a pair costs its chunk's terms, however long the query is."""
         held = ("query_id", "uid", "doc_id", "chunk_no", "source", "norm")
-        found = pairs.join(self.chunks, "uid").select(*held, F.explode("terms").alias("t")).select(*held, "t.term", "t.c")
-        dots = found.join(queries, ["query_id", "term"]).groupBy(*held, "qnorm").agg(F.sum(F.col("c") * F.col("qc")).alias("dot"))
+        found = pairs.join(self.chunks, "uid")
+        norms = queries.groupBy("query_id").agg(F.max("qnorm").alias("qnorm"))
+        if "dot" in pairs.columns:
+            dots = found.select(*held, "dot").join(norms, "query_id")
+        elif rows := _few(queries.select("query_id", "term", "qc")):
+            dots = found.select(*held, _dots(rows)("query_id", "terms").alias("dot")).join(norms, "query_id")
+        else:
+            found = found.select(*held, F.explode("terms").alias("t")).select(*held, "t.term", "t.c")
+            dots = found.join(queries, ["query_id", "term"]).groupBy(*held, "qnorm").agg(F.sum(F.col("c") * F.col("qc")).alias("dot"))
         score = F.round(F.col("dot").cast("double") / (F.col("norm") * F.col("qnorm")), 9)
-        return dots.select("query_id", "uid", "doc_id", "chunk_no", "source", score.alias("score")).where("score > 0")
+        return dots.where("dot > 0").select("query_id", "uid", "doc_id", "chunk_no", "source", score.alias("score")).where("score > 0")
 
     def candidates(self, terms: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-        """(pairs (query_id, uid) that hold every k best chunk, queries (query_id, term, qc, qnorm)); both are written."""
+        """(pairs (query_id, uid) that hold every k best chunk, queries (query_id, term, qc, qnorm)); both are written.
+        Pairs also have their dot, unless the queries' terms are too many for every task."""
         norms = terms.groupBy("query_id").agg(F.sqrt(F.sum(F.col("c") * F.col("c")).cast("double")).alias("qnorm"))
         queries = materialize(terms.join(norms, "query_id").select("query_id", "term", F.col("c").alias("qc"), "qnorm"), "search-queries")
         cells = materialize(
             queries.withColumn("w", F.col("qc") / F.col("qnorm"))
-            .join(self.cells, "term").select("query_id", "term", "w", "layer", "n", (F.col("w") * F.col("top")).alias("bound")),
-            "search-cells")
+            .join(self.lists.select("term", "layer", "n", "top"), "term").groupBy("query_id", "term", "qc", "w", "layer").agg(
+                F.sum("n").alias("n"), (F.col("w") * F.max("top")).alias("bound")), "search-cells")
         order = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "term", "layer")
         first = cells.where(F.col("n") <= SEED_CELL).withColumn("before", F.coalesce(
             F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("before") < SEEDS * k)
         # of the last cell, which may be large, only as many postings as are still wanted: any floor is a valid one
         taken = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "term", "layer", "uid")
-        seeds = materialize(first.select("query_id", "term", "layer", "bound").join(self.postings, ["term", "layer"]).withColumn(
+        lists = self.lists.select("term", "layer", F.slice("held.uid", 1, SEEDS * k).alias("uids"))
+        seeds = materialize(first.select("query_id", "term", "layer", "bound").join(lists, ["term", "layer"]).select(
+            "query_id", "term", "layer", "bound", F.explode("uids").alias("uid")).withColumn(
             "i", F.row_number().over(taken)).where(F.col("i") <= SEEDS * k).select("query_id", "uid").distinct(), "search-seeds")
         best = Window.partitionBy("query_id").orderBy(F.col("score").desc())
         floor = self._scored(seeds, queries).withColumn("i", F.row_number().over(best)).where(F.col("i") == k).select(
             "query_id", F.col("score").alias("floor"))
         rising = Window.partitionBy("query_id").orderBy("ub", "term").rowsBetween(Window.unboundedPreceding, 0)
-        most = cells.groupBy("query_id", "term", "w").agg(F.max("bound").alias("ub")).join(floor, "query_id", "left").withColumn(
+        most = cells.groupBy("query_id", "term", "w", "qc").agg(F.max("bound").alias("ub")).join(floor, "query_id", "left").withColumn(
             "floor", F.coalesce("floor", F.lit(0.0))).withColumn("upto", F.sum("ub").over(rising))
         most = materialize(most.withColumn("aside", F.col("upto") < ASIDE * F.col("floor") - _ROOM), "search-terms")
         limits = most.groupBy("query_id").agg(F.max("floor").alias("floor"), F.sum(F.when(F.col("aside"), F.col("ub")).otherwise(0.0)).alias("rest"))
-        sums = most.where("NOT aside").select("query_id", "term", "w").join(self.postings, "term").groupBy("query_id", "uid").agg(
-            F.sum(F.col("w") * F.col("impact")).alias("part"))
-        pairs = materialize(sums.join(limits, "query_id").where(F.col("part") + F.col("rest") >= F.col("floor") - _ROOM).select(
-            "query_id", "uid"), "search-pairs")
+        if rows := _few(most.select("query_id", "term", "w", "qc", "aside")):
+            # a block is one group, so its sums are whole where they are made
+            lists = self.lists.select("block", "term", "held").join(most.select("term").distinct(), "term", "left_semi")
+            found = lists.groupBy("block").applyInArrow(_met(rows, limits.collect()), "query_id long, uid long, dot long")
+        else:
+            sums = most.where("NOT aside").select("query_id", "term", "w").join(self.lists.select("term", "held"), "term").select(
+                "query_id", "w", F.inline("held")).groupBy("query_id", "uid").agg(F.sum(F.col("w") * F.col("impact")).alias("part"))
+            found = sums.join(limits, "query_id").where(F.col("part") + F.col("rest") >= F.col("floor") - _ROOM).select("query_id", "uid")
+        pairs = materialize(found, "search-pairs")
         for used in (cells, seeds, most):
             release(used)
         return pairs, queries

@@ -73,6 +73,31 @@ def test_floor_scores_few_chunks_of_a_large_cell_and_postings_stay(spark, monkey
     assert got.count() == 3
 
 
+def test_a_block_writes_one_list_a_cell_and_a_search_sums_it_whole(spark, monkeypatch):
+    chunks, terms = passages(spark, n=300, seed=3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        index = pi.PassageIndex.build(chunks, root(spark))
+        lists = index.lists.collect()
+        answers = []
+        for most in (pi.TERMS_TO_TASKS, 0):  # the queries' terms in every task, or joined
+            monkeypatch.setattr(pi, "TERMS_TO_TASKS", most, raising=False)
+            assert ("dot" in index.candidates(terms, 3)[0].columns) == (most > 0)
+            answers.append(sorted(map(tuple, index.search(terms, 3).collect()), key=str))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({r["block"] for r in lists}) >= 300 // 40
+    assert len({(r["block"], r["term"], r["layer"]) for r in lists}) == len(lists)
+    for r in lists:
+        uids, impacts = [h["uid"] for h in r["held"]], [h["impact"] for h in r["held"]]
+        assert uids == sorted(set(uids)) and (r["n"], r["top"]) == (len(uids), max(impacts))
+    block_of = {(h["uid"], r["block"]) for r in lists for h in r["held"]}
+    assert len({u for u, _ in block_of}) == len(block_of)
+    held = {(r["uid"], t["term"], t["c"]) for r in index.chunks.collect() for t in r["terms"]}
+    assert {(h["uid"], r["term"], h["c"]) for r in lists for h in r["held"]} == held
+    assert answers[0] == answers[1] == sorted(map(tuple, rt.retrieve(chunks, terms, 3).collect()), key=str)
+
+
 # --- trigrams -----------------------------------------------------------------------
 
 
