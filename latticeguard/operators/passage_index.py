@@ -16,6 +16,7 @@ the counts in the lists of all terms of their query.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +36,9 @@ SEED_CELL = 65_536
 #: Share of the floor that the terms set aside may reach together: more reads fewer postings, but scores more chunks
 #: (sf0.1, 200 queries: 675,254 pairs to score at a quarter, 25,178 at 0.02, with as long a sum before).
 ASIDE = 0.02
-#: Chunks whose postings make one block: a search sums up a block in memory.
-BLOCK = 4096
+#: Chunks whose postings make one block, and most chunks in an Arrow batch while an index is written.
+BLOCK = 2048
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows (query, term) up to which the queries go to every task; more of them meet postings and chunks' terms by joins.
 TERMS_TO_TASKS = 1_000_000
 #: Scores are rounded to 9 digits before they are ranked; bounds leave more room than that.
@@ -61,32 +63,38 @@ _POSTING = pa.struct([("uid", pa.int64()), ("impact", pa.float64()), ("c", pa.in
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (uid, norm, terms), a block at a time, as one list per cell: in the order of term and layer, a list in that of uid."""
-    for batch in (whole.slice(at, BLOCK) for whole in batches for at in range(0, whole.num_rows, BLOCK)):
-        terms = batch.column("terms")
-        lengths = np.asarray(pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False), np.int64)
-        found = terms.flatten()
-        if not len(found):
-            continue
-        words = found.field("term").dictionary_encode(null_encoding="encode")
-        ranks = np.empty(len(words.dictionary), np.int64)
-        ranks[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(len(ranks))
-        owner = np.repeat(np.arange(len(terms)), lengths)
-        counts = found.field("c").to_numpy()
-        impact = counts / batch.column("norm").to_numpy(zero_copy_only=False)[owner]
-        layer = np.floor(-LAYERS * np.log2(impact) + 1e-9).astype(np.int64)
-        word = words.indices.to_numpy(zero_copy_only=False)
-        uid = batch.column("uid").to_numpy()[owner]
-        order = np.lexsort((uid, layer, ranks[word]))
-        word, layer, impact = word[order], layer[order], impact[order]
-        starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (layer[1:] != layer[:-1]))))
-        held = pa.StructArray.from_arrays([pa.array(uid[order]), pa.array(impact), pa.array(counts[order], pa.int32())],
-                                          fields=list(_POSTING))
-        ends = np.append(starts, len(word)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(starts), uid.min())), words.dictionary.take(pa.array(word[starts])), pa.array(layer[starts], pa.int32()),
-             pa.array(np.diff(ends).astype(np.int64)), pa.array(np.maximum.reduceat(impact, starts)),
-             pa.ListArray.from_arrays(pa.array(ends), held)],
-            names=["block", "term", "layer", "n", "top", "held"])
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            if (made := _block(batch.slice(at, BLOCK))) is not None:
+                yield made
+
+
+def _block(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    terms = batch.column("terms")
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False), np.int64)
+    found = terms.flatten()
+    if not len(found):
+        return None
+    words = found.field("term").dictionary_encode(null_encoding="encode")
+    ranks = np.empty(len(words.dictionary), np.int64)
+    ranks[pc.sort_indices(words.dictionary).to_numpy()] = np.arange(len(ranks))
+    owner = np.repeat(np.arange(len(terms)), lengths)
+    counts = found.field("c").to_numpy()
+    impact = counts / batch.column("norm").to_numpy(zero_copy_only=False)[owner]
+    layer = np.floor(-LAYERS * np.log2(impact) + 1e-9).astype(np.int64)
+    word = words.indices.to_numpy(zero_copy_only=False)
+    uid = batch.column("uid").to_numpy()[owner]
+    order = np.lexsort((uid, layer, ranks[word]))
+    word, layer, impact = word[order], layer[order], impact[order]
+    starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (layer[1:] != layer[:-1]))))
+    held = pa.StructArray.from_arrays([pa.array(uid[order]), pa.array(impact), pa.array(counts[order], pa.int32())],
+                                      fields=list(_POSTING))
+    ends = np.append(starts, len(word)).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(starts), uid.min())), words.dictionary.take(pa.array(word[starts])), pa.array(layer[starts], pa.int32()),
+         pa.array(np.diff(ends).astype(np.int64)), pa.array(np.maximum.reduceat(impact, starts)),
+         pa.ListArray.from_arrays(pa.array(ends), held)],
+        names=["block", "term", "layer", "n", "top", "held"])
 
 
 def _met(rows: list, limits: list):
@@ -158,6 +166,17 @@ def _dots(rows: list):
     return dots
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most BLOCK chunks: a chunk has hundreds of terms, and both sides hold a batch."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(int(before), BLOCK) if int(before) > 0 else BLOCK))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def _few(rows: DataFrame) -> list:
     """The rows, if there are at most TERMS_TO_TASKS; none otherwise."""
     found = rows.limit(TERMS_TO_TASKS + 1).collect()
@@ -185,11 +204,12 @@ class PassageIndex:
         # no filter on the tokens or terms: it would be pushed below, and every text cut or counted twice
         held = rows.withColumn("terms", _term_counts("tokens")).drop("tokens")
         squares = F.aggregate("terms", F.lit(0).cast("long"), lambda total, t: total + t["c"] * t["c"])
-        held.withColumn("norm", F.sqrt(squares.cast("double"))).write.parquet(f"{root}/chunks")
-        # the ids hold from here on, as they are written; a chunk's postings stay where the chunk is read
-        spark.read.parquet(f"{root}/chunks").select("uid", "norm", "terms").mapInArrow(
-            _lists, "block long, term string, layer int, n long, top double, held array<struct<uid: long, impact: double, c: int>>"
-        ).write.parquet(f"{root}/lists")
+        with _small_batches(spark):
+            held.withColumn("norm", F.sqrt(squares.cast("double"))).write.parquet(f"{root}/chunks")
+            # the ids hold from here on, as they are written; a chunk's postings stay where the chunk is read
+            spark.read.parquet(f"{root}/chunks").select("uid", "norm", "terms").mapInArrow(
+                _lists, "block long, term string, layer int, n long, top double, held array<struct<uid: long, impact: double, c: int>>"
+            ).write.parquet(f"{root}/lists")
         return cls.open(spark, root)
 
     @classmethod

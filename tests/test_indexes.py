@@ -79,6 +79,7 @@ def test_a_block_writes_one_list_a_cell_and_a_search_sums_it_whole(spark, monkey
     try:
         index = pi.PassageIndex.build(chunks, root(spark))
         lists = index.lists.collect()
+        assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "40"
         answers = []
         for most in (pi.TERMS_TO_TASKS, 0):  # the queries' terms in every task, or joined
             monkeypatch.setattr(pi, "TERMS_TO_TASKS", most, raising=False)
