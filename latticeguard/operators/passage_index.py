@@ -3,8 +3,8 @@
 The corpus is tokenized once, when the index is written; any number of queries is answered from it.
 A posting's impact is its term count over its chunk's norm, so the cosine of a query and a chunk is
 the sum, over shared terms, of the query's weight times the impact. Postings are kept by term and
-layer, a quarter octave of impact: a block of chunks writes one list per cell (term, layer), with the
-number of its postings and its largest impact. A search meets lists, not postings.
+layer, a quarter octave of impact: a block of chunks writes one list per term, in the order of the layers,
+with the number of postings and the largest impact of each. A search meets lists, not postings.
 
 A search takes two steps, all joins on terms or chunks. First the cells of the largest possible
 contribution give some chunks per query; the k-th best of their exact scores is a floor. Then terms
@@ -58,11 +58,13 @@ def _term_counts(tokens: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts), held)
 
 
-_POSTING = pa.struct([("uid", pa.int64()), ("impact", pa.float64()), ("c", pa.int32())])
+_HEAD = pa.struct([("layer", pa.int32()), ("start", pa.int32()), ("n", pa.int32()), ("top", pa.float64())])
+LISTS = ("block long, term string, heads array<struct<layer: int, start: int, n: int, top: double>>, "
+         "uids array<long>, impacts array<double>, counts array<int>")
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (uid, norm, terms), a block at a time, as one list per cell: in the order of term and layer, a list in that of uid."""
+    """Rows (uid, norm, terms), a block at a time, as one list per term: in the order of layer and uid."""
     for batch in batches:
         for at in range(0, batch.num_rows, BLOCK):
             if (made := _block(batch.slice(at, BLOCK))) is not None:
@@ -86,19 +88,24 @@ def _block(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     uid = batch.column("uid").to_numpy()[owner]
     order = np.lexsort((uid, layer, ranks[word]))
     word, layer, impact = word[order], layer[order], impact[order]
-    starts = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (layer[1:] != layer[:-1]))))
-    held = pa.StructArray.from_arrays([pa.array(uid[order]), pa.array(impact), pa.array(counts[order], pa.int32())],
-                                      fields=list(_POSTING))
-    ends = np.append(starts, len(word)).astype(np.int32)
+    new = word[1:] != word[:-1]
+    starts = np.flatnonzero(np.concatenate(([True], new)))  # of the lists
+    cells = np.flatnonzero(np.concatenate(([True], new | (layer[1:] != layer[:-1]))))
+    ends = pa.array(np.append(starts, len(word)).astype(np.int32))
+    list_of = np.searchsorted(starts, cells, "right") - 1
+    heads = pa.StructArray.from_arrays([
+        pa.array(layer[cells], pa.int32()), pa.array(cells - starts[list_of], pa.int32()),
+        pa.array(np.diff(np.append(cells, len(word))), pa.int32()), pa.array(np.maximum.reduceat(impact, cells))], fields=list(_HEAD))
+    held = (pa.array(uid[order]), pa.array(impact), pa.array(counts[order], pa.int32()))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(starts), uid.min())), words.dictionary.take(pa.array(word[starts])), pa.array(layer[starts], pa.int32()),
-         pa.array(np.diff(ends).astype(np.int64)), pa.array(np.maximum.reduceat(impact, starts)),
-         pa.ListArray.from_arrays(pa.array(ends), held)],
-        names=["block", "term", "layer", "n", "top", "held"])
+        [pa.array(np.full(len(starts), uid.min())), words.dictionary.take(pa.array(word[starts])),
+         pa.ListArray.from_arrays(pa.array(np.searchsorted(cells, np.append(starts, len(word))).astype(np.int32)), heads),
+         *(pa.ListArray.from_arrays(ends, h) for h in held)],
+        names=["block", "term", "heads", "uids", "impacts", "counts"])
 
 
 def _met(rows: list, limits: list):
-    """A function from a block's lists (term, held) to its candidates (query_id, uid, dot), for queries given as rows
+    """A function from a block's lists (term, uids, impacts, counts) to its candidates (query_id, uid, dot), for queries given as rows
     (query_id, term, w, qc, aside) and their limits (query_id, floor, rest)."""
     words = sorted({r["term"] for r in rows})
     place = {w: i for i, w in enumerate(words)}
@@ -108,13 +115,11 @@ def _met(rows: list, limits: list):
 
     def candidates(table: pa.Table) -> pa.Table:
         term = pc.index_in(table.column("term").combine_chunks(), pa.array(words, pa.string())).to_numpy(zero_copy_only=False)
-        held = table.column("held").combine_chunks()
-        lengths = np.asarray(pc.list_value_length(held).to_numpy(zero_copy_only=False), np.int64)
-        found = held.flatten()
-        each = np.repeat(term, lengths)
+        uids, impact, counts = (table.column(c).combine_chunks() for c in ("uids", "impacts", "counts"))
+        each = np.repeat(term, np.asarray(pc.list_value_length(uids).to_numpy(zero_copy_only=False), np.int64))
         order = np.argsort(each, kind="stable")
-        uids, local = np.unique(found.field("uid").to_numpy()[order], return_inverse=True)
-        impact, counts = found.field("impact").to_numpy()[order], found.field("c").to_numpy()[order].astype(np.int64)
+        uids, local = np.unique(uids.flatten().to_numpy()[order], return_inverse=True)
+        impact, counts = impact.flatten().to_numpy()[order], counts.flatten().to_numpy()[order].astype(np.int64)
         bounds = np.searchsorted(each[order], np.arange(len(words) + 1)).tolist()
         out = []
         for query, (mine, least) in of.items():
@@ -185,15 +190,17 @@ def _few(rows: DataFrame) -> list:
 
 @dataclass
 class PassageIndex:
-    """chunks: uid, doc_id, chunk_no, source, norm, terms; lists: block, term, layer, n, top, held (uid, impact, c)."""
+    """chunks: uid, doc_id, chunk_no, source, norm, terms; lists: block, term, heads (layer, start, n, top), and of
+    each posting, in the order of layer and uid, uids, impacts, counts."""
 
     chunks: DataFrame
     lists: DataFrame
 
     @property
     def postings(self) -> DataFrame:
-        """(term, layer, uid, impact, c), one row per posting."""
-        return self.lists.select("term", "layer", F.inline("held"))
+        """(term, uid, impact, c), one row per posting."""
+        return self.lists.select("term", F.inline(F.arrays_zip(
+            F.col("uids").alias("uid"), F.col("impacts").alias("impact"), F.col("counts").alias("c"))))
 
     @classmethod
     def build(cls, chunk_emb: DataFrame, root: str) -> PassageIndex:
@@ -208,8 +215,7 @@ class PassageIndex:
             held.withColumn("norm", F.sqrt(squares.cast("double"))).write.parquet(f"{root}/chunks")
             # the ids hold from here on, as they are written; a chunk's postings stay where the chunk is read
             spark.read.parquet(f"{root}/chunks").select("uid", "norm", "terms").mapInArrow(
-                _lists, "block long, term string, layer int, n long, top double, held array<struct<uid: long, impact: double, c: int>>"
-            ).write.parquet(f"{root}/lists")
+                _lists, LISTS).write.parquet(f"{root}/lists")
         return cls.open(spark, root)
 
     @classmethod
@@ -239,17 +245,21 @@ class PassageIndex:
         Pairs also have their dot, unless the queries' terms are too many for every task."""
         norms = terms.groupBy("query_id").agg(F.sqrt(F.sum(F.col("c") * F.col("c")).cast("double")).alias("qnorm"))
         queries = materialize(terms.join(norms, "query_id").select("query_id", "term", F.col("c").alias("qc"), "qnorm"), "search-queries")
+        heads = self.lists.select("term", "heads").join(queries.select("term").distinct(), "term", "left_semi").select(
+            "term", F.inline("heads")).groupBy("term", "layer").agg(F.sum("n").alias("n"), F.max("top").alias("top"))
         cells = materialize(
-            queries.withColumn("w", F.col("qc") / F.col("qnorm"))
-            .join(self.lists.select("term", "layer", "n", "top"), "term").groupBy("query_id", "term", "qc", "w", "layer").agg(
-                F.sum("n").alias("n"), (F.col("w") * F.max("top")).alias("bound")), "search-cells")
+            queries.withColumn("w", F.col("qc") / F.col("qnorm")).join(heads, "term").select(
+                "query_id", "term", "qc", "w", "layer", "n", (F.col("w") * F.col("top")).alias("bound")), "search-cells")
         order = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "term", "layer")
         first = cells.where(F.col("n") <= SEED_CELL).withColumn("before", F.coalesce(
             F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("before") < SEEDS * k)
         # of the last cell, which may be large, only as many postings as are still wanted: any floor is a valid one
         taken = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "term", "layer", "uid")
-        lists = self.lists.select("term", "layer", F.slice("held.uid", 1, SEEDS * k).alias("uids"))
-        seeds = materialize(first.select("query_id", "term", "layer", "bound").join(lists, ["term", "layer"]).select(
+        head = F.filter("heads", lambda h: h["layer"] == F.col("layer"))
+        seeds = materialize(first.select("query_id", "term", "layer", "bound").join(self.lists.select("term", "heads", "uids"), "term").select(
+            "query_id", "term", "layer", "bound", "uids", F.explode(head).alias("h")).select(
+            "query_id", "term", "layer", "bound",
+            F.slice("uids", F.col("h.start") + 1, F.least("h.n", F.lit(SEEDS * k))).alias("uids")).select(
             "query_id", "term", "layer", "bound", F.explode("uids").alias("uid")).withColumn(
             "i", F.row_number().over(taken)).where(F.col("i") <= SEEDS * k).select("query_id", "uid").distinct(), "search-seeds")
         best = Window.partitionBy("query_id").orderBy(F.col("score").desc())
@@ -262,11 +272,10 @@ class PassageIndex:
         limits = most.groupBy("query_id").agg(F.max("floor").alias("floor"), F.sum(F.when(F.col("aside"), F.col("ub")).otherwise(0.0)).alias("rest"))
         if rows := _few(most.select("query_id", "term", "w", "qc", "aside")):
             # a block is one group, so its sums are whole where they are made
-            lists = self.lists.select("block", "term", "held").join(most.select("term").distinct(), "term", "left_semi")
+            lists = self.lists.select("block", "term", "uids", "impacts", "counts").join(most.select("term").distinct(), "term", "left_semi")
             found = lists.groupBy("block").applyInArrow(_met(rows, limits.collect()), "query_id long, uid long, dot long")
         else:
-            sums = most.where("NOT aside").select("query_id", "term", "w").join(self.lists.select("term", "held"), "term").select(
-                "query_id", "w", F.inline("held")).groupBy("query_id", "uid").agg(F.sum(F.col("w") * F.col("impact")).alias("part"))
+            sums = most.where("NOT aside").select("query_id", "term", "w").join(self.postings, "term").groupBy("query_id", "uid").agg(F.sum(F.col("w") * F.col("impact")).alias("part"))
             found = sums.join(limits, "query_id").where(F.col("part") + F.col("rest") >= F.col("floor") - _ROOM).select("query_id", "uid")
         pairs = materialize(found, "search-pairs")
         for used in (cells, seeds, most):

@@ -73,7 +73,7 @@ def test_floor_scores_few_chunks_of_a_large_cell_and_postings_stay(spark, monkey
     assert got.count() == 3
 
 
-def test_a_block_writes_one_list_a_cell_and_a_search_sums_it_whole(spark, monkeypatch):
+def test_a_block_writes_one_list_a_term_and_a_search_sums_it_whole(spark, monkeypatch):
     chunks, terms = passages(spark, n=300, seed=3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
     try:
@@ -88,14 +88,17 @@ def test_a_block_writes_one_list_a_cell_and_a_search_sums_it_whole(spark, monkey
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len({r["block"] for r in lists}) >= 300 // 40
-    assert len({(r["block"], r["term"], r["layer"]) for r in lists}) == len(lists)
+    assert len({(r["block"], r["term"]) for r in lists}) == len(lists)
     for r in lists:
-        uids, impacts = [h["uid"] for h in r["held"]], [h["impact"] for h in r["held"]]
-        assert uids == sorted(set(uids)) and (r["n"], r["top"]) == (len(uids), max(impacts))
-    block_of = {(h["uid"], r["block"]) for r in lists for h in r["held"]}
+        layers = [h["layer"] for h in r["heads"]]
+        assert layers == sorted(set(layers)) and sum(h["n"] for h in r["heads"]) == len(r["uids"]) == len(set(r["uids"]))
+        for h in r["heads"]:
+            at = slice(h["start"], h["start"] + h["n"])
+            assert r["uids"][at] == sorted(r["uids"][at]) and h["top"] == max(r["impacts"][at])
+    block_of = {(u, r["block"]) for r in lists for u in r["uids"]}
     assert len({u for u, _ in block_of}) == len(block_of)
     held = {(r["uid"], t["term"], t["c"]) for r in index.chunks.collect() for t in r["terms"]}
-    assert {(h["uid"], r["term"], h["c"]) for r in lists for h in r["held"]} == held
+    assert {(r["uid"], r["term"], r["c"]) for r in index.postings.collect()} == held
     assert answers[0] == answers[1] == sorted(map(tuple, rt.retrieve(chunks, terms, 3).collect()), key=str)
 
 
